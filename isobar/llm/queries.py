@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import common, packing, pieces, sstable, token_counts
+from isobar.llm import common, licenses, packing, pieces, sstable, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,13 @@ def op4_sstable_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(spark, manifest, outputs=("ids_crc32",))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.license_scan(common.table(spark, sf_dir, "documents"))
+    return scanned.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score"
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, common.tokenizer_path("byte_bpe_50k.json"))
@@ -33,5 +40,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, common.tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=1024)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sentencepiece, op4_sstable_output, op8_token_counts, op9_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sentencepiece, op4_sstable_output, op5_license_scan, op8_token_counts, op9_packing)}
 ORACLES: dict[str, str] = {}
