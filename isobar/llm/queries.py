@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import common, licenses, packing, pieces, simhash, sstable, token_counts
+from isobar.llm import common, licenses, packing, pieces, simhash, sstable, suffix, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(common.table(spark, sf_dir, "documents"), threshold=200, outputs=("kept_sha256",))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, common.tokenizer_path("byte_bpe_50k.json"))
@@ -45,5 +49,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, common.tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=1024)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sentencepiece, op4_sstable_output, op5_license_scan, op6_simhash, op8_token_counts, op9_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sentencepiece, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing)}
 ORACLES: dict[str, str] = {}
