@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import common, licenses, packing, pieces, simhash, sstable, suffix, token_counts
+from isobar.llm import common, licenses, packing, pieces, quality, simhash, sstable, suffix, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,5 +49,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, common.tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=1024)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sentencepiece, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    described = common.checkpointed(quality.with_statistics(common.table(spark, sf_dir, "documents")))
+    model = quality.fit(described, common.table(spark, sf_dir, "labels"), held_out=0)
+    return quality.score(described, model, threshold=0.3).select("doc_id", F.coalesce(quality.fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sentencepiece, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing, op10_quality)}
 ORACLES: dict[str, str] = {}
