@@ -7,16 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import common, licenses, packing, pieces, quality, simhash, sstable, suffix, token_counts
+from isobar.llm import ann, common, exact_topk, licenses, packing, pieces, quality, simhash, sstable, suffix, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_by_cosine(common.table(spark, sf_dir, "embeddings"), "id % 50 = 0", k=5)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return pieces.encode_pieces(docs, common.tokenizer_path("piece_bpe_32k.model"), outputs=("ids_sha256", "decoded_sha256"))
 
 
+def op3_pivot_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_products(common.table(spark, sf_dir, "embeddings"), "id % 50 = 0", k=5, scale=256.0)
+
+
 def op4_sstable_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     manifest = sstable.write_shards(docs, common.scratch_path(spark, "shards"), common.tokenizer_path("word_bpe_49k.json"), end_id=2)
@@ -55,5 +63,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(described, model, threshold=0.3).select("doc_id", F.coalesce(quality.fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sentencepiece, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing, op10_quality)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_multi_index_hashing, op2_sentencepiece, op3_pivot_distance, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing, op10_quality)}
+ORACLES: dict[str, str] = {
+    "op3_pivot_distance": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+    """,
+}
