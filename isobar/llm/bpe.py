@@ -11,20 +11,40 @@ from __future__ import annotations
 
 import array
 import os
+import re
+import unicodedata
 from functools import cached_property
 
-import regex
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+#: Characters of the classes below end here; texts are split here only if all characters are below U+0220, whose lower case ends here too.
+CLASS_END = 0x2B0
+#: As do these: one library takes them as white space and another not, or lower-cases them in another way.
+UNSURE = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\u012f\\u0131-\\u021f]")
+
+
+def _class(kind: str) -> str:
+    """The characters below CLASS_END of a Unicode category, for a character class."""
+    return "".join(re.escape(chr(c)) for c in range(CLASS_END) if unicodedata.category(chr(c))[0] == kind)
+
+
+L, N = _class("L"), _class("N")
 #: The split patterns of the public vocabularies.
 PATTERNS = {
-    "byte_bpe_50k.json": r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
-    "word_bpe_49k.json": r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+",
+    "byte_bpe_50k.json": rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^\s{L}{N}]+|\s+(?!\S)|\s+",
+    "word_bpe_49k.json": rf"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\s{L}{N}]+",
 }
 LOWERS = {"word_bpe_49k.json"}
-#: Beyond these characters a text goes to the library whole.
-UNSURE = regex.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\u012f\\u0131-\\u024f]")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte: printable ones stand for themselves."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTE_CHARACTERS = _byte_characters()
 #: Entries that a worker's cache holds at most before it starts anew.
 CACHE_ENTRIES = 400_000
 
@@ -48,9 +68,9 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         self.path, self.name = path, os.path.basename(path)
-        self.split = regex.compile(PATTERNS[self.name]).findall if self.name in PATTERNS else None
+        self.split = re.compile(PATTERNS[self.name]).findall if self.name in PATTERNS else None
         self.lowers = self.name in LOWERS
-        self.ids = _Ids(self.library)
+        self.ids = _Ids(self.piece)
 
     def __reduce__(self):
         return PieceEncoder, (self.path,)
@@ -63,11 +83,20 @@ class PieceEncoder:
 
     @cached_property
     def special(self):
-        return regex.compile("|".join(map(regex.escape, sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values()))) or "(?!)")
+        return re.compile("|".join(map(re.escape, sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values()))) or "(?!)")
 
     def library(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
+    @cached_property
+    def merge(self):
+        return self.tokenizer.model.tokenize
+
+    def piece(self, piece: str) -> bytes:
+        """The ids of one pre-token."""
+        written = piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        return array.array("I", [t.id for t in self.merge(written)]).tobytes()
+
     def pieces(self, text: str) -> list[str] | None:
         """The text's pre-tokens; None if the library must see the whole text."""
         if self.split is None or UNSURE.search(text) or self.special.search(text):
