@@ -13,7 +13,7 @@ def event_bin(label: Column) -> Column:
     under"; "under/below/less than N" (strict); "over/above/greater than N"
     (strict); a range; one integer.
     """
-    text = F.lower(F.trim(F.regexp_replace(label, "°\\s*f?|(?<=\\d)\\s*f\\b", "")))
+    text = F.trim(F.regexp_replace(F.lower(label), "°\\s*f?|(?<=\\d)\\s*f\\b", ""))
 
     def number(pattern: str, group: int = 1) -> Column:
         return F.try_to_number(F.nullif(F.regexp_extract(text, pattern, group), F.lit("")), F.lit("999999999")).cast("int")
