@@ -71,7 +71,7 @@ def map_texts(df: DataFrame, keep: Iterable[str], text: Column, start: Callable[
     """The columns ``keep``, untouched, and new columns made from each row's text, in Arrow batches.
 
     ``start`` runs once a task and returns a function from a batch of texts to
-    one list for each of ``fields``.
+    one list, or Arrow array, for each of ``fields``.
     """
     kept = [df.schema[name] for name in keep]
     schema = T.StructType([*kept, *fields])
@@ -82,7 +82,7 @@ def map_texts(df: DataFrame, keep: Iterable[str], text: Column, start: Callable[
         make = start()
         for batch in batches:
             columns = make(batch.column(len(kept)).to_pylist())
-            new = [pa.array(values, kind) for values, kind in zip(columns, arrow, strict=True)]
+            new = [values if isinstance(values, pa.Array) else pa.array(values, kind) for values, kind in zip(columns, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names)
 
     return df.select(*[F.col(f"`{f.name}`") for f in kept], text.alias("__text")).mapInArrow(run, schema)

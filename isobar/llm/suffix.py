@@ -7,7 +7,7 @@ where an order can matter:
 1. Of every window of ``threshold`` bytes one gram of ``GRAM`` bytes is marked,
    that with the least hash (the last of equals). Equal windows mark the same
    gram at the same place, so a repeated window has a repeated mark; marks are
-   one in about 77 bytes.
+   one in about 85 bytes.
 2. First digit: marks are grouped by their gram's hash. Partial sums count a
    hot gram before the shuffle; grams that occur once leave the sort here.
 3. Second digit: the whole surroundings (all windows over the mark). Where all
@@ -37,11 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.llm.common import checkpointed, map_texts, row_key, text_or_empty
-from isobar.llm.simhash import runs, signed
+from isobar.llm.simhash import runs
 
-GRAM = 48
+GRAM = 32
 #: Rows sorted at once; a run of one gram stays together.
 SORT_ROWS = 50_000
+#: Places and spans are broadcast up to this many bytes, by count; beyond it the texts are shuffled to them.
+BROADCAST_BYTES = 64 << 20
 
 _BYTES = np.random.default_rng(17).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = 0x9E3779B97F4A7C15
@@ -106,29 +108,31 @@ def _largest_around(least: np.ndarray, span: int, n: int) -> np.ndarray:
     return np.maximum(padded[:n], padded[span - width : span - width + n])
 
 
-MARK = T.ArrayType(T.StructType([T.StructField("gram", T.LongType()), T.StructField("around", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+MARK = T.StructType([T.StructField("gram", T.LongType()), T.StructField("around", T.LongType()), T.StructField("at", T.IntegerType())])
 
 
 def _marked(docs: DataFrame, threshold: int, text_col: str) -> DataFrame:
-    """A row for each mark: rid, gram, around (hash of the surroundings), at, start and end of the surroundings."""
+    """A row for each mark: rid, gram, around (hash of all windows over the mark) and at."""
     reach = threshold - GRAM
 
     def start():
         def mark(texts: list[str]) -> list:
-            out = []
+            grams, arounds, places, ends = [], [], [], [0]
             for text in texts:
                 data = text.encode()
                 at, hashes = marks(np.frombuffer(data, np.uint8), threshold)
-                starts, ends = np.maximum(at - reach, 0), np.minimum(at + GRAM + reach, len(data))
-                out.append([
-                    {"gram": g, "around": signed(xxhash.xxh3_64_intdigest(data[s:e], a - s)), "at": a, "start": s, "end": e}
-                    for g, a, s, e in zip(hashes.view(np.int64).tolist(), at.tolist(), starts.tolist(), ends.tolist(), strict=True)
-                ])
-            return [out]
+                starts = np.maximum(at - reach, 0)
+                grams.append(hashes.view(np.int64))
+                places.append(at.astype(np.int32))
+                arounds += [xxhash.xxh3_64_intdigest(data[s : a + threshold], a - s) for a, s in zip(at.tolist(), starts.tolist(), strict=True)]
+                ends.append(ends[-1] + len(at))
+            columns = [np.concatenate(grams) if grams else np.empty(0, np.int64), np.array(arounds, dtype=np.uint64).view(np.int64), np.concatenate(places) if places else np.empty(0, np.int32)]
+            found = pa.StructArray.from_arrays([pa.array(c) for c in columns], MARK.names)
+            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)]
 
         return mark
 
-    return map_texts(docs, ["__rid"], text_or_empty(text_col), start, [T.StructField("marks", MARK)]).select("__rid", F.inline("marks"))
+    return map_texts(docs, ["__rid"], text_or_empty(text_col), start, [T.StructField("marks", T.ArrayType(MARK))]).select("__rid", F.inline("marks"))
 
 
 def _passes(group: np.ndarray, digits: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -166,33 +170,41 @@ def repeated_windows(group: np.ndarray, left: list[bytes], right: list[bytes], r
     return out
 
 
-def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(__rid, start, end): byte spans of ``docs`` (with a column __rid) that repeated windows cover; they overlap."""
+def _beside(texts: DataFrame, found: DataFrame, n_bytes: int, how: str) -> DataFrame:
+    """``texts`` with what was found for them by __rid; broadcast only if counted to be small, else both are shuffled."""
+    return texts.join(F.broadcast(found) if n_bytes <= BROADCAST_BYTES else found.hint("merge"), "__rid", how)
+
+
+def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text") -> DataFrame:
+    """(__rid, starts, ends): the byte spans of ``docs`` (with a column __rid) that repeated windows cover.
+
+    Spans are merged and in order; they can begin before 0 and end behind the
+    text, where all windows up to its end are repeated.
+    """
     reach = threshold - GRAM
     marked = _marked(docs, threshold, text_col)
     grams = marked.groupBy("gram").agg(F.count("*").alias("n"), F.min("around").alias("least"), F.max("around").alias("most")).where("n > 1")
     grams = checkpointed(grams.select("gram", (F.col("least") != F.col("most")).alias("mixed")))
     repeated = checkpointed(marked.join(grams, "gram"))
     mixed = repeated.where("mixed")
-    rest = checkpointed(mixed.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("__rid", "at", "start", "end")).alias("one")))
-    full = repeated.where("not mixed").select("__rid", "start", "end").union(mixed.join(rest.where("n > 1").select("gram", "around"), ["gram", "around"], "left_semi").select("__rid", "start", "end"))
-    # Where the surroundings are cut by a text's end, the windows over the mark may be none.
-    full = full.where(F.col("end") - F.col("start") >= threshold)
+    rest = checkpointed(mixed.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("__rid", "at")).alias("one")))
+    full = repeated.where("not mixed").select("__rid", "at").union(mixed.join(rest.where("n > 1").select("gram", "around"), ["gram", "around"], "left_semi").select("__rid", "at"))
+    full = full.select("__rid", (F.col("at") - reach).alias("start"), (F.col("at") + threshold).alias("end"))
 
-    wanted = rest.select("gram", "one.*").groupBy("__rid").agg(F.collect_list(F.struct("gram", "at", "start", "end")).alias("wanted"))
-    texts = docs.select("__rid", text_or_empty(text_col).alias("__own"))
-    texts = texts.join(F.broadcast(wanted) if rest.count() <= broadcast_rows else wanted, "__rid")
+    wanted = rest.select("gram", "one.*").groupBy("__rid").agg(F.collect_list(F.struct("gram", "at")).alias("w"))
+    wanted = wanted.select("__rid", F.transform("w", lambda w: w["gram"]).alias("grams"), F.transform("w", lambda w: w["at"]).alias("places"))
+    texts = _beside(docs.select("__rid", text_or_empty(text_col).alias("__own")), wanted, 12 * rest.count(), "inner")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for rid, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for rid, text, own, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode()
-                rows += [(p["gram"], rid, p["at"], data[p["start"] : p["at"]], data[p["at"] + GRAM : p["end"]]) for p in places]
+                rows += [(g, rid, a, data[max(0, a - reach) : a], data[a + GRAM : a + threshold]) for g, a in zip(own, places, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(column, f.type) for column, f in zip(zip(*rows, strict=True) if rows else [()] * 5, around, strict=True)], schema=around)
 
     around = pa.schema([("gram", pa.int64()), ("__rid", pa.int64()), ("at", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
-    cuts = texts.mapInArrow(cut, "gram long, __rid long, at int, before binary, after binary")
+    cuts = texts.select("__rid", "__own", "grams", "places").mapInArrow(cut, "gram long, __rid long, at int, before binary, after binary")
     # Rows that repeat each other in full have been cut more than once.
     cuts = cuts.repartition("gram").sortWithinPartitions("gram", "__rid", "at")
     found = pa.schema([("__rid", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
@@ -224,7 +236,15 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
                     rows.append((r, a - back, a - back + threshold))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [()] * 3, found, strict=True)], schema=found)
 
-    return full.union(cuts.mapInArrow(radix, "__rid long, start int, end int"))
+    spans = full.union(cuts.mapInArrow(radix, "__rid long, start int, end int"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unions = [merged([(s["start"], s["end"]) for s in own]) for own in batch.column(1).to_pylist()]
+            sides = [pa.array([[span[k] for span in union] for union in unions], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *sides], names=["__rid", "starts", "ends"])
+
+    return spans.groupBy("__rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")).mapInArrow(merge, "__rid long, starts array<int>, ends array<int>")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -260,8 +280,9 @@ def remove_repeats(docs: DataFrame, threshold: int = 200, id_col: str = "doc_id"
     (lowercase hex digest of exactly the remaining bytes).
     """
     keyed = docs.withColumn("__rid", row_key(id_col, text_col))
-    spans = repeated_spans(keyed.select("__rid", text_col), threshold, text_col).groupBy("__rid").agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
-    rows = keyed.select(*keep, "__rid", text_or_empty(text_col).alias("__own")).join(spans, "__rid", "left").select(*keep, "__own", "__spans")
+    spans = checkpointed(repeated_spans(keyed.select("__rid", text_col), threshold, text_col))
+    n_bytes = spans.agg(F.sum(8 * F.size("starts") + 64)).first()[0] or 0
+    rows = _beside(keyed.select(*keep, "__rid", text_or_empty(text_col).alias("__own")), spans, n_bytes, "left").select(*keep, "__own", "starts", "ends")
     kinds = {"spans": T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])), "kept": T.StringType(), "kept_sha256": T.StringType()}
     make = {
         "spans": lambda data, runs: [{"start": s, "end": e} for s, e in runs],
@@ -278,8 +299,9 @@ def remove_repeats(docs: DataFrame, threshold: int = 200, id_col: str = "doc_id"
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list] = [[] for _ in range(3 + len(outputs))]
-            for text, own in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True):
-                data, spans = text.encode(), merged([(s["start"], s["end"]) for s in own or ()])
+            for text, starts, ends in zip(*(batch.column(n + k).to_pylist() for k in range(3)), strict=True):
+                data = text.encode()
+                spans = [(max(s, 0), min(e, len(data))) for s, e in zip(starts or (), ends or (), strict=True)]
                 values = [len(data), sum(e - s for s, e in spans), len(spans), *(make[o](data, spans) for o in outputs)]
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
