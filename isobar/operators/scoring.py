@@ -63,8 +63,8 @@ def error_summary(y: Column, x: Column) -> list[Column]:
 
 
 def probability_bucket(p: Column, buckets: int = 10) -> Column:
-    """1..buckets; an edge belongs to the bucket below it, and 0 to the first."""
-    return F.least(F.greatest(F.ceil(p * buckets), F.lit(1)), F.lit(buckets)).cast("long")
+    """1..buckets; an edge belongs to the bucket below it, and 0 to the first. Rounding noise does not cross an edge."""
+    return F.least(F.greatest(F.ceil(F.round(p * buckets, 9)), F.lit(1)), F.lit(buckets)).cast("long")
 
 
 def reliability(df: DataFrame, p: str, hit: Column, buckets: int = 10, by: Sequence[str] = ()) -> DataFrame:

@@ -83,10 +83,10 @@ def dedup_keep_last_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH f AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price, l_quantity AS size,
     coalesce(sum(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
     FROM (SELECT * FROM lineitem QUALIFY l_extendedprice >= max(l_extendedprice) OVER (PARTITION BY l_suppkey) - 20000))
-SELECT l_suppkey, count(*) AS offers, sum(least(size, 200 - before)) AS filled, round(sum(least(size, 200 - before) * price) / sum(least(size, 200 - before)), 4) AS average_price FROM f WHERE before < 200 GROUP BY l_suppkey""")
+SELECT l_suppkey, count(*) AS offers, sum(least(size, 200 - before)) AS filled, round(sum(least(size, 200 - before) * price) / sum(least(size, 200 - before)) + 1e-7, 4) AS average_price FROM f WHERE before < 200 GROUP BY l_suppkey""")
 def order_book_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = select.running_take(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_extendedprice", "l_quantity", 200.0, 20000.0, ["l_orderkey", "l_linenumber", "l_partkey"])
-    return taken.groupBy("l_suppkey").agg(F.count("*").alias("offers"), F.sum("filled").alias("filled"), F.round(F.sum(F.col("filled") * F.col("l_extendedprice")) / F.sum("filled"), 4).alias("average_price"))
+    return taken.groupBy("l_suppkey").agg(F.count("*").alias("offers"), F.sum("filled").alias("filled"), F.round(F.sum(F.col("filled") * F.col("l_extendedprice")) / F.sum("filled") + 1e-7, 4).alias("average_price"))
 
 
 TYPES = ("PROMO", "STANDARD", "ECONOMY")
