@@ -41,7 +41,7 @@ from isobar.llm.simhash import runs
 
 GRAM = 32
 #: Rows sorted at once; a run of one gram stays together.
-SORT_ROWS = 50_000
+SORT_ROWS = 20_000
 #: Places and spans are broadcast up to this many bytes, by count; beyond it the texts are shuffled to them.
 BROADCAST_BYTES = 64 << 20
 
@@ -138,8 +138,8 @@ def _marked(docs: DataFrame, threshold: int, text_col: str) -> DataFrame:
 def _passes(group: np.ndarray, digits: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Most-significant-digit passes: [d, row] is the row's group by its first d digits, -1 once it is alone."""
     n, depth = digits.shape
-    out = np.full((depth + 1, n), -1, np.int64)
-    rows, own = np.arange(n), group
+    out = np.full((depth + 1, n), -1, np.int32)
+    rows, own = np.arange(n), group.astype(np.int64)
     out[0] = group
     for d in range(depth):
         more = lengths[rows] > d
@@ -156,7 +156,7 @@ def _passes(group: np.ndarray, digits: np.ndarray, lengths: np.ndarray) -> np.nd
 def repeated_windows(group: np.ndarray, left: list[bytes], right: list[bytes], reach: int) -> list[list[int]]:
     """For each row, how far to the left the windows start that another row of its group has too."""
     def matrix(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(b"".join(p.ljust(reach, b"\0") for p in parts), np.uint8).reshape(len(parts), reach).astype(np.int64), np.array([len(p) for p in parts])
+        return np.frombuffer(b"".join(p.ljust(reach, b"\0") for p in parts), np.uint8).reshape(len(parts), reach), np.array([len(p) for p in parts])
 
     lefts = _passes(group, *matrix([p[::-1] for p in left]))
     rights = _passes(group, *matrix(right))
@@ -164,7 +164,7 @@ def repeated_windows(group: np.ndarray, left: list[bytes], right: list[bytes], r
     for back in range(reach + 1):
         rows = np.flatnonzero((lefts[back] >= 0) & (rights[reach - back] >= 0))
         if len(rows) > 1:
-            _, own, counts = np.unique(lefts[back, rows] * (len(left) + group.max() + 1) + rights[reach - back, rows], return_inverse=True, return_counts=True)
+            _, own, counts = np.unique(lefts[back, rows].astype(np.int64) * (len(left) + group.max() + 1) + rights[reach - back, rows], return_inverse=True, return_counts=True)
             for row in rows[counts[own] > 1].tolist():
                 out[row].append(back)
     return out
@@ -187,13 +187,15 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
     grams = checkpointed(grams.select("gram", (F.col("least") != F.col("most")).alias("mixed")))
     repeated = checkpointed(marked.join(grams, "gram"))
     mixed = repeated.where("mixed")
-    rest = checkpointed(mixed.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("__rid", "at")).alias("one")))
-    full = repeated.where("not mixed").select("__rid", "at").union(mixed.join(rest.where("n > 1").select("gram", "around"), ["gram", "around"], "left_semi").select("__rid", "at"))
+    classes = mixed.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("__rid", "at")).alias("one"))
+    counted = checkpointed(mixed.join(classes, ["gram", "around"]).select("gram", "__rid", "at", (F.col("n") > 1).alias("several"), (F.struct("__rid", "at") == F.col("one")).alias("first")))
+    full = repeated.where("not mixed").select("__rid", "at").union(counted.where("several").select("__rid", "at"))
     full = full.select("__rid", (F.col("at") - reach).alias("start"), (F.col("at") + threshold).alias("end"))
 
-    wanted = rest.select("gram", "one.*").groupBy("__rid").agg(F.collect_list(F.struct("gram", "at")).alias("w"))
+    firsts = counted.where("first")
+    wanted = firsts.groupBy("__rid").agg(F.collect_list(F.struct("gram", "at")).alias("w"))
     wanted = wanted.select("__rid", F.transform("w", lambda w: w["gram"]).alias("grams"), F.transform("w", lambda w: w["at"]).alias("places"))
-    texts = _beside(docs.select("__rid", text_or_empty(text_col).alias("__own")), wanted, 12 * rest.count(), "inner")
+    texts = _beside(docs.select("__rid", text_or_empty(text_col).alias("__own")), wanted, 12 * firsts.count(), "inner")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
