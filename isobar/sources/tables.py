@@ -58,7 +58,7 @@ def issue_catalog(manifests: DataFrame, default_path: str = "") -> DataFrame:
     Paths are joined by ; in the manifest. Available is the processing time, or
     the issue's own time where that is missing.
     """
-    paths = F.explode(F.filter(F.transform(F.split(F.coalesce("wide_output_paths", F.lit(default_path)), ";"), F.trim), lambda p: p != ""))
+    paths = F.explode(F.filter(F.transform(F.split(F.coalesce("wide_output_paths", F.lit(default_path)), ";"), lambda p: F.trim(p)), lambda p: p != ""))
     return manifests.where("extraction_status = 'ok'").select("*", paths.alias("data_path")).withColumn(
         "available_utc", F.coalesce(F.try_to_timestamp("processed_timestamp_utc"), F.try_to_timestamp("init_time_utc"))
     )
