@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.plans.registry import query, table
@@ -34,26 +34,29 @@ def _micros(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.unix_micros(F.col(n).cast("timestamp")) for n in names}).withColumnsRenamed({n: f"{n}_us" for n in names})
 
 
-AGGREGATES = [F.count("*").alias("n"), F.max("value").alias("most")]
+def _aggregates() -> list[Column]:
+    return [F.count("*").alias("n"), F.max("value").alias("most")]
+
+
 _hour, _six = 3_600_000_000, 6 * 3_600_000_000
 
 
 @query(f"""SELECT (epoch_us(ts) // {_hour}) * {_hour} AS window_start_us, (epoch_us(ts) // {_hour} + 1) * {_hour} AS window_end_us, event_type, count(*) AS n, max(value) AS most FROM events GROUP BY ALL""")
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = streams.windowed(_events(spark, sf_dir), "ts", "1 hour", AGGREGATES, ["event_type"])
+    found = streams.windowed(_events(spark, sf_dir), "ts", "1 hour", _aggregates(), ["event_type"])
     return _micros(_run(spark, found, "complete"), "window_start", "window_end")
 
 
 @query(f"""WITH w AS (SELECT *, unnest(range(0, 6)) AS i FROM events) SELECT (epoch_us(ts) // {_hour} - i) * {_hour} AS window_start_us, (epoch_us(ts) // {_hour} - i) * {_hour} + {_six} AS window_end_us, event_type, count(*) AS n, max(value) AS most FROM w GROUP BY ALL""")
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = streams.windowed(_events(spark, sf_dir), "ts", "6 hours", AGGREGATES, ["event_type"], slide="1 hour")
+    found = streams.windowed(_events(spark, sf_dir), "ts", "6 hours", _aggregates(), ["event_type"], slide="1 hour")
     return _micros(_run(spark, found, "complete"), "window_start", "window_end")
 
 
 @query("""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM g)
 SELECT user_id, epoch_us(min(ts)) AS session_start_us, epoch_us(max(ts)) + 7200000000 AS session_end_us, count(*) AS n, max(value) AS most FROM s GROUP BY user_id, session""")
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = streams.sessions(_events(spark, sf_dir), "ts", "2 hours", AGGREGATES, ["user_id"])
+    found = streams.sessions(_events(spark, sf_dir), "ts", "2 hours", _aggregates(), ["user_id"])
     return _micros(_run(spark, found, "complete"), "session_start", "session_end")
 
 
@@ -61,7 +64,7 @@ def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE window_end_us <= (SELECT epoch_us(max(ts)) // 1000 * 1000 - 86400000000 FROM events) GROUP BY ALL""")
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: only windows that the watermark, a day behind the newest event, has closed."""
-    found = streams.windowed(_events(spark, sf_dir), "ts", "6 hours", AGGREGATES, ["event_type"], late="1 day")
+    found = streams.windowed(_events(spark, sf_dir), "ts", "6 hours", _aggregates(), ["event_type"], late="1 day")
     return _micros(_run(spark, found, "append"), "window_start", "window_end")
 
 
