@@ -64,6 +64,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_multi_index_hashing, op2_sentencepiece, op3_pivot_distance, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing, op10_quality)}
+def _license_sql() -> str:
+    """The scan over exploded words, from the same rule table."""
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    table = licenses.rules()
+    rules = ", ".join(f"({quoted(r.keyword)}, {quoted('^' + r.pattern + ' ')}, {quoted(r.label)}, {r.priority})" for r in table)
+    keywords = ", ".join(sorted({quoted(r.keyword) for r in table}))
+    phrases = ", ".join(f"({quoted(phrase)}, {quoted(label)}, {len(phrase.split())})" for phrase, label in licenses.BASE.items())
+    scores = "[" + ", ".join(map(str, licenses.SCORES)) + "]"
+    return f"""
+        WITH t AS (SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')) AS c FROM documents),
+        w AS (SELECT doc_id, CASE WHEN c = '' THEN [] ELSE string_split(c, ' ') END AS w FROM t),
+        e AS (SELECT doc_id, w, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+        base AS (SELECT doc_id, i - 1 AS s, label FROM e JOIN (VALUES {phrases}) p(phrase, label, n) ON word = string_split(phrase, ' ')[1] AND array_to_string(w[i : i + n - 1], ' ') = phrase),
+        b AS (SELECT doc_id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word, list(DISTINCT label) AS labels FROM base GROUP BY doc_id),
+        k AS (SELECT doc_id, i - 1 AS s, word, array_to_string(w[i : i + {licenses.WINDOW - 1}], ' ') || ' ' AS win FROM e WHERE word IN ({keywords})),
+        f AS (SELECT doc_id, s, s + len(string_split(rtrim(m), ' ')) AS z, label, priority FROM (SELECT k.doc_id, s, label, priority, regexp_extract(win, pattern) AS m FROM k JOIN (VALUES {rules}) r(keyword, pattern, label, priority) ON word = keyword) WHERE m <> ''),
+        kept AS (SELECT * FROM f a WHERE NOT EXISTS (SELECT 1 FROM f b WHERE b.doc_id = a.doc_id AND b.s <= a.s AND b.z >= a.z AND (b.priority < a.priority OR b.priority = a.priority AND b.z - b.s > a.z - a.s))),
+        found AS (SELECT doc_id, list(DISTINCT label) AS labels, max({scores}[priority + 1]) AS score FROM kept GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+            coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(found.labels, [])))), ','), '') AS labels,
+            CAST(CASE WHEN n_base > 0 THEN {licenses.BASE_SCORE} ELSE coalesce(found.score, 0) END AS DOUBLE) AS score
+        FROM w LEFT JOIN b ON b.doc_id = w.doc_id LEFT JOIN found ON found.doc_id = w.doc_id
+    """
+
+
 ORACLES: dict[str, str] = {
     "op3_pivot_distance": """
         WITH v AS (
@@ -76,4 +104,18 @@ ORACLES: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
     """,
+    "op5_license_scan": _license_sql(),
+    "op7_repeated_substrings": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        w AS (SELECT doc_id, s, md5_number(b[s + 1 : s + 200]) AS m FROM (SELECT doc_id, b, unnest(range(0, octet_length(b) - 199)) AS s FROM d)),
+        r AS (SELECT doc_id, s FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+        g AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 THEN 0 ELSE 1 END AS fresh FROM r),
+        i AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS island FROM g),
+        runs AS (SELECT doc_id, min(s) AS a, max(s) + 200 AS z FROM i GROUP BY doc_id, island),
+        spans AS (SELECT doc_id, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z FROM runs GROUP BY doc_id),
+        k AS (SELECT d.doc_id, b, coalesce(list_append(a, octet_length(b)), [octet_length(b)]) AS a, coalesce(list_prepend(0, z), [0]) AS z, coalesce(len(a), 0) AS n FROM d LEFT JOIN spans USING (doc_id))
+        SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(list_sum(list_transform(range(1, n + 1), lambda j: z[j + 1] - a[j])), 0) AS BIGINT) AS n_removed, CAST(n AS BIGINT) AS n_spans,
+            sha256(list_reduce(list_transform(range(1, n + 2), lambda j: b[z[j] + 1 : a[j]]), lambda x, y: x || y)) AS kept_sha256
+        FROM k
+    """,
 }
