@@ -67,6 +67,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def in_parts(batches: Iterable[pa.RecordBatch], rows: int = 1_024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows``, so that Python never holds a whole batch of texts at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_texts(df: DataFrame, keep: Iterable[str], text: Column, start: Callable[[], Callable[[list[str]], list]], fields: list[T.StructField]) -> DataFrame:
     """The columns ``keep``, untouched, and new columns made from each row's text, in Arrow batches.
 
@@ -80,7 +87,7 @@ def map_texts(df: DataFrame, keep: Iterable[str], text: Column, start: Callable[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()
-        for batch in batches:
+        for batch in in_parts(batches):
             columns = make(batch.column(len(kept)).to_pylist())
             new = [values if isinstance(values, pa.Array) else pa.array(values, kind) for values, kind in zip(columns, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names)

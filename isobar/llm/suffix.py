@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.llm.common import checkpointed, map_texts, row_key, text_or_empty
+from isobar.llm.common import checkpointed, in_parts, map_texts, row_key, text_or_empty
 from isobar.llm.simhash import runs
 
 GRAM = 32
@@ -187,7 +187,8 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
     grams = checkpointed(grams.select("gram", (F.col("least") != F.col("most")).alias("mixed")))
     repeated = checkpointed(marked.join(grams, "gram"))
     mixed = repeated.where("mixed")
-    classes = mixed.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("__rid", "at")).alias("one"))
+    # Written first, so that both sides of the join are plain exchanges and a class with most of the marks is split.
+    classes = checkpointed(mixed.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("__rid", "at")).alias("one")))
     counted = checkpointed(mixed.join(classes, ["gram", "around"]).select("gram", "__rid", "at", (F.col("n") > 1).alias("several"), (F.struct("__rid", "at") == F.col("one")).alias("first")))
     full = repeated.where("not mixed").select("__rid", "at").union(counted.where("several").select("__rid", "at"))
     full = full.select("__rid", (F.col("at") - reach).alias("start"), (F.col("at") + threshold).alias("end"))
@@ -198,7 +199,7 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
     texts = _beside(docs.select("__rid", text_or_empty(text_col).alias("__own")), wanted, 12 * firsts.count(), "inner")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             rows: list[tuple] = []
             for rid, text, own, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode()
@@ -299,7 +300,7 @@ def remove_repeats(docs: DataFrame, threshold: int = 200, id_col: str = "doc_id"
     arrow, n = to_arrow_schema(schema), len(keep)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             columns: list[list] = [[] for _ in range(3 + len(outputs))]
             for text, starts, ends in zip(*(batch.column(n + k).to_pylist() for k in range(3)), strict=True):
                 data = text.encode()
