@@ -37,18 +37,20 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from isobar.llm.bpe import encoder
-from isobar.llm.common import text_or_empty
+from isobar.llm.common import checkpointed, in_parts, text_or_empty
 
 MAGIC = b"IDSSTBL1"
 BLOCK_BYTES = 64 << 10
 SHARD_BYTES = 64 << 20
 BITS_PER_KEY, PROBES = 10, 7
+#: Tasks that read shards, unless there are fewer shards.
+MOST_READERS = 10_000
 FOOTER = struct.Struct("<6Q8s")
 PLACE = struct.Struct("<QII")
 MANIFEST = "part int, seq int, path string, entries long, ids long, bytes long, first_key binary, last_key binary"
@@ -213,12 +215,12 @@ class ShardReader:
         return out
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> list:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encodes ``docs`` and writes them under ``path`` in ascending order of ``id_col``.
 
     Rows are dealt by ranges of (identifier, text hash), so a range is one
-    task's and its shards follow one another. Returns the manifest, a row for
-    each shard in key order; it grows by a row per ``shard_bytes`` of ids.
+    task's and its shards follow one another. Returns the manifest, already
+    written: a row for each shard, in key order by (part, seq).
     """
     end = b"" if end_id is None else struct.pack("<I", end_id)
     order = ["__id", "__hash"]
@@ -227,7 +229,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done, writer, size = TaskContext.get().partitionId(), [], None, 0
         encode = encoder(tokenizer)
-        for batch in batches:
+        for batch in in_parts(batches):
             for value, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if writer is None:
                     writer, size = ShardWriter(f"{path}/part-{part:06d}-{len(done):05d}.sst"), 0
@@ -242,17 +244,23 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
 
     manifest = to_arrow_schema(T.StructType.fromDDL(MANIFEST))
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("__id", "__text")
-    return sorted(sorted_rows.mapInArrow(write, MANIFEST).collect(), key=lambda r: (r.part, r.seq))
+    return checkpointed(sorted_rows.mapInArrow(write, MANIFEST))
 
 
-def read_shards(spark: SparkSession, manifest: list, id_col: str = "doc_id", id_type: T.DataType = T.LongType(), outputs: tuple[str, ...] = ("ids",)) -> DataFrame:
+def read_shards(manifest: DataFrame, id_col: str = "doc_id", id_type: T.DataType = T.LongType(), outputs: tuple[str, ...] = ("ids",)) -> DataFrame:
     """Every document of the shards: its identifier, start (ids of all before it), n_tokens and the named outputs.
 
     Outputs: ids (array<int>), ids_crc32 (unsigned crc32 of the ids as
     little-endian unsigned 32-bit integers).
     """
-    starts = np.cumsum([0, *(r.ids for r in manifest)]).tolist()
-    shards = spark.createDataFrame([(r.path, s) for r, s in zip(manifest, starts, strict=False)], "path string, start long").repartition(max(1, len(manifest)))
+    # A row a range comes to the driver, as many as the write had tasks; the shards of a range are summed beside one another.
+    totals = [(r.part, r.ids) for r in manifest.groupBy("part").agg(F.sum("ids").alias("ids")).orderBy("part").collect()]
+    before = np.cumsum([0, *(ids for _, ids in totals)]).tolist()
+    spark = manifest.sparkSession
+    parts = spark.createDataFrame([(part, start) for (part, _), start in zip(totals, before, strict=False)], "part int, part_start long")
+    own = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    starts = manifest.withColumn("own", F.coalesce(F.sum("ids").over(own), F.lit(0))).join(F.broadcast(parts), "part")
+    shards = starts.select("path", (F.col("part_start") + F.col("own")).alias("start")).repartition(max(1, min(manifest.count(), MOST_READERS)), "path")
     kinds = {"ids": T.ArrayType(T.LongType()), "ids_crc32": T.LongType()}
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), *(T.StructField(o, kinds[o]) for o in outputs)])
     make = {"ids": lambda ids: ids.astype("i8"), "ids_crc32": lambda ids: zlib.crc32(ids.astype("<u4").tobytes())}

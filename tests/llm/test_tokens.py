@@ -9,6 +9,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -84,15 +85,17 @@ def test_shards(spark, sf, texts):
 def test_shards_of_odd_rows_and_lookups(spark, odd):
     at = common.scratch_path(spark, "test-shards")
     manifest = sstable.write_shards(odd, at, common.tokenizer_path(WORDS), end_id=2, shard_bytes=4096)
-    found = sstable.read_shards(spark, manifest).collect()
+    found = sstable.read_shards(manifest).collect()
+    shards = manifest.orderBy("part", "seq").collect()
     want = Counter((i, tuple([*library(WORDS, t), 2])) for i, t in ODD)
     assert Counter((r.doc_id, tuple(r.ids)) for r in found) == want
-    assert sum(r.ids for r in manifest) == sum(len(k[1]) * n for k, n in want.items()) and len(manifest) > 1
+    assert sum(r.ids for r in shards) == sum(len(k[1]) * n for k, n in want.items()) and len(shards) > 1
+    assert [r.start for r in sorted(found, key=lambda r: r.start)] == [0, *np.cumsum([r.n_tokens for r in sorted(found, key=lambda r: r.start)]).tolist()[:-1]]
     for value in (None, 1, 4, 5, 99):
-        got = [tuple(ids.tolist()) for r in manifest for ids in sstable.ShardReader(r.path).get(value)]
+        got = [tuple(ids.tolist()) for r in shards for ids in sstable.ShardReader(r.path).get(value)]
         assert Counter(got) == Counter({k[1]: n for k, n in want.items() if k[0] == value})
     empty = sstable.write_shards(odd.limit(0), at + "-empty", common.tokenizer_path(WORDS))
-    assert empty == [] and sstable.read_shards(spark, empty).count() == 0
+    assert empty.count() == 0 and sstable.read_shards(empty).count() == 0
 
 
 def test_shard_blocks_and_damage(tmp_path):
