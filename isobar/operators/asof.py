@@ -2,13 +2,15 @@
 
 None of them pairs rows by inequality: both sides are united, sorted once by
 (key, time), and the last right-hand row before each left-hand one is carried
-forward. The cost is one shuffle on the key and n log n. A key with too many
-rows for one task is cut by day with ``bucket``, where the lookback is bounded.
+forward. The cost is one shuffle on the key and n log n. Where a key may have
+too many rows for one task, ``bucket_hours`` sorts by (key, stretch of time)
+and carries only the last row of each stretch along the key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from isobar.functions.timeops import micros
 HOUR = 3_600_000_000
 
 
-def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str], prefix: str = "", tie: Sequence[str] = (), back_hours: float = 0.0, max_age_hours: float | None = None) -> DataFrame:
+def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str], prefix: str = "", tie: Sequence[str] = (), back_hours: float = 0.0, max_age_hours: float | None = None, bucket_hours: float | None = None) -> DataFrame:
     """Each row of ``left`` with ``values`` of the last row of ``right`` at or before ``left_time`` - ``back_hours``.
 
     Of rows with one time the last by ``tie`` counts. The matched row's values
@@ -27,16 +29,28 @@ def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     """
     shift = int(back_hours * HOUR)
     names = [f"{prefix}{v}" for v in values]
+    keys = [f"__k{i}" for i in range(len(on))]
     match = F.struct(F.col(right_time).alias("__at"), *[F.col(v).alias(n) for v, n in zip(values, names, strict=True)])
-    rights = right.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(on)], (micros(F.col(right_time)) + shift).alias("__t"), F.lit(0).alias("__side"), F.struct(*[F.col(c) for c in tie] or [F.lit(0)]).alias("__tie"), match.alias("__match"), F.lit(None).cast(left.select(F.struct("*").alias("s")).schema["s"].dataType).alias("__row"))
-    lefts = left.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(on)], micros(F.col(left_time)).alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast(rights.schema["__tie"].dataType).alias("__tie"), F.lit(None).cast(rights.schema["__match"].dataType).alias("__match"), F.struct("*").alias("__row"))
-    order = Window.partitionBy(*[f"__k{i}" for i in range(len(on))]).orderBy("__t", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0)
-    both = rights.unionByName(lefts).withColumn("__last", F.last("__match", ignorenulls=True).over(order)).where("__side = 1")
-    found = F.col("__last")
+    own = [F.col(k).alias(name) for k, name in zip(on, keys, strict=True)]
+    rights = right.select(*own, (micros(F.col(right_time)) + shift).alias("__t"), F.lit(0).alias("__side"), F.struct(*[F.col(c) for c in tie] or [F.lit(0)]).alias("__tie"), match.alias("__match"), F.lit(None).cast(left.select(F.struct("*").alias("s")).schema["s"].dataType).alias("__row"))
+    lefts = left.select(*own, micros(F.col(left_time)).alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast(rights.schema["__tie"].dataType).alias("__tie"), F.lit(None).cast(rights.schema["__match"].dataType).alias("__match"), F.struct("*").alias("__row"))
+    both = rights.unionByName(lefts)
+    if bucket_hours is not None:
+        both = both.withColumn("__bucket", F.floor(F.col("__t") / int(bucket_hours * HOUR)))
+    by = [*keys, "__bucket"] if bucket_hours is not None else keys
+    order = Window.partitionBy(*by).orderBy("__t", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("__last", F.last("__match", ignorenulls=True).over(order)).where("__side = 1")
+    if bucket_hours is not None:
+        ends = both.groupBy(*by).agg(F.max_by("__match", F.when(F.col("__side") == 0, F.struct("__t", "__tie"))).alias("__end"))
+        earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.select(*by, F.last("__end", ignorenulls=True).over(earlier).alias("__carried")).withColumnsRenamed({k: f"__c{k}" for k in by})
+        same = [F.col(k).eqNullSafe(F.col(f"__c{k}")) for k in by]
+        found = found.join(carried, reduce(lambda x, y: x & y, same), "left").withColumn("__last", F.coalesce("__last", "__carried"))
+    last = F.col("__last")
     if max_age_hours is not None:
-        found = F.when(micros(F.col("__last.__at")) > F.col("__t") - shift - int(max_age_hours * HOUR), found)
-    both = both.withColumn("__last", found)
-    return both.select("__row.*", F.col("__last.__at").alias(f"{prefix}matched_at"), *[F.col(f"__last.{n}").alias(n) for n in names])
+        last = F.when(micros(F.col("__last.__at")) > F.col("__t") - shift - int(max_age_hours * HOUR), last)
+    found = found.withColumn("__last", last)
+    return found.select("__row.*", F.col("__last.__at").alias(f"{prefix}matched_at"), *[F.col(f"__last.{n}").alias(n) for n in names])
 
 
 def trailing(columns: dict[str, Column], time: str, by: Sequence[str], hours: float) -> dict[str, Column]:

@@ -26,6 +26,20 @@ def test_asof_takes_the_last_of_a_tie_and_keeps_a_null(spark):
     assert [r.i for r in stale.orderBy("k", "at").collect()] == [None, 3, None, None]
 
 
+@pytest.mark.parametrize("hours", [1, 5, 1000])
+def test_bucketed_asof_equals_the_plain_one(spark, hours):
+    import random
+
+    rnd = random.Random(hours)
+    def some(n):
+        return [(rnd.choice([1, 2, None]), T(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 6000)), rnd.choice([None, 1.0, 2.0, 3.0]), i) for i in range(n)]
+
+    right, left = spark.createDataFrame(some(120), "k int, t timestamp_ntz, v double, i int"), spark.createDataFrame(some(80), "k int, at timestamp_ntz, w double, j int")
+    for age in (None, 7):
+        plain, bucketed = (asof.asof_backward(left, right, ["k"], "at", "t", ["v", "i"], tie=["i"], back_hours=0.5, max_age_hours=age, bucket_hours=h) for h in (None, hours))
+        assert rows(plain, "j") == rows(bucketed, "j")
+
+
 def test_value_before_keeps_the_matched_null(spark):
     df = spark.createDataFrame([(1, T(2024, 1, 1, 0), None), (1, T(2024, 1, 1, 1), 2.0), (1, T(2024, 1, 1, 2), 3.0)], "k int, t timestamp_ntz, v double")
     assert [r.b for r in df.select("t", asof.value_before("v", "t", ["k"], 1).alias("b")).orderBy("t").collect()] == [None, None, 2.0]
