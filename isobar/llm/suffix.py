@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,8 @@ from isobar.llm.simhash import runs
 GRAM = 32
 #: Rows sorted at once; a run of one gram stays together.
 SORT_ROWS = 20_000
+#: Different surroundings of one gram that one task sorts; beyond that they are dealt out by what equal windows share.
+SPLIT_ROWS = 100_000
 #: Places and spans are broadcast up to this many bytes, by count; beyond it the texts are shuffled to them.
 BROADCAST_BYTES = 64 << 20
 
@@ -170,6 +172,37 @@ def repeated_windows(group: np.ndarray, left: list[bytes], right: list[bytes], r
     return out
 
 
+def _stretches(reach: int) -> list[tuple[int, int]]:
+    """0..reach, cut into stretches [low, high) that are narrow at both ends."""
+    steps = [p for p in (*range(9), 16, 32, 64, 128, 256) if p <= (reach + 1) // 2]
+    edges = sorted({*steps, *(reach + 1 - p for p in steps)})
+    return list(zip(edges, edges[1:], strict=False))
+
+
+def _shared(low: int, high: int, reach: int) -> Column:
+    """What two marks' surroundings share if a window that starts low..high-1 bytes before the mark is equal: low bytes before it, and those behind it; null where a text's end is nearer."""
+    behind = reach - high + 1
+    key = F.xxhash64("gram", F.lit(low), F.substring("before", F.length("before") - low + 1, F.lit(low)), F.substring("after", 1, behind))
+    return F.when((F.length("before") >= low) & (F.length("after") >= behind), key)
+
+
+def _split(cuts: DataFrame, grams: DataFrame, reach: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """The cuts of the few hot ``grams`` under keys of what equal windows share, and the spans of windows that a key gives whole.
+
+    A hot gram's group falls apart by the bytes beside the mark. Where the key
+    is the whole window, counting is enough, and partial sums take a hot window
+    before the shuffle.
+    """
+    hot = cuts.join(grams, "gram", "left_semi").dropDuplicates(["gram", "__rid", "at"])
+    wide = [_shared(low, high, reach) for low, high in _stretches(reach) if high - low > 1]
+    dealt = hot.withColumn("gram", F.explode(F.array_compact(F.array(*wide)))) if wide else hot.limit(0)
+    single = [F.struct(_shared(low, high, reach).alias("key"), F.lit(low).alias("back")) for low, high in _stretches(reach) if high - low == 1]
+    windows = hot.select("__rid", "at", F.explode(F.array(*single)).alias("w")).select("__rid", "at", "w.*").where("key is not null")
+    twice = checkpointed(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    spans = windows.join(twice, "key").select("__rid", (F.col("at") - F.col("back")).alias("start"), (F.col("at") - F.col("back") + threshold).alias("end"))
+    return cuts.join(grams, "gram", "left_anti").unionByName(dealt), spans
+
+
 def _beside(texts: DataFrame, found: DataFrame, n_bytes: int, how: str) -> DataFrame:
     """``texts`` with what was found for them by __rid; broadcast only if counted to be small, else both are shuffled."""
     return texts.join(F.broadcast(found) if n_bytes <= BROADCAST_BYTES else found.hint("merge"), "__rid", how)
@@ -208,6 +241,10 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
 
     around = pa.schema([("gram", pa.int64()), ("__rid", pa.int64()), ("at", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
     cuts = texts.select("__rid", "__own", "grams", "places").mapInArrow(cut, "gram long, __rid long, at int, before binary, after binary")
+    large = checkpointed(firsts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT_ROWS).select("gram"))
+    whole = None
+    if not large.isEmpty():
+        cuts, whole = _split(cuts, large, reach, threshold)
     # Rows that repeat each other in full have been cut more than once.
     cuts = cuts.repartition("gram").sortWithinPartitions("gram", "__rid", "at")
     found = pa.schema([("__rid", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
@@ -240,6 +277,8 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [()] * 3, found, strict=True)], schema=found)
 
     spans = full.union(cuts.mapInArrow(radix, "__rid long, start int, end int"))
+    if whole is not None:
+        spans = spans.union(whole)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -167,9 +167,10 @@ def passages(rnd):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("sent", [64 << 20, 0])
-def test_repeated_strings(spark, monkeypatch, seed, sent):
+@pytest.mark.parametrize("sent,split", [(64 << 20, 100_000), (0, 2)])
+def test_repeated_strings(spark, monkeypatch, seed, sent, split):
     monkeypatch.setattr(suffix, "BROADCAST_BYTES", sent)
+    monkeypatch.setattr(suffix, "SPLIT_ROWS", split)
     rows = passages(random.Random(seed))
     found = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), outputs=("kept_sha256",))
     assert Counter(map(tuple, found.collect())) == repeated(rows, 200)
@@ -186,6 +187,12 @@ def test_repeated_strings_of_odd_rows(odd):
     assert suffix.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_stretches_cover_every_window():
+    for reach in (0, 1, 7, 20, 168, 500):
+        edges = suffix._stretches(reach)
+        assert [b for low, high in edges for b in range(low, high)] == list(range(reach + 1))
+
+
 def test_whole_characters_stay():
     data = "aé".encode() + b"bbb" + "éc".encode()
     assert suffix.without(data, [(2, 7)], whole_characters=True).decode() == "aééc"
