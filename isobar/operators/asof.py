@@ -69,13 +69,22 @@ def value_before(value: str, time: str, by: Sequence[str], hours: float, tie: st
     return F.max_by(F.col(value), F.struct(micros(F.col(time)), F.col(tie or time))).over(window)
 
 
-def cutoff_snapshot(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, value: str, changes: Sequence[int] = (1, 3, 6), tie: Sequence[str] = ()) -> DataFrame:
-    """Last value at or before each ``cutoff`` of the spine, and its change since ``changes`` hours before the cutoff."""
-    out = asof_backward(spine, observations, by, cutoff, time, [value], "last_", tie)
-    for hours in changes:
-        out = asof_backward(out, observations, by, cutoff, time, [value], f"h{hours}_", tie, back_hours=hours)
-        out = out.withColumn(f"change_{hours}h", F.col(f"last_{value}") - F.col(f"h{hours}_{value}")).drop(f"h{hours}_{value}", f"h{hours}_matched_at")
-    return out
+def cutoff_snapshot(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, value: str, changes: Sequence[int] = (1, 3, 6), tie: Sequence[str] = (), bucket_hours: float | None = None) -> DataFrame:
+    """Last value at or before each ``cutoff`` of the spine, and its change since ``changes`` hours before the cutoff.
+
+    All moments are looked up in one pass: a row of the spine asks once for
+    each, and the answers meet again on the spine's own columns, which must be
+    unique together.
+    """
+    hours = F.explode(F.array(F.lit(0), *map(F.lit, changes)))
+    asked = spine.withColumn("__h", hours).withColumn("__asked", F.col(cutoff) - F.make_dt_interval(hours=F.col("__h")))
+    found = asof_backward(asked, observations, by, "__asked", time, [value], "last_", tie, bucket_hours=bucket_hours)
+
+    def at(h: int, column: str) -> Column:
+        return F.max(F.when(F.col("__h") == h, F.col(column)))
+
+    last = f"last_{value}"
+    return found.groupBy(*spine.columns).agg(at(0, "last_matched_at").alias("last_matched_at"), at(0, last).alias(last), *[(at(0, last) - at(h, last)).alias(f"change_{h}h") for h in changes])
 
 
 def window_before(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, hours: int, aggregates: dict[str, Column], day: str, observation_day: Column, days_back: int = 1) -> DataFrame:

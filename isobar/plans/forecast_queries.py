@@ -20,8 +20,9 @@ KEY = ["station", "event_type"]
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("value") / 10 + 60
     obs = observations(spark, sf_dir).where("value IS NOT NULL")
-    found = obs.groupBy(*KEY).agg(*[F.percentile(t, level).alias(tag) for level, tag in zip(LEVELS, TAGS, strict=True)], F.max_by(t, F.struct("ts", "event_id")).alias("y"), F.count("*").alias("n_obs"))
-    return found.withColumn("observed_f", F.bround("y", 0).cast("int"))
+    # one buffer for all levels
+    found = obs.groupBy(*KEY).agg(F.percentile(t, list(LEVELS)).alias("q"), F.max_by(t, F.struct("ts", "event_id")).alias("y"), F.count("*").alias("n_obs"))
+    return found.select(*KEY, *[F.col("q")[k].alias(tag) for k, tag in enumerate(TAGS)], "y", "n_obs", F.bround("y", 0).cast("int").alias("observed_f"))
 
 
 _quantiles = ", ".join(f"quantile_cont(value / 10 + 60, {level}) AS {tag}" for level, tag in zip(LEVELS, TAGS, strict=True))

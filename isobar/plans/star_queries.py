@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.functions import encode
@@ -25,20 +25,25 @@ STAR = contracts.registry(
 
 
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels with what each source had by the cutoff; sources are left-joined, so a missing one leaves its columns null and its flag false."""
+    """Labels with what each source had by the cutoff; a missing source leaves its columns null and its flag false.
+
+    Sources of one grain are one conditional aggregate with the labels; only
+    those of another grain are joined.
+    """
     obs = observations(spark, sf_dir)
-    days = obs.groupBy(*DAY).agg(F.max("value").alias("label_tmax_f"), F.min("value").alias("label_tmin_f"))
+
+    def mean(kind: str) -> Column:
+        return F.avg(F.when(F.col("event_type") == kind, F.col("value")))
+
+    days = obs.groupBy(*DAY).agg(F.max("value").alias("label_tmax_f"), F.min("value").alias("label_tmin_f"), mean("click").alias("nbm_tmax_f"), mean("purchase").alias("lamp_tmax_f"))
     days = days.withColumn("label_market_bin", F.concat(F.bround("label_tmax_f", 0).cast("long").cast("string"), F.lit("F")))
     before = days.select("station", F.date_add("date_local", 1).alias("date_local"), F.col("label_tmax_f").alias("wu_prev_tmax_f"))
     seen = asof.cutoff_snapshot(obs, spine(obs), ["station"], "ts", "cutoff", "value", tie=["event_id"]).select(
         *DAY, F.col("last_matched_at").isNotNull().alias("wu_obs_available"), F.col("last_value").alias("wu_last_f"), *[F.col(f"change_{h}h").alias(f"wu_change_{h}h_f") for h in (1, 3, 6)]
     )
 
-    def source(kind: str, name: str, keys: list[str]) -> DataFrame:
-        return obs.where(F.col("event_type") == kind).groupBy(*keys).agg(F.avg("value").alias(name))
-
-    joined = days.join(before, DAY, "left").join(seen, DAY, "left")
-    joined = joined.join(source("click", "nbm_tmax_f", DAY), DAY, "left").join(source("purchase", "lamp_tmax_f", DAY), DAY, "left").join(source("error", "hrrr_wind_ms", ["date_local"]), "date_local", "left")
+    hrrr = obs.groupBy("date_local").agg(mean("error").alias("hrrr_wind_ms"))
+    joined = days.join(before, DAY, "left").join(seen, DAY, "left").join(hrrr, "date_local", "left")
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     places = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, nation["n_regionkey"] == region["r_regionkey"]).select(F.col("c_custkey").alias("station"), F.col("c_name").alias("station_name"), F.col("r_name").alias("station_region"))
     joined = joined.join(places, "station", "left")
