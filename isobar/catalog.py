@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from isobar.plans import forecast_queries, issue_queries, model_queries, observation_queries, star_queries, stream_queries  # noqa: F401  they register their queries
+from isobar.plans import forecast_queries, issue_queries, model_queries, observation_queries, star_queries, stream_queries, support_queries  # noqa: F401  they register their queries
 from isobar.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -93,3 +93,50 @@ def vector_mean(u: str, v: str) -> tuple[Column, Column]:
     """Speed and direction (from, in degrees) of the mean vector."""
     mu, mv = F.avg(u), F.avg(v)
     return F.sqrt(mu * mu + mv * mv), F.when((mu == 0) & (mv == 0), None).otherwise(F.pmod(270.0 - F.degrees(F.atan2(mv, mu)), F.lit(360.0)))
+
+
+def provenance(df: DataFrame, keys: Sequence[str], features: dict[str, tuple[str, Sequence[str]]]) -> DataFrame:
+    """A row for each row and feature: status and the sources that were there.
+
+    ``features``: name -> (kind, source columns). Kinds: direct (present or
+    missing), derived (needs all sources) and fallback (the first source is the
+    feature proper; any other that stands in is a fallback).
+    """
+    def entry(name: str, kind: str, sources: Sequence[str]) -> Column:
+        there = F.array_compact(F.array(*[F.when(F.col(s).isNotNull(), F.lit(s)) for s in sources]))
+        if kind == "derived":
+            status = F.when(F.size(there) == len(sources), "derived").otherwise("missing_optional")
+        elif kind == "fallback":
+            status = F.when(F.col(sources[0]).isNotNull(), "present").when(F.size(there) > 0, "fallback").otherwise("missing_optional")
+        else:
+            status = F.when(F.size(there) > 0, "present").otherwise("missing_optional")
+        return F.struct(F.lit(name).alias("feature"), status.alias("status"), F.array_join(there, ";").alias("sources"))
+
+    return df.select(*keys, F.explode(F.array(*[entry(n, k, s) for n, (k, s) in features.items()])).alias("__p")).select(*keys, "__p.*")
+
+
+def first_available(df: DataFrame, names: Sequence[str]) -> Column:
+    """The first of the named columns that the frame has and that is not null; null if it has none."""
+    have = [F.col(n) for n in names if n in df.columns]
+    return F.coalesce(*have) if have else F.lit(None)
+
+
+def without_source(df: DataFrame, prefix: str) -> DataFrame:
+    """The frame without one source's columns, for ablations."""
+    return df.drop(*[c for c in df.columns if c.startswith(prefix)])
+
+
+def first_pattern(column: str, patterns: Sequence[tuple[str, str]]) -> Column:
+    """The name of the first pattern that the text fits; null if none does."""
+    return F.coalesce(*[F.when(F.rlike(F.col(column), F.lit(p)), F.lit(name)) for name, p in patterns])
+
+
+def signature(columns: Sequence[str]) -> Column:
+    """SHA-256 of a row's values as text, null as the empty text: equal rows can be reused."""
+    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
+
+
+def crop_box(cells: DataFrame, keys: Sequence[str], lat: tuple[float, float], lon: tuple[float, float]) -> DataFrame:
+    """First and last row and column of the cells within the bounds; longitudes in either convention."""
+    west = F.pmod(F.col("lon") + 180.0, F.lit(360.0)) - 180.0
+    return cells.where(F.col("lat").between(*lat) & west.between(*lon)).groupBy(*keys).agg(F.min("row").alias("row_first"), F.max("row").alias("row_last"), F.min("col").alias("col_first"), F.max("col").alias("col_last"), F.count("*").alias("n_cells"))

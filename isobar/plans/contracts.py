@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,22 +55,29 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, numeric) and f.name not in banned and not f.name.startswith("meta_")]
 
 
-def audit(df: DataFrame, schema: T.StructType, key: Sequence[str], model_inputs: bool = False) -> DataFrame:
-    """One row: what breaks the contract. Names are checked on the driver, values in one aggregate and one on the key."""
-    names = df.columns
-    core = [f.name for f in schema if f.metadata.get("freeze") == "core_required"]
+def audit(df: DataFrame, schema: T.StructType, key: Sequence[str], model_inputs: bool = False, violations: dict[str, Column] | None = None) -> DataFrame:
+    """One row: what breaks the contract, and how many rows fulfil each condition of ``violations``.
+
+    Names are checked on the driver. Values are checked in one pass: sums by
+    key, then sums of those, so a repeated key is seen on the way.
+    """
+    names, violations = df.columns, violations or {}
+    core = [f.name for f in schema if f.metadata.get("freeze") == "core_required" and f.name in names]
     missing = [n for n in schema.names if n not in names]
     unknown = [n for n in names if n not in schema.names]
     strings = [f.name for f in df.schema if model_inputs and isinstance(f.dataType, T.StringType) and not f.name.startswith(("meta_", "station_"))]
     policy = [n for n in names if not n.startswith(PREFIXES) and n not in key]
-    present = [c for c in core if c in names]
-    counts = df.agg(F.count("*").alias("row_count"), *[F.count_if(F.col(c).isNull()).alias(c) for c in present])
-    counts = counts.select("row_count", sum((F.col(c) for c in present), F.lit(0).cast("long")).alias("core_nulls"))
-    duplicates = df.groupBy(*key).count().where("count > 1").agg(F.count("*").alias("duplicate_keys"))
-    return counts.crossJoin(duplicates).select(
+    nulls = sum((F.col(c).isNull().cast("long") for c in core), F.lit(0).cast("long"))
+    by_key = df.groupBy(*key).agg(F.count("*").alias("__n"), F.sum(nulls).alias("__nulls"), *[F.count_if(c).alias(f"__v_{n}") for n, c in violations.items()])
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0).cast("long"))
+
+    counts = by_key.agg(total(F.col("__n")).alias("row_count"), total(F.col("__nulls")).alias("core_nulls"), F.count_if(F.col("__n") > 1).alias("duplicate_keys"), *[total(F.col(f"__v_{n}")).alias(n) for n in violations])
+    return counts.select(
         "row_count", "core_nulls", "duplicate_keys", F.lit(names == schema.names).alias("exact_layout"), F.lit(len(missing)).cast("long").alias("missing_columns"), F.lit(len(unknown)).cast("long").alias("unknown_columns"),
         F.lit(len(policy)).cast("long").alias("prefix_violations"), F.lit(len(strings)).cast("long").alias("string_inputs"),
-        ((F.col("row_count") > 0) & (F.col("duplicate_keys") == 0) & F.lit(not missing and not unknown and not policy and not strings)).alias("passed"),
+        ((F.col("row_count") > 0) & (F.col("duplicate_keys") == 0) & F.lit(not missing and not unknown and not policy and not strings)).alias("passed"), *violations,
     )
 
 
