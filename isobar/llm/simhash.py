@@ -10,7 +10,8 @@ link lies in a shard of fingerprints with both blocks equal (16 keys of 28 bits
 each for radius 3). Copies are one fingerprint before that. A shard that is
 still larger than ``SHARD_LIMIT`` is cut by its root: a BK-tree keys children
 by their distance to the parent, linked fingerprints differ by the radius at
-most in it, so bands of distances, each with the next, hold every link.
+most in it, so bands of distances, each with the next, hold every link. What is
+still larger is dealt into pairs of chunks.
 
 In a shard a BK-tree is built and only edges within the radius are followed.
 What a shard gives is one link from each linked member to its least one, so a
@@ -175,6 +176,21 @@ def _stretches(bits: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def split_large(keyed: DataFrame, member: str, limit: int) -> DataFrame:
+    """``keyed`` with the groups of more than ``limit`` rows dealt into pairs of chunks, so that any two rows of a group still meet.
+
+    A group of m chunks becomes a group for each pair of chunks, and a row goes
+    to the m - 1 pairs of its own chunk.
+    """
+    large = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit))
+    if large.isEmpty():
+        return keyed
+    chunks = F.ceil(F.col("n") / limit)
+    joined = keyed.join(large, "key", "left").withColumn("chunk", F.pmod(F.xxhash64(member, F.lit(SEED)), chunks))
+    pairs = F.transform(F.filter(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda x: x != F.col("chunk")), lambda x: F.xxhash64("key", F.least(x, F.col("chunk")), F.greatest(x, F.col("chunk"))))
+    return joined.withColumn("key", F.explode(F.when(F.col("n").isNull(), F.array("key")).otherwise(pairs))).drop("n", "chunk")
+
+
 def hamming_links(fingerprints: DataFrame, radius: int = 3, shard_limit: int = SHARD_LIMIT) -> DataFrame:
     """Links (a, b) that connect all of the distinct ``fp`` (long) at most ``radius`` bits apart."""
     keyed = fingerprints.select("fp", F.explode(shard_keys(F.col("fp"), radius)).alias("key"))
@@ -182,6 +198,7 @@ def hamming_links(fingerprints: DataFrame, radius: int = 3, shard_limit: int = S
     if not large.isEmpty():
         band = F.floor(F.bit_count(F.col("fp").bitwiseXOR(F.col("root"))) / (radius + 1))
         keyed = keyed.join(large, "key", "left").select("fp", F.explode(F.when(F.col("root").isNull(), F.array("key")).otherwise(F.array(F.xxhash64("key", band), F.xxhash64("key", band + 1)))).alias("key"))
+        keyed = split_large(keyed.select("key", "fp").distinct(), "fp", shard_limit)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
@@ -220,7 +237,7 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
 MINIMA = 5
 #: Fingerprints of texts of similarity 0.8 differ in 10 bits, with a deviation of 3.
 SIMILAR_RADIUS = 24
-#: Texts under one key before it is joined with the other keys.
+#: Texts under one key before it is joined with the other keys, and then dealt into pairs of chunks.
 KEY_LIMIT = 2_000
 
 
@@ -267,6 +284,7 @@ def similarity_links(described: DataFrame, docs: DataFrame, shingle: int, min_si
     if not shared.where(F.col("n") > key_limit).isEmpty():
         others = F.transform(F.array_compact(F.transform("keys", lambda m, i: F.when(i != F.col("k"), F.struct(i.alias("i"), m.alias("m"))))), lambda o: F.xxhash64(F.least("k", o["i"]), F.greatest("k", o["i"]), F.least("minimum", o["m"]), F.greatest("minimum", o["m"])))
         keyed = keyed.withColumn("key", F.explode(F.when(F.col("n") > key_limit, others).otherwise(F.array("key"))))
+        keyed = split_large(keyed.select("key", "set", "fp", "__rid").distinct(), "set", key_limit)
     keyed = checkpointed(keyed.select("key", "set", "fp", "__rid").distinct())
     members = checkpointed(keyed.select("__rid").distinct())
 
