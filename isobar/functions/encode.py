@@ -120,7 +120,7 @@ def regime_weight(regime_: Column, specialist: str | None = None) -> Column:
     return F.when(regime_ == specialist, 4.0).when(regime_.isin(*HIGH_REGIMES), 1.5).otherwise(1.0)
 
 
-#: Weight of the model with the fourth source, by policy and regime.
+#: Weight of the model with the fourth source, by policy and regime.
 GUARD_POLICIES: dict[str, Callable[[Column, Column], Column]] = {
     "always_no_hrrr": lambda regime_, risk_: F.lit(0.0),
     "always_with_hrrr": lambda regime_, risk_: F.lit(1.0),

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Fixed values.
 LEVELS = (0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95)
-#: Widths, in standard deviations, of the middle 50 and 90 per cent of a normal distribution.
+#: Widths, in standard deviations, of the middle 50 and 90 per cent of a normal distribution.
 IQR_Z, P90_Z = 1.3489795003921634, 3.289707253902945
 MIN_SIGMA = 0.75
 
