@@ -20,7 +20,7 @@ def whole_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     vector = F.col(vector_col).cast("array<double>")
     huge = F.lit(float("inf"))
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != huge))
-    return df.select(F.col(id_col).alias("id"), vector.alias("vector")).where(F.col("id").isNotNull() & F.col("vector").isNotNull() & finite).withColumn("dim", F.size("vector")).where("dim > 0")
+    return df.select(F.col(id_col).cast("long").alias("id"), vector.alias("vector")).where(F.col("id").isNotNull() & F.col("vector").isNotNull() & finite).withColumn("dim", F.size("vector")).where("dim > 0")
 
 
 def bounded_sample(df: DataFrame, rows: int, n: int) -> DataFrame:
