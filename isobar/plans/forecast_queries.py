@@ -289,7 +289,7 @@ def regimes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {REGIME} SELECT station, date_local, regime, CASE WHEN regime = 'unknown' THEN 'unknown' WHEN spread >= 6 THEN 'very_high' WHEN regime IN {_high} THEN 'high' WHEN regime = 'moderate_disagreement' THEN 'medium' ELSE 'low' END AS risk,
-    CASE WHEN regime IN {_high} THEN 2.0 ELSE 1.0 END AS weight, round(spread, 6) AS spread,
+    CAST(CASE WHEN regime IN {_high} THEN 2.0 ELSE 1.0 END AS DOUBLE) AS weight, round(spread, 6) AS spread,
     CASE WHEN nbm - lamp IS NULL THEN '5f_or_more' WHEN abs(nbm - lamp) < 2 THEN 'lt_2f' WHEN abs(nbm - lamp) < 5 THEN '2f_to_5f' ELSE '5f_or_more' END AS bucket,
     CASE WHEN nbm - lamp IS NULL THEN 'unknown' WHEN nbm - lamp >= 3 THEN 'warmer' WHEN nbm - lamp <= -3 THEN 'colder' ELSE 'near' END AS direction FROM reg""")
 def source_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,7 +320,7 @@ _grid = [k / 10 for k in range(11)]
 
 
 @query(f"""WITH {REGIME}, e AS (SELECT station, w, count(*) AS n, round(avg(abs(w * nbm + (1 - w) * lamp - y)), 9) AS mae FROM reg, (SELECT unnest({_grid}) AS w) WHERE y IS NOT NULL AND nbm IS NOT NULL AND lamp IS NOT NULL GROUP BY station, w)
-SELECT station, n, CASE WHEN n >= 20 THEN w ELSE 0.5 END AS weight, CASE WHEN n >= 20 THEN round(mae, 6) END AS mae FROM e QUALIFY row_number() OVER (PARTITION BY station ORDER BY mae, round(abs(w - 0.5), 6), w) = 1""")
+SELECT station, n, CAST(CASE WHEN n >= 20 THEN w ELSE 0.5 END AS DOUBLE) AS weight, CASE WHEN n >= 20 THEN round(mae, 6) END AS mae FROM e QUALIFY row_number() OVER (PARTITION BY station ORDER BY mae, round(abs(w - 0.5), 6), w) = 1""")
 def segment_weight_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linreg.weight_grid(frame(spark, sf_dir), "y", "nbm", "lamp", "station", min_rows=20)
     return found.select("station", "n", F.col("weight").cast("double").alias("weight"), F.round("mae", 6).alias("mae"))
@@ -374,7 +374,7 @@ _weights = "CASE regime WHEN 'native_cold_hrrr_warm' THEN 0.25 WHEN 'hrrr_cold_o
 
 
 @query(f"""WITH {REGIME}, w AS (SELECT *, {_weights} AS w, CASE WHEN regime = 'native_cold_hrrr_warm' THEN 0.0 ELSE 1.0 END AS w_except FROM reg)
-SELECT station, date_local, w AS weight, round((1 - w) * (nbm + lamp) / 2 + w * (nbm + lamp + hrrr) / 3 + 1e-9, 6) AS blend_f, round((1 - w_except) * (nbm + lamp) / 2 + w_except * (nbm + lamp + hrrr) / 3 + 1e-9, 6) AS guarded_f FROM w""")
+SELECT station, date_local, CAST(w AS DOUBLE) AS weight, round((1 - w) * (nbm + lamp) / 2 + w * (nbm + lamp + hrrr) / 3 + 1e-9, 6) AS blend_f, round((1 - w_except) * (nbm + lamp) / 2 + w_except * (nbm + lamp + hrrr) / 3 + 1e-9, 6) AS guarded_f FROM w""")
 def dual_guard_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = regimes(spark, sf_dir).withColumn("risk", encode.risk(F.col("regime"), F.col("spread")))
     two, three = (F.col("nbm") + F.col("lamp")) / 2, (F.col("nbm") + F.col("lamp") + F.col("hrrr")) / 3

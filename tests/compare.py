@@ -47,7 +47,7 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     kinds = dict(df.dtypes)
     for n in names:
         a, b = KINDS.get(kinds[n], kinds[n]), KINDS.get(theirs[n], theirs[n])
-        if a != b and not (kinds[n].startswith("decimal") or theirs[n].startswith(("decimal", "number"))):
+        if a != b:
             out.append(f"type of {n}: {kinds[n]} and {theirs[n]}")
     place = [list(theirs).index(n) for n in names]
     mine = Counter(tuple(cell(r[n]) for n in names) for r in df.collect())
