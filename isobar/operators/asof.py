@@ -59,6 +59,23 @@ def trailing(columns: dict[str, Column], time: str, by: Sequence[str], hours: fl
     return {name: column.over(window) for name, column in columns.items()}
 
 
+def with_trailing(df: DataFrame, columns: dict[str, Column], time: str, by: Sequence[str], hours: float, bucket_hours: float | None = None) -> DataFrame:
+    """``df`` with :func:`trailing` aggregates.
+
+    With ``bucket_hours`` a key is cut into stretches of that length, at least
+    ``hours`` long, and a row also lends itself to the stretch after its own, so
+    no task needs a whole key.
+    """
+    if bucket_hours is None:
+        return df.select("*", *[c.alias(n) for n, c in trailing(columns, time, by, hours).items()])
+    if bucket_hours < hours:
+        raise ValueError("a stretch must be as long as the window")
+    own = F.floor(micros(F.col(time)) / int(bucket_hours * HOUR))
+    lent = df.withColumn("__own", own).withColumn("__bucket", F.explode(F.array("__own", F.col("__own") + 1)))
+    found = lent.select("*", *[c.alias(n) for n, c in trailing(columns, time, [*by, "__bucket"], hours).items()])
+    return found.where("__bucket = __own").drop("__own", "__bucket")
+
+
 def value_before(value: str, time: str, by: Sequence[str], hours: float, tie: str | None = None) -> Column:
     """The value of the last row of the key at or before t - hours, null where that is null.
 

@@ -99,9 +99,9 @@ def trailing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, station, round(avg(value) OVER w3, 6) AS mean_3h, max(value) OVER w6 AS max_6h, CAST(count(*) OVER w6 AS BIGINT) AS n_6h FROM obs
 WINDOW w3 AS (PARTITION BY station ORDER BY epoch_us(ts) RANGE BETWEEN 10799999999 PRECEDING AND CURRENT ROW), w6 AS (PARTITION BY station ORDER BY epoch_us(ts) RANGE BETWEEN 21599999999 PRECEDING AND CURRENT ROW)""")
 def rolling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = observations(spark, sf_dir)
-    columns = asof.trailing({"mean_3h": F.avg("value")}, "ts", ["station"], 3) | asof.trailing({"max_6h": F.max("value"), "n_6h": F.count("*")}, "ts", ["station"], 6)
-    return obs.select("event_id", "station", F.round(columns["mean_3h"], 6).alias("mean_3h"), columns["max_6h"].alias("max_6h"), columns["n_6h"].alias("n_6h"))
+    found = asof.with_trailing(observations(spark, sf_dir), {"mean_3h": F.avg("value")}, "ts", ["station"], 3)
+    found = asof.with_trailing(found, {"max_6h": F.max("value"), "n_6h": F.count("*")}, "ts", ["station"], 6)
+    return found.select("event_id", "station", F.round("mean_3h", 6).alias("mean_3h"), "max_6h", "n_6h")
 
 
 @query(f"""WITH {OBS}, {SPINE}

@@ -40,6 +40,17 @@ def test_bucketed_asof_equals_the_plain_one(spark, hours):
         assert rows(plain, "j") == rows(bucketed, "j")
 
 
+def test_bucketed_windows_equal_the_plain_ones(spark):
+    import random
+
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(rnd.choice([1, 2]), T(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 6000)), rnd.choice([None, 1.0, 2.0, 3.0]), i) for i in range(200)], "k int, t timestamp_ntz, v double, i int")
+    plain, bucketed = (asof.with_trailing(df, {"n": F.count("*"), "m": F.max("v")}, "t", ["k"], 3, h) for h in (None, 4))
+    assert rows(plain, "i") == rows(bucketed, "i")
+    with pytest.raises(ValueError):
+        asof.with_trailing(df, {"n": F.count("*")}, "t", ["k"], 3, 2)
+
+
 def test_value_before_keeps_the_matched_null(spark):
     df = spark.createDataFrame([(1, T(2024, 1, 1, 0), None), (1, T(2024, 1, 1, 1), 2.0), (1, T(2024, 1, 1, 2), 3.0)], "k int, t timestamp_ntz, v double")
     assert [r.b for r in df.select("t", asof.value_before("v", "t", ["k"], 1).alias("b")).orderBy("t").collect()] == [None, None, 2.0]
