@@ -235,7 +235,7 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
 
 #: Keys by minima of shingle hashes; a pair of similarity 0.8 shares none of them once in 3,000 pairs.
 MINIMA = 5
-#: Fingerprints of texts of similarity 0.8 differ in 10 bits, with a deviation of 3.
+#: Fingerprints of shingle sets (repeats count once) of similarity 0.8 differ in 10 bits, with a deviation of 3.
 SIMILAR_RADIUS = 24
 #: Texts under one key before it is joined with the other keys, and then dealt into pairs of chunks.
 KEY_LIMIT = 2_000
@@ -260,7 +260,7 @@ def _described(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
                 hashes = shingle_hashes(text, shingle)
                 own = np.unique(hashes)
                 sets.append(signed(xxhash.xxh3_64_intdigest(own.tobytes())))
-                fps.append(signed(majority(hashes)))
+                fps.append(signed(majority(own)))
                 keys.append([signed(x) for x in _minima(own)])
             return [sets, fps, keys]
 

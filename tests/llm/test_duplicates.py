@@ -127,6 +127,22 @@ def test_near_dedup_of_planted_copies(spark):
         assert sorted(r.doc_id for r in found.collect()) == sorted({rows[r][0] for r in roots})
 
 
+def test_near_dedup_of_lines_repeated_unequally(spark):
+    rnd = random.Random(3)
+
+    def words(n):
+        return " ".join("".join(rnd.choices("abcdefgh", k=5)) for _ in range(n))
+
+    rows = []
+    for i in range(20):
+        body, line = words(105), words(5)
+        rows += [(10 * i, f"{body} {line}"), (10 * i + 1, " ".join([body] + [line] * 50))]
+    roots = jaccard_classes(rows, 5, 0.8)
+    assert len(set(roots)) == 20
+    found = simhash.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in found.collect()) == sorted({rows[r][0] for r in roots})
+
+
 def test_near_dedup_of_odd_rows(odd):
     order = sorted(range(len(ODD)), key=lambda k: (ODD[k][0] is None, ODD[k][0] or 0))
     rows = [ODD[k] for k in order]
