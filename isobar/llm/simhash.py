@@ -26,7 +26,9 @@ row. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.llm.common import checkpointed, map_texts, row_key, text_or_empty
+from isobar.llm.common import checkpointed, in_parts, map_texts, row_key, text_or_empty
 from isobar.llm.components import connected_components
 
 SEED = 42
@@ -233,12 +235,16 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
 
 # --- near-duplicates by shingle similarity --------------------------------
 
-#: Keys by minima of shingle hashes; a pair of similarity 0.8 shares none of them once in 3,000 pairs.
+#: Keys by minima of shingle hashes, a first pass: a pair of similarity 0.8 shares none of them once in 3,000 pairs. What it misses, ``missed_links`` finds.
 MINIMA = 5
 #: Fingerprints of shingle sets (repeats count once) of similarity 0.8 differ in 10 bits, with a deviation of 3.
 SIMILAR_RADIUS = 24
 #: Texts under one key before it is joined with the other keys, and then dealt into pairs of chunks.
 KEY_LIMIT = 2_000
+#: Times that hashes under which more texts meet are put behind the others.
+ORDERINGS = 3
+#: A set's hashes are counted in a power of two of buckets, this many or up to twice as many in one; what two sets' counts differ by, the sets differ by at least.
+BUCKET_HASHES = 2
 
 
 def _minima(hashes: np.ndarray) -> list[int]:
@@ -250,23 +256,53 @@ def _minima(hashes: np.ndarray) -> list[int]:
     return [int(((hashes ^ m) * f).min()) for m, f in zip(masks, factors, strict=True)]
 
 
-def _described(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
-    """Each row's rid, shingle-set hash, fp and keys."""
+def _set_key(own: np.ndarray) -> int:
+    return signed(xxhash.xxh3_64_intdigest(own.tobytes()))
+
+
+def _prefix(own: np.ndarray, behind: np.ndarray, min_similarity: float) -> np.ndarray:
+    """The first hashes of a sorted set, with those in ``behind`` (sorted) after all others: sets of ``min_similarity`` or more share one of them.
+
+    The first hash that two such sets share has, in either, at least ``min_similarity * n`` hashes from it on.
+    """
+    n = len(own)
+    if n and len(behind):
+        late = behind[np.minimum(np.searchsorted(behind, own), len(behind) - 1)] == own
+        own = np.concatenate([own[~late], own[late]])
+    return own[: n - math.ceil(min_similarity * n - 1e-9) + 1]
+
+
+def _sketch(own: np.ndarray) -> bytes:
+    buckets = 1 << max(5, (len(own) // BUCKET_HASHES).bit_length() - 1)
+    return np.minimum(np.bincount((own % np.uint64(buckets)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
+def _folded(counts: np.ndarray, buckets: int) -> np.ndarray:
+    """Rows of counts in more buckets, as counts in ``buckets``."""
+    return counts.reshape(len(counts), -1, buckets).sum(axis=1, dtype=np.int16)
+
+
+def _described(docs: DataFrame, shingle: int, min_similarity: float, text_col: str) -> DataFrame:
+    """Each row's rid, shingle-set hash, fp, keys, set size, sketch and prefix."""
 
     def start():
         def describe(texts: list[str]) -> list:
-            sets, fps, keys = [], [], []
+            sets, fps, keys, sizes, sketches, prefixes = [], [], [], [], [], []
             for text in texts:
                 hashes = shingle_hashes(text, shingle)
                 own = np.unique(hashes)
-                sets.append(signed(xxhash.xxh3_64_intdigest(own.tobytes())))
+                sets.append(_set_key(own))
                 fps.append(signed(majority(own)))
                 keys.append([signed(x) for x in _minima(own)])
-            return [sets, fps, keys]
+                sizes.append(len(own))
+                sketches.append(_sketch(own))
+                prefixes.append(_prefix(own, own[:0], min_similarity).view(np.int64))
+            return [sets, fps, keys, sizes, sketches, prefixes]
 
         return describe
 
-    kinds = [T.StructField("set", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    longs = T.ArrayType(T.LongType())
+    kinds = [T.StructField("set", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("keys", longs), T.StructField("size", T.IntegerType()), T.StructField("sketch", T.BinaryType()), T.StructField("prefix", longs)]
     return map_texts(docs, ["__id", "__rid"], text_or_empty(text_col), start, kinds)
 
 
@@ -275,9 +311,14 @@ def _of_rows(docs: DataFrame, rids: DataFrame, how: str, broadcast_rows: int) ->
     return docs.join(F.broadcast(rids) if rids.count() <= broadcast_rows else rids.hint("merge"), "__rid", how)
 
 
-def similarity_links(described: DataFrame, docs: DataFrame, shingle: int, min_similarity: float, text_col: str, key_limit: int, broadcast_rows: int) -> DataFrame:
-    """Links (a, b) between distinct shingle sets, each confirmed by its exact similarity."""
-    classes = checkpointed(described.groupBy("set").agg(F.min_by("__rid", F.struct(F.col("__id").isNull(), "__id", "__rid")).alias("__rid"), F.first("fp").alias("fp"), F.first("keys").alias("keys")))
+def _classes(described: DataFrame) -> DataFrame:
+    """A row for each distinct shingle set, with the rid of its first row."""
+    own = [F.first(c).alias(c) for c in ("fp", "keys", "size", "sketch", "prefix")]
+    return described.groupBy("set").agg(F.min_by("__rid", F.struct(F.col("__id").isNull(), "__id", "__rid")).alias("__rid"), *own)
+
+
+def similarity_links(classes: DataFrame, docs: DataFrame, shingle: int, min_similarity: float, text_col: str, key_limit: int, broadcast_rows: int) -> DataFrame:
+    """Links (a, b) between distinct shingle sets, each confirmed by its exact similarity: nearly all, and all that are worth a comparison of fingerprints."""
     keyed = classes.select("set", "__rid", "fp", "keys", F.posexplode("keys").alias("k", "minimum")).withColumn("key", F.xxhash64("k", "minimum"))
     shared = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     keyed = keyed.join(shared, "key")
@@ -314,18 +355,115 @@ def similarity_links(described: DataFrame, docs: DataFrame, shingle: int, min_si
     return keyed.join(sets, "__rid").select("key", "set", "fp", "hashes").repartition("key").sortWithinPartitions("key", "set").mapInArrow(link, "a long, b long")
 
 
+def missed_links(classes: DataFrame, roots: DataFrame, docs: DataFrame, shingle: int, min_similarity: float, text_col: str, key_limit: int, broadcast_rows: int) -> DataFrame:
+    """Links (a, b) between all similar shingle sets whose ``roots`` differ.
+
+    Similar sets share a hash of their prefixes in whatever order of hashes.
+    Those under which more than ``key_limit`` sets meet are put last in it, as
+    often as that helps, and what is still larger is cut by set size, each band
+    with the next, and dealt into pairs of chunks. Bounds on sizes and sketches
+    only exclude pairs that cannot be similar.
+    """
+    members = classes.where("size > 0").select("set", "__rid", "size", "sketch", "prefix").join(roots.withColumnRenamed("root", "linked"), "set", "left")
+    members = checkpointed(members.withColumn("root", F.coalesce("linked", "set")).drop("linked"))
+    behind = np.empty(0, np.uint64)
+    for turn in range(ORDERINGS + 1):
+        met = members.select("root", F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+        met = checkpointed(met.where("least <> most").select("key", "n"))
+        found = np.array([r.key for r in met.where(F.col("n") > key_limit).select("key").collect()], np.int64).view(np.uint64) if turn < ORDERINGS else behind
+        new = np.setdiff1d(found, behind)
+        if not len(new):
+            break
+        behind = np.union1d(behind, new)
+        hot = met.where(F.col("n") > key_limit).select("key")
+        touched = checkpointed(members.select("__rid", F.explode("prefix").alias("key")).join(F.broadcast(hot), "key", "left_semi").select("__rid").distinct())
+
+        def start(behind: np.ndarray = behind):
+            return lambda texts: [[_prefix(np.unique(shingle_hashes(text, shingle)), behind, min_similarity).view(np.int64) for text in texts]]
+
+        rows = _of_rows(docs.select("__rid", F.col(text_col).alias("__own")), touched, "left_semi", broadcast_rows)
+        anew = map_texts(rows, ["__rid"], text_or_empty("__own"), start, [T.StructField("anew", T.ArrayType(T.LongType()))]).dropDuplicates(["__rid"])
+        members = checkpointed(members.join(anew, "__rid", "left").withColumn("prefix", F.coalesce("anew", "prefix")).drop("anew"))
+
+    few = met.count() <= broadcast_rows
+    keyed = members.select("set", "size", F.explode("prefix").alias("key")).join(F.broadcast(met) if few else met.hint("merge"), "key")
+    band = F.floor(F.log("size") / math.log(1.01 / min_similarity))
+    keyed = keyed.withColumn("key", F.explode(F.when(F.col("n") > key_limit, F.array(F.xxhash64("key", band), F.xxhash64("key", band + 1))).otherwise(F.array("key"))))
+    keyed = split_large(checkpointed(keyed.select("key", "set").distinct()), "set", key_limit)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches):
+            sets, own, sizes = (run.column(k).to_numpy() for k in (1, 2, 3))
+            if (own == own[0]).all():
+                continue
+            sketches = [np.frombuffer(x, np.uint8) for x in run.column(4).to_pylist()]
+            buckets = np.array([len(x) for x in sketches])
+            ends = np.searchsorted(sizes, sizes / min_similarity + 1e-6, "right")  # rows, and so their buckets, are in order of size
+            level, at = None, 0
+            for i, end in enumerate(ends.tolist()):
+                if buckets[i] != level:
+                    # All that rows of this many buckets can be compared with, in as many buckets.
+                    level, at = buckets[i], i
+                    last = ends[np.searchsorted(buckets, level, "right") - 1]
+                    counts = np.concatenate([_folded(np.stack(list(same)), level) for _, same in groupby(sketches[i:last], len)])
+                others = i + 1 + np.flatnonzero(own[i + 1 : end] != own[i])
+                if not len(others):
+                    continue
+                apart = np.abs(counts[others - at] - counts[i - at]).sum(axis=1, dtype=np.int64)
+                both = int(sizes[i]) + sizes[others]
+                near = others[apart <= both * ((1 - min_similarity) / (1 + min_similarity)) + 1e-6]
+                if len(near):
+                    pairs = np.sort(np.stack([np.full(len(near), sets[i]), sets[near]]), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    drawn = keyed.select("key", "set").join(members.select("set", "root", "size", "sketch"), "set").select("key", "set", "root", "size", "sketch")
+    pairs = checkpointed(drawn.repartition("key").sortWithinPartitions("key", "size").mapInArrow(meet, "a long, b long").distinct())
+    if pairs.isEmpty():
+        return pairs
+
+    def hashes():
+        def whole(texts: list[str]) -> list:
+            own = [np.unique(shingle_hashes(text, shingle)) for text in texts]
+            return [[_set_key(x) for x in own], [x.tobytes() for x in own]]
+
+        return whole
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(members, "set").select("__rid")
+    texts = _of_rows(docs.select("__rid", F.col(text_col).alias("__own")), checkpointed(ends), "left_semi", broadcast_rows)
+    sets = checkpointed(map_texts(texts, [], text_or_empty("__own"), hashes, [T.StructField("set", T.LongType()), T.StructField("hashes", T.BinaryType())]).dropDuplicates(["set"]))
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches):
+            keep = []
+            for one, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                a, b = np.frombuffer(one, "<u8"), np.frombuffer(other, "<u8")
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(both >= min_similarity * (len(a) + len(b) - both))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+
+    of = lambda end: sets.select(F.col("set").alias(end), F.col("hashes").alias(f"of_{end}"))
+    return checkpointed(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(confirm, "a long, b long"))
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", key_limit: int = KEY_LIMIT, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``docs`` with one row of each near-duplicate class, that of the smallest id (null ids last).
 
     Texts are alike if the Jaccard similarity of their word-shingle sets is
-    ``min_similarity`` or more. Candidates share a minimum of hashed shingles
-    and lie near one another in a BK-tree of SimHash fingerprints; every link
-    is confirmed by the exact similarity of whole sets. Texts without words
-    are copies of each other. All columns are kept as they are.
+    ``min_similarity`` or more. A first pass takes candidates that share a
+    minimum of hashed shingles and lie near one another in a BK-tree of SimHash
+    fingerprints; a second takes all that share a hash of their prefixes, so
+    none is missed. Every link is confirmed by the exact similarity of whole
+    sets. Texts without words are copies of each other. All columns are kept
+    as they are.
     """
     keyed = docs.withColumn("__rid", row_key(id_col, text_col))
-    described = checkpointed(_described(keyed.withColumn("__id", F.col(id_col)), shingle, text_col))
-    roots = connected_components(similarity_links(described, keyed, shingle, min_similarity, text_col, key_limit, broadcast_rows)).withColumnRenamed("node", "set")
+    described = checkpointed(_described(keyed.withColumn("__id", F.col(id_col)), shingle, min_similarity, text_col))
+    classes, how = checkpointed(_classes(described)), (keyed, shingle, min_similarity, text_col, key_limit, broadcast_rows)
+    links = checkpointed(similarity_links(classes, *how))
+    roots = checkpointed(connected_components(links).withColumnRenamed("node", "set"))
+    missed = missed_links(classes, roots, *how)
+    if not missed.isEmpty():
+        roots = connected_components(links.union(missed)).withColumnRenamed("node", "set")
     # A class's copies first: partial sums take a hot class before the shuffle.
     least = F.min(F.struct(F.col("__id").isNull().alias("no"), F.col("__id").alias("id"), F.col("__rid").alias("rid"))).alias("first")
     firsts = described.groupBy("set").agg(least).join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))

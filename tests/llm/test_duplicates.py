@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -143,6 +144,42 @@ def test_near_dedup_of_lines_repeated_unequally(spark):
     assert sorted(r.doc_id for r in found.collect()) == sorted({rows[r][0] for r in roots})
 
 
+@pytest.mark.parametrize("limit", [2000, 1])
+def test_near_dedup_of_pairs_that_share_few_minima(spark, limit):
+    rnd = random.Random(4)
+    rows, shared = [], Counter()
+    while min(shared[0], shared[1]) < 3:
+        words = ["".join(rnd.choices("abcdefgh", k=5)) for _ in range(60)]
+        copy = [*words[:-6], *("".join(rnd.choices("abcdefgh", k=5)) for _ in range(6))]
+        texts = [" ".join(words), " ".join(copy)]
+        one, other = (set(simhash._minima(np.unique(simhash.shingle_hashes(t, 5)))) for t in texts)
+        if (n := len(one & other)) < 2 and shared[n] < 3:
+            shared[n] += 1
+            rows += [(len(rows) + k, t) for k, t in enumerate(texts)]
+    # A passage in every text, so that hashes are hot beside those of the pairs.
+    passage = " ".join("".join(rnd.choices("abcdefgh", k=5)) for _ in range(30))
+    rows += [(1000 + i, passage + " " + " ".join("".join(rnd.choices("abcdefgh", k=5)) for _ in range(40))) for i in range(12)]
+    roots = jaccard_classes(rows, 5, 0.8)
+    assert len(set(roots)) == 18
+    found = simhash.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string"), key_limit=limit, broadcast_rows=1_000_000 if limit > 1 else 0)
+    assert sorted(r.doc_id for r in found.collect()) == sorted({rows[r][0] for r in roots})
+
+
+def test_prefixes_and_sketches_hold_for_similar_sets():
+    rnd = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rnd.integers(1, 200))
+        pool = np.unique(rnd.integers(0, 1 << 63, n + 20, dtype=np.uint64))
+        a, b = np.sort(pool[:n]), np.sort(pool[int(rnd.integers(0, 6)) : n + int(rnd.integers(0, 6))])
+        behind = np.sort(rnd.choice(pool, int(rnd.integers(0, n)), replace=False))
+        both = len(np.intersect1d(a, b))
+        if both and both >= 0.8 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(simhash._prefix(a, behind, 0.8), simhash._prefix(b, behind, 0.8)))
+        counts = [np.frombuffer(simhash._sketch(x), np.uint8)[None] for x in (a, b)]
+        counts = [simhash._folded(c, min(x.shape[1] for x in counts)) for c in counts]
+        assert np.abs(counts[0] - counts[1]).sum() <= len(a) + len(b) - 2 * both
+
+
 def test_near_dedup_of_odd_rows(odd):
     order = sorted(range(len(ODD)), key=lambda k: (ODD[k][0] is None, ODD[k][0] or 0))
     rows = [ODD[k] for k in order]
