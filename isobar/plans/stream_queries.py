@@ -10,6 +10,10 @@ from isobar.session import scratch_path
 from isobar.streaming import streams
 
 
+#: Events of one batch where a batch's rows of one key are held at once.
+BATCH_ROWS = 2_000_000
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a stream, a file a batch; the table is one file or a folder of them."""
     path = f"{sf_dir}/events.parquet"
@@ -70,7 +74,12 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id AS key, epoch_us(ts) AS at, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS previous FROM events""")
 def stateful_previous_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, streams.previous_issue(_events(spark, sf_dir), "user_id", "ts", "value"), "append")
+    """Events are landed by time, whatever files they come in, so that none is late."""
+    at, events = scratch_path(spark, "stream"), table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for folder in streams.in_time_order(events, "ts", f"{at}/events", BATCH_ROWS):
+        found = streams.previous_issue(streams.stream_table(spark, folder, events.schema, files_per_batch=1 << 30), "user_id", "ts", "value")
+        streams.drain(found, f"{at}/out", f"{at}/state")
+    return spark.read.schema("key long, at long, value double, previous double").parquet(f"{at}/out")
 
 
 @query("""SELECT user_id, CAST(ts AS DATE) AS day, max(value) AS max_so_far, count(value) AS n FROM events GROUP BY ALL""")

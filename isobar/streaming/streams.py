@@ -32,18 +32,18 @@ def previous_issue(issues: DataFrame, key: str, at: str, value: str) -> DataFram
     """A stream's issues with the value of the issue before, kept as state by key: key, at (microseconds), value, previous.
 
     Within a batch issues are taken by time; an issue older than the newest
-    seen is late and gives no row. Streaming frames only.
+    seen is late and gives no row. A batch's rows of one key are held at once
+    (``in_time_order`` bounds them). Streaming frames only.
     """
 
     def follow(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         newest, last = state.get if state.exists else (-1, None)
-        out = []
-        for row in pd.concat(list(frames)).sort_values("at").itertuples():
-            if row.at >= newest:
-                out.append((keys[0], row.at, row.value, last))
-                newest, last = row.at, row.value
-        state.update((newest, last))
-        yield pd.DataFrame(out, columns=["key", "at", "value", "previous"])
+        rows = pd.concat([f.loc[f["at"] >= newest, ["at", "value"]] for f in frames]).sort_values("at", kind="stable")
+        if len(rows):
+            previous = rows["value"].shift()
+            previous.iloc[0] = last
+            state.update((int(rows["at"].iloc[-1]), float(rows["value"].iloc[-1])))
+            yield pd.DataFrame({"key": keys[0], "at": rows["at"], "value": rows["value"], "previous": previous})
 
     rows = issues.select(F.col(key).alias("key"), F.unix_micros(F.col(at).cast("timestamp")).alias("at"), F.col(value).cast("double").alias("value"))
     return rows.groupBy("key").applyInPandasWithState(follow, "key long, at long, value double, previous double", "newest long, last double", "append", GroupStateTimeout.NoTimeout)
@@ -61,6 +61,27 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", e
     query.awaitTermination()
 
 
+def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int) -> Iterator[str]:
+    """Writes ``rows`` below ``path`` by time and lands them in a folder, about ``batch_rows`` at a time.
+
+    Yields the folder after each landing, for a stream that takes all that is
+    new there: no row it finds is older than one of a landing before.
+    """
+    spark = rows.sparkSession
+    n = rows.count()
+    rows.repartitionByRange(max(1, -(-n // batch_rows)), time).write.parquet(f"{path}/all")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(name for f in files.listStatus(hadoop(f"{path}/all")) if (name := f.getPath().getName()).startswith("part-"))
+    files.mkdirs(hadoop(f"{path}/in"))
+    at_once = max(1, len(names) * batch_rows // max(n, 1))
+    for k in range(0, len(names), at_once):
+        for name in names[k : k + at_once]:
+            if not files.rename(hadoop(f"{path}/all/{name}"), hadoop(f"{path}/in/{name}")):
+                raise OSError(f"cannot land {path}/all/{name}")
+        yield f"{path}/in"
+
+
 def stream_table(spark: SparkSession, path: str, schema, files_per_batch: int = 1, glob: str | None = None) -> DataFrame:
     """A folder of Parquet files as a stream."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.operators import folds
-from isobar.plans import contracts
+from isobar.plans import contracts, stream_queries
 from isobar.sources import market, observations, sinks, tables, text
 from isobar.streaming import streams
 
@@ -131,3 +131,13 @@ def test_previous_issue_over_batches_drops_late_rows(spark, tmp_path):
         streams.drain(streams.previous_issue(stream, "user_id", "ts", "value"), f"{tmp_path}/out", f"{tmp_path}/state")
     found = spark.read.parquet(f"{tmp_path}/out").orderBy("key", "at").collect()
     assert [(r.key, r.value, r.previous) for r in found] == [(1, 1.0, None), (1, 3.0, 1.0), (1, 4.0, 3.0), (2, 9.0, None)]
+
+
+def test_previous_issue_of_files_that_overlap_in_time(spark, tmp_path, monkeypatch):
+    rows = [(i % 3, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), float(i)) for i in range(60)]
+    for part in (rows[1::2], rows[0::2]):
+        spark.createDataFrame(part, "user_id long, ts timestamp, value double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    expected = sorted((k, v, v - 3 if v >= 3 else None) for k, _, v in rows)
+    for batch_rows in (1000, 25):
+        monkeypatch.setattr(stream_queries, "BATCH_ROWS", batch_rows)
+        assert sorted((r.key, r.value, r.previous) for r in stream_queries.stateful_previous_issue(spark, str(tmp_path)).collect()) == expected
