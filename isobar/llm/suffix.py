@@ -42,7 +42,7 @@ from isobar.llm.simhash import runs
 GRAM = 32
 #: Rows sorted at once; a run of one gram stays together.
 SORT_ROWS = 20_000
-#: Different surroundings of one gram that one task sorts; beyond that they are dealt out by what equal windows share.
+#: Different surroundings of one gram that one task sorts; beyond that they are dealt out by what equal windows share, again and again.
 SPLIT_ROWS = 100_000
 #: Places and spans are broadcast up to this many bytes, by count; beyond it the texts are shuffled to them.
 BROADCAST_BYTES = 64 << 20
@@ -179,27 +179,44 @@ def _stretches(reach: int) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:], strict=False))
 
 
-def _shared(low: int, high: int, reach: int) -> Column:
+def _shared(reach: int) -> Column:
     """What two marks' surroundings share if a window that starts low..high-1 bytes before the mark is equal: low bytes before it, and those behind it; null where a text's end is nearer."""
-    behind = reach - high + 1
-    key = F.xxhash64("gram", F.lit(low), F.substring("before", F.length("before") - low + 1, F.lit(low)), F.substring("after", 1, behind))
+    low, behind = F.col("low"), F.lit(reach + 1) - F.col("high")
+    key = F.xxhash64("gram", "low", "high", F.substring("before", F.length("before") - low + 1, low), F.substring("after", F.lit(1), behind))
     return F.when((F.length("before") >= low) & (F.length("after") >= behind), key)
 
 
 def _split(cuts: DataFrame, grams: DataFrame, reach: int, threshold: int) -> tuple[DataFrame, DataFrame]:
     """The cuts of the few hot ``grams`` under keys of what equal windows share, and the spans of windows that a key gives whole.
 
-    A hot gram's group falls apart by the bytes beside the mark. Where the key
-    is the whole window, counting is enough, and partial sums take a hot window
-    before the shuffle.
+    A hot gram's group falls apart by the bytes beside the mark, for stretches
+    of windows; where one is still larger than ``SPLIT_ROWS`` its stretch is cut
+    in half. Where the key is the whole window, counting is enough, and partial
+    sums take a hot window before the shuffle.
     """
-    hot = cuts.join(grams, "gram", "left_semi").dropDuplicates(["gram", "__rid", "at"])
-    wide = [_shared(low, high, reach) for low, high in _stretches(reach) if high - low > 1]
-    dealt = hot.withColumn("gram", F.explode(F.array_compact(F.array(*wide)))) if wide else hot.limit(0)
-    single = [F.struct(_shared(low, high, reach).alias("key"), F.lit(low).alias("back")) for low, high in _stretches(reach) if high - low == 1]
-    windows = hot.select("__rid", "at", F.explode(F.array(*single)).alias("w")).select("__rid", "at", "w.*").where("key is not null")
+    hot = checkpointed(cuts.join(grams, "gram", "left_semi").dropDuplicates(["gram", "__rid", "at"]))
+
+    def stretch(edges: list[tuple[Column, Column]]) -> Column:
+        return F.explode(F.array(*[F.struct(low.cast("int").alias("low"), high.cast("int").alias("high")) for low, high in edges]))
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.select(*hot.columns, "stretch.*").withColumn("key", _shared(reach)).where("key is not null")
+
+    single = F.col("high") - F.col("low") == 1
+    level = keyed(hot.withColumn("stretch", stretch([(F.lit(low), F.lit(high)) for low, high in _stretches(reach)])))
+    windows, dealt = level.where(single).select("__rid", "at", "key", "low"), hot.limit(0)
+    while True:
+        wide = level.where(~single)
+        large = checkpointed(wide.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT_ROWS).select("key"))
+        dealt = dealt.unionByName(wide.join(F.broadcast(large), "key", "left_anti").withColumn("gram", F.col("key")).select(hot.columns))
+        if large.isEmpty():
+            break
+        middle = F.floor((F.col("low") + F.col("high")) / 2)
+        halves = wide.join(F.broadcast(large), "key", "left_semi").withColumn("stretch", stretch([(F.col("low"), middle), (middle, F.col("high"))]))
+        level = keyed(halves.select(*hot.columns, "stretch"))
+        windows = windows.unionByName(level.where(single).select("__rid", "at", "key", "low"))
     twice = checkpointed(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    spans = windows.join(twice, "key").select("__rid", (F.col("at") - F.col("back")).alias("start"), (F.col("at") - F.col("back") + threshold).alias("end"))
+    spans = windows.join(twice, "key").select("__rid", (F.col("at") - F.col("low")).alias("start"), (F.col("at") - F.col("low") + threshold).alias("end"))
     return cuts.join(grams, "gram", "left_anti").unionByName(dealt), spans
 
 

@@ -240,6 +240,24 @@ def test_repeated_strings_of_odd_rows(odd):
     assert suffix.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_no_group_of_a_hot_passage_is_larger_than_the_limit(spark, monkeypatch):
+    rnd = random.Random(8)
+    passage = "".join(rnd.choices("abcdefgh", k=260))
+    rows = [(i, "".join(rnd.choices("xyz", k=250)) + passage + "".join(rnd.choices("uvw", k=250))) for i in range(40)]
+    monkeypatch.setattr(suffix, "SPLIT_ROWS", 10)
+    largest, split = [], suffix._split
+
+    def watched(*args):
+        cuts, spans = split(*args)
+        largest.append(max(r["count"] for r in cuts.groupBy("gram").count().collect()))
+        return cuts, spans
+
+    monkeypatch.setattr(suffix, "_split", watched)
+    found = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), outputs=("kept_sha256",))
+    assert Counter(map(tuple, found.collect())) == repeated(rows, 200)
+    assert largest and largest[0] <= 10
+
+
 def test_stretches_cover_every_window():
     for reach in (0, 1, 7, 20, 168, 500):
         edges = suffix._stretches(reach)
