@@ -1,41 +1,54 @@
 """Approximate nearest neighbours by multi-index hashing.
 
-Codes are the signs of learned rotations (``ROTATIONS`` of them, each fitted so
-that the signs lose little of the vectors, one after the other from another
-random start), so a code has ``ROTATIONS`` * dimension bits. They are split into
-substrings of 8 bits, each of which indexes its own table. Two codes at most
-``radius`` bits apart agree in one substring up to radius // substrings bits,
-so probing each table at that distance finds every code in the ball; codes
-found are checked against the radius, and the vectors behind them reranked by
-their exact cosine.
-
-The radius is learned with the rotations: the 0.98 quantile of the distance of
-true nearest neighbours in a bounded sample of ``SAMPLE`` rows. In a larger
-table neighbours are nearer, so the radius errs towards more candidates. A
-query for which a block has fewer than k codes in the ball takes the nearest
-radius that has k.
-
-All rows are indexed, in blocks of bounded size, and every query goes to every
-block. Vectors that are null, zero, or hold null or non-finite components take
-no part, nor do rows with a null id; vectors of different lengths do not meet.
-Ties go to the smaller id. Copies are found like any other vector. Fewer
-candidates than k give fewer rows, an empty table gives none.
+Codes are the signs of learned rotations (each fitted so that the signs lose
+little of the vectors, one after the other from another random start), cut
+into substrings of 16 bits, each with a table of its own. Two codes that are
+less than tables * (reach + 1) bits apart agree in one substring up to
+``reach`` bits, so probing every table at that distance finds all of that
+Hamming ball, and many codes beyond it. What is found is kept within a second,
+wider radius of the whole code and reranked by the exact cosine.
+
+The tables are groups of the cluster: a code is sent to each table's bucket,
+the leading bits of its substring, and a query only to the buckets within
+``reach`` bits of its own, where it probes the bucket's sorted substrings. What
+is sent grows with rows and with queries, not with their product; buckets that
+hold too many are cut, and copies are one code (``vectors``).
+
+Rotations come from at most ``SAMPLE`` rows. How many tables, which reach and
+which radius are then chosen by recall: ``CALIBRATION`` of these rows get their
+true neighbours among all rows by one pass of brute force, and of all choices
+that find ``RECALL`` of them, the one that looks at the fewest rows is taken.
+Every row is indexed. Queries that find fewer than k rows probe again at a
+larger reach and radius, at last everywhere.
+
+Vectors that are null, zero, or hold null or non-finite components take no
+part, nor do rows with a null id; vectors of different lengths do not meet.
+Ties go to the smaller id. Copies are found like any other vector; a row that
+is repeated in full counts once; an id with several vectors takes part with
+each, and is never its own neighbour. Fewer candidates than k give fewer rows,
+an empty table gives none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm.common import checkpointed
-from isobar.llm.vectors import best, bounded_sample, search_in_blocks, stacked, whole_vectors
+from isobar.llm.vectors import best_of_each, bounded_sample, distinct_vectors, in_groups, spread, stacked, whole_vectors
 
-ROTATIONS = 4
-SAMPLE = 2_048
-RECALL = 0.98
-BITS = 8
+BITS, TABLES = 16, 24
+SAMPLE, CALIBRATION = 2_048, 96
+RECALL = 0.97
+#: Rows of a bucket, about; and most rows and queries of a group.
+BUCKET_ROWS, GROUP_ROWS, GROUP_QUERIES = 4_096, 32_768, 4_096
+#: Queries that are compared with a group at once.
+TOGETHER = 64
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -44,121 +57,209 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def learn_rotations(sample: np.ndarray, rotations: int = ROTATIONS, rounds: int = 20, seed: int = 3) -> np.ndarray:
+def learn_rotations(sample: np.ndarray, bits: int = TABLES * BITS, rounds: int = 20, seed: int = 3) -> np.ndarray:
     """dimension x bits: orthogonal maps whose signs stay close to the rotated vectors."""
     dim, rng, out = sample.shape[1], np.random.default_rng(seed), []
-    for _ in range(rotations):
+    for _ in range(-(-bits // dim)):
         turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         for _ in range(rounds if len(sample) >= dim else 0):
             left, _, right = np.linalg.svd(sample.T @ np.where(sample @ turn >= 0, 1.0, -1.0))
             turn = left @ right
         out.append(turn)
-    return np.hstack(out)
+    return np.hstack(out)[:, :bits]
 
 
 def codes_of(x: np.ndarray, turns: np.ndarray) -> np.ndarray:
-    """rows x substrings, an unsigned byte each."""
-    return np.packbits(x @ turns >= 0, axis=1)
-
-
-def distances(codes: np.ndarray, code: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(codes ^ code).sum(axis=1, dtype=np.int64)
-
-
-def learn_radius(sample: np.ndarray, codes: np.ndarray, k: int, recall: float = RECALL) -> int:
-    """The distance within which ``recall`` of the sample's true k nearest lie."""
-    if len(sample) < 2:
-        return codes.shape[1] * 8
-    near = []
-    for i in range(0, len(sample), max(1, len(sample) // 512)):
-        cosine = sample @ sample[i]
-        cosine[i] = -2
-        top = np.argpartition(-cosine, min(k, len(sample) - 1) - 1)[: min(k, len(sample) - 1)]
-        near.append(distances(codes[top], codes[i]))
-    return int(np.ceil(np.quantile(np.concatenate(near), recall)))
-
-
-class SubstringTables:
-    """For each substring, the rows that have each value of it."""
-
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
-        self.order = np.argsort(codes, axis=0, kind="stable")
-        self.starts = np.stack([np.searchsorted(codes[self.order[:, j], j], np.arange((1 << BITS) + 1)) for j in range(codes.shape[1])])
-        self.near = [np.flatnonzero(np.bitwise_count(np.arange(1 << BITS, dtype=np.uint8)) <= r).astype(np.uint8) for r in range(BITS + 1)]
-
-    def within(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """All rows whose code is at most ``radius`` bits from ``code``."""
-        m = len(code)
-        each, rest = divmod(radius, m)
-        found = np.zeros(len(self.codes), bool)
-        for j in range(m):
-            # rest + 1 tables probed at `each` bits and the others at one less already hold every code in the ball
-            reach = min(BITS, each if j <= rest else each - 1)
-            if reach < 0:
-                continue
-            values = code[j] ^ self.near[reach]
-            starts, ends = self.starts[j, values], self.starts[j, values.astype(np.int64) + 1]
-            lengths = ends - starts
-            places = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-            found[self.order[places, j]] = True
-        rows = np.flatnonzero(found)
-        return rows[distances(self.codes[rows], code) <= radius]
-
-
-def search_block(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, query_codes: np.ndarray, k: int, radius: int) -> pa.Table:
-    tables, most = SubstringTables(codes), codes.shape[1] * 8
-    owners, found, scores = [], [], []
-    for own, query, code in zip(query_ids, queries, query_codes, strict=True):
-        reach = radius
-        while True:
-            rows = tables.within(code, reach)
-            rows = rows[ids[rows] != own]
-            if len(rows) >= k or reach >= most:
+    """rows x tables, an unsigned 16-bit substring each."""
+    return np.packbits(x @ turns >= 0, axis=1).view(">u2").astype(np.uint16)
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that differ, for each substring."""
+    return np.bitwise_count(a ^ b)
+
+
+class Plan(NamedTuple):
+    """How one length of vectors is searched."""
+
+    turns: np.ndarray
+    tables: int
+    reach: int
+    radius: int
+    bucket_bits: int
+    recall: float
+    share: float
+
+
+def choose(near: list[np.ndarray], far: list[np.ndarray], recall: float = RECALL) -> tuple[int, int, int, float, float]:
+    """Tables, reach and radius, with the recall and the share of rows probed that they give.
+
+    ``near`` and ``far`` hold, for each query of the calibration, the bits by
+    which its true neighbours and the sample's rows differ, by substring.
+    """
+    close, others = np.concatenate(near), np.concatenate(far)
+    if not len(close):
+        return 1, BITS, BITS * TABLES, 1.0, 1.0
+    best = None
+    for tables in (4, 8, 12, 16, 24):
+        least, least_far = close[:, :tables].min(axis=1), others[:, :tables].min(axis=1)
+        for reach in range(BITS + 1):
+            found = float((least <= reach).mean())
+            if found >= recall or reach == BITS:
+                share = float((least_far <= reach).mean())
+                # sending a code to another table costs something, too
+                cost = share + tables * 2e-3
+                if best is None or cost < best[0]:
+                    whole = close[:, :tables].sum(axis=1, dtype=np.int64)[least <= reach]
+                    best = cost, tables, reach, int(np.ceil(np.quantile(whole, 0.99))), found * 0.99, share
                 break
-            reach = min(most, max(reach + 1, int(reach * 1.1)))
-        # Row by row and not as a matrix product, so that copies get the same score to the last bit.
-        cosine = (vectors[rows] * query).sum(axis=1)
-        top = rows if len(rows) <= k else rows[np.lexsort((ids[rows], -cosine))[:k]]
-        owners.append(np.full(len(top), own))
-        found.append(ids[top])
-        scores.append((vectors[top] * query).sum(axis=1))
-    return best(np.concatenate(owners), np.concatenate(found), np.concatenate(scores), k)
+    return best[1:]
+
 
+def probe(codes: np.ndarray, query: np.ndarray, table: int, tables: int, reach: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) of all codes that agree with a query in this table up to ``reach`` bits, in no table before it, and as a whole up to ``radius``.
 
-def nearest_by_cosine(df: DataFrame, is_query: str, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    ``codes`` are in the order of this table's substring, so each distinct
+    substring is compared once and stands for a run of rows.
+    """
+    own = codes[:, table]
+    starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.empty(0, np.int64)
+    ends = np.append(starts[1:], len(own))
+    at_query, at_run = np.nonzero(apart(query[:, table, None], own[starts][None]) <= reach)
+    lengths = (ends - starts)[at_run]
+    rows = np.repeat(starts[at_run] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum()) if len(lengths) else np.empty(0, np.int64)
+    asked = np.repeat(at_query, lengths)
+    bits = apart(query[asked, :tables], codes[rows, :tables])
+    keep = (bits[:, :table] > reach).all(axis=1) & (bits.sum(axis=1, dtype=np.int64) <= radius)
+    return asked[keep], rows[keep]
+
+
+def learn(vectors: DataFrame, n: int, dim: int, k: int) -> Plan:
+    """Rotations from a bounded sample, and tables, reach and radius by the recall that they have over all rows."""
+    sample = unit(stacked(bounded_sample(vectors, n, SAMPLE).select("vector").toArrow().column(0), dim)) if n else np.zeros((0, dim))
+    turns = learn_rotations(sample)
+    queries = sample[:: max(1, len(sample) // CALIBRATION)][:CALIBRATION]
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((len(queries), 0)), np.zeros((0, dim)), np.zeros((len(queries), 0), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = unit(stacked(batch.column(0), dim))
+            rows = np.vstack([held[1], x])
+            cosine = np.hstack([held[0], queries @ x.T]) if len(held[1]) else queries @ x.T
+            top = np.argsort(-cosine, axis=1, kind="stable")[:, : k + 1]
+            used = np.unique(top)
+            held = cosine[:, used], rows[used], top
+        cosine, rows, _ = held
+        found = [(q, float(cosine[q, r]), rows[r].tolist()) for q in range(len(queries)) for r in np.argsort(-cosine[q], kind="stable")[: k + 1].tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True) if found else [()] * 3, (pa.int32(), pa.float64(), pa.list_(pa.float64())), strict=True)], names=["q", "cosine", "x"])
+
+    order = Window.partitionBy("q").orderBy(F.desc("cosine"), "x")
+    true = vectors.select("vector").mapInArrow(nearest, "q int, cosine double, x array<double>").withColumn("place", F.row_number().over(order)).where(F.col("place").between(2, k + 1))
+    near: list[list] = [[] for _ in queries]
+    for r in true.select("q", "x").collect():  # CALIBRATION * k rows at most
+        near[r.q].append(r.x)
+    codes, own = codes_of(sample, turns), codes_of(queries, turns)
+    close = [apart(codes_of(np.array(x).reshape(-1, dim), turns), own[q]) for q, x in enumerate(near)]
+    tables, reach, radius, recall, share = choose(close, [apart(codes, c) for c in own])
+    return Plan(turns, tables, reach, radius, spread(n, BUCKET_ROWS, 1 << BITS), recall, share)
+
+
+def candidates(index: DataFrame, queries: DataFrame, plans: dict[int, Plan], wider: int = 0) -> DataFrame:
+    """(qkey, vkey) of all rows that probing finds; ``wider`` widens reach and radius.
+
+    ``index`` and ``queries`` have vkey, dim and code.
+    """
+    sent = index.sparkSession.sparkContext.broadcast({d: (p.tables, min(BITS, p.reach + 2 * wider), int(p.radius * 1.25**wider) if p.reach + 2 * wider < BITS else BITS * TABLES, p.bucket_bits) for d, p in plans.items()})
+
+    def dealt(probes: bool):
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys, dims = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                for dim in np.unique(dims).tolist():
+                    tables, reach, _, width = sent.value[dim]
+                    rows = np.flatnonzero(dims == dim)
+                    raw = batch.column(2).take(pa.array(rows))
+                    codes = np.frombuffer(b"".join(raw.to_pylist()), np.uint16).reshape(len(rows), -1)
+                    buckets = codes[:, :tables].astype(np.int64) >> (BITS - width)
+                    masks = np.arange(1 << width) if probes else np.zeros(1, np.int64)
+                    masks = masks[np.bitwise_count(masks) <= reach]
+                    for table in range(tables):
+                        for at in range(0, len(rows), 1 + (1 << 16) // len(masks)):
+                            part = slice(at, at + 1 + (1 << 16) // len(masks))
+                            bucket = (buckets[part, table, None] ^ masks[None]).ravel()
+                            of = np.repeat(np.arange(len(rows))[part], len(masks))
+                            n = len(of)
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, table, np.int32)), pa.array(bucket.astype(np.int32)), pa.array(keys[rows[of]]), raw.take(pa.array(of))], names=["dim", "table", "bucket", "vkey", "code"])
+
+        return deal
+
+    kinds, keys = "dim int, table int, bucket int, vkey long, code binary", ["dim", "table", "bucket"]
+    left, right = (df.select("vkey", "dim", "code").mapInArrow(dealt(probes), kinds) for df, probes in ((index, False), (queries, True)))
+    left, right = in_groups(left, right, keys, GROUP_ROWS, GROUP_QUERIES)
+
+    def search(a: pa.Table, b: pa.Table) -> pa.Table:
+        schema = pa.schema([("qkey", pa.int64()), ("vkey", pa.int64())])
+        if not a.num_rows or not b.num_rows:
+            return schema.empty_table()
+        tables, reach, radius, _ = sent.value[a.column("dim")[0].as_py()]
+        table = a.column("table")[0].as_py()
+        of = lambda t: (t.column("vkey").to_numpy(), np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint16).reshape(t.num_rows, -1))
+        (ids, codes), (asked, own) = of(a), of(b)
+        order = np.argsort(codes[:, table], kind="stable")
+        ids, codes = ids[order], codes[order]
+        found = [(asked[at + q], ids[r]) for at in range(0, len(asked), TOGETHER) for q, r in [probe(codes, own[at : at + TOGETHER], table, tables, reach, radius)]]
+        return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=schema)
+
+    by = [*keys, "chunk"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(search, "qkey long, vkey long")
+
+
+def _scored(pairs: DataFrame, index: DataFrame) -> DataFrame:
+    """The pairs with the exact cosine, and the number of ids that the candidate stands for."""
+    dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    side = lambda key, name: index.select(F.col("vkey").alias(key), F.col("unit").alias(name), *([F.size("ids").alias("n_ids")] if name == "x" else []))
+    return pairs.join(side("vkey", "x"), "vkey").join(side("qkey", "y"), "qkey").select("qkey", "vkey", dot.alias("score"), "n_ids")
+
+
+def nearest_by_cosine(df: DataFrame, is_query: str, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", report: list | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id and score: each query's k nearest among all other rows.
 
-    ``is_query`` is a condition on the column ``id``.
+    ``is_query`` is a condition on the column ``id``. ``report`` gets the plan
+    of each length of vectors, with its measured recall and share probed.
     """
     spark = df.sparkSession
-    vectors = whole_vectors(df, id_col, vector_col).where(F.exists("vector", lambda x: x != 0))
-    counts = {r.dim: (r.n, r.q) for r in vectors.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(F.expr(is_query)).alias("q")).collect()}
-    models = {}
-    for dim, (n, _) in counts.items():
-        sample = bounded_sample(vectors.where(F.col("dim") == dim), n, SAMPLE).select("vector").toArrow()
-        x = unit(stacked(sample.column(0), dim)) if sample.num_rows else np.zeros((0, dim))
-        turns = learn_rotations(x)
-        models[dim] = turns, learn_radius(x, codes_of(x, turns), k)
-    sent = spark.sparkContext.broadcast(models)
-
-    def coded(batches):
+    whole = whole_vectors(df, id_col, vector_col).where(F.exists("vector", lambda x: x != 0))
+    distinct, queries = distinct_vectors(whole, is_query, k)
+    sizes = {r.dim: (r.n, r.rows) for r in distinct.groupBy("dim").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("rows")).collect()}
+    plans = {dim: learn(distinct.where(F.col("dim") == dim), n, dim, k) for dim, (n, _) in sizes.items()}
+    if report is not None:
+        report += plans.values()
+    turns = spark.sparkContext.broadcast({dim: p.turns for dim, p in plans.items()})
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
-            codes = np.empty(batch.num_rows, object)
+            units, codes = np.empty(batch.num_rows, object), np.empty(batch.num_rows, object)
             for dim in np.unique(dims).tolist():
                 rows = np.flatnonzero(dims == dim)
                 x = unit(stacked(batch.column("vector").take(pa.array(rows)), dim))
-                codes[rows] = [code.tobytes() for code in codes_of(x, sent.value[dim][0])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary())], names=["id", "vector", "dim", "code"])
-
-    index = checkpointed(vectors.mapInArrow(coded, "id long, vector array<double>, dim int, code binary"))
-
-    def search(a: pa.Table, b: pa.Table, dim: int) -> pa.Table:
-        def parts(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            return t.column("id").to_numpy(), unit(stacked(t.column("vector"), dim)), np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(t.num_rows, -1)
-
-        return search_block(*parts(a), *parts(b), k, sent.value[dim][1])
+                for row, own, code in zip(rows.tolist(), x, codes_of(x, turns.value[dim]), strict=True):
+                    units[row], codes[row] = own, code.tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.select(["vkey", "dim", "ids", "asked"]).columns, pa.array(list(units), pa.list_(pa.float64())), pa.array(codes, pa.binary())], names=["vkey", "dim", "ids", "asked", "unit", "code"])
 
-    n, q = (max((c[i] for c in counts.values()), default=0) for i in (0, 1))
-    return search_in_blocks(index, index.where(is_query), n, q, search, "double", [F.desc("score"), F.asc("vec_id")], k)
+    index = checkpointed(distinct.mapInArrow(coded, "vkey long, dim int, ids array<long>, asked boolean, unit array<double>, code binary"))
+    wanted = spark.createDataFrame([(d, min(k + 1, rows)) for d, (_, rows) in sizes.items()], "dim int, wanted long")
+    left, done, wider = index.where("asked"), None, 0
+    while True:
+        scored = checkpointed(_scored(candidates(index, left, plans, wider), index))
+        counts = scored.groupBy("qkey").agg(F.sum("n_ids").alias("got"))
+        short = left.select("vkey", "dim", "code").join(counts.withColumnRenamed("qkey", "vkey"), "vkey", "left").join(F.broadcast(wanted), "dim").where(F.coalesce("got", F.lit(0)) < F.col("wanted")).drop("got", "wanted")
+        short = checkpointed(short)
+        last = short.isEmpty() or all(p.reach + 2 * wider >= BITS for p in plans.values())
+        kept = scored if last else scored.join(short.select(F.col("vkey").alias("qkey")), "qkey", "left_anti")
+        done = kept if done is None else done.unionByName(kept)
+        if last:
+            return best_of_each(done, index, queries, k)
+        left, wider = short, wider + 1

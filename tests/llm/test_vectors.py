@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from compare import database
 
-from isobar.llm import ann, exact_topk, queries, vectors
+from isobar.llm import ann, exact_topk, queries
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +47,9 @@ def gathered(df):
 
 
 def test_exact_products(spark, table, monkeypatch):
-    monkeypatch.setattr(vectors, "BLOCK_ROWS", 400)
+    monkeypatch.setattr(exact_topk, "ANNULUS_ROWS", 100)
+    monkeypatch.setattr(exact_topk, "GROUP_ROWS", 60)
+    monkeypatch.setattr(exact_topk, "GROUP_QUERIES", 7)
     found = gathered(exact_topk.top_products(table, "id % 50 = 0"))
     want = brute(used(table, True), lambda x, q: np.floor(256 * x) @ np.floor(256 * q), 5)
     assert {k: v for k, v in found.items() if k != 2050} == want and found[2050] == [(2051, 512 * 256 + 256 * 512)]
@@ -66,7 +68,9 @@ def test_large_integers_stay_exact():
 
 
 def test_neighbours(spark, table, monkeypatch):
-    monkeypatch.setattr(vectors, "BLOCK_ROWS", 400)
+    monkeypatch.setattr(ann, "BUCKET_ROWS", 200)
+    monkeypatch.setattr(ann, "GROUP_ROWS", 50)
+    monkeypatch.setattr(ann, "GROUP_QUERIES", 7)
     found = gathered(ann.nearest_by_cosine(table, "id % 50 = 0"))
     want = brute(used(table, False), lambda x, q: (x * q).sum(axis=1) / np.sqrt((x * x).sum(axis=1)) / np.sqrt((q * q).sum()), 5)
     assert set(found) == {*want, 2050}
@@ -90,7 +94,46 @@ def test_recall_on_the_embeddings(spark, sf):
 
 def test_probing_finds_the_whole_ball():
     rng = np.random.default_rng(1)
-    codes = rng.integers(0, 256, (500, 4), dtype=np.uint8)
-    tables = ann.SubstringTables(codes)
-    for radius in (0, 3, 7, 12, 15, 32):
-        assert tables.within(codes[0], radius).tolist() == np.flatnonzero(ann.distances(codes, codes[0]) <= radius).tolist()
+    codes = rng.integers(0, 1 << 16, (500, 4), dtype=np.uint16)
+    codes[100:200] = codes[0] ^ (rng.random((100, 4)) < 0.5) * (1 << rng.integers(0, 16, (100, 4))).astype(np.uint16)
+    queries = codes[:3]
+    for reach, radius in ((0, 64), (0, 3), (2, 11), (5, 20), (16, 64)):
+        found = []
+        for table in range(4):
+            order = np.argsort(codes[:, table], kind="stable")
+            q, r = ann.probe(codes[order], queries, table, 4, reach, radius)
+            found += list(zip(q.tolist(), order[r].tolist(), strict=True))
+        bits = [ann.apart(codes, q) for q in queries]
+        want = {(k, j) for k, b in enumerate(bits) for j in np.flatnonzero((b.min(axis=1) <= reach) & (b.sum(axis=1) <= radius)).tolist()}
+        assert len(found) == len(set(found)) and set(found) == want
+        ball = {(k, j) for k, b in enumerate(bits) for j in np.flatnonzero(b.sum(axis=1) < 4 * (reach + 1)).tolist() if b[j].sum() <= radius}
+        assert ball <= want
+
+
+def clustered(spark, n=4000, centres=60, dim=32):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(centres, dim))[rng.integers(0, centres, n)] + 0.15 * rng.normal(size=(n, dim))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_both_indexes_look_at_few_rows_of_clusters(spark, monkeypatch):
+    rows, table = clustered(spark)
+    plans: list = []
+    found = gathered(ann.nearest_by_cosine(table, "id % 50 = 0", report=plans))
+    want = brute(rows, lambda x, q: (x * q).sum(axis=1) / np.sqrt((x * x).sum(axis=1)) / np.sqrt((q * q).sum()), 5)
+    assert sum(len({i for i, _ in found[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * sum(map(len, want.values()))
+    assert len(plans) == 1 and plans[0].share < 0.2
+    monkeypatch.setattr(exact_topk, "ANNULUS_ROWS", 128)
+    looked: list = []
+    found = gathered(exact_topk.top_products(table, "id % 50 = 0", report=looked))
+    assert found == brute(rows, lambda x, q: np.floor(256 * x) @ np.floor(256 * q), 5)
+    seen, pairs = looked[0]
+    assert seen < 0.5 * pairs
+
+
+def test_a_query_with_few_candidates_probes_wider(spark):
+    """Points along one line and one far from all of them still get k rows."""
+    rows = [(i, [1.0, i / 1000, 0.0, 0.0]) for i in range(300)] + [(5000, [-1.0, 0.2, 3.0, -2.0])]
+    found = gathered(ann.nearest_by_cosine(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "id % 50 = 0"))
+    assert len(found) == 7 and all(len(r) == 5 for r in found.values())
