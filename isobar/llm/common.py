@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
 import os
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Only used where the cluster names no folder, as in tests.
+#: Only used in local mode, as in tests, where the session names no folder.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
 
@@ -24,6 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share; the cluster names it in spark.checkpoint.dir."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return named.rstrip("/") if named else f"file://{LOCAL_CHECKPOINTS}"
 
 
@@ -40,22 +42,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a table written under ``path``: its lineage is cut, and readers take only the columns they need."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a path of the shared folder, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def text_or_empty(column: str = "text") -> Column:
     """A null text counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """A 64-bit key of a row's id and text.
+    """A 128-bit key of a row's id and text, binary.
 
     Rows that repeat an id with another text get another key, rows repeated
     in full share one; a null id has a key of its own.
     """
-    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), text_or_empty(text_col))
+    id_ = F.col(id_col).cast("string")
+    return F.unhex(F.md5(F.concat(F.coalesce(F.concat(F.length(id_).cast("string"), F.lit(":"), id_), F.lit("-")), text_or_empty(text_col)).cast("binary")))
 
 
-def blocks_for(rows: int, block_rows: int) -> int:
-    return max(1, math.ceil(rows / block_rows))
+def whole_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Iterable[str] | None = None) -> DataFrame:
+    """``docs`` as doc (a struct of its columns, or of those in ``carry``), rid (``row_key``), id and text, so that no name of its columns matters; ``doc.*`` gives them back."""
+    names = [f"`{name}`" for name in (docs.columns if carry is None else carry)]
+    doc = F.struct(*names) if names else F.struct(F.lit(0).alias("none"))
+    return docs.select(doc.alias("doc"), row_key(f"`{id_col}`", f"`{text_col}`").alias("rid"), F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("text"))
 
 
 def tokenizer_path(name: str) -> str:

@@ -18,7 +18,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Both steps keep the components and turn each neighbourhood into a star
     around its least node, so the number of rounds grows with the logarithm of
     the longest path. Nothing but two numbers a round comes to the driver. No
-    edges give no rows; loops and null ends are ignored.
+    edges give no rows; loops and null ends are ignored. Each least neighbour
+    is written before it is joined, so a node with very many edges is split
+    between tasks.
     """
     ends = F.struct(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     pairs = edges.where("a <> b").select(ends.alias("e")).select("e.*").distinct()
@@ -29,7 +31,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(current.select(F.col("v").alias("node"), F.col("v").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
         before = state
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _minima(both).withColumn("m", F.least("u", "m"))
+        least = checkpointed(_minima(both).withColumn("m", F.least("u", "m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = checkpointed(large)
         small = large.join(_minima(large), "u")

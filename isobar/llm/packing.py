@@ -12,7 +12,9 @@ ends at least one length, so there are at most ``capacity`` or so fillings.
 Documents then take their places by their rank among the rests of their
 length. Ranks come from salted windows (length, hash of the document) and a
 table of the salts' counts, so a length that a third of all documents have is
-ranked by many tasks.
+ranked by many tasks. There are as many salts as keep a window at about
+``SALT_ROWS`` rows at most, whatever the size of the corpus; their counts stay
+on the cluster, and only a row a length comes to the driver.
 
 A null text is an empty document, which still has its end id. Rows that repeat
 an id are packed one by one; a null id is an id like any other. An empty table
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 from isobar.llm.bpe import encoder
 from isobar.llm.common import checkpointed, map_texts, text_or_empty
 
-SALTS = 64
+SALTS, SALT_ROWS = 64, 100_000
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -112,33 +114,27 @@ def _measured(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_co
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
     spark = docs.sparkSession
-    measured = checkpointed(_measured(docs, tokenizer, end_id, capacity, id_col, text_col).withColumns({
-        "full": F.floor(F.col("doc_tokens") / capacity),
-        "rest": F.col("doc_tokens") % capacity,
-        "salt": F.pmod(F.xxhash64("__id", "__hash"), F.lit(SALTS)),
-    }))
-    by_salt = measured.groupBy("rest", "salt").agg(F.count("*").alias("n"), F.sum("full").alias("n_full"))
+    measured = checkpointed(_measured(docs, tokenizer, end_id, capacity, id_col, text_col).withColumns({"full": F.floor(F.col("doc_tokens") / capacity), "rest": F.col("doc_tokens") % capacity}))
+    salts = max(SALTS, -(-measured.count() // SALT_ROWS))
+    salted = measured.withColumn("salt", F.pmod(F.xxhash64("__id", "__hash"), F.lit(salts)))
+    by_salt = checkpointed(salted.groupBy("rest", "salt").agg(F.count("*").alias("n"), F.sum("full").alias("n_full")))
+    # At most ``capacity`` rows.
+    lengths = [tuple(r) for r in by_salt.groupBy("rest").agg(F.sum("n"), F.sum("n_full")).orderBy("rest").collect()]
+    fillings = plan({rest: n for rest, n, _ in lengths if rest}, capacity)
+    places, windows, fulls = _places(fillings), sum(times for _, times in fillings), []
+    for rest, _, n_full in lengths:
+        fulls.append((rest, windows, places.get(rest)))
+        windows += n_full
+    by_length = spark.createDataFrame(fulls, "rest long, first_full long, places array<struct<rank:long,times:long,window:long,offset:long>>")
     before = Window.partitionBy("rest").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    # At most capacity * SALTS rows: bounded, whatever the number of documents.
-    salts = [tuple(r) for r in by_salt.select("rest", "salt", "n", "n_full", F.coalesce(F.sum("n").over(before), F.lit(0))).orderBy("rest", "salt").collect()]
-    counts: dict[int, int] = {}
-    for rest, _, n, _, _ in salts:
-        if rest:
-            counts[rest] = counts.get(rest, 0) + n
-    fillings = plan(counts, capacity)
-    first_full, bases = sum(times for _, times in fillings), []
-    for rest, salt, _, n_full, rank in salts:
-        bases.append((rest, salt, rank, first_full))
-        first_full += n_full
-    base = spark.createDataFrame(bases, "rest long, salt long, rank_base long, full_base long")
-    places = spark.createDataFrame([(k, v) for k, v in _places(fillings).items()], "rest long, places array<struct<rank:long,times:long,window:long,offset:long>>")
+    base = by_salt.select("rest", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rank_base"), F.coalesce(F.sum("n_full").over(before), F.lit(0)).alias("full_base"))
 
     own = Window.partitionBy("rest", "salt").orderBy("__id", "__hash")
     ranked = (
-        measured.withColumns({"rank": F.row_number().over(own) - 1, "fulls": F.coalesce(F.sum("full").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
-        .join(F.broadcast(base), ["rest", "salt"])
-        .join(F.broadcast(places), "rest", "left")
-        .withColumns({"rank": F.col("rank") + F.col("rank_base"), "fulls": F.col("fulls") + F.col("full_base")})
+        salted.withColumns({"rank": F.row_number().over(own) - 1, "fulls": F.coalesce(F.sum("full").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+        .join(base, ["rest", "salt"])
+        .join(F.broadcast(by_length), "rest")
+        .withColumns({"rank": F.col("rank") + F.col("rank_base"), "fulls": F.col("fulls") + F.col("full_base") + F.col("first_full")})
         .withColumn("place", F.try_element_at(F.filter("places", lambda p: p["rank"] <= F.col("rank")), F.lit(-1)))
     )
     k = F.col("k").cast("long")

@@ -7,12 +7,12 @@ and solved once. Scores of rows that the ridge has not seen are calibrated by
 isotonic regression.
 
 The fit uses at most about ``MAX_ROWS`` labelled rows, taken by a hash of the
-id if there are more; everything else covers all rows. Without any labelled
-row every score is 0.5.
+id if there are more; only these are described for it. Everything else covers
+all rows, in one pass. Without any labelled row every score is 0.5.
 
 A null text counts as empty; empty texts have statistics (zeros) and a score
 like any other. Labels that are null are ignored; an id with several labels
-counts by their mean. Null ids have no label and are held out by no fold. An
+counts by their mean, and of several texts under it the least fits. Null ids have no label and are held out by no fold. An
 empty table gives an empty result. Labels, languages, sources and ids are
 never inputs of a score.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.llm.common import checkpointed, map_texts, text_or_empty
+from isobar.llm.common import checkpointed, map_texts, text_or_empty, whole_rows
 
 FEATURES = 256
 RIDGE = 1e-3
@@ -59,12 +59,13 @@ def statistics(text: str) -> list[float]:
     top = max(Counter(words).values(), default=0)
     distinct = len(set(words))
     pairs = len(set(zip(words, words[1:], strict=False)))
-    return [
+    values = [
         np.log1p(n), np.log1p(len(words)), (n - counts[32]) / m, counts[65:91].sum() / letters, counts[48:58].sum() / n, (counts[32] + counts[9:14].sum()) / n, counts[46] / m, counts[44] / m,
         counts[33] / m, sum(counts[b] for b in SYMBOLS) / n, counts[124] / m, counts[128:].sum() / n, float(-(share * np.log2(share)).sum()),
         np.log1p(distinct) / np.log1p(m), top / m, pairs / max(1, len(words) - 1), 1 - len(set(lines)) / max(1, len(lines)), np.log1p(n / max(1, len(lines))),
         sum(1 for w in words if not w.isalpha() and w.isascii() and not any(65 <= b <= 90 or 97 <= b <= 122 for b in w)) / m, sum(1 for w in words if w[-1] in SYMBOLS or w[-1] == 33) / m,
     ]
+    return list(map(float, values))
 
 
 @dataclass
@@ -109,30 +110,37 @@ def fold(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
 
 
-def with_statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    def start():
-        return lambda texts: [[[float(v) for v in statistics(text)] for text in texts]]
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(-1, len(STATISTICS))
 
-    return map_texts(docs, keep, text_or_empty(text_col), start, [T.StructField("statistics", T.ArrayType(T.DoubleType()))])
 
+def _labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, held_out: int | None, max_rows: int) -> DataFrame:
+    """statistics, y and fold of about ``max_rows`` labelled rows at most, those of fold ``held_out`` left out."""
+    id_ = F.col(f"`{id_col}`")
+    truth = labels.where(F.col(label_col).isNotNull() & id_.isNotNull()).groupBy(id_.alias("id")).agg(F.avg(F.col(label_col).cast("double")).alias("y")).withColumn("fold", fold("id"))
+    if held_out is not None:
+        truth = truth.where(F.col("fold") != held_out)
+    truth = checkpointed(truth)
+    n = truth.count()
+    if n > max_rows:
+        truth = truth.where(F.shiftrightunsigned(F.xxhash64("id"), 1) <= int(max_rows / n * (2**63 - 1024)))
+    # max_rows ids or so: small whatever the corpus, so the texts stay where they are.
+    texts = docs.select(id_.alias("id"), text_or_empty(f"`{text_col}`").alias("text")).join(F.broadcast(truth), "id")
+    texts = texts.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"), F.first("fold").alias("fold"))
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.asarray(column.flatten()).reshape(-1, len(STATISTICS))
+    def start():
+        return lambda texts: [[statistics(text) for text in texts]]
+
+    return checkpointed(map_texts(texts, ["y", "fold"], F.col("text"), start, [T.StructField("statistics", T.ArrayType(T.DoubleType()))]))
 
 
-def fit(described: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", held_out: int | None = 0, calibration: int = 1, max_rows: int = MAX_ROWS, seed: int = 7) -> Model:
-    """Fits on the rows of ``described`` (with statistics) that have a label and are not of fold ``held_out``.
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", held_out: int | None = 0, calibration: int = 1, max_rows: int = MAX_ROWS, seed: int = 7) -> Model:
+    """Fits on the rows of ``docs`` that have a label and are not of fold ``held_out``.
 
     Rows of fold ``calibration`` calibrate, the others fit the ridge.
     """
-    truth = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.avg(F.col(label_col).cast("double")).alias("__y"))
-    rows = described.join(truth, id_col).withColumn("__fold", fold(id_col))
-    if held_out is not None:
-        rows = rows.where(F.col("__fold") != held_out)
-    rows = checkpointed(rows.select("statistics", "__y", "__fold", F.xxhash64(id_col).alias("__hash")))
+    rows = _labelled(docs, labels, label_col, id_col, text_col, held_out, max_rows)
     n = rows.count()
-    if n > max_rows:
-        rows = rows.where(F.pmod("__hash", F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
     width = len(STATISTICS)
     rng = np.random.default_rng(seed)
     waves, phases = rng.normal(size=(width, FEATURES)) / np.sqrt(width / 2), rng.uniform(0, 2 * np.pi, FEATURES)
@@ -151,8 +159,8 @@ def fit(described: DataFrame, labels: DataFrame, label_col: str = "quality", id_
             moment += z.T @ y
         yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()]), pa.array([moment.tobytes()])], names=["gram", "moment"])
 
-    ridge = rows.where(F.col("__fold") != calibration)
-    parts = (ridge if not ridge.isEmpty() else rows).select("statistics", "__y").coalesce(FIT_TASKS).mapInArrow(sums, "gram binary, moment binary").collect()
+    ridge = rows.where(F.col("fold") != calibration)
+    parts = (ridge if not ridge.isEmpty() else rows).select("statistics", "y").coalesce(FIT_TASKS).mapInArrow(sums, "gram binary, moment binary").collect()
     gram = sum(np.frombuffer(p.gram).reshape(FEATURES + 1, -1) for p in parts)
     moment = sum(np.frombuffer(p.moment) for p in parts)
     total = max(1.0, gram[-1, -1])
@@ -160,30 +168,15 @@ def fit(described: DataFrame, labels: DataFrame, label_col: str = "quality", id_
     penalty[-1] = 1e-9
     weights = np.linalg.solve(gram + np.diag(penalty), moment)
     model = Model(mean, scale, waves, phases, weights, np.empty(0), np.empty(0))
-    held = rows.where(F.col("__fold") == calibration)
-    seen = (held if not held.isEmpty() else rows).select("statistics", "__y").toArrow()
+    held = rows.where(F.col("fold") == calibration)
+    seen = (held if not held.isEmpty() else rows).select("statistics", "y").toArrow()
     model.steps, model.values = isotonic(model.raw(_matrix(seen.column(0).combine_chunks())), np.asarray(seen.column(1)))
     return model
 
 
-def score(described: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), threshold: float = 0.3) -> DataFrame:
-    """``keep``, score (0 to 1) and predicted (1 if score >= threshold) of rows with statistics."""
-    sent = described.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*[described.schema[name] for name in keep], T.StructField("score", T.DoubleType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = sent.value.score(_matrix(batch.column(len(keep)))) if batch.num_rows else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], names=schema.names)
-
-    scored = described.select(*keep, "statistics").mapInArrow(run, schema)
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
-
-
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those that the classifier rejects; all columns as they are."""
-    described = checkpointed(with_statistics(docs, (id_col,), text_col))
-    sent = docs.sparkSession.sparkContext.broadcast(fit(described, labels, id_col=id_col))
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """``keep``, score (0 to 1) and predicted (1 if score >= threshold) of every row."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
         def judge(texts: list[str]) -> list:
@@ -192,5 +185,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col
 
         return judge
 
-    scored = map_texts(docs, tuple(docs.columns), text_or_empty(text_col), start, [T.StructField("__score", T.DoubleType())])
-    return scored.where(F.col("__score") >= threshold).drop("__score")
+    scored = map_texts(docs, keep, text_or_empty(f"`{text_col}`"), start, [T.StructField("score", T.DoubleType())])
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without those that the classifier rejects; all columns as they are, whatever their names."""
+    model = fit(docs, labels, id_col=id_col, text_col=text_col)
+    return score(whole_rows(docs, id_col, text_col), model, ("doc",), threshold).where("predicted = 1").select("doc.*")

@@ -58,12 +58,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    described = common.checkpointed(quality.with_statistics(common.table(spark, sf_dir, "documents")))
-    model = quality.fit(described, common.table(spark, sf_dir, "labels"), held_out=0)
-    return quality.score(described, model, threshold=0.3).select("doc_id", F.coalesce(quality.fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+    docs = common.table(spark, sf_dir, "documents")
+    model = quality.fit(docs, common.table(spark, sf_dir, "labels"), held_out=0)
+    return quality.score(docs, model, threshold=0.3).select("doc_id", F.coalesce(quality.fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_multi_index_hashing, op2_sentencepiece, op3_pivot_distance, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing, op10_quality)}
+
+
 def _license_sql() -> str:
     """The scan over exploded words, from the same rule table."""
     def quoted(x: str) -> str:

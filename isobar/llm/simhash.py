@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.llm.common import checkpointed, in_parts, map_texts, row_key, text_or_empty
+from isobar.llm.common import checkpointed, in_parts, map_texts, text_or_empty, whole_rows
 from isobar.llm.components import connected_components
 
 SEED = 42
@@ -235,41 +235,29 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
 
 # --- near-duplicates by shingle similarity --------------------------------
 
-#: Keys by minima of shingle hashes, a first pass: a pair of similarity 0.8 shares none of them once in 3,000 pairs. What it misses, ``missed_links`` finds.
-MINIMA = 5
-#: Fingerprints of shingle sets (repeats count once) of similarity 0.8 differ in 10 bits, with a deviation of 3.
-SIMILAR_RADIUS = 24
-#: Texts under one key before it is joined with the other keys, and then dealt into pairs of chunks.
+#: Minima of a set's hashes by which sets meet: two of similarity 0.8 share none of them once in 1.5e11 pairs, more similar ones less often.
+MINIMA = 16
+#: Bits between fingerprints of shingle sets that are compared at once: at a similarity of 0.8 they differ in 10, with a deviation of 3. What lies beyond is found in the second round.
+SIMILAR_RADIUS = 16
+#: Sets under one key that are compared in one task.
 KEY_LIMIT = 2_000
-#: Times that hashes under which more texts meet are put behind the others.
-ORDERINGS = 3
+#: Sets of a larger group that go to all of its parts.
+AMBASSADORS = 32
 #: A set's hashes are counted in a power of two of buckets, this many or up to twice as many in one; what two sets' counts differ by, the sets differ by at least.
 BUCKET_HASHES = 2
 
+_RNG = np.random.default_rng(SEED)
+_FACTORS = _RNG.integers(0, 1 << 63, (MINIMA, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MASKS = _RNG.integers(0, 1 << 63, (MINIMA, 1), dtype=np.uint64)
 
-def _minima(hashes: np.ndarray) -> list[int]:
-    if not len(hashes):
-        return [0] * MINIMA
-    rng = np.random.default_rng(SEED)
-    factors = rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    masks = rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
-    return [int(((hashes ^ m) * f).min()) for m, f in zip(masks, factors, strict=True)]
 
-
-def _set_key(own: np.ndarray) -> int:
-    return signed(xxhash.xxh3_64_intdigest(own.tobytes()))
-
-
-def _prefix(own: np.ndarray, behind: np.ndarray, min_similarity: float) -> np.ndarray:
-    """The first hashes of a sorted set, with those in ``behind`` (sorted) after all others: sets of ``min_similarity`` or more share one of them.
-
-    The first hash that two such sets share has, in either, at least ``min_similarity * n`` hashes from it on.
-    """
-    n = len(own)
-    if n and len(behind):
-        late = behind[np.minimum(np.searchsorted(behind, own), len(behind) - 1)] == own
-        own = np.concatenate([own[~late], own[late]])
-    return own[: n - math.ceil(min_similarity * n - 1e-9) + 1]
+def _minima(own: np.ndarray) -> np.ndarray:
+    if not len(own):
+        return np.zeros(MINIMA, np.int64)
+    out = np.full(MINIMA, np.iinfo(np.uint64).max)
+    for at in range(0, len(own), 1 << 16):
+        out = np.minimum(out, ((own[None, at : at + (1 << 16)] ^ _MASKS) * _FACTORS).min(axis=1))
+    return out.view(np.int64)
 
 
 def _sketch(own: np.ndarray) -> bytes:
@@ -282,118 +270,116 @@ def _folded(counts: np.ndarray, buckets: int) -> np.ndarray:
     return counts.reshape(len(counts), -1, buckets).sum(axis=1, dtype=np.int16)
 
 
-def _described(docs: DataFrame, shingle: int, min_similarity: float, text_col: str) -> DataFrame:
-    """Each row's rid, shingle-set hash, fp, keys, set size, sketch and prefix."""
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sets (sorted, without repeats) have a Jaccard similarity of ``least`` or more."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= least * (len(a) + len(b) - both)
+
+
+def _described(docs: DataFrame, shingle: int) -> DataFrame:
+    """Each row's id, rid, 128-bit hash of its shingle set, fp, minima, set size and sketch."""
 
     def start():
         def describe(texts: list[str]) -> list:
-            sets, fps, keys, sizes, sketches, prefixes = [], [], [], [], [], []
+            sets, fps, minima, sizes, sketches = [], [], [], [], []
             for text in texts:
-                hashes = shingle_hashes(text, shingle)
-                own = np.unique(hashes)
-                sets.append(_set_key(own))
+                own = np.unique(shingle_hashes(text, shingle))
+                sets.append(xxhash.xxh3_128_digest(own.tobytes()))
                 fps.append(signed(majority(own)))
-                keys.append([signed(x) for x in _minima(own)])
+                minima.append(_minima(own))
                 sizes.append(len(own))
                 sketches.append(_sketch(own))
-                prefixes.append(_prefix(own, own[:0], min_similarity).view(np.int64))
-            return [sets, fps, keys, sizes, sketches, prefixes]
+            return [sets, fps, minima, sizes, sketches]
 
         return describe
 
-    longs = T.ArrayType(T.LongType())
-    kinds = [T.StructField("set", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("keys", longs), T.StructField("size", T.IntegerType()), T.StructField("sketch", T.BinaryType()), T.StructField("prefix", longs)]
-    return map_texts(docs, ["__id", "__rid"], text_or_empty(text_col), start, kinds)
+    kinds = [T.StructField("set", T.BinaryType()), T.StructField("fp", T.LongType()), T.StructField("minima", T.ArrayType(T.LongType())), T.StructField("size", T.IntegerType()), T.StructField("sketch", T.BinaryType())]
+    return map_texts(docs, ["id", "rid"], F.col("text"), start, kinds)
 
 
 def _of_rows(docs: DataFrame, rids: DataFrame, how: str, broadcast_rows: int) -> DataFrame:
-    """The rows of ``docs`` in (or not in) ``rids``; the ids are broadcast only if counted to be few, else both sides are shuffled."""
-    return docs.join(F.broadcast(rids) if rids.count() <= broadcast_rows else rids.hint("merge"), "__rid", how)
+    """The rows of ``docs`` in (or not in) ``rids``; these are broadcast only if counted to be few, else both sides are shuffled."""
+    return docs.join(F.broadcast(rids) if rids.count() <= broadcast_rows else rids.hint("merge"), "rid", how)
 
 
 def _classes(described: DataFrame) -> DataFrame:
-    """A row for each distinct shingle set, with the rid of its first row."""
-    own = [F.first(c).alias(c) for c in ("fp", "keys", "size", "sketch", "prefix")]
-    return described.groupBy("set").agg(F.min_by("__rid", F.struct(F.col("__id").isNull(), "__id", "__rid")).alias("__rid"), *own)
-
-
-def similarity_links(classes: DataFrame, docs: DataFrame, shingle: int, min_similarity: float, text_col: str, key_limit: int, broadcast_rows: int) -> DataFrame:
-    """Links (a, b) between distinct shingle sets, each confirmed by its exact similarity: nearly all, and all that are worth a comparison of fingerprints."""
-    keyed = classes.select("set", "__rid", "fp", "keys", F.posexplode("keys").alias("k", "minimum")).withColumn("key", F.xxhash64("k", "minimum"))
-    shared = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    keyed = keyed.join(shared, "key")
-    if not shared.where(F.col("n") > key_limit).isEmpty():
-        others = F.transform(F.array_compact(F.transform("keys", lambda m, i: F.when(i != F.col("k"), F.struct(i.alias("i"), m.alias("m"))))), lambda o: F.xxhash64(F.least("k", o["i"]), F.greatest("k", o["i"]), F.least("minimum", o["m"]), F.greatest("minimum", o["m"])))
-        keyed = keyed.withColumn("key", F.explode(F.when(F.col("n") > key_limit, others).otherwise(F.array("key"))))
-        keyed = split_large(keyed.select("key", "set", "fp", "__rid").distinct(), "set", key_limit)
-    keyed = checkpointed(keyed.select("key", "set", "fp", "__rid").distinct())
-    members = checkpointed(keyed.select("__rid").distinct())
+    """A row for each distinct shingle set: cls (a number), its first row, and what describes it."""
+    own = [F.first(c).alias(c) for c in ("fp", "minima", "size", "sketch")]
+    first = F.min(F.struct(F.col("id").isNull().alias("no"), F.col("id").alias("id"), F.col("rid").alias("rid")))
+    return described.groupBy("set").agg(first.alias("first"), *own).drop("set").withColumn("cls", F.monotonically_increasing_id())
+
+
+def _sets(classes: DataFrame, docs: DataFrame, wanted: DataFrame, shingle: int, broadcast_rows: int) -> DataFrame:
+    """(cls, hashes): the whole sets, as sorted little-endian 64-bit hashes, of the ``wanted`` classes."""
+    rows = checkpointed(classes.select("cls", F.col("first.rid").alias("rid")).join(wanted, "cls", "left_semi"))
 
     def start():
-        return lambda texts: [[np.unique(shingle_hashes(text, shingle) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for text in texts]]
+        return lambda texts: [[np.unique(shingle_hashes(text, shingle)).astype("<u8").tobytes() for text in texts]]
 
-    few = _of_rows(docs.select("__rid", F.col(text_col).alias("__own")), members, "left_semi", broadcast_rows)
-    sets = map_texts(few, ["__rid"], text_or_empty("__own"), start, [T.StructField("hashes", T.BinaryType())]).dropDuplicates(["__rid"])
+    texts = _of_rows(docs.select("rid", "text"), rows, "inner", broadcast_rows)
+    return map_texts(texts, ["cls"], F.col("text"), start, [T.StructField("hashes", T.BinaryType())]).dropDuplicates(["cls"])
+
+
+def _ambassadors(keyed: DataFrame, limit: int) -> DataFrame:
+    """``keyed`` (key, cls) with groups of more than ``limit`` rows dealt into parts; ``AMBASSADORS`` of the group go to all of them, so that what is like these becomes one class."""
+    large = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit))
+    if large.isEmpty():
+        return keyed
+    parts = F.ceil(F.col("n") / limit)
+    dealt = keyed.join(large, "key", "left").withColumn("key", F.when(F.col("n").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.pmod(F.xxhash64("cls", F.lit(SEED)), parts)))).drop("n")
+    sent = keyed.join(large, "key").groupBy("key", F.pmod(F.xxhash64("cls", F.lit(SEED + 1)), F.lit(AMBASSADORS)).alias("seat")).agg(F.min("cls").alias("cls"), F.first("n").alias("n"))
+    everywhere = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda x: F.xxhash64("key", x))
+    return dealt.select("key", "cls").union(sent.select(F.explode(everywhere).alias("key"), "cls")).distinct()
+
+
+def nearby_links(classes: DataFrame, docs: DataFrame, shingle: int, min_similarity: float, key_limit: int, broadcast_rows: int) -> DataFrame:
+    """First round: links (a, b) between classes that share the first minimum, through BK-trees of their fingerprints, each confirmed on the whole sets.
+
+    It makes one class of most near copies, so that the second round has few
+    groups left to look at.
+    """
+    keyed = classes.where("size > 0").select(F.col("minima")[0].alias("key"), "cls")
+    shared = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    keyed = checkpointed(_ambassadors(checkpointed(keyed.join(shared, "key", "left_semi")), key_limit))
+    sets = _sets(classes, docs, keyed.select("cls").distinct(), shingle, broadcast_rows)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
             ids, fps = run.column(1).to_pylist(), [fp & (1 << 64) - 1 for fp in run.column(2).to_pylist()]
-            own = [np.frombuffer(x, "<u4") for x in run.column(3).to_pylist()]
-
-            def alike(i: int, j: int) -> bool:
-                a, b = own[i], own[j]  # noqa: B023
-                if min(len(a), len(b)) < min_similarity * max(len(a), len(b)):
-                    return False
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                return both >= min_similarity * (len(a) + len(b) - both)
-
-            firsts = linked(fps, SIMILAR_RADIUS, alike)
+            own = [np.frombuffer(x, "<u8") for x in run.column(3).to_pylist()]
+            firsts = linked(fps, SIMILAR_RADIUS, lambda i, j, own=own: similar(own[i], own[j], min_similarity))
             pairs = [(ids[k], ids[first]) for k, first in enumerate(firsts) if k != first]
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs, strict=True)], names=["a", "b"])
 
-    return keyed.join(sets, "__rid").select("key", "set", "fp", "hashes").repartition("key").sortWithinPartitions("key", "set").mapInArrow(link, "a long, b long")
+    drawn = keyed.join(classes.select("cls", "fp"), "cls").join(sets, "cls").select("key", "cls", "fp", "hashes")
+    return drawn.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(link, "a long, b long")
 
 
-def missed_links(classes: DataFrame, roots: DataFrame, docs: DataFrame, shingle: int, min_similarity: float, text_col: str, key_limit: int, broadcast_rows: int) -> DataFrame:
-    """Links (a, b) between all similar shingle sets whose ``roots`` differ.
+def remaining_links(classes: DataFrame, roots: DataFrame, docs: DataFrame, shingle: int, min_similarity: float, key_limit: int, broadcast_rows: int) -> DataFrame:
+    """Second round: links (a, b) between all similar classes whose ``roots`` differ and that share any minimum.
 
-    Similar sets share a hash of their prefixes in whatever order of hashes.
-    Those under which more than ``key_limit`` sets meet are put last in it, as
-    often as that helps, and what is still larger is cut by set size, each band
-    with the next, and dealt into pairs of chunks. Bounds on sizes and sketches
-    only exclude pairs that cannot be similar.
+    Groups of a minimum that are one component already are left out. Bounds on
+    sizes and sketches exclude only pairs that cannot be similar; what is left
+    is confirmed on the whole sets. Groups of more than ``key_limit`` classes
+    are cut by set size, each band with the next, and dealt into pairs of
+    chunks: a sketch is sent n / key_limit times where n different classes of
+    one size share a minimum and are not one component.
     """
-    members = classes.where("size > 0").select("set", "__rid", "size", "sketch", "prefix").join(roots.withColumnRenamed("root", "linked"), "set", "left")
-    members = checkpointed(members.withColumn("root", F.coalesce("linked", "set")).drop("linked"))
-    behind = np.empty(0, np.uint64)
-    for turn in range(ORDERINGS + 1):
-        met = members.select("root", F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
-        met = checkpointed(met.where("least <> most").select("key", "n"))
-        found = np.array([r.key for r in met.where(F.col("n") > key_limit).select("key").collect()], np.int64).view(np.uint64) if turn < ORDERINGS else behind
-        new = np.setdiff1d(found, behind)
-        if not len(new):
-            break
-        behind = np.union1d(behind, new)
-        hot = met.where(F.col("n") > key_limit).select("key")
-        touched = checkpointed(members.select("__rid", F.explode("prefix").alias("key")).join(F.broadcast(hot), "key", "left_semi").select("__rid").distinct())
-
-        def start(behind: np.ndarray = behind):
-            return lambda texts: [[_prefix(np.unique(shingle_hashes(text, shingle)), behind, min_similarity).view(np.int64) for text in texts]]
-
-        rows = _of_rows(docs.select("__rid", F.col(text_col).alias("__own")), touched, "left_semi", broadcast_rows)
-        anew = map_texts(rows, ["__rid"], text_or_empty("__own"), start, [T.StructField("anew", T.ArrayType(T.LongType()))]).dropDuplicates(["__rid"])
-        members = checkpointed(members.join(anew, "__rid", "left").withColumn("prefix", F.coalesce("anew", "prefix")).drop("anew"))
-
-    few = met.count() <= broadcast_rows
-    keyed = members.select("set", "size", F.explode("prefix").alias("key")).join(F.broadcast(met) if few else met.hint("merge"), "key")
+    members = classes.where("size > 0").select("cls", "size", "sketch", "minima").join(roots.select(F.col("node").alias("cls"), F.col("root").alias("linked")), "cls", "left")
+    members = checkpointed(members.withColumn("root", F.coalesce("linked", "cls")).drop("linked"))
+    keyed = members.select("cls", "root", "size", F.posexplode("minima").alias("k", "minimum")).withColumn("key", F.xxhash64("k", "minimum"))
+    met = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key", "n"))
+    keyed = checkpointed(keyed.select("key", "cls", "size").join(met, "key"))
     band = F.floor(F.log("size") / math.log(1.01 / min_similarity))
     keyed = keyed.withColumn("key", F.explode(F.when(F.col("n") > key_limit, F.array(F.xxhash64("key", band), F.xxhash64("key", band + 1))).otherwise(F.array("key"))))
-    keyed = split_large(checkpointed(keyed.select("key", "set").distinct()), "set", key_limit)
+    keyed = split_large(checkpointed(keyed.select("key", "cls")), "cls", key_limit)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
-            sets, own, sizes = (run.column(k).to_numpy() for k in (1, 2, 3))
+            ids, own, sizes = (run.column(k).to_numpy() for k in (1, 2, 3))
             if (own == own[0]).all():
                 continue
             sketches = [np.frombuffer(x, np.uint8) for x in run.column(4).to_pylist()]
@@ -413,35 +399,21 @@ def missed_links(classes: DataFrame, roots: DataFrame, docs: DataFrame, shingle:
                 both = int(sizes[i]) + sizes[others]
                 near = others[apart <= both * ((1 - min_similarity) / (1 + min_similarity)) + 1e-6]
                 if len(near):
-                    pairs = np.sort(np.stack([np.full(len(near), sets[i]), sets[near]]), axis=0)
+                    pairs = np.sort(np.stack([np.full(len(near), ids[i]), ids[near]]), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    drawn = keyed.select("key", "set").join(members.select("set", "root", "size", "sketch"), "set").select("key", "set", "root", "size", "sketch")
+    drawn = keyed.join(members.select("cls", "root", "size", "sketch"), "cls").select("key", "cls", "root", "size", "sketch")
     pairs = checkpointed(drawn.repartition("key").sortWithinPartitions("key", "size").mapInArrow(meet, "a long, b long").distinct())
     if pairs.isEmpty():
         return pairs
-
-    def hashes():
-        def whole(texts: list[str]) -> list:
-            own = [np.unique(shingle_hashes(text, shingle)) for text in texts]
-            return [[_set_key(x) for x in own], [x.tobytes() for x in own]]
-
-        return whole
-
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(members, "set").select("__rid")
-    texts = _of_rows(docs.select("__rid", F.col(text_col).alias("__own")), checkpointed(ends), "left_semi", broadcast_rows)
-    sets = checkpointed(map_texts(texts, [], text_or_empty("__own"), hashes, [T.StructField("set", T.LongType()), T.StructField("hashes", T.BinaryType())]).dropDuplicates(["set"]))
+    sets = checkpointed(_sets(classes, docs, pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), shingle, broadcast_rows))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            keep = []
-            for one, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = np.frombuffer(one, "<u8"), np.frombuffer(other, "<u8")
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(both >= min_similarity * (len(a) + len(b) - both))
+            keep = [similar(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), min_similarity) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
-    of = lambda end: sets.select(F.col("set").alias(end), F.col("hashes").alias(f"of_{end}"))
+    of = lambda end: sets.select(F.col("cls").alias(end), F.col("hashes").alias(f"of_{end}"))
     return checkpointed(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(confirm, "a long, b long"))
 
 
@@ -449,31 +421,30 @@ def simhash_dedup(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.8
     """``docs`` with one row of each near-duplicate class, that of the smallest id (null ids last).
 
     Texts are alike if the Jaccard similarity of their word-shingle sets is
-    ``min_similarity`` or more. A first pass takes candidates that share a
-    minimum of hashed shingles and lie near one another in a BK-tree of SimHash
-    fingerprints; a second takes all that share a hash of their prefixes, so
-    none is missed. Every link is confirmed by the exact similarity of whole
-    sets. Texts without words are copies of each other. All columns are kept
-    as they are.
+    ``min_similarity`` or more; classes are the components. Texts without
+    words are copies of each other. Sets meet where they share one of
+    ``MINIMA`` minima of hashed shingles: first those that lie near one another
+    in BK-trees of SimHash fingerprints (over the set, so repeats do not
+    matter), then all others that bounds do not exclude. Every link is
+    confirmed by the exact similarity of whole sets. All columns are kept as
+    they are, whatever their names.
     """
-    keyed = docs.withColumn("__rid", row_key(id_col, text_col))
-    described = checkpointed(_described(keyed.withColumn("__id", F.col(id_col)), shingle, min_similarity, text_col))
-    classes, how = checkpointed(_classes(described)), (keyed, shingle, min_similarity, text_col, key_limit, broadcast_rows)
-    links = checkpointed(similarity_links(classes, *how))
-    roots = checkpointed(connected_components(links).withColumnRenamed("node", "set"))
-    missed = missed_links(classes, roots, *how)
-    if not missed.isEmpty():
-        roots = connected_components(links.union(missed)).withColumnRenamed("node", "set")
-    # A class's copies first: partial sums take a hot class before the shuffle.
-    least = F.min(F.struct(F.col("__id").isNull().alias("no"), F.col("__id").alias("id"), F.col("__rid").alias("rid"))).alias("first")
-    firsts = described.groupBy("set").agg(least).join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    kept = firsts.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("__rid"))
-    rows = checkpointed(described.groupBy("__rid").agg(F.count("*").alias("n")))
-    kept = checkpointed(kept.join(rows, "__rid"))
-    dropped = checkpointed(rows.select("__rid").join(kept, "__rid", "left_anti"))
-    left = _of_rows(keyed, dropped, "left_anti", broadcast_rows)
-    repeated = kept.where("n > 1").select("__rid")
+    rows = whole_rows(docs, id_col, text_col)
+    described = checkpointed(_described(rows, shingle))
+    classes, how = checkpointed(_classes(described)), (rows, shingle, min_similarity, key_limit, broadcast_rows)
+    links = checkpointed(nearby_links(classes, *how))
+    roots = checkpointed(connected_components(links))
+    more = remaining_links(classes, roots, *how)
+    if not more.isEmpty():
+        roots = connected_components(links.union(more))
+    of_class = classes.select("cls", "first").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    kept = of_class.groupBy(F.coalesce("root", "cls").alias("root")).agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
+    times = described.groupBy("rid").agg(F.count("*").alias("n"))
+    kept = checkpointed(kept.join(times, "rid"))
+    dropped = checkpointed(described.select("rid").join(kept, "rid", "left_anti").distinct())
+    left = _of_rows(rows.select("doc", "rid"), dropped, "left_anti", broadcast_rows)
+    repeated = kept.where("n > 1").select("rid")
     if repeated.isEmpty():
-        return left.drop("__rid")
+        return left.select("doc.*")
     once = _of_rows(left, repeated, "left_anti", broadcast_rows)
-    return once.unionByName(_of_rows(left, repeated, "left_semi", broadcast_rows).dropDuplicates(["__rid"])).drop("__rid")
+    return once.unionByName(_of_rows(left, repeated, "left_semi", broadcast_rows).dropDuplicates(["rid"])).select("doc.*")

@@ -27,7 +27,7 @@ whole at any length.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from isobar.llm.common import checkpointed, in_parts, map_texts, row_key, text_or_empty
+from isobar.llm.common import checkpointed, in_parts, map_texts, remove, scratch_path, whole_rows, written
 from isobar.llm.simhash import runs
 
 GRAM = 32
@@ -46,6 +47,8 @@ SORT_ROWS = 20_000
 SPLIT_ROWS = 100_000
 #: Places and spans are broadcast up to this many bytes, by count; beyond it the texts are shuffled to them.
 BROADCAST_BYTES = 64 << 20
+#: What a row of them takes in a broadcast table, beside its places.
+ROW_BYTES = 160
 
 _BYTES = np.random.default_rng(17).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = 0x9E3779B97F4A7C15
@@ -113,8 +116,8 @@ def _largest_around(least: np.ndarray, span: int, n: int) -> np.ndarray:
 MARK = T.StructType([T.StructField("gram", T.LongType()), T.StructField("around", T.LongType()), T.StructField("at", T.IntegerType())])
 
 
-def _marked(docs: DataFrame, threshold: int, text_col: str) -> DataFrame:
-    """A row for each mark: rid, gram, around (hash of all windows over the mark) and at."""
+def _marked(docs: DataFrame, threshold: int) -> DataFrame:
+    """rid and marks (gram, around (hash of all windows over the mark) and at) of every row that has any."""
     reach = threshold - GRAM
 
     def start():
@@ -134,7 +137,7 @@ def _marked(docs: DataFrame, threshold: int, text_col: str) -> DataFrame:
 
         return mark
 
-    return map_texts(docs, ["__rid"], text_or_empty(text_col), start, [T.StructField("marks", T.ArrayType(MARK))]).select("__rid", F.inline("marks"))
+    return map_texts(docs, ["rid"], F.col("text"), start, [T.StructField("marks", T.ArrayType(MARK))]).where(F.size("marks") > 0)
 
 
 def _passes(group: np.ndarray, digits: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -182,7 +185,8 @@ def _stretches(reach: int) -> list[tuple[int, int]]:
 def _shared(reach: int) -> Column:
     """What two marks' surroundings share if a window that starts low..high-1 bytes before the mark is equal: low bytes before it, and those behind it; null where a text's end is nearer."""
     low, behind = F.col("low"), F.lit(reach + 1) - F.col("high")
-    key = F.xxhash64("gram", "low", "high", F.substring("before", F.length("before") - low + 1, low), F.substring("after", F.lit(1), behind))
+    own = F.substring("before", F.length("before") - low + 1, low), F.substring("after", F.lit(1), behind)
+    key = F.unhex(F.md5(F.concat(F.concat_ws(",", F.col("gram").cast("string"), low.cast("string"), F.col("high").cast("string"), F.lit("")).cast("binary"), *own)))
     return F.when((F.length("before") >= low) & (F.length("after") >= behind), key)
 
 
@@ -194,7 +198,7 @@ def _split(cuts: DataFrame, grams: DataFrame, reach: int, threshold: int) -> tup
     in half. Where the key is the whole window, counting is enough, and partial
     sums take a hot window before the shuffle.
     """
-    hot = checkpointed(cuts.join(grams, "gram", "left_semi").dropDuplicates(["gram", "__rid", "at"]))
+    hot = checkpointed(cuts.join(grams, "gram", "left_semi").dropDuplicates(["gram", "rid", "at"]))
 
     def stretch(edges: list[tuple[Column, Column]]) -> Column:
         return F.explode(F.array(*[F.struct(low.cast("int").alias("low"), high.cast("int").alias("high")) for low, high in edges]))
@@ -204,49 +208,52 @@ def _split(cuts: DataFrame, grams: DataFrame, reach: int, threshold: int) -> tup
 
     single = F.col("high") - F.col("low") == 1
     level = keyed(hot.withColumn("stretch", stretch([(F.lit(low), F.lit(high)) for low, high in _stretches(reach)])))
-    windows, dealt = level.where(single).select("__rid", "at", "key", "low"), hot.limit(0)
+    windows, dealt = level.where(single).select("rid", "at", "key", "low"), hot.limit(0)
     while True:
         wide = level.where(~single)
         large = checkpointed(wide.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT_ROWS).select("key"))
-        dealt = dealt.unionByName(wide.join(F.broadcast(large), "key", "left_anti").withColumn("gram", F.col("key")).select(hot.columns))
+        dealt = dealt.unionByName(wide.join(F.broadcast(large), "key", "left_anti").withColumn("gram", F.xxhash64("key")).select(hot.columns))
         if large.isEmpty():
             break
         middle = F.floor((F.col("low") + F.col("high")) / 2)
         halves = wide.join(F.broadcast(large), "key", "left_semi").withColumn("stretch", stretch([(F.col("low"), middle), (middle, F.col("high"))]))
         level = keyed(halves.select(*hot.columns, "stretch"))
-        windows = windows.unionByName(level.where(single).select("__rid", "at", "key", "low"))
+        windows = windows.unionByName(level.where(single).select("rid", "at", "key", "low"))
     twice = checkpointed(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    spans = windows.join(twice, "key").select("__rid", (F.col("at") - F.col("low")).alias("start"), (F.col("at") - F.col("low") + threshold).alias("end"))
+    spans = windows.join(twice, "key").select("rid", (F.col("at") - F.col("low")).alias("start"), (F.col("at") - F.col("low") + threshold).alias("end"))
     return cuts.join(grams, "gram", "left_anti").unionByName(dealt), spans
 
 
 def _beside(texts: DataFrame, found: DataFrame, n_bytes: int, how: str) -> DataFrame:
-    """``texts`` with what was found for them by __rid; broadcast only if counted to be small, else both are shuffled."""
-    return texts.join(F.broadcast(found) if n_bytes <= BROADCAST_BYTES else found.hint("merge"), "__rid", how)
+    """``texts`` with what was found for them by rid; broadcast only if counted to be small, else both are shuffled."""
+    return texts.join(F.broadcast(found) if n_bytes <= BROADCAST_BYTES else found.hint("merge"), "rid", how)
 
 
-def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text") -> DataFrame:
-    """(__rid, starts, ends): the byte spans of ``docs`` (with a column __rid) that repeated windows cover.
+def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
+    """(rid, starts, ends): the byte spans of ``docs`` (rid and text, no nulls) that repeated windows cover.
 
     Spans are merged and in order; they can begin before 0 and end behind the
     text, where all windows up to its end are repeated.
     """
     reach = threshold - GRAM
-    marked = _marked(docs, threshold, text_col)
+    # Written once, as it is read twice: a text is hashed once.
+    at = scratch_path(docs.sparkSession, "marks")
+    marked = written(_marked(docs, threshold), at).select("rid", F.inline("marks"))
     grams = marked.groupBy("gram").agg(F.count("*").alias("n"), F.min("around").alias("least"), F.max("around").alias("most")).where("n > 1")
     grams = checkpointed(grams.select("gram", (F.col("least") != F.col("most")).alias("mixed")))
     repeated = checkpointed(marked.join(grams, "gram"))
     mixed = repeated.where("mixed")
     # Written first, so that both sides of the join are plain exchanges and a class with most of the marks is split.
-    classes = checkpointed(mixed.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("__rid", "at")).alias("one")))
-    counted = checkpointed(mixed.join(classes, ["gram", "around"]).select("gram", "__rid", "at", (F.col("n") > 1).alias("several"), (F.struct("__rid", "at") == F.col("one")).alias("first")))
-    full = repeated.where("not mixed").select("__rid", "at").union(counted.where("several").select("__rid", "at"))
-    full = full.select("__rid", (F.col("at") - reach).alias("start"), (F.col("at") + threshold).alias("end"))
+    classes = checkpointed(mixed.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("rid", "at")).alias("one")))
+    counted = checkpointed(mixed.join(classes, ["gram", "around"]).select("gram", "rid", "at", (F.col("n") > 1).alias("several"), (F.struct("rid", "at") == F.col("one")).alias("first")))
+    full = repeated.where("not mixed").select("rid", "at").union(counted.where("several").select("rid", "at"))
+    full = full.select("rid", (F.col("at") - reach).alias("start"), (F.col("at") + threshold).alias("end"))
 
     firsts = counted.where("first")
-    wanted = firsts.groupBy("__rid").agg(F.collect_list(F.struct("gram", "at")).alias("w"))
-    wanted = wanted.select("__rid", F.transform("w", lambda w: w["gram"]).alias("grams"), F.transform("w", lambda w: w["at"]).alias("places"))
-    texts = _beside(docs.select("__rid", text_or_empty(text_col).alias("__own")), wanted, 12 * firsts.count(), "inner")
+    wanted = firsts.groupBy("rid").agg(F.collect_list(F.struct("gram", "at")).alias("w"))
+    wanted = wanted.select("rid", F.transform("w", lambda w: w["gram"]).alias("grams"), F.transform("w", lambda w: w["at"]).alias("places"))
+    size = firsts.agg(F.countDistinct("rid").alias("rows"), F.count("*").alias("marks")).first()
+    texts = _beside(docs.select("rid", "text"), wanted, ROW_BYTES * size["rows"] + 16 * size["marks"], "inner")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
@@ -256,15 +263,15 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
                 rows += [(g, rid, a, data[max(0, a - reach) : a], data[a + GRAM : a + threshold]) for g, a in zip(own, places, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(column, f.type) for column, f in zip(zip(*rows, strict=True) if rows else [()] * 5, around, strict=True)], schema=around)
 
-    around = pa.schema([("gram", pa.int64()), ("__rid", pa.int64()), ("at", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
-    cuts = texts.select("__rid", "__own", "grams", "places").mapInArrow(cut, "gram long, __rid long, at int, before binary, after binary")
+    around = pa.schema([("gram", pa.int64()), ("rid", pa.binary()), ("at", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
+    cuts = texts.select("rid", "text", "grams", "places").mapInArrow(cut, "gram long, rid binary, at int, before binary, after binary")
     large = checkpointed(firsts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT_ROWS).select("gram"))
     whole = None
     if not large.isEmpty():
         cuts, whole = _split(cuts, large, reach, threshold)
     # Rows that repeat each other in full have been cut more than once.
-    cuts = cuts.repartition("gram").sortWithinPartitions("gram", "__rid", "at")
-    found = pa.schema([("__rid", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+    cuts = cuts.repartition("gram").sortWithinPartitions("gram", "rid", "at")
+    found = pa.schema([("rid", pa.binary()), ("start", pa.int32()), ("end", pa.int32())])
 
     def radix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -277,7 +284,7 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
             yield sort(pa.concat_tables(held))
 
     def sort(table: pa.Table) -> pa.RecordBatch:
-        gram, rid, at = (table.column(k).to_numpy() for k in range(3))
+        gram, at, rid = table.column(0).to_numpy(), table.column(2).to_numpy(), np.array(table.column(1).to_pylist(), object)
         first = np.ones(len(gram), bool)
         first[1:] = (gram[1:] != gram[:-1]) | (rid[1:] != rid[:-1]) | (at[1:] != at[:-1])
         table, gram, rid, at = table.filter(pa.array(first)), gram[first], rid[first], at[first]
@@ -293,7 +300,7 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
                     rows.append((r, a - back, a - back + threshold))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [()] * 3, found, strict=True)], schema=found)
 
-    spans = full.union(cuts.mapInArrow(radix, "__rid long, start int, end int"))
+    spans = full.union(cuts.mapInArrow(radix, "rid binary, start int, end int"))
     if whole is not None:
         spans = spans.union(whole)
 
@@ -301,9 +308,11 @@ def repeated_spans(docs: DataFrame, threshold: int = 200, text_col: str = "text"
         for batch in batches:
             unions = [merged([(s["start"], s["end"]) for s in own]) for own in batch.column(1).to_pylist()]
             sides = [pa.array([[span[k] for span in union] for union in unions], pa.list_(pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *sides], names=["__rid", "starts", "ends"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *sides], names=["rid", "starts", "ends"])
 
-    return spans.groupBy("__rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")).mapInArrow(merge, "__rid long, starts array<int>, ends array<int>")
+    out = checkpointed(spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")).mapInArrow(merge, "rid binary, starts array<int>, ends array<int>"))
+    remove(docs.sparkSession, at)
+    return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -336,35 +345,47 @@ def remove_repeats(docs: DataFrame, threshold: int = 200, id_col: str = "doc_id"
 
     Outputs: spans (array<struct<start, end>>, maximal removed runs in bytes),
     kept (the remaining text, where a character cut in part stays), kept_sha256
-    (lowercase hex digest of exactly the remaining bytes).
+    (lowercase hex digest of exactly the remaining bytes). ``keep`` must not
+    name a column as one of these.
     """
-    keyed = docs.withColumn("__rid", row_key(id_col, text_col))
-    spans = checkpointed(repeated_spans(keyed.select("__rid", text_col), threshold, text_col))
-    n_bytes = spans.agg(F.sum(8 * F.size("starts") + 64)).first()[0] or 0
-    rows = _beside(keyed.select(*keep, "__rid", text_or_empty(text_col).alias("__own")), spans, n_bytes, "left").select(*keep, "__own", "starts", "ends")
+    new = ("n_bytes", "n_removed", "n_spans", *outputs)
+    found = _cut(docs, threshold, id_col, text_col, keep, outputs)
+    return found.select(*[F.col(f"doc.`{name}`").alias(name) for name in keep], *new)
+
+
+def without_repeats(docs: DataFrame, threshold: int = 200, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``docs`` with what is left of each text, and its length in characters in ``count_col``; all other columns as they are, whatever their names."""
+    new = {text_col: F.col("kept")} | ({count_col: F.length("kept").cast(docs.schema[count_col].dataType)} if count_col in docs.columns else {})
+    found = _cut(docs, threshold, id_col, text_col, [name for name in docs.columns if name not in new], ("kept",))
+    return found.select(*[(new[name] if name in new else F.col(f"doc.`{name}`")).alias(name) for name in docs.columns])
+
+
+def _cut(docs: DataFrame, threshold: int, id_col: str, text_col: str, carry: Iterable[str], outputs: tuple[str, ...]) -> DataFrame:
+    """doc (the columns ``carry``), n_bytes, n_removed, n_spans and the named outputs of every row."""
+    whole = whole_rows(docs, id_col, text_col, carry)
+    spans = repeated_spans(whole.select("rid", "text"), threshold)
+    n_bytes = spans.agg(F.sum(8 * F.size("starts") + ROW_BYTES)).first()[0] or 0
+    rows = _beside(whole.select("doc", "rid", "text"), spans, n_bytes, "left").select("doc", "text", "starts", "ends")
     kinds = {"spans": T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])), "kept": T.StringType(), "kept_sha256": T.StringType()}
     make = {
         "spans": lambda data, runs: [{"start": s, "end": e} for s, e in runs],
         "kept": lambda data, runs: without(data, runs, whole_characters=True).decode(),
         "kept_sha256": lambda data, runs: hashlib.sha256(without(data, runs)).hexdigest(),
     }
-    kept_fields = [rows.schema[name] for name in keep]
     counts = [T.StructField(name, T.LongType()) for name in ("n_bytes", "n_removed", "n_spans")]
-    schema = T.StructType([*kept_fields, *counts, *(T.StructField(name, kinds[name]) for name in outputs)])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow, n = to_arrow_schema(schema), len(keep)
+    schema = T.StructType([rows.schema["doc"], *counts, *(T.StructField(name, kinds[name]) for name in outputs)])
+    arrow = to_arrow_schema(schema)
 
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
             columns: list[list] = [[] for _ in range(3 + len(outputs))]
-            for text, starts, ends in zip(*(batch.column(n + k).to_pylist() for k in range(3)), strict=True):
+            for text, starts, ends in zip(*(batch.column(1 + k).to_pylist() for k in range(3)), strict=True):
                 data = text.encode()
                 spans = [(max(s, 0), min(e, len(data))) for s, e in zip(starts or (), ends or (), strict=True)]
                 values = [len(data), sum(e - s for s, e in spans), len(spans), *(make[o](data, spans) for o in outputs)]
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
-            new = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[n:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=arrow.names)
+            new = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *new], names=arrow.names)
 
-    return rows.mapInArrow(remove, schema)
+    return rows.mapInArrow(cut, schema)

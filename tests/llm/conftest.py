@@ -4,7 +4,10 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 #: Columns whose names the operators use for their own.
-CLASHING = ("n_tokens", "start", "end", "gram", "fp", "key", "n", "set", "rest", "score", "statistics", "labels")
+CLASHING = (
+    "n_tokens", "start", "end", "gram", "fp", "key", "n", "set", "rest", "score", "statistics", "labels", "starts", "ends", "kept", "n_bytes", "n_removed", "n_spans", "doc", "rid", "id", "cls", "root", "predicted", "fold", "y",
+    "__rid", "__id", "__score", "__own", "__text", "a.b",
+)
 
 
 @pytest.fixture(scope="session")

@@ -28,24 +28,58 @@ def test_held_out_accuracy(spark):
 def test_labels_of_held_out_rows_do_not_matter(spark):
     from pyspark.sql import functions as F
 
-    described = quality.with_statistics(spark.read.parquet(f"{SF}/documents.parquet")).cache()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     turned = labels.withColumn("quality", F.when(quality.fold() == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
-    a, b = quality.fit(described, labels), quality.fit(described, turned)
+    a, b = quality.fit(docs, labels), quality.fit(docs, turned)
     assert np.allclose(a.weights, b.weights) and np.allclose(a.values, b.values)
 
 
 def test_odd_rows_and_labels(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (4, 0, None), (8, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
-    described = quality.with_statistics(odd)
     for some in (labels, labels.limit(0)):
-        found = quality.score(described, quality.fit(described, some)).collect()
+        found = quality.score(odd, quality.fit(odd, some)).collect()
         assert len(found) == len(ODD) and all(0 <= r.score <= 1 for r in found)
         kept = quality.keep_good(odd, some)
         assert kept.columns == odd.columns and kept.count() == sum(r.predicted for r in found)
     assert quality.keep_good(odd.limit(0), labels).count() == 0
 
 
+def test_fit_and_scores_equal_one_solve_of_all_rows(spark):
+    """The sums over tasks, the ridge, the calibration and the scores, against NumPy over one matrix."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet").toPandas() for t in ("documents", "labels"))
+    model = quality.fit(spark.read.parquet(f"{SF}/documents.parquet").repartition(7), spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = docs.merge(labels, on="doc_id").dropna(subset=["quality"])
+    fold = np.array([zlib.crc32(str(i).encode()) % 5 for i in rows.doc_id])
+    x, y = np.array([quality.statistics(t or "") for t in rows.text]), rows.quality.to_numpy(float)
+    fits = fold != 0
+    mean, scale = x[fits].mean(axis=0), x[fits].std(axis=0)
+    scale[scale < 1e-9] = 1
+    rng = np.random.default_rng(7)
+    waves, phases = rng.normal(size=(x.shape[1], quality.FEATURES)) / np.sqrt(x.shape[1] / 2), rng.uniform(0, 2 * np.pi, quality.FEATURES)
+
+    def expand(m):
+        return np.hstack([np.sqrt(2 / quality.FEATURES) * np.cos(np.clip((m - mean) / scale, -8, 8) @ waves + phases), np.ones((len(m), 1))])
+
+    z = expand(x[fits & (fold != 1)])
+    penalty = np.diag([*[quality.RIDGE * len(z) / quality.FEATURES] * quality.FEATURES, 1e-9])
+    weights = np.linalg.solve(z.T @ z + penalty, z.T @ y[fits & (fold != 1)])
+    assert np.allclose(model.raw(x), expand(x) @ weights, atol=1e-6)
+    held = fits & (fold == 1)
+    steps, values = quality.isotonic(expand(x[held]) @ weights, y[held])
+    everything = np.array([quality.statistics(t or "") for t in docs.text])
+    raw = expand(everything) @ weights
+    want = np.clip((1 - quality.TIE_SHARE) * np.interp(raw, steps, values) + quality.TIE_SHARE * np.clip(raw, 0, 1), 0, 1)
+    found = {r.doc_id: r.score for r in quality.score(spark.read.parquet(f"{SF}/documents.parquet"), model).collect()}
+    assert np.allclose([found[i] for i in docs.doc_id], want, atol=1e-4)
+
+
+def test_a_bounded_fit_uses_about_that_many_rows(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    n = quality._labelled(docs, labels, "quality", "doc_id", "text", 0, 10**9).count()
+    assert n / 8 < quality._labelled(docs, labels, "quality", "doc_id", "text", 0, n // 4).count() < n / 2
+
+
 def test_isotonic_is_monotone_and_least_squares():
     rng = np.random.default_rng(3)
     x = np.arange(60.0)
