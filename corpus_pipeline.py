@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from isobar.llm import common, packing, quality, simhash, suffix
 
@@ -20,9 +19,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 200 bytes or more that occur more than once go; every document stays, with what is left of it."""
-    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    left = suffix.remove_repeats(docs, threshold=200, keep=others, outputs=("kept",))
-    return left.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("long")).select(docs.columns)
+    return suffix.without_repeats(docs, threshold=200, count_col="n_chars")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,14 +28,18 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [("quality", quality_stage), ("near_dedup", near_dedup_stage), ("repeats", repeats_stage), ("packing", packing_stage)]
-#: SQL cannot express the classifier, the fingerprints or the packing; tests hold the stages against brute force.
+#: Tokenizers, trained models and byte strings cannot be expressed in SQL; tests replay the stages by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``; each result is written to the shared folder and read again."""
-    docs, at = common.table(spark, sf_dir, "documents"), common.scratch_path(spark, "pipeline")
+    """All stages over the whole of ``documents``; each result is written to the shared folder and read again, and goes when the next one stands."""
+    docs, at, before = common.table(spark, sf_dir, "documents"), common.scratch_path(spark, "pipeline"), None
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{at}/{k}-{name}")
-        docs = spark.read.parquet(f"{at}/{k}-{name}")
+        path = f"{at}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            common.remove(spark, before)
+        before = path
     return docs
