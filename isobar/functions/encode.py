@@ -63,7 +63,12 @@ def learned_ids(df: DataFrame, column: str, out: str, known: Sequence[str] | Non
     if known is not None:
         return df.withColumn(out, F.coalesce(F.array_position(F.array(*map(F.lit, sorted(known))), F.col(column)) - 1, F.lit(-1)).cast("long"))
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    ids = values.withColumn(out, (F.row_number().over(Window.orderBy(column)) - 1).cast("long"))
+    # Sorted by ranges: a value's id is its place in its range and the sizes of the ranges before it, so no task orders all values.
+    ranged = values.repartitionByRange(column).withColumn("__range", F.spark_partition_id())
+    ranged = ranged.withColumn("__place", F.row_number().over(Window.partitionBy("__range").orderBy(column)) - 1)
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__size"))
+    before = sizes.select("__range", F.coalesce(F.sum("__size").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    ids = ranged.join(F.broadcast(before), "__range").select(column, (F.col("__before") + F.col("__place")).cast("long").alias(out))
     return df.join(ids, column, "left").withColumn(out, F.coalesce(out, F.lit(-1)))
 
 
@@ -77,6 +82,7 @@ def direction_segment(difference: Column, width: float = 3.0) -> Column:
     return F.when(difference.isNull(), "unknown").when(difference >= width, "warmer").when(difference <= -width, "colder").otherwise("near")
 
 
+# Regime names, their thresholds below, and weights.
 HIGH_REGIMES = ("native_warm_hrrr_cold", "native_cold_hrrr_warm", "hrrr_hot_outlier", "hrrr_cold_outlier", "broad_disagreement")
 
 
@@ -107,6 +113,22 @@ def regime(nbm: Column, native: Column, lamp: Column, hrrr: Column) -> Column:
     )
 
 
+def reason(regime_: Column, nbm: Column, native: Column, lamp: Column, hrrr: Column) -> Column:
+    """Why a row has its regime, in words, with the difference that decided."""
+    def told(before: str, x: Column, after: str = "") -> Column:
+        return F.concat(F.lit(before), F.format_string("%.1f", F.round(x + 1e-9, 1)), F.lit(after))
+
+    everything = [nbm, native, lamp, hrrr]
+    return (
+        F.when(regime_ == "unknown", "a source is missing")
+        .when(regime_ == "native_warm_hrrr_cold", told("native is ", native - hrrr, " above hrrr"))
+        .when(regime_ == "native_cold_hrrr_warm", told("hrrr is ", hrrr - native, " above native"))
+        .when(regime_ == "hrrr_hot_outlier", told("hrrr is ", hrrr - F.greatest(nbm, native, lamp), " above all others"))
+        .when(regime_ == "hrrr_cold_outlier", told("hrrr is ", F.least(nbm, native, lamp) - hrrr, " below all others"))
+        .otherwise(told("sources spread over ", F.greatest(*everything) - F.least(*everything)))
+    )
+
+
 def risk(regime_: Column, spread: Column) -> Column:
     return (
         F.when(regime_ == "unknown", "unknown").when(spread >= 6, "very_high").when(regime_.isin(*HIGH_REGIMES), "high").when(regime_ == "moderate_disagreement", "medium").otherwise("low")

@@ -9,20 +9,24 @@ from pyspark.sql import functions as F
 def event_bin(label: Column) -> Column:
     """struct<lower, upper> of a bin label in whole degrees, closed; null if no form fits.
 
-    Forms, first that fits: "N or above/higher" and "N+"; "N or below/lower/
-    under"; "under/below/less than N" (strict); "over/above/greater than N"
-    (strict); a range; one integer.
+    Forms, first that fits, with F or degrees behind a number or not: "N or/and
+    above/higher/+"; "N or/and below/lower/under", which is strict if under,
+    below or less than stands anywhere but behind "or"; "under/below/less than
+    N" and "over/above/greater than N" (strict); "A - / to / through B" in
+    either order; one integer.
     """
-    text = F.trim(F.regexp_replace(F.lower(label), "°\\s*f?|(?<=\\d)\\s*f\\b", ""))
+    text = F.replace(F.lower(label), F.lit("°"), F.lit(""))
 
     def number(pattern: str, group: int = 1) -> Column:
         return F.try_to_number(F.nullif(F.regexp_extract(text, pattern, group), F.lit("")), F.lit("999999999")).cast("int")
 
-    above, below = number(r"(\d+)\s*(?:\+|or (?:above|higher|more|greater))"), number(r"(\d+)\s*or (?:below|lower|under|less)")
-    under, over = number(r"^\D*\b(?:under|below|less than)\s+(\d+)"), number(r"^\D*\b(?:over|above|greater than)\s+(\d+)")
-    ranged = r"(\d+)\s*(?:-|–|to|and)\s*(\d+)"
+    unit = r"\s*(?:f|degrees?)?\s*(?:or|and)?\s*"
+    above, below = number(rf"(\d+){unit}(?:above|higher|\+)"), number(rf"(\d+){unit}(?:below|lower|under)")
+    strict = F.rlike(text, F.lit(r"\b(?:under|below|less than)\b")) & ~F.rlike(text, F.lit(r"\bor\s+(?:below|lower|under)\b"))
+    under, over = number(r"\b(?:under|below|less than)\s+(\d+)"), number(r"\b(?:over|above|greater than)\s+(\d+)")
+    ranged = r"(\d+)\s*(?:-|to|through)\s*(\d+)"
     first, second = number(ranged, 1), number(ranged, 2)
-    exact = number(r"^\s*(\d+)\s*$")
+    exact = number(r"^\s*(\d+)\s*f?\s*$")
     none = F.lit(None).cast("int")
 
     def bounds(lower: Column, upper: Column) -> Column:
@@ -30,7 +34,7 @@ def event_bin(label: Column) -> Column:
 
     return (
         F.when(above.isNotNull(), bounds(above, none))
-        .when(below.isNotNull(), bounds(none, below))
+        .when(below.isNotNull(), bounds(none, F.when(strict, below - 1).otherwise(below)))
         .when(under.isNotNull(), bounds(none, under - 1))
         .when(over.isNotNull(), bounds(over + 1, none))
         .when(first.isNotNull() & second.isNotNull(), bounds(F.least(first, second), F.greatest(first, second)))
@@ -38,6 +42,19 @@ def event_bin(label: Column) -> Column:
     )
 
 
+def json_list(text: Column) -> Column:
+    """array<string> of a JSON list; null where the text is none."""
+    return F.from_json(text, "array<string>")
+
+
+def time_of(value: Column) -> Column:
+    """A UTC instant from epoch seconds or ISO text, with or without an offset (without one it is UTC); null if it is neither."""
+    text = F.trim(value.cast("string"))
+    number = F.when(F.rlike(text, F.lit(r"^\d+(\.\d+)?$")), F.timestamp_seconds(text.cast("double")))
+    offset = F.rlike(text, F.lit(r"(Z|[+-]\d{2}:?\d{2})$"))
+    return F.coalesce(number, F.try_to_timestamp(F.when(offset, text).otherwise(F.concat(text, F.lit("Z"))))).cast("timestamp_ntz")
+
+
 def metar_temperature_c(remarks: Column, fallback: Column) -> Column:
     """Tenths of a degree from the group TsTTTsDDD of the remarks, else ``fallback``."""
     sign, tenths = F.regexp_extract(remarks, r"\bT([01])(\d{3})[01]\d{3}\b", 1), F.regexp_extract(remarks, r"\bT([01])(\d{3})[01]\d{3}\b", 2)
@@ -47,7 +64,7 @@ def metar_temperature_c(remarks: Column, fallback: Column) -> Column:
 def bulletin_value(token: Column, label: Column) -> Column:
     """A cell's number: blank, X and all-nines are null, as is text (the token itself is kept beside it)."""
     text = F.trim(token)
-    nines = F.rlike(text, F.lit("^9{2,}$"))
+    nines = F.rlike(text, F.lit("^9+$"))
     return F.when(F.rlike(text, F.lit("^-?\\d+$")) & ~nines, text.cast("double"))
 
 

@@ -14,6 +14,10 @@ MPH_PER_KT = 1.150779448
 M_PER_MI = 1609.344
 FT_PER_M = 3.2808398950131
 KG_M2_PER_IN = 25.4
+M_PER_FT = 0.3048
+MS_PER_KT = 0.514444
+#: Magnus formula: factor and offset.
+MAGNUS_A, MAGNUS_B = 17.67, 243.5
 
 
 def k_to_f(x: Column) -> Column:
@@ -49,6 +53,16 @@ TRANSFORMS: dict[str, Callable[[Column], Column]] = {
     "kg_m2_to_in": lambda x: x / KG_M2_PER_IN,
 }
 
+#: The models' own transforms: one constant differs.
+MODEL_TRANSFORMS = TRANSFORMS | {"ms_to_mph": lambda x: x * MPH_PER_MS_MODEL}
+#: Bulletin units back to SI.
+TO_SI: dict[str, Callable[[Column], Column]] = {
+    "f_to_k": lambda x: (x - 32.0) * (5.0 / 9.0) + 273.15,
+    "kt_to_ms": lambda x: x * MS_PER_KT,
+    "hundred_ft_to_m": lambda x: x * 100.0 * M_PER_FT,
+    "mi_to_m": lambda x: x * M_PER_MI,
+}
+
 #: Suffix of a source column -> (transform, suffix of the result).
 SUFFIXES = {"_k": ("k_to_f", "_f"), "_ms": ("ms_to_mph", "_mph"), "_kt": ("kt_to_mph", "_mph"), "_m": ("m_to_ft", "_ft"), "_kg_m2": ("kg_m2_to_in", "_in")}
 
@@ -81,8 +95,9 @@ def wind_direction_hourly(u: Column, v: Column) -> Column:
 
 
 def relative_humidity(t_c: Column, td_c: Column) -> Column:
-    """Magnus formula, clipped to 0..100."""
+    """Magnus formula, clipped to 0..100; null where either is."""
     def vapour(t: Column) -> Column:
-        return F.exp(17.625 * t / (243.04 + t))
+        return F.exp(MAGNUS_A * t / (MAGNUS_B + t))
 
-    return F.least(F.lit(100.0), F.greatest(F.lit(0.0), 100.0 * vapour(td_c) / vapour(t_c)))
+    ratio = 100.0 * vapour(td_c) / vapour(t_c)
+    return F.when(ratio.isNotNull(), F.least(F.lit(100.0), F.greatest(F.lit(0.0), ratio)))

@@ -9,6 +9,7 @@ and carries only the last row of each stretch along the key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -104,12 +105,16 @@ def cutoff_snapshot(observations: DataFrame, spine: DataFrame, by: Sequence[str]
     return found.groupBy(*spine.columns).agg(at(0, "last_matched_at").alias("last_matched_at"), at(0, last).alias(last), *[(at(0, last) - at(h, last)).alias(f"change_{h}h") for h in changes])
 
 
-def window_before(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, hours: int, aggregates: dict[str, Column], day: str, observation_day: Column, days_back: int = 1) -> DataFrame:
+def window_before(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, hours: int, aggregates: dict[str, Column], day: str, observation_day: Column, days_back: int | None = None) -> DataFrame:
     """Aggregates over (cutoff - hours, cutoff] for each row of the spine; an empty window gives nulls.
 
     The inequality is bucketed by day first: an observation meets the cutoffs of
-    its own local day and of the ``days_back`` after it only.
+    its own local day and of the ``days_back`` after it only. By default these
+    are as many as the window can reach back, with an hour for clock changes.
     """
+    days_back = math.ceil((hours + 1) / 24) if days_back is None else days_back
+    if days_back * 24 < hours:
+        raise ValueError("the window reaches further back than the days that an observation is dealt to")
     dealt = observations.withColumn(day, F.explode(F.sequence(observation_day, F.date_add(observation_day, days_back))))
     joined = spine.select(*by, day, cutoff).join(dealt, [*by, day])
     t, c = micros(F.col(time)), micros(F.col(cutoff))
@@ -118,12 +123,38 @@ def window_before(observations: DataFrame, spine: DataFrame, by: Sequence[str],
     return spine.join(found, [*by, day], "left")
 
 
-def latest_issues(issues: DataFrame, spine: DataFrame, by: Sequence[str], available: str, cutoff: str, keep: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
+def nearby_window(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, value: str, wind: str, hours: int, day: str, observation_day: Column, tie: Sequence[str] = (), max_age_hours: float = 12.0) -> DataFrame:
+    """A nearby station's change over ``hours`` and mean wind of (cutoff - hours, cutoff]: both only where a row at or before the window's begin exists to compare with.
+
+    The last row must not be ``max_age_hours`` old.
+    """
+    last = asof_backward(spine, observations, by, cutoff, time, [value], "last_", tie, max_age_hours=max_age_hours)
+    both = asof_backward(last, observations, by, cutoff, time, [value], "before_", tie, back_hours=hours)
+    there = F.col("last_matched_at").isNotNull() & F.col("before_matched_at").isNotNull()
+    mean = window_before(observations, spine, by, time, cutoff, hours, {"__mean": F.avg(wind)}, day, observation_day).select(*by, day, "__mean")
+    return both.join(mean, [*by, day], "left").select(*spine.columns, F.when(there, F.col(f"last_{value}") - F.col(f"before_{value}")).alias(f"{value}_change_{hours}h"), F.when(there, F.col("__mean")).alias(f"{wind}_mean_{hours}h"))
+
+
+def planned_cycles(cycles: DataFrame, days: DataFrame, by: Sequence[str], init: str, day: str, start: Column, cutoff: Column, keep: Sequence[str]) -> DataFrame:
+    """For each day the last cycle whose ``init`` lies in [start, cutoff], both included; one cycle may serve many days."""
+    spine = days.select(*by, day, start.alias("__start"), cutoff.alias("__cutoff"))
+    found = asof_backward(spine, cycles, by, "__cutoff", init, [init, *keep], "", [init])
+    return found.where(micros(F.col(init)) >= micros(F.col("__start"))).select(*by, day, init, *keep)
+
+
+def issue_for_day(issues: DataFrame, spine: DataFrame, by: Sequence[str], valid_day: str, available: str, init: str, cutoff: str, keep: Sequence[str]) -> DataFrame:
+    """Of the issues that carry a row's own valid day, the last available at or before its cutoff, of equals that of the last init; none gives nulls."""
+    inside = issues.join(spine.select(*by, valid_day, cutoff), [*by, valid_day]).where(micros(F.col(available)) <= micros(F.col(cutoff)))
+    last = inside.groupBy(*by, valid_day).agg(F.max(F.struct(available, init, *keep)).alias("__last"))
+    return spine.join(last, [*by, valid_day], "left").select(*spine.columns, "__last.*")
+
+
+def latest_issues(issues: DataFrame, spine: DataFrame, by: Sequence[str], available: str, cutoff: str, keep: Sequence[str], tie: Sequence[str] = (), bucket_hours: float | None = None) -> DataFrame:
     """For each row of the spine the last issue available at or before its cutoff, and the issue before that one.
 
     Columns latest_* and previous_* of ``keep``; null where there is none.
     """
     order = Window.partitionBy(*by).orderBy(available, *tie)
     chained = issues.select(*by, available, *tie, *keep, *[F.lag(c).over(order).alias(f"__previous_{c}") for c in keep])
-    found = asof_backward(spine, chained, by, cutoff, available, [*keep, *[f"__previous_{c}" for c in keep]], "latest_", tie)
+    found = asof_backward(spine, chained, by, cutoff, available, [*keep, *[f"__previous_{c}" for c in keep]], "latest_", tie, bucket_hours=bucket_hours)
     return found.withColumnsRenamed({f"latest___previous_{c}": f"previous_{c}" for c in keep})

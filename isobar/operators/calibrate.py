@@ -36,12 +36,25 @@ def segmented_offsets(df: DataFrame, y: str, segment: str, columns: Sequence[str
 
 
 def conformal(df: DataFrame, y: str, low: str, high: str, alpha: float, by: Sequence[str]) -> DataFrame:
-    """Per group the margin that makes [low, high] cover 1 - alpha: the nonconformity of rank ceil((n + 1)(1 - alpha)), within 1..n."""
-    group = Window.partitionBy(*by)
-    scored = df.select(*by, F.greatest(F.col(low) - F.col(y), F.col(y) - F.col(high)).alias("margin")).where("margin is not null")
-    ranked = scored.withColumns({"n": F.count("*").over(group), "__place": F.row_number().over(group.orderBy("margin"))})
+    """Per group the margin that makes [low, high] cover 1 - alpha: the nonconformity of rank ceil((n + 1)(1 - alpha)), within 1..n.
+
+    Equal scores are counted before they are ordered, and groups are ranked by
+    stretches of scores, so no task needs a whole group.
+    """
+    score = F.greatest(F.col(low) - F.col(y), F.col(y) - F.col(high))
+    scored = df.select(*by, score.alias("margin")).where("margin is not null")
+    counted = scored.groupBy(*by, "margin").agg(F.count("*").alias("__c"))
+    totals = counted.groupBy(*by).agg(F.sum("__c").alias("n"), F.min("margin").alias("__low"), F.max("margin").alias("__high"))
+    placed = counted.join(totals, list(by)) if by else counted.crossJoin(F.broadcast(totals))
+    stretch = F.when(F.col("__high") > F.col("__low"), F.floor((F.col("margin") - F.col("__low")) / (F.col("__high") - F.col("__low")) * 256)).otherwise(0).cast("int")
+    placed = placed.withColumn("__stretch", stretch)
+    sums = placed.groupBy(*by, "__stretch").agg(F.sum("__c").alias("__s"))
+    before = Window.partitionBy(*by).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select(*by, "__stretch", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__base"))
+    own = Window.partitionBy(*by, "__stretch").orderBy("margin").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.join(base, [*by, "__stretch"]).withColumn("__upto", F.col("__base") + F.sum("__c").over(own))
     rank = F.least(F.greatest(F.ceil(F.round((F.col("n") + 1) * (1 - alpha), 9)), F.lit(1)), F.col("n"))
-    return ranked.where(F.col("__place") == rank).select(*by, "n", "margin")
+    return ranked.where((F.col("__upto") >= rank) & (F.col("__upto") - F.col("__c") < rank)).select(*by, "n", "margin")
 
 
 def conformal_exact(df: DataFrame, y: str, low: str, high: str, alpha: float) -> DataFrame:
@@ -71,18 +84,82 @@ Applier = Callable[[DataFrame], DataFrame]
 #: Segments by name; more can be registered.
 SEGMENTERS: dict[str, Callable[[], Column]] = {
     "season": lambda: F.when(F.month("day").between(4, 10), "warm").otherwise("cool"),
+    "month": lambda: F.month("day").cast("string"),
     "all": lambda: F.lit("all"),
 }
+#: The pairs of quantiles and what each leaves outside.
+INTERVALS = {("q05", "q95"): 0.10, ("q10", "q90"): 0.20, ("q25", "q75"): 0.50}
+#: Regimes in which the sources agree.
+CONSENSUS = ("tight_consensus", "moderate_disagreement")
+UPPER_TAIL = ("q75", "q90", "q95")
+
+
+def shifted(df: DataFrame, by: dict[str, Column], columns: Sequence[str] = TAGS) -> DataFrame:
+    """Each quantile plus its shift, then rearranged to be monotone."""
+    moved = df.withColumns({c: F.col(c) + by[c] for c in columns})
+    return moved.withColumns({c: F.greatest(*[F.col(x) for x in columns[: k + 1]]) for k, c in enumerate(columns) if k})
+
+
+def apply_offsets(df: DataFrame, fitted: DataFrame, factor: float = 1.0, zero: Sequence[str] = ()) -> DataFrame:
+    """One row of offsets applied to all: times ``factor``, none for the levels in ``zero``."""
+    by = {c: F.lit(0.0) if c in zero else factor * F.col(f"offset_{c}") for c in TAGS}
+    return shifted(df.crossJoin(F.broadcast(fitted.select(*[f"offset_{c}" for c in TAGS]))), by).drop(*[f"offset_{c}" for c in TAGS])
+
+
+def conformal_fit(df: DataFrame, y: str) -> DataFrame:
+    """One row: the median's offset, and the margin of each interval."""
+    out = offsets(df, y, (), ("q50",), (0.5,)).select("offset_q50")
+    for (low, high), alpha in INTERVALS.items():
+        margin = conformal(df, y, low, high, alpha, ()).agg(F.coalesce(F.max("margin"), F.lit(0.0)).alias(f"margin_{low}"))
+        out = out.crossJoin(margin)
+    return out
+
+
+def apply_conformal(df: DataFrame, fitted: DataFrame) -> DataFrame:
+    """Intervals widened by their margins, the median moved by its offset."""
+    by = {"q50": F.col("offset_q50")}
+    for low, high in INTERVALS:
+        by |= {low: -F.col(f"margin_{low}"), high: F.col(f"margin_{low}")}
+    return shifted(df.crossJoin(F.broadcast(fitted)), by).drop(*fitted.columns)
+
 
+def conditional(df: DataFrame, regime: str, consensus: Applier, otherwise: Applier) -> DataFrame:
+    """Rows of consensus regimes by one method, all others by another; a missing regime is no consensus."""
+    agree = F.coalesce(F.col(regime).isin(*CONSENSUS), F.lit(False))
+    return consensus(df.where(agree)).unionByName(otherwise(df.where(~agree)))
 
-def methods(calibration: DataFrame, y: str, segments: Sequence[str] = ("season",)) -> dict[str, Applier]:
-    """Calibrations fitted on ``calibration`` by name: none, global, and one for each segmenter."""
-    def shift(df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.greatest(*[F.col(x) + F.col(f"offset_{x}") for x in TAGS[: k + 1]]) if k else F.col(c) + F.col(f"offset_{c}") for k, c in enumerate(TAGS)}).drop(*[f"offset_{c}" for c in TAGS])
 
-    out: dict[str, Applier] = {"none": lambda df: df, "global": lambda df: shift(df.crossJoin(F.broadcast(offsets(calibration, y).drop("n"))))}
+def methods(calibration: DataFrame, y: str, segments: Sequence[str] = ("season",), regime: str | None = None) -> dict[str, Applier]:
+    """Calibrations fitted on ``calibration`` by name: none, global, half (shrunk), lower (no shift of the upper tail), conformal, one for each segmenter, and conditional with a column of regimes."""
+    fitted = offsets(calibration, y)
+    out: dict[str, Applier] = {
+        "none": lambda df: df,
+        "global": lambda df: apply_offsets(df, fitted),
+        "half": lambda df: apply_offsets(df, fitted, factor=0.5),
+        "lower": lambda df: apply_offsets(df, fitted, zero=UPPER_TAIL),
+        "conformal": lambda df, fit=conformal_fit(calibration, y): apply_conformal(df, fit),
+    }
     for name in segments:
         segment = SEGMENTERS[name]
-        fitted = segmented_offsets(calibration.withColumn("__segment", segment()), y, "__segment").drop("n")
-        out[name] = lambda df, segment=segment, fitted=fitted: shift(df.withColumn("__segment", segment()).join(F.broadcast(fitted), "__segment", "left").fillna(0.0, [f"offset_{c}" for c in TAGS])).drop("__segment")
+        own = segmented_offsets(calibration.withColumn("__segment", segment()), y, "__segment").drop("n")
+        everywhere = fitted.select(*[F.col(f"offset_{c}").alias(f"__{c}") for c in TAGS])
+
+        def by_segment(df: DataFrame, segment: Callable[[], Column] = segment, own: DataFrame = own, everywhere: DataFrame = everywhere) -> DataFrame:
+            joined = df.withColumn("__segment", segment()).join(F.broadcast(own), "__segment", "left").crossJoin(F.broadcast(everywhere))
+            return shifted(joined, {c: F.coalesce(F.col(f"offset_{c}"), F.col(f"__{c}")) for c in TAGS}).drop("__segment", *[f"offset_{c}" for c in TAGS], *[f"__{c}" for c in TAGS])
+
+        out[name] = by_segment
+    if regime is not None:
+        out["conditional"] = lambda df: conditional(df, regime, out["half"], out["global"])
     return out
+
+
+def shrinkage_grid(ladder: DataFrame, factors: DataFrame, keys: Sequence[str], hit: Column, grid: Sequence[float], buckets: int = 10, epsilon: float = 1e-12) -> DataFrame:
+    """Mean negative log likelihood of the recalibrated ladder for each shrinkage of the grid, in one pass over the ladder: shrinkage, n, nll."""
+    bucket = probability_bucket(F.col("probability"), buckets)
+    joined = ladder.withColumns({"bucket": bucket, "__hit": hit}).join(F.broadcast(factors.select("bucket", "factor")), "bucket", "left")
+    mass = [F.col("probability") * (1 + s * (F.coalesce("factor", F.lit(1.0)) - 1)) for s in grid]
+    sums = joined.groupBy(*keys).agg(*[F.sum(m).alias(f"t{k}") for k, m in enumerate(mass)], *[F.coalesce(F.sum(F.when(F.col("__hit"), m)), F.lit(0.0)).alias(f"p{k}") for k, m in enumerate(mass)])
+    scores = [F.avg(-F.log(F.greatest(F.col(f"p{k}") / F.col(f"t{k}"), F.lit(epsilon)))).alias(f"s{k}") for k in range(len(grid))]
+    found = sums.agg(F.count("*").alias("n"), *scores)
+    return found.select("n", F.explode(F.array(*[F.struct(F.lit(float(s)).alias("shrinkage"), F.col(f"s{k}").alias("nll")) for k, s in enumerate(grid)])).alias("r")).select("r.shrinkage", "n", "r.nll")

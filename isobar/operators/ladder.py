@@ -54,6 +54,13 @@ def with_bounds(df: DataFrame, columns: Sequence[str] = TAGS, margin: int = 8) -
     return df.withColumns({"low": F.floor(F.least(*values)).cast("int") - margin, "high": F.ceil(F.greatest(*values)).cast("int") + margin})
 
 
+def common_bounds(df: DataFrame, columns: Sequence[str] = TAGS, observed: str | None = None, margin: int = 8) -> DataFrame:
+    """low and high, the same for all rows: whole degrees around all quantiles and observed values. One aggregate; its one row is sent to all."""
+    values = [F.col(c).cast("double") for c in (*columns, *([observed] if observed else []))]
+    ends = df.agg(F.min(F.least(*values)).alias("__low"), F.max(F.greatest(*values)).alias("__high"))
+    return df.crossJoin(F.broadcast(ends)).withColumns({"low": F.floor(F.col("__low") - margin).cast("int"), "high": F.ceil(F.col("__high") + margin).cast("int")}).drop("__low", "__high")
+
+
 def _cdf(at: Column, columns: Sequence[str], levels: Sequence[float]) -> Column:
     """Piecewise linear through (quantile, level), of equal quantiles the largest level, clamped to the end levels."""
     first, last = F.col(columns[0]), F.col(columns[-1])

@@ -9,20 +9,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fit(df: DataFrame, y: str, terms: Sequence[str], ridge: float = 0.0, weight: Column | None = None) -> list[float]:
-    """Intercept and coefficients; the intercept is not penalised. Rows with a null count for nothing."""
+def _sums(y: str, terms: Sequence[str], weight: Column | None) -> tuple[Column, list[Column]]:
+    """Whether a row is whole, and the sums of the normal equations."""
     x = [F.lit(1.0), *[F.col(t).cast("double") for t in terms]]
     w = F.lit(1.0) if weight is None else weight
-    whole = df.where(F.col(y).isNotNull() & ~F.exists(F.array(*x), lambda v: v.isNull()))
     n = len(x)
     sums = [F.sum(w * x[i] * x[j]).alias(f"a{i}_{j}") for i in range(n) for j in range(i, n)] + [F.sum(w * x[i] * F.col(y)).alias(f"b{i}") for i in range(n)]
-    row = whole.agg(*sums).first()
+    return F.col(y).isNotNull() & ~F.exists(F.array(*x), lambda v: v.isNull() | F.isnan(v)), sums
+
+
+def _solved(row, n: int, ridge: float) -> list[float]:
     if row["a0_0"] is None:
         return [0.0] * n
     a = np.array([[row[f"a{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)]) + np.diag([0.0, *[ridge] * (n - 1)])
     return np.linalg.lstsq(a, np.array([row[f"b{i}"] for i in range(n)]), rcond=None)[0].tolist()
 
 
+def fit(df: DataFrame, y: str, terms: Sequence[str], ridge: float = 0.0, weight: Column | None = None) -> list[float]:
+    """Intercept and coefficients; the intercept is not penalised. Rows with a null count for nothing."""
+    whole, sums = _sums(y, terms, weight)
+    return _solved(df.where(whole).agg(*sums).first(), len(terms) + 1, ridge)
+
+
+def fit_groups(df: DataFrame, y: str, terms: Sequence[str], by: str, ridge: float = 0.0) -> dict[object, list[float]]:
+    """The same for each of the few values of ``by``, in one aggregate."""
+    whole, sums = _sums(y, terms, None)
+    return {r[by]: _solved(r, len(terms) + 1, ridge) for r in df.where(whole).groupBy(by).agg(*sums).collect()}
+
+
 def predict(terms: Sequence[str], coefficients: Sequence[float]) -> Column:
     out = F.lit(coefficients[0])
     for term, c in zip(terms, coefficients[1:], strict=True):

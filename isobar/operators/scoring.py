@@ -85,3 +85,12 @@ def fold_summary(df: DataFrame, by: Sequence[str], metric: str, rows: str) -> Da
         (F.sum(F.col(metric) * F.col(rows)) / F.sum(rows)).alias("weighted_mean"), F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"), F.count("*").alias("folds")
     )
     return found.withColumn("rank", F.rank().over(Window.orderBy("weighted_mean")))
+
+
+def pit_slices(df: DataFrame, pit: str, slices: dict[str, Column]) -> DataFrame:
+    """Per slice (overall, and each of ``slices`` where its condition holds): rows, mean, population deviation and the shares below 0.1 and above 0.9, in one pass; slices overlap."""
+    names = F.array_compact(F.array(F.lit("overall"), *[F.when(c, F.lit(n)) for n, c in slices.items()]))
+    p = F.col(pit)
+    return df.where(p.isNotNull()).withColumn("slice", F.explode(names)).groupBy("slice").agg(
+        F.count("*").alias("row_count"), F.avg(p).alias("pit_mean"), F.stddev_pop(p).alias("pit_std"), F.avg(F.when(p < 0.1, 1.0).otherwise(0.0)).alias("pit_below_0_1"), F.avg(F.when(p > 0.9, 1.0).otherwise(0.0)).alias("pit_above_0_9"),
+    )

@@ -54,3 +54,62 @@ def preferred(df: DataFrame, by: Sequence[str], field: str, preferences: Sequenc
     """Of each group the row whose ``field`` stands first in ``preferences``; rows with other values are left out."""
     place = F.array_position(F.array(*map(F.lit, preferences)), F.col(field))
     return best(df.withColumn("preference", place).where("preference > 0"), ["preference", *order], by)
+
+
+def preferred_levels(records: DataFrame, levels: dict[str, Sequence[str]], required: Sequence[str]) -> DataFrame:
+    """A row for each field of ``levels``: its record and level, and how it was found.
+
+    Records (field, level, extra, record): the level that stands first counts,
+    then records without further text (exact) before those with it (fallback),
+    then the first record; records of an ensemble or of a percentile are left
+    out. A field without a record is missing required or missing optional.
+    """
+    wanted = records.sparkSession.createDataFrame([(f, level, k, f in required) for f, own in levels.items() for k, level in enumerate(own)], "field string, level string, preference int, required boolean")
+    plain = records.where(~F.rlike("extra", F.lit("ens|%")))
+    met = F.broadcast(wanted).join(plain, ["field", "level"], "left")
+    exact = F.coalesce(F.col("extra"), F.lit("")) == ""
+    first = F.min(F.when(F.col("record").isNotNull(), F.struct("preference", (~exact).alias("fallback"), "record", "level"))).alias("__first")
+    found = met.groupBy("field").agg(first, F.bool_or("required").alias("required"))
+    missing = F.when(F.col("required"), "missing required").otherwise("missing optional")
+    status = F.when(F.col("__first").isNull(), missing).when(F.col("__first.fallback"), "fallback").otherwise("exact")
+    return found.select("field", "__first.level", "__first.record", status.alias("status"))
+
+
+def name_of_least(names: Sequence[str], greatest: bool = False) -> Column:
+    """The name of the least (or greatest) of the columns, the first of equals; null where all are."""
+    top = (F.greatest if greatest else F.least)(*[F.col(n) for n in names])
+    return F.coalesce(*[F.when(F.col(n) == top, n) for n in names])
+
+
+def best_hours(df: DataFrame, loss: str, rows: str, tie: Sequence[str], n: int) -> DataFrame:
+    """The ``n`` groups of least loss; of equals (to nine digits) those of more rows."""
+    return df.orderBy(F.round(loss, 9), F.desc(rows), *tie).limit(n)
+
+
+def top_members(ranked: DataFrame, loss: Sequence[str], member: str, sizes: Sequence[int] = (2, 3, 5)) -> DataFrame:
+    """A row for each ensemble size and member: the best ``size`` candidates; sizes that there are too few for are left out."""
+    placed = ranked.withColumn("__place", F.row_number().over(Window.orderBy(*loss, member)))
+    total = ranked.agg(F.count("*").alias("__total"))
+    sized = placed.crossJoin(F.broadcast(total)).select(F.explode(F.array(*map(F.lit, sizes))).alias("size"), "*")
+    return sized.where((F.col("size") <= F.col("__total")) & (F.col("__place") <= F.col("size"))).select("size", member, F.col("__place").alias("place"))
+
+
+def promoted(summary: DataFrame, slices: DataFrame, method: str, baseline: str, order: Sequence[str], watched: Sequence[str], value: str, max_drop: float, gain: str | None = None, min_gain: float = 0.0) -> DataFrame:
+    """The best candidate that drops ``value`` on none of the ``watched`` slices by more than ``max_drop`` against the baseline; the baseline at the latest.
+
+    ``slices``: method, slice, value (and ``gain``, a loss: a drop over all rows
+    is forgiven where it falls by ``min_gain`` or more). A slice that either
+    lacks does not count. One row: the method, and how many better ones were
+    rejected.
+    """
+    base = slices.where(F.col(method) == baseline).select("slice", F.col(value).alias("__base"), *([F.col(gain).alias("__gain")] if gain else []))
+    against = slices.where(F.col(method) != baseline).join(F.broadcast(base), "slice")
+    drop = (F.col("__base") - F.col(value)) > max_drop
+    overall = F.col("slice") == "overall"
+    broken = drop & (F.col("slice").isin(*watched) | ((overall & (F.col("__gain") - F.col(gain) < min_gain)) if gain else F.lit(False)))
+    bad = against.groupBy(method).agg(F.bool_or(broken).alias("__bad"))
+    placed = summary.join(F.broadcast(bad), method, "left").withColumn("__bad", F.coalesce("__bad", F.lit(False)) & (F.col(method) != baseline))
+    ranked = placed.withColumn("__place", F.row_number().over(Window.orderBy(*order, method)))
+    first = F.min(F.when(~F.col("__bad"), F.struct("__place", method))).alias("__first")
+    found = ranked.agg(first, F.collect_list(F.when(F.col("__bad"), F.col("__place"))).alias("__rejected"))
+    return found.select(F.coalesce(F.col(f"__first.{method}"), F.lit(baseline)).alias(method), F.size(F.filter("__rejected", lambda p: p < F.col("__first.__place"))).cast("long").alias("rejected"))

@@ -6,6 +6,7 @@ neighbours by an equi-join on explicit offsets, and arrays (one grid a row).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -54,17 +55,69 @@ def array_window(grid: Column, width: int, height: int, row: int, col: int, radi
     }
 
 
+def to_180(lon: Column) -> Column:
+    """Longitudes of 0..360 as -180..180."""
+    return F.when(lon > 180, lon - 360.0).otherwise(lon)
+
+
+def longitude_convention(lon: Column) -> Column:
+    """An aggregate: 0-360 if any longitude is above 180, else -180..180; unknown without any."""
+    top = F.max(F.nanvl(lon, F.lit(None)))
+    return F.when(top.isNull(), "unknown").when(top > 180, "0-360").otherwise("-180..180")
+
+
+def in_convention(lon: Column, convention: Column) -> Column:
+    """A place's longitude as a grid of that convention has it."""
+    return F.when((convention == "0-360") & (lon < 0), lon + 360.0).otherwise(lon)
+
+
+def orientation(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """north_is_first and west_is_first of each grid (keys, row, col, lat, lon): by the means of its outer rows and columns."""
+    ends = cells.groupBy(*keys).agg(F.min("row").alias("__r0"), F.max("row").alias("__r1"), F.min("col").alias("__c0"), F.max("col").alias("__c1"))
+
+    def mean(value: str, at: str, end: str) -> Column:
+        return F.avg(F.when(F.col(at) == F.col(end), F.col(value)))
+
+    found = cells.join(F.broadcast(ends), list(keys)) if keys else cells.crossJoin(F.broadcast(ends))
+    return found.groupBy(*keys).agg((mean("lat", "row", "__r0") >= mean("lat", "row", "__r1")).alias("north_is_first"), (mean("lon", "col", "__c0") <= mean("lon", "col", "__c1")).alias("west_is_first"))
+
+
 def nearest_cell(cells: DataFrame, points: DataFrame, point_keys: Sequence[str], degrees: float = 0.5) -> DataFrame:
-    """For each point (keys, lat, lon) the nearest cell (row, col, lat, lon).
+    """For each point (keys, lat, lon) the nearest cell (row, col, lat, lon) by squared degrees, over the date line too; of equals the first by row and column.
 
     Both are dealt to boxes of ``degrees``; a point looks at its own box and the
-    eight around it, so the grid must have a cell within ``degrees``.
+    eight around it, where any cell within ``degrees`` must be. Points whose
+    nearest cell there is further, or that find none, look again in boxes twice
+    as large, at last in one that holds everything. Without cells a point has
+    nulls.
     """
-    def box(x: Column) -> Column:
-        return F.floor(x / degrees).cast("long")
-
-    around = F.array(*map(F.lit, (-1, 0, 1)))
-    wanted = points.withColumn("__dy", F.explode(around)).withColumn("__dx", F.explode(around)).withColumns({"__y": box(F.col("lat")) + F.col("__dy"), "__x": box(F.col("lon")) + F.col("__dx")})
-    dealt = cells.select("row", "col", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"), box(F.col("lat")).alias("__y"), box(F.col("lon")).alias("__x"))
-    near = wanted.join(dealt, ["__y", "__x"]).withColumn("distance2", F.pow(F.col("lat") - F.col("cell_lat"), 2) + F.pow(F.col("lon") - F.col("cell_lon"), 2))
-    return near.groupBy(*point_keys).agg(F.min(F.struct("distance2", "row", "col", "cell_lat", "cell_lon")).alias("__near")).select(*point_keys, "__near.*")
+    west = lambda x: F.pmod(x + 180.0, F.lit(360.0)) - 180.0
+    keys, found = list(point_keys), None
+    grid = cells.select("row", "col", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"), west(F.col("lon")).alias("__lon"))
+    left = points.select(*keys, "lat", "lon", west(F.col("lon")).alias("__west"))
+    size = degrees
+    while True:
+        last = size >= 180
+        columns = 1 if last else math.floor(360 / size)
+        wide = 360.0 / columns
+
+        def box(lat: Column, lon: Column, wide: float = wide, size: float = size, last: bool = last) -> tuple[Column, Column]:
+            return (F.lit(0).cast("long"), F.lit(0).cast("long")) if last else (F.floor(lat / size), F.floor((lon + 180.0) / wide))
+
+        around = [0] if last else [-1, 0, 1]
+        y, x = box(F.col("lat"), F.col("__west"))
+        near = [F.struct((y + dy).alias("__y"), F.pmod(x + dx, F.lit(columns).cast("long")).alias("__x")) for dy in around for dx in around]
+        cy, cx = box(F.col("cell_lat"), F.col("__lon"))
+        wanted = left.withColumn("__b", F.explode(F.array_distinct(F.array(*near)))).select(*left.columns, "__b.*")
+        met = wanted.join(grid.withColumns({"__y": cy, "__x": cx}), ["__y", "__x"])
+        apart = F.abs(F.col("__west") - F.col("__lon"))
+        apart = F.least(apart, 360.0 - apart)
+        scored = met.withColumn("distance2", F.pow(F.col("lat") - F.col("cell_lat"), 2) + apart * apart)
+        best = scored.groupBy(*left.columns).agg(F.min(F.struct(F.round("distance2", 9).alias("rounded"), "row", "col", "distance2", "cell_lat", "cell_lon")).alias("__near"))
+        out = left.join(best, left.columns, "left")
+        sure = F.lit(True) if last else F.coalesce(F.col("__near.distance2") <= size * size, F.lit(False))
+        done = out.where(sure).select(*keys, "__near.distance2", "__near.row", "__near.col", "__near.cell_lat", "__near.cell_lon")
+        found = done if found is None else found.unionByName(done)
+        if last:
+            return found
+        left, size = out.where(~sure).select(left.columns), size * 8

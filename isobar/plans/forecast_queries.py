@@ -326,14 +326,6 @@ def segment_weight_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("station", "n", F.col("weight").cast("double").alias("weight"), F.round("mae", 6).alias("mae"))
 
 
-@query()
-def ridge_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = frame(spark, sf_dir).withColumn("nbm_minus_lamp", F.col("nbm") - F.col("lamp"))
-    terms = ["nbm", "lamp", "hrrr", "native"]
-    coefficients = linreg.fit(rows, "y", terms, ridge=1.0)
-    return rows.select("station", "date_local", F.round(linreg.predict(terms, coefficients), 6).alias("anchor_f"), "y")
-
-
 @query(f"""WITH {FRAME}, w AS (SELECT * FROM frame WHERE nbm IS NOT NULL AND y IS NOT NULL) SELECT round(regr_intercept(y, nbm), 4) AS intercept, round(regr_slope(y, nbm), 4) AS slope, CAST(regr_count(y, nbm) AS BIGINT) AS n FROM w""")
 def ols_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frame(spark, sf_dir)

@@ -138,14 +138,18 @@ def issue_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.orderBy("mae", F.desc("n")).limit(12)
 
 
-LABELS = ["68 or below", "69-70", "71+", "under 40", "above 95", "88 to 85", "72", "75° or higher", "less than 50", "60°F or lower", "abc"]
+#: Labels and the bounds that they must give, worked out by hand.
+LABELS = [
+    ("68 or below", None, 68), ("69-70", 69, 70), ("71+", 71, None), ("under 40", None, 39), ("above 95", 96, None), ("88 to 85", 85, 88), ("72", 72, 72), ("75° or higher", 75, None), ("less than 50", None, 49), ("60°F or lower", None, 60),
+    ("abc", None, None), ("71 through 75", 71, 75), ("80 degrees or higher", 80, None), ("80 and above", 80, None), ("80F above", 80, None), ("72 below", None, 71), ("72 and below", None, 71), ("72 lower", None, 72), ("54F or under", None, 54),
+    ("greater than 70", 71, None), ("60-61°F", 60, 61), ("72F", 72, 72), ("between 69 and 70", None, None), ("  73  ", 73, 73), ("Will it be 64 degrees or below?", None, 64),
+]
 
 
-@query("""SELECT * FROM (VALUES ('68 or below', NULL, 68), ('69-70', 69, 70), ('71+', 71, NULL), ('under 40', NULL, 39), ('above 95', 96, NULL), ('88 to 85', 85, 88), ('72', 72, 72), ('75° or higher', 75, NULL),
-('less than 50', NULL, 49), ('60°F or lower', NULL, 60), ('abc', NULL, NULL)) t(label, lower, upper)""")
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{x}', {'NULL' if a is None else a}, {'NULL' if b is None else b})" for x, a, b in LABELS) + ") t(label, lower, upper)")
 def event_bin_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = event_bin(F.col("label"))
-    return spark.createDataFrame([(x,) for x in LABELS], "label string").select("label", parsed["lower"].alias("lower"), parsed["upper"].alias("upper"))
+    return spark.createDataFrame([(x,) for x, _, _ in LABELS], "label string").select("label", parsed["lower"].alias("lower"), parsed["upper"].alias("upper"))
 
 
 @query("""WITH p AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isobar.operators import folds
 from isobar.operators.ladder import TAGS
-from isobar.plans.forecast_queries import FRAME, KEY, PRED, frame, predictions
+from isobar.plans.forecast_queries import FRAME, PRED, frame, predictions
 from isobar.plans.registry import OBS, observations, query, table
 from isobar.session import scratch_path
 from isobar.sources import market, sinks
@@ -39,12 +39,6 @@ def ensemble_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("station", *[F.round(F.col(t) + 1e-9, 6).alias(t) for t in TAGS])
 
 
-@query()
-def prediction_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows-only: the text of a JSON number is not the same in both engines."""
-    return predictions(spark, sf_dir).select(*KEY, folds.payload(KEY, TAGS).alias("payload"))
-
-
 @query(f"""WITH {FRAME}, p AS (SELECT *, CASE WHEN station = 3 THEN nbm + 0.5 ELSE nbm END AS nbm2, CASE WHEN station = 4 THEN NULL ELSE lamp END AS lamp2 FROM frame)
 SELECT 'nbm' AS "column", count(*) FILTER (station <> 5) AS "rows", count(*) FILTER (station = 5) AS unmatched, count(*) FILTER (station <> 5 AND (nbm IS NULL) <> (nbm2 IS NULL)) AS null_differs, round(max(abs(nbm - nbm2)) FILTER (station <> 5), 6) AS max_difference FROM p
 UNION ALL SELECT 'lamp', count(*) FILTER (station <> 5), count(*) FILTER (station = 5), count(*) FILTER (station <> 5 AND (lamp IS NULL) <> (lamp2 IS NULL)), round(max(abs(lamp - lamp2)) FILTER (station <> 5), 6) FROM p""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,3 +45,51 @@ def stale_partitions(outputs: DataFrame, inputs: DataFrame, on: Sequence[str]) -
     newest = inputs.groupBy(*on).agg(F.max("changed_at").alias("changed_at"))
     both = newest.join(outputs, list(on), "left")
     return both.where(F.col("built_at").isNull() | (F.coalesce("status", F.lit("")) != "ok") | (F.col("built_at") < F.col("changed_at"))).select(*on)
+
+
+def write_single(df: DataFrame, path: str) -> None:
+    """One Parquet file, for tables that are small by their nature."""
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def write_metrics(df: DataFrame, path: str) -> None:
+    """One CSV file with a header, for tables of metrics."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def safe_text(df: DataFrame, value: str, number: str | None = None) -> DataFrame:
+    """A column of mixed values as text, and beside it, where ``number`` names a column, as a number where it is one."""
+    text = F.col(value).cast("string")
+    out = df.withColumn(value, text)
+    return out if number is None else out.withColumn(number, F.col(value).try_cast("double"))
+
+
+def append_log(df: DataFrame, path: str) -> None:
+    """Rows appended to a log of JSON lines; what stands there stays."""
+    df.write.mode("append").json(path)
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
+def reloaded_state(log: DataFrame, by: Sequence[str], reset: str, order: Sequence[str], state: dict[str, Column]) -> DataFrame:
+    """Per key the state over its entries since ``reset`` last changed: generation (how many changes before and with it), entries, and ``state``."""
+    window = Window.partitionBy(*by).orderBy(*order)
+    fresh = F.when(F.lag(reset).over(window).eqNullSafe(F.col(reset)) & (F.row_number().over(window) > 1), 0).otherwise(1)
+    marked = log.withColumn("__fresh", fresh).withColumn("generation", F.sum("__fresh").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    found = marked.groupBy(*by, "generation").agg(F.first(reset).alias(reset), F.count("*").alias("entries"), *[c.alias(n) for n, c in state.items()])
+    last = found.groupBy(*by).agg(F.max(F.struct("generation", *[c for c in found.columns if c not in (*by, "generation")])).alias("__last"))
+    return last.select(*by, "__last.*")
+
+
+def finalised(log: DataFrame, month: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A log's month: of each key the last entry, so that an interrupted and repeated run counts once."""
+    last = log.groupBy(month, *key).agg(F.max(F.struct(*order, *[c for c in log.columns if c not in (month, *key, *order)])).alias("__last"))
+    return last.select(month, *key, "__last.*")
+
+
+def complete_days(df: DataFrame, day: Sequence[str], slot: str, expected: int) -> DataFrame:
+    """Per day: the distinct slots, rows, and whether all ``expected`` are there."""
+    found = df.groupBy(*day).agg(F.countDistinct(slot).alias("slots"), F.count("*").alias("n"))
+    return found.withColumn("complete", F.col("slots") >= expected)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import io
 import tarfile
 from collections.abc import Iterator
@@ -67,6 +66,14 @@ def inventory(lines: DataFrame, content_length: Column | None = None) -> DataFra
     return typed.withColumn("length", end - F.col("offset"))
 
 
+def chosen_members(members: DataFrame, first: str, last: str, cycles: list[int]) -> DataFrame:
+    """Archive members whose name holds an issue (YYYYMMDD, then a separator or T, then HH) within the closed days and of one of the cycles: with issue_date and cycle."""
+    found = r"(\d{4})(\d{2})(\d{2})[._T-]?(\d{2})"
+    day = F.concat_ws("-", *[F.regexp_extract("member", found, k) for k in (1, 2, 3)])
+    issued = members.withColumns({"issue_date": F.when(F.rlike("member", F.lit(found)), day).try_cast("date"), "cycle": F.regexp_extract("member", found, 4).try_cast("int")})
+    return issued.where(F.col("issue_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")) & F.col("cycle").isin(cycles))
+
+
 def archive_members(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """source_path, member and text of the text files in tar archives, also gzipped; a broken archive gives no rows but its error."""
 
@@ -75,8 +82,8 @@ def archive_members(spark: SparkSession, path: str, glob: str) -> DataFrame:
             rows: list[tuple] = []
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
-                    data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-                    with tarfile.open(fileobj=io.BytesIO(data)) as archive:
+                    # A stream: unpacked a member at a time.
+                    with tarfile.open(fileobj=io.BytesIO(content), mode="r|*") as archive:
                         rows += [(name, m.name, archive.extractfile(m).read().decode("utf-8", "replace"), None) for m in archive if m.isfile()]
                 except (OSError, EOFError, tarfile.TarError) as error:
                     rows.append((name, None, None, str(error)))
