@@ -101,7 +101,7 @@ def choose(near: list[np.ndarray], far: list[np.ndarray], recall: float = RECALL
     if not len(close):
         return 1, BITS, BITS * TABLES, 1.0, 1.0
     best = None
-    for tables in (4, 8, 12, 16, 24):
+    for tables in (TABLES * 2 // 3, TABLES):
         least, least_far = close[:, :tables].min(axis=1), others[:, :tables].min(axis=1)
         for reach in range(BITS + 1):
             found = float((least <= reach).mean())
@@ -173,31 +173,49 @@ def candidates(index: DataFrame, queries: DataFrame, plans: dict[int, Plan], wid
     """
     sent = index.sparkSession.sparkContext.broadcast({d: (p.tables, min(BITS, p.reach + 2 * wider), int(p.radius * 1.25**wider) if p.reach + 2 * wider < BITS else BITS * TABLES, p.bucket_bits) for d, p in plans.items()})
 
+    def buckets_of(batch: pa.RecordBatch, probes: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """dim, rows, their buckets in each table, and the masks to probe beside them."""
+        dims = batch.column(1).to_numpy()
+        for dim in np.unique(dims).tolist():
+            tables, reach, _, width = sent.value[dim]
+            rows = np.flatnonzero(dims == dim)
+            codes = np.frombuffer(b"".join(batch.column(2).take(pa.array(rows)).to_pylist()), np.uint16).reshape(len(rows), -1)
+            masks = np.arange(1 << width) if probes else np.zeros(1, np.int64)
+            yield dim, rows, codes[:, :tables].astype(np.int64) >> (BITS - width), masks[np.bitwise_count(masks) <= reach]
+
     def dealt(probes: bool):
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys, dims = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                for dim in np.unique(dims).tolist():
-                    tables, reach, _, width = sent.value[dim]
-                    rows = np.flatnonzero(dims == dim)
-                    raw = batch.column(2).take(pa.array(rows))
-                    codes = np.frombuffer(b"".join(raw.to_pylist()), np.uint16).reshape(len(rows), -1)
-                    buckets = codes[:, :tables].astype(np.int64) >> (BITS - width)
-                    masks = np.arange(1 << width) if probes else np.zeros(1, np.int64)
-                    masks = masks[np.bitwise_count(masks) <= reach]
-                    for table in range(tables):
-                        for at in range(0, len(rows), 1 + (1 << 16) // len(masks)):
-                            part = slice(at, at + 1 + (1 << 16) // len(masks))
-                            bucket = (buckets[part, table, None] ^ masks[None]).ravel()
-                            of = np.repeat(np.arange(len(rows))[part], len(masks))
+                for dim, rows, buckets, masks in buckets_of(batch, probes):
+                    step = 1 + (1 << 16) // len(masks)
+                    for table in range(buckets.shape[1]):
+                        for at in range(0, len(rows), step):
+                            bucket = (buckets[at : at + step, table, None] ^ masks[None]).ravel()
+                            of = pa.array(np.repeat(rows[at : at + step], len(masks)))
                             n = len(of)
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, table, np.int32)), pa.array(bucket.astype(np.int32)), pa.array(keys[rows[of]]), raw.take(pa.array(of))], names=["dim", "table", "bucket", "vkey", "code"])
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, table, np.int32)), pa.array(bucket.astype(np.int32)), batch.column(0).take(of), batch.column(2).take(of)], names=["dim", "table", "bucket", "vkey", "code"])
 
         return deal
 
-    kinds, keys = "dim int, table int, bucket int, vkey long, code binary", ["dim", "table", "bucket"]
-    left, right = (df.select("vkey", "dim", "code").mapInArrow(dealt(probes), kinds) for df, probes in ((index, False), (queries, True)))
-    left, right = in_groups(left, right, keys, GROUP_ROWS, GROUP_QUERIES)
+    def counted(probes: bool):
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[int, int], np.ndarray] = {}
+            for batch in batches:
+                for dim, _, buckets, masks in buckets_of(batch, probes):
+                    for table in range(buckets.shape[1]):
+                        n = 1 << sent.value[dim][3]
+                        own = np.bincount(buckets[:, table], minlength=n)
+                        held[dim, table] = held.get((dim, table), 0) + own[np.arange(n)[:, None] ^ masks[None]].sum(axis=1)
+            for (dim, table), own in held.items():
+                some = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), dim, np.int32)), pa.array(np.full(len(some), table, np.int32)), pa.array(some.astype(np.int32)), pa.array(own[some])], names=["dim", "table", "bucket", "rows"])
+
+        return count
+
+    sides, keys = [(df.select("vkey", "dim", "code"), probes) for df, probes in ((index, False), (queries, True))], ["dim", "table", "bucket"]
+    left, right = (df.mapInArrow(dealt(probes), "dim int, table int, bucket int, vkey long, code binary") for df, probes in sides)
+    sizes = tuple(df.mapInArrow(counted(probes), "dim int, table int, bucket int, rows long") for df, probes in sides)
+    left, right = in_groups(left, right, keys, GROUP_ROWS, GROUP_QUERIES, sizes)
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
         schema = pa.schema([("qkey", pa.int64()), ("vkey", pa.int64())])

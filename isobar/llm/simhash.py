@@ -241,6 +241,8 @@ MINIMA = 16
 SIMILAR_RADIUS = 16
 #: Sets under one key that are compared in one task.
 KEY_LIMIT = 2_000
+#: Hashes of all the whole sets that are compared in one task.
+GROUP_HASHES = 4_000_000
 #: Sets of a larger group that go to all of its parts.
 AMBASSADORS = 32
 #: A set's hashes are counted in a power of two of buckets, this many or up to twice as many in one; what two sets' counts differ by, the sets differ by at least.
@@ -358,32 +360,96 @@ def nearby_links(classes: DataFrame, docs: DataFrame, shingle: int, min_similari
     return drawn.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(link, "a long, b long")
 
 
+def met_before(minima: np.ndarray, i: int, others: np.ndarray, k: int) -> np.ndarray:
+    """Whether row i shares a minimum before the k-th with each of the ``others``: such a pair meets there already."""
+    return (minima[others, :k] == minima[i, :k]).any(axis=1)
+
+
+def overlaps(sets: list[np.ndarray], columns: int = 4_096) -> np.ndarray:
+    """How many hashes each two of the sets share."""
+    n = len(sets)
+    out, whole = np.zeros((n, n), np.float32), np.concatenate(sets)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    _, place, times = np.unique(whole, return_inverse=True, return_counts=True)
+    several = times[place] > 1
+    # Only hashes that two sets hold can count; they are the columns of a matrix, some at a time.
+    owner, place = owner[several], (np.cumsum(times > 1) - 1)[place[several]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, columns):
+        a, b = np.searchsorted(place, [at, at + columns])
+        part = np.zeros((n, columns), np.float32)
+        part[owner[a:b], place[a:b] - at] = 1
+        out += part @ part.T
+    out[np.arange(n), np.arange(n)] = [len(x) for x in sets]
+    return out
+
+
+def forest(alike: np.ndarray) -> list[tuple[int, int]]:
+    """(row, first row of its component) of a symmetric relation, but for the first rows themselves."""
+    left, out = np.ones(len(alike), bool), []
+    for root in range(len(alike)):
+        if not left[root]:
+            continue
+        left[root], edge = False, [root]
+        while edge:
+            found = np.flatnonzero(alike[edge].any(axis=0) & left)
+            left[found] = False
+            edge = found.tolist()
+            out += [(row, root) for row in edge]
+    return out
+
+
+def _in_parts_of(keyed: DataFrame, limit: int, elements: int) -> DataFrame:
+    """``keyed`` (key, k, cls, size), where groups of more than ``limit`` rows, or ``elements`` hashes, are cut by set size, each band with the next, and then dealt into pairs of chunks."""
+    def sized(df: DataFrame) -> DataFrame:
+        chunks = F.greatest(F.ceil(F.count("*") / limit), F.ceil(F.sum("size") / elements))
+        return checkpointed(df.groupBy("key").agg(chunks.alias("chunks")).where("chunks > 1"))
+
+    large = sized(keyed)
+    if large.isEmpty():
+        return keyed
+    # Sets of similar sizes: 1.01 leaves room for rounding.
+    band = F.floor(F.log("size") / F.col("ratio"))
+    banded = keyed.join(large, "key", "left").withColumn("key", F.explode(F.when(F.col("chunks").isNull(), F.array("key")).otherwise(F.array(F.xxhash64("key", band), F.xxhash64("key", band + 1))))).drop("chunks")
+    banded = checkpointed(banded)
+    large = sized(banded)
+    if large.isEmpty():
+        return banded
+    joined = banded.join(large, "key", "left").withColumn("chunk", F.pmod(F.xxhash64("cls", F.lit(SEED)), F.col("chunks")))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda x: x != F.col("chunk"))
+    pairs = F.transform(others, lambda x: F.xxhash64("key", F.least(x, F.col("chunk")), F.greatest(x, F.col("chunk"))))
+    return joined.withColumn("key", F.explode(F.when(F.col("chunks").isNull(), F.array("key")).otherwise(pairs))).drop("chunks", "chunk")
+
+
 def remaining_links(classes: DataFrame, roots: DataFrame, docs: DataFrame, shingle: int, min_similarity: float, key_limit: int, broadcast_rows: int) -> DataFrame:
-    """Second round: links (a, b) between all similar classes whose ``roots`` differ and that share any minimum.
+    """Second round: links (a, b) that connect all similar classes whose ``roots`` differ and that share any minimum.
 
     Groups of a minimum that are one component already are left out. Bounds on
-    sizes and sketches exclude only pairs that cannot be similar; what is left
-    is confirmed on the whole sets. Groups of more than ``key_limit`` classes
-    are cut by set size, each band with the next, and dealt into pairs of
-    chunks: a sketch is sent n / key_limit times where n different classes of
-    one size share a minimum and are not one component.
+    sizes and sketches tell which classes can be similar to one of another
+    component at all; only the whole sets of these are sent, and compared in
+    their groups, each pair under the first minimum that it shares. A group
+    gives a row for each class and link of a spanning forest, never its pairs.
+
+    Groups of more than ``key_limit`` classes are cut by set size and dealt into
+    pairs of chunks: a sketch is sent n / key_limit times where n classes of one
+    size share a minimum and are not one component.
     """
     members = classes.where("size > 0").select("cls", "size", "sketch", "minima").join(roots.select(F.col("node").alias("cls"), F.col("root").alias("linked")), "cls", "left")
     members = checkpointed(members.withColumn("root", F.coalesce("linked", "cls")).drop("linked"))
-    keyed = members.select("cls", "root", "size", F.posexplode("minima").alias("k", "minimum")).withColumn("key", F.xxhash64("k", "minimum"))
-    met = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key", "n"))
-    keyed = checkpointed(keyed.select("key", "cls", "size").join(met, "key"))
-    band = F.floor(F.log("size") / math.log(1.01 / min_similarity))
-    keyed = keyed.withColumn("key", F.explode(F.when(F.col("n") > key_limit, F.array(F.xxhash64("key", band), F.xxhash64("key", band + 1))).otherwise(F.array("key"))))
-    keyed = split_large(checkpointed(keyed.select("key", "cls")), "cls", key_limit)
+    ratio = F.lit(math.log(1.01 / min_similarity)).alias("ratio")
+    keyed = members.select("cls", "root", "size", ratio, F.posexplode("minima").alias("k", "minimum")).withColumn("key", F.xxhash64("k", "minimum"))
+    mixed = checkpointed(keyed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key"))
+    keyed = _in_parts_of(checkpointed(keyed.select("key", "k", "cls", "size", "ratio").join(mixed, "key", "left_semi")), key_limit, 1 << 40)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
-            ids, own, sizes = (run.column(k).to_numpy() for k in (1, 2, 3))
+            k, ids, own, sizes = run.column(1)[0].as_py(), *(run.column(c).to_numpy() for c in (2, 3, 4))
             if (own == own[0]).all():
                 continue
-            sketches = [np.frombuffer(x, np.uint8) for x in run.column(4).to_pylist()]
-            buckets = np.array([len(x) for x in sketches])
+            sketches = [np.frombuffer(x, np.uint8) for x in run.column(5).to_pylist()]
+            minima = np.asarray(run.column(6).combine_chunks().flatten()).reshape(-1, MINIMA)
+            buckets, alike = np.array([len(x) for x in sketches]), np.zeros(len(ids), bool)
             ends = np.searchsorted(sizes, sizes / min_similarity + 1e-6, "right")  # rows, and so their buckets, are in order of size
             level, at = None, 0
             for i, end in enumerate(ends.tolist()):
@@ -398,23 +464,39 @@ def remaining_links(classes: DataFrame, roots: DataFrame, docs: DataFrame, shing
                 apart = np.abs(counts[others - at] - counts[i - at]).sum(axis=1, dtype=np.int64)
                 both = int(sizes[i]) + sizes[others]
                 near = others[apart <= both * ((1 - min_similarity) / (1 + min_similarity)) + 1e-6]
+                near = near[~met_before(minima, i, near, k)]
                 if len(near):
-                    pairs = np.sort(np.stack([np.full(len(near), ids[i]), ids[near]]), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    drawn = keyed.join(members.select("cls", "root", "size", "sketch"), "cls").select("key", "cls", "root", "size", "sketch")
-    pairs = checkpointed(drawn.repartition("key").sortWithinPartitions("key", "size").mapInArrow(meet, "a long, b long").distinct())
-    if pairs.isEmpty():
-        return pairs
-    sets = checkpointed(_sets(classes, docs, pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), shingle, broadcast_rows))
+                    alike[i] = alike[near] = True
+            if alike.any():
+                n = int(alike.sum())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, run.column(0)[0].as_py())), pa.array(np.full(n, k, np.int32)), pa.array(ids[alike])], names=["key", "k", "cls"])
+
+    described = members.select("cls", "root", "size", "sketch", "minima")
+    drawn = keyed.select("key", "k", "cls").join(described, "cls").select("key", "k", "cls", "root", "size", "sketch", "minima")
+    near = checkpointed(drawn.repartition("key").sortWithinPartitions("key", "size").mapInArrow(meet, "key long, k int, cls long").distinct())
+    if near.isEmpty():
+        return near.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
+    near = _in_parts_of(near.join(members.select("cls", "size", ratio), "cls").select("key", "k", "cls", "size", "ratio"), key_limit, GROUP_HASHES)
+    sets = checkpointed(_sets(classes, docs, near.select("cls").distinct(), shingle, broadcast_rows))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches):
-            keep = [similar(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), min_similarity) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
-
-    of = lambda end: sets.select(F.col("cls").alias(end), F.col("hashes").alias(f"of_{end}"))
-    return checkpointed(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(confirm, "a long, b long"))
+        for run in runs(batches):
+            k, ids, own = run.column(1)[0].as_py(), run.column(2).to_numpy(), run.column(3).to_numpy()
+            if (own == own[0]).all():
+                continue
+            minima = np.asarray(run.column(4).combine_chunks().flatten()).reshape(-1, MINIMA)
+            both = overlaps([np.frombuffer(x, "<u8") for x in run.column(5).to_pylist()])
+            sizes = np.diagonal(both)
+            alike = (both >= min_similarity * (sizes[:, None] + sizes[None] - both) - 1e-4) & (own[:, None] != own[None])
+            for i in np.flatnonzero(alike.any(axis=1)).tolist():
+                others = np.flatnonzero(alike[i])
+                alike[i, others[met_before(minima, i, others, k)]] = False
+            links = forest(alike)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(ids[list(x)]) for x in zip(*links, strict=True)], names=["a", "b"])
+
+    drawn = near.select("key", "k", "cls").join(members.select("cls", "root", "minima"), "cls").join(sets, "cls").select("key", "k", "cls", "root", "minima", "hashes")
+    return checkpointed(drawn.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(confirm, "a long, b long").distinct())
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", key_limit: int = KEY_LIMIT, broadcast_rows: int = 1_000_000) -> DataFrame:

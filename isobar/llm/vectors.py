@@ -57,16 +57,19 @@ def stacked(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=float).reshape(-1, dim)
 
 
-def in_groups(index: DataFrame, queries: DataFrame, keys: Sequence[str], index_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+def in_groups(index: DataFrame, queries: DataFrame, keys: Sequence[str], index_rows: int, query_rows: int, counted: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides with a column ``chunk``, so that groups of ``keys`` and chunk are bounded and every pair of a group's rows still meets once.
 
     Groups with more rows than ``index_rows`` or ``query_rows`` on either side
     are dealt into that many chunks; a row goes to all chunks of the other side.
+    ``counted`` has partial counts (keys, rows) of both sides, where counting
+    them again would deal them out twice.
     """
     def counts(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count("*").alias(name))
+        return df.groupBy(*keys).agg(F.sum("rows").alias(name))
 
-    sizes = checkpointed(counts(index, "n").join(counts(queries, "q"), list(keys)).select(*keys, F.ceil(F.col("n") / index_rows).alias("n"), F.ceil(F.col("q") / query_rows).alias("q")))
+    ones = counted or (index.withColumn("rows", F.lit(1)), queries.withColumn("rows", F.lit(1)))
+    sizes = checkpointed(counts(ones[0], "n").join(counts(ones[1], "q"), list(keys)).select(*keys, F.ceil(F.col("n") / index_rows).alias("n"), F.ceil(F.col("q") / query_rows).alias("q")))
     if sizes.where("n > 1 OR q > 1").isEmpty():
         return index.withColumn("chunk", F.lit(0).cast("long")), queries.withColumn("chunk", F.lit(0).cast("long"))
 

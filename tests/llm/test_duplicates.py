@@ -208,6 +208,17 @@ def test_sketches_hold_for_similar_sets():
         assert simhash.similar(a, b, 0.8) == (both >= 0.8 * (len(a) + len(b) - both))
 
 
+def test_overlaps_and_forests():
+    rng = np.random.default_rng(11)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40), dtype=np.uint64)) for _ in range(30)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    for columns in (7, 4096):
+        assert (simhash.overlaps(sets, columns) == want).all()
+    alike = (want >= 14) & ~np.eye(30, dtype=bool)
+    roots = classes_of(30, lambda i, j: bool(alike[i, j]))
+    assert sorted(simhash.forest(alike)) == [(i, r) for i, r in enumerate(roots) if i != r]
+
+
 def test_near_dedup_of_odd_rows(odd):
     order = sorted(range(len(ODD)), key=lambda k: (ODD[k][0] is None, ODD[k][0] or 0))
     rows = [ODD[k] for k in order]
