@@ -43,7 +43,7 @@ from isobar.llm.common import checkpointed
 from isobar.llm.vectors import best_of_each, bounded_sample, distinct_vectors, in_groups, spread, stacked, whole_vectors
 
 BITS, TABLES = 16, 24
-SAMPLE, CALIBRATION = 2_048, 96
+SAMPLE, CALIBRATION = 2_048, 128
 RECALL = 0.97
 #: Rows of a bucket, about; and most rows and queries of a group.
 BUCKET_ROWS, GROUP_ROWS, GROUP_QUERIES = 4_096, 32_768, 4_096
@@ -137,8 +137,10 @@ def probe(codes: np.ndarray, query: np.ndarray, table: int, tables: int, reach:
 def learn(vectors: DataFrame, n: int, dim: int, k: int) -> Plan:
     """Rotations from a bounded sample, and tables, reach and radius by the recall that they have over all rows."""
     sample = unit(stacked(bounded_sample(vectors, n, SAMPLE).select("vector").toArrow().column(0), dim)) if n else np.zeros((0, dim))
-    turns = learn_rotations(sample)
-    queries = sample[:: max(1, len(sample) // CALIBRATION)][:CALIBRATION]
+    asked = np.arange(len(sample)) % max(1, len(sample) // CALIBRATION) == 0
+    # The rows that measure recall are not among those that the rotations fit, if there are others.
+    turns = learn_rotations(sample[~asked] if len(sample) >= 4 * CALIBRATION else sample)
+    queries = sample[asked][:CALIBRATION]
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((len(queries), 0)), np.zeros((0, dim)), np.zeros((len(queries), 0), np.int64)

@@ -2,9 +2,12 @@
 
 A pre-token's ids do not depend on its neighbours, so each worker encodes a
 pre-token once, keeps its ids as little-endian 32-bit bytes and joins them.
-Texts with characters on which regular expressions of different libraries
-might differ, or with special-token strings, go to the tokenizers library
-whole; both ways give the library's ids.
+Texts are split by the vocabulary's pattern. Characters on which regular
+expressions of different libraries might differ are stood for by a plain one of
+their class, which the tokenizers library itself tells, once for each character
+that a worker meets; it also normalises such texts where the vocabulary does.
+Only texts with special-token strings go to the library whole. Either way the
+ids are the library's.
 """
 
 from __future__ import annotations
@@ -17,9 +20,9 @@ from functools import cached_property
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Characters of the classes below end here; texts are split here only if all characters are below U+0220, whose lower case ends here too.
+#: Characters of the classes below end here; texts are split as they are only if all characters are below U+0220, whose lower case ends here too.
 CLASS_END = 0x2B0
-#: As do these: one library takes them as white space and another not, or lower-cases them in another way.
+#: All others, and these: one library takes them as white space and another not, or lower-cases them in another way.
 UNSURE = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\u012f\\u0131-\\u021f]")
 
 
@@ -63,12 +66,35 @@ class _Ids(dict):
         return out
 
 
+#: For each class (letter, number, other, space) a character around which one of the class stands in one pre-token, and one that stands for the class.
+CLASSES = (("a", "é"), ("1", "²"), ("!", "§"))
+SPACE = "\t"
+
+
+class _Shadow(dict):
+    """Code point -> one below U+0220 of the same class; what is missing is asked of the library's pre-tokenizer."""
+
+    def __init__(self, pre_tokenize):
+        super().__init__({c: c for c in range(0x220) if not UNSURE.match(chr(c))})
+        self.pre_tokenize = pre_tokenize
+
+    def __missing__(self, point: int) -> int:
+        c = chr(point)
+        self[point] = ord(next((sign for beside, sign in CLASSES if self._together(beside, c)), SPACE))
+        return self[point]
+
+    def _together(self, beside: str, c: str) -> bool:
+        """Whether the pattern takes the character into the class of its neighbours; single numbers stand alone there, but are no others."""
+        found = len(self.pre_tokenize(beside + c + beside))
+        return found == 1 or beside == "1" and found == 3 and len(self.pre_tokenize("1" + c + "!")) == 3 and len(self.pre_tokenize("a" + c + "!")) == 3 and len(self.pre_tokenize("!" + c + "a")) == 3
+
+
 class PieceEncoder:
     """Encodes texts as tokenizers' ``encode(text, add_special_tokens=False)`` does."""
 
     def __init__(self, path: str):
         self.path, self.name = path, os.path.basename(path)
-        self.split = re.compile(PATTERNS[self.name]).findall if self.name in PATTERNS else None
+        self.split = re.compile(PATTERNS[self.name]) if self.name in PATTERNS else None
         self.lowers = self.name in LOWERS
         self.ids = _Ids(self.piece)
 
@@ -97,11 +123,19 @@ class PieceEncoder:
         written = piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
         return array.array("I", [t.id for t in self.merge(written)]).tobytes()
 
+    @cached_property
+    def shadow(self) -> _Shadow:
+        return _Shadow(self.tokenizer.pre_tokenizer.pre_tokenize_str)
+
     def pieces(self, text: str) -> list[str] | None:
         """The text's pre-tokens; None if the library must see the whole text."""
-        if self.split is None or UNSURE.search(text) or self.special.search(text):
+        if self.split is None or self.special.search(text):
             return None
-        return self.split(text.lower() if self.lowers else text)
+        if not UNSURE.search(text):
+            return self.split.findall(text.lower() if self.lowers else text)
+        if self.lowers:
+            text = self.tokenizer.normalizer.normalize_str(text)
+        return [text[m.start() : m.end()] for m in self.split.finditer(text.translate(self.shadow))]
 
     def __call__(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""

@@ -35,6 +35,33 @@ def test_encoder_equals_the_library(name, text):
     assert bpe.encoder(common.tokenizer_path(name))(text) == raw(library(name, text))
 
 
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'sdA1é’–日本語Привет٣Ⅷ\u2003\u0301\u1100\u1161😀ΣςİK\x1c\x85")), max_size=40))
+def test_encoder_equals_the_library_in_all_scripts(name, text):
+    assert bpe.encoder(common.tokenizer_path(name))(text) == raw(library(name, text))
+
+
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+def test_every_code_point_has_the_librarys_class(name):
+    encode = bpe.encoder(common.tokenizer_path(name))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 256):
+        for text in (" a".join(points[at : at + 256]), "1" + "1!".join(points[at : at + 256])):
+            assert encode(text) == raw(library(name, text))
+
+
+def test_texts_of_any_script_use_the_table():
+    encode = bpe.encoder(common.tokenizer_path(BYTES))
+    for text in ("it’s – fine", "Привет, мир", "日本語のテキスト。", "emoji 😀 end", "a\u2003b\u0301"):
+        pieces = encode.pieces(text)
+        assert pieces and "".join(pieces) == text
+        assert encode.pieces("<|endoftext|>" + text) is None
+    own = token_counts.lengths("a name", {"Привет": 99}, encode)
+    assert own["Привет"] == 99 and own[" мир"] == len(library(BYTES, " мир")) and " мир" in own
+    assert token_counts.lengths("a name", {}, encode) is own and token_counts.lengths("another", {}, encode) is not own
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x2FF, exclude_categories=["Cs"]), st.sampled_from("   ▁\nab日")), max_size=60))
 def test_codec_equals_the_library(text):
