@@ -2,9 +2,9 @@
 
 None of them pairs rows by inequality: both sides are united, sorted once by
 (key, time), and the last right-hand row before each left-hand one is carried
-forward. The cost is one shuffle on the key and n log n. Where a key may have
-too many rows for one task, ``bucket_hours`` sorts by (key, stretch of time)
-and carries only the last row of each stretch along the key.
+forward. Rows are sorted by (key, stretch of time), and only the last row of
+each stretch is carried along the key, so a key may have any number of rows.
+``bucket_hours`` is the length of a stretch; None sorts whole keys.
 """
 
 from __future__ import annotations
@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from isobar.functions.timeops import micros
 
 HOUR = 3_600_000_000
+#: A stretch: long enough that few rows are carried, short enough that a key's rows of one fit a task.
+BUCKET_HOURS = 168.0
 
 
-def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str], prefix: str = "", tie: Sequence[str] = (), back_hours: float = 0.0, max_age_hours: float | None = None, bucket_hours: float | None = None) -> DataFrame:
+def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str], prefix: str = "", tie: Sequence[str] = (), back_hours: float = 0.0, max_age_hours: float | None = None, bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
     """Each row of ``left`` with ``values`` of the last row of ``right`` at or before ``left_time`` - ``back_hours``.
 
     Of rows with one time the last by ``tie`` counts. The matched row's values
@@ -60,23 +62,46 @@ def trailing(columns: dict[str, Column], time: str, by: Sequence[str], hours: fl
     return {name: column.over(window) for name, column in columns.items()}
 
 
-def with_trailing(df: DataFrame, columns: dict[str, Column], time: str, by: Sequence[str], hours: float, bucket_hours: float | None = None) -> DataFrame:
+def with_trailing(df: DataFrame, columns: dict[str, Column], time: str, by: Sequence[str], hours: float, bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
     """``df`` with :func:`trailing` aggregates.
 
-    With ``bucket_hours`` a key is cut into stretches of that length, at least
-    ``hours`` long, and a row also lends itself to the stretch after its own, so
-    no task needs a whole key.
+    A key is cut into stretches of ``bucket_hours``, or of ``hours`` if these
+    are more, and a row that the next stretch's windows still reach lends itself
+    to it, so no task needs a whole key.
     """
     if bucket_hours is None:
         return df.select("*", *[c.alias(n) for n, c in trailing(columns, time, by, hours).items()])
-    if bucket_hours < hours:
-        raise ValueError("a stretch must be as long as the window")
-    own = F.floor(micros(F.col(time)) / int(bucket_hours * HOUR))
-    lent = df.withColumn("__own", own).withColumn("__bucket", F.explode(F.array("__own", F.col("__own") + 1)))
+    width = int(max(bucket_hours, hours) * HOUR)
+    own, at = F.floor(micros(F.col(time)) / width), F.pmod(micros(F.col(time)), F.lit(width))
+    buckets = F.when(at >= width - int(hours * HOUR), F.array("__own", F.col("__own") + 1)).otherwise(F.array("__own"))
+    lent = df.withColumn("__own", own).withColumn("__bucket", F.explode(buckets))
     found = lent.select("*", *[c.alias(n) for n, c in trailing(columns, time, [*by, "__bucket"], hours).items()])
     return found.where("__bucket = __own").drop("__own", "__bucket")
 
 
+def values_before(df: DataFrame, keep: Sequence[str], value: str, time: str, by: Sequence[str], hours: Sequence[float], tie: Sequence[str] = (), bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
+    """``keep``, which identify a row, and before_{h}h: the value of the key's last row at or before its time less h hours, null where that is null. One pass for all ``hours``."""
+    asks = df.select(*keep, *[c for c in (*by, time) if c not in keep], F.explode(F.array(*map(F.lit, hours))).alias("__h"))
+    asks = asks.withColumn("__asked", F.col(time).cast("timestamp_ntz") - F.make_dt_interval(secs=F.col("__h") * 3600))
+    found = asof_backward(asks, df, by, "__asked", time, [value], "before_", tie, bucket_hours=bucket_hours)
+    return found.groupBy(*keep).agg(*[F.max(F.when(F.col("__h") == h, F.col(f"before_{value}"))).alias(f"before_{h}h") for h in hours])
+
+
+def with_previous(df: DataFrame, by: Sequence[str], time: str, tie: Sequence[str], values: Sequence[str], prefix: str, bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
+    """Each row with ``values`` of the row before it of its key, in the order of time and ``tie``."""
+    own = F.struct(*[F.col(v).alias(f"{prefix}{v}") for v in values])
+    if bucket_hours is None:
+        return df.withColumn("__p", F.lag(own).over(Window.partitionBy(*by).orderBy(time, *tie))).select(*df.columns, "__p.*")
+    rows = df.withColumn("__bucket", F.floor(micros(F.col(time)) / int(bucket_hours * HOUR)))
+    order = Window.partitionBy(*by, "__bucket").orderBy(time, *tie)
+    rows = rows.withColumns({"__p": F.lag(own).over(order), "__first": F.row_number().over(order) == 1})
+    ends = df.withColumn("__bucket", F.floor(micros(F.col(time)) / int(bucket_hours * HOUR))).groupBy(*by, "__bucket").agg(F.max_by(own, F.struct(time, *tie)).alias("__end"))
+    keys = [*by, "__bucket"]
+    carried = ends.select(*keys, F.lag("__end").over(Window.partitionBy(*by).orderBy("__bucket")).alias("__carried")).withColumnsRenamed({k: f"__c{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__c{k}")) for k in keys]
+    return rows.join(carried, reduce(lambda x, y: x & y, same), "left").withColumn("__p", F.when(F.col("__first"), F.col("__carried")).otherwise(F.col("__p"))).select(*df.columns, "__p.*")
+
+
 def value_before(value: str, time: str, by: Sequence[str], hours: float, tie: str | None = None) -> Column:
     """The value of the last row of the key at or before t - hours, null where that is null.
 
@@ -87,7 +112,7 @@ def value_before(value: str, time: str, by: Sequence[str], hours: float, tie: st
     return F.max_by(F.col(value), F.struct(micros(F.col(time)), F.col(tie or time))).over(window)
 
 
-def cutoff_snapshot(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, value: str, changes: Sequence[int] = (1, 3, 6), tie: Sequence[str] = (), bucket_hours: float | None = None) -> DataFrame:
+def cutoff_snapshot(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, value: str, changes: Sequence[int] = (1, 3, 6), tie: Sequence[str] = (), bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
     """Last value at or before each ``cutoff`` of the spine, and its change since ``changes`` hours before the cutoff.
 
     All moments are looked up in one pass: a row of the spine asks once for
@@ -149,12 +174,11 @@ def issue_for_day(issues: DataFrame, spine: DataFrame, by: Sequence[str], valid_
     return spine.join(last, [*by, valid_day], "left").select(*spine.columns, "__last.*")
 
 
-def latest_issues(issues: DataFrame, spine: DataFrame, by: Sequence[str], available: str, cutoff: str, keep: Sequence[str], tie: Sequence[str] = (), bucket_hours: float | None = None) -> DataFrame:
+def latest_issues(issues: DataFrame, spine: DataFrame, by: Sequence[str], available: str, cutoff: str, keep: Sequence[str], tie: Sequence[str] = (), bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
     """For each row of the spine the last issue available at or before its cutoff, and the issue before that one.
 
     Columns latest_* and previous_* of ``keep``; null where there is none.
     """
-    order = Window.partitionBy(*by).orderBy(available, *tie)
-    chained = issues.select(*by, available, *tie, *keep, *[F.lag(c).over(order).alias(f"__previous_{c}") for c in keep])
+    chained = with_previous(issues.select(*dict.fromkeys([*by, available, *tie, *keep])), by, available, tie, keep, "__previous_", bucket_hours)
     found = asof_backward(spine, chained, by, cutoff, available, [*keep, *[f"__previous_{c}" for c in keep]], "latest_", tie, bucket_hours=bucket_hours)
     return found.withColumnsRenamed({f"latest___previous_{c}": f"previous_{c}" for c in keep})

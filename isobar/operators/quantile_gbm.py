@@ -1,9 +1,10 @@
 """Gradient-boosted stumps for quantiles.
 
-All levels are boosted side by side. A round is two aggregates over the rows:
-gradient sums by (feature, bin), of which the driver sees features * bins rows,
-and the leaves' residual quantiles. The model is a list of stumps and its
-prediction a column, so scoring stays in the JVM.
+All levels are boosted side by side. Rows are binned once and written with
+their bins; a round is two aggregates over this small table: gradient sums by
+(feature, bin), of which the driver sees features * bins rows, and the leaves'
+residual quantiles. The model is a list of stumps and its prediction a column,
+so scoring stays in the JVM.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isobar.operators.boosting import bin_of
 from isobar.operators.ladder import LEVELS
+from isobar.session import scratch_path
 
 
 @dataclass
@@ -40,11 +43,12 @@ def fit(df: DataFrame, y: str, features: Sequence[str], levels: Sequence[float]
         return Model(levels, dict.fromkeys(levels, 0.0), rate)
     model = Model(levels, {q: base[f"b{k}"] for k, q in enumerate(levels)}, rate, {q: [] for q in levels})
     edges = {f: sorted(set(base[f"e_{f}"] or [])) for f in features}
-    # the number of edges below a value; null is behind all of them
-    binned = F.array(*[F.coalesce(sum(((F.col(f) > e).cast("int") for e in edges[f]), F.lit(0)), F.lit(len(edges[f]))) for f in features])
+    at = scratch_path(df.sparkSession, "binned")
+    rows.select("*", F.array(*[bin_of(f, edges[f]) for f in features]).alias("__bins")).write.parquet(at)
+    rows = df.sparkSession.read.parquet(at)
     for _ in range(rounds):
         gradients = [F.when(F.col("__y") > model.predict(q), q).otherwise(q - 1.0).alias(f"g{k}") for k, q in enumerate(levels)]
-        sums = rows.select(*gradients, F.posexplode(binned).alias("feature", "bin")).groupBy("feature", "bin").agg(F.count("*").alias("n"), *[F.sum(f"g{k}").alias(f"g{k}") for k in range(len(levels))]).collect()
+        sums = rows.select(*gradients, F.posexplode("__bins").alias("feature", "bin")).groupBy("feature", "bin").agg(F.count("*").alias("n"), *[F.sum(f"g{k}").alias(f"g{k}") for k in range(len(levels))]).collect()
         chosen: dict[float, tuple[str, float]] = {}
         for k, q in enumerate(levels):
             best = None

@@ -74,8 +74,8 @@ FROM obs o {" ".join(f"ASOF LEFT JOIN obs h{h} ON o.station = h{h}.station AND o
 
 @query(change_over_hours_sql)
 def change_over_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = observations(spark, sf_dir)
-    return obs.select("event_id", "station", *[F.round(F.col("value") - asof.value_before("value", "ts", ["station"], h, "event_id"), 6).alias(f"change_{h}h") for h in (1, 3, 6)])
+    found = asof.values_before(observations(spark, sf_dir), ["event_id", "station", "value"], "value", "ts", ["station"], (1, 3, 6), ["event_id"])
+    return found.select("event_id", "station", *[F.round(F.col("value") - F.col(f"before_{h}h"), 6).alias(f"change_{h}h") for h in (1, 3, 6)])
 
 
 @query(f"""WITH {OBS}, {SPINE}

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from isobar.functions import encode
 from isobar.functions.units import TRANSFORMS
-from isobar.operators import asof, quantile_gbm
+from isobar.operators import asof, boosting, quantile_gbm
 from isobar.operators.ladder import LEVELS, rearranged, tag
 from isobar.plans import contracts
 from isobar.plans.contracts import column
-from isobar.plans.forecast_queries import frame
+from isobar.plans.forecast_queries import frame, regimes
 from isobar.plans.observation_queries import DAY, spine
 from isobar.plans.registry import OBS, SPINE, observations, query, table
+from isobar.session import scratch_path
 
 STAR = contracts.registry(
     column("date_local", "date", "identity"), column("station", "int64", "identity"), column("station_name", "string", "identity", "optional_candidate"), column("station_region", "string", "identity", "optional_candidate"),
@@ -35,15 +36,24 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     def mean(kind: str) -> Column:
         return F.avg(F.when(F.col("event_type") == kind, F.col("value")))
 
-    days = obs.groupBy(*DAY).agg(F.max("value").alias("label_tmax_f"), F.min("value").alias("label_tmin_f"), mean("click").alias("nbm_tmax_f"), mean("purchase").alias("lamp_tmax_f"))
-    days = days.withColumn("label_market_bin", F.concat(F.bround("label_tmax_f", 0).cast("long").cast("string"), F.lit("F")))
-    before = days.select("station", F.date_add("date_local", 1).alias("date_local"), F.col("label_tmax_f").alias("wu_prev_tmax_f"))
-    seen = asof.cutoff_snapshot(obs, spine(obs), ["station"], "ts", "cutoff", "value", tie=["event_id"]).select(
+    error = F.when(F.col("event_type") == "error", F.col("value"))
+    days = obs.groupBy(*DAY).agg(F.max("value").alias("label_tmax_f"), F.min("value").alias("label_tmin_f"), mean("click").alias("nbm_tmax_f"), mean("purchase").alias("lamp_tmax_f"), F.sum(error).alias("__sum"), F.count(error).alias("__n"))
+    # A row a day and station: written once, as four parts of the table start from it and not from the observations.
+    at = scratch_path(spark, "days")
+    days.write.parquet(at)
+    days = spark.read.schema(days.schema).parquet(at)
+    hrrr = days.groupBy("date_local").agg((F.sum("__sum") / F.sum("__n")).alias("hrrr_wind_ms"))
+    own = [F.col(c).alias(c) for c in ("label_tmax_f", "label_tmin_f", "nbm_tmax_f", "lamp_tmax_f")]
+    # A day's label is sent to its own row and to the next day's.
+    none = [F.lit(None).cast("double").alias(c) for c in ("label_tmax_f", "label_tmin_f", "nbm_tmax_f", "lamp_tmax_f")]
+    both = F.array(F.struct(F.col("date_local").alias("date_local"), F.lit(True).alias("own"), *own, F.lit(None).cast("double").alias("wu_prev_tmax_f")), F.struct(F.date_add("date_local", 1).alias("date_local"), F.lit(False).alias("own"), *none, F.col("label_tmax_f").alias("wu_prev_tmax_f")))
+    sent = days.select("station", F.explode(both).alias("d")).select("station", "d.*")
+    labels = sent.groupBy(*DAY).agg(F.bool_or("own").alias("own"), *[F.max(c).alias(c) for c in ("label_tmax_f", "label_tmin_f", "nbm_tmax_f", "lamp_tmax_f", "wu_prev_tmax_f")]).where("own").drop("own")
+    labels = labels.withColumn("label_market_bin", F.concat(F.bround("label_tmax_f", 0).cast("long").cast("string"), F.lit("F")))
+    seen = asof.cutoff_snapshot(obs.select("station", "ts", "value", "event_id"), spine(days), ["station"], "ts", "cutoff", "value", tie=["event_id"]).select(
         *DAY, F.col("last_matched_at").isNotNull().alias("wu_obs_available"), F.col("last_value").alias("wu_last_f"), *[F.col(f"change_{h}h").alias(f"wu_change_{h}h_f") for h in (1, 3, 6)]
     )
-
-    hrrr = obs.groupBy("date_local").agg(mean("error").alias("hrrr_wind_ms"))
-    joined = days.join(before, DAY, "left").join(seen, DAY, "left").join(hrrr, "date_local", "left")
+    joined = labels.join(seen, DAY, "left").join(hrrr, "date_local", "left")
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     places = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, nation["n_regionkey"] == region["r_regionkey"]).select(F.col("c_custkey").alias("station"), F.col("c_name").alias("station_name"), F.col("r_name").alias("station_region"))
     joined = joined.join(places, "station", "left")
@@ -111,6 +121,17 @@ def quantile_gbm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("station", "date_local", "y", *rearranged(tags))
 
 
+@query()
+def weighted_mean_gbm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows-only, as above: the mean boosted over the sources with regime weights, and a second model for what the first leaves."""
+    rows = regimes(spark, sf_dir)
+    sources = ["nbm", "native", "lamp", "hrrr"]
+    direct = boosting.fit(rows, "y", sources, bins=8, weight=encode.regime_weight(F.col("regime")))
+    scored = rows.withColumn("direct_f", direct.predict()).withColumn("left_f", F.col("y") - F.col("direct_f"))
+    meta = boosting.fit(scored, "left_f", ["direct_f", "spread"], rounds=20, bins=8)
+    return scored.select("station", "date_local", "y", "direct_f", (F.col("direct_f") + meta.predict()).alias("corrected_f"))
+
+
 @query(f"""WITH {OBS} SELECT event_type, count(*) AS n, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.95), 6) AS p95, min(value) AS least, max(value) AS most FROM obs GROUP BY event_type""")
 def diagnostics_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.percentile("value", 0.5), 6).alias("median"), F.round(F.percentile("value", 0.95), 6).alias("p95"), F.min("value").alias("least"), F.max("value").alias("most"))

@@ -42,8 +42,8 @@ def six_hour_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trailing six-hour maximum counts only where its window lies in the local day."""
     obs = observations(spark, sf_dir)
     usable = local_date(F.col("ts") - F.expr("INTERVAL 6 HOURS")) == F.col("date_local")
-    columns = asof.trailing({"max_6h": F.max("value")}, "ts", ["station"], 6)
-    return obs.select("event_id", usable.alias("usable"), F.when(usable, columns["max_6h"]).alias("max_6h"))
+    found = asof.with_trailing(obs, {"max_6h": F.max("value")}, "ts", ["station"], 6)
+    return found.select("event_id", usable.alias("usable"), F.when(usable, F.col("max_6h")).alias("max_6h"))
 
 
 PATTERNS = (("metal", "ring|bolt"), ("tool", "widget|gear"), ("other", ".*"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isobar.functions import encode, parse, timeops, units
-from isobar.operators import asof, calibrate, ladder, linreg, quantile_gbm, scoring, select, stencil, summarize
+from isobar.operators import asof, boosting, calibrate, ladder, linreg, quantile_gbm, scoring, select, stencil, summarize
 
 T = dt.datetime
 
@@ -47,8 +47,39 @@ def test_bucketed_windows_equal_the_plain_ones(spark):
     df = spark.createDataFrame([(rnd.choice([1, 2]), T(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 6000)), rnd.choice([None, 1.0, 2.0, 3.0]), i) for i in range(200)], "k int, t timestamp_ntz, v double, i int")
     plain, bucketed = (asof.with_trailing(df, {"n": F.count("*"), "m": F.max("v")}, "t", ["k"], 3, h) for h in (None, 4))
     assert rows(plain, "i") == rows(bucketed, "i")
+    before, other = (asof.values_before(df, ["i", "v"], "v", "t", ["k"], (1, 5), ["i"], h) for h in (None, 4))
+    assert rows(before, "i") == rows(other, "i")
+    one, two = (asof.with_previous(df, ["k"], "t", ["i"], ["v", "i"], "p_", h) for h in (None, 4))
+    assert rows(one, "i") == rows(two, "i")
+
+
+def test_no_task_needs_a_whole_key(spark):
+    """Windows of the as-of family are by key and stretch, or over one row a stretch."""
+    df = spark.createDataFrame([(1, T(2024, 1, 1), 1.0, 1)], "k int, t timestamp_ntz, v double, i int")
+    plans = [asof.asof_backward(df, df, ["k"], "t", "t", ["v"], "x_", ["i"]), asof.with_trailing(df, {"m": F.max("v")}, "t", ["k"], 3), asof.values_before(df, ["i"], "v", "t", ["k"], (1,), ["i"]), asof.with_previous(df, ["k"], "t", ["i"], ["v"], "p_")]
+    for plan in plans:
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in text.split("\n") if line.strip().lstrip("+-: ").startswith("Window")]
+        assert windows and all("__bucket" in line for line in windows)
+        # Windows over the key alone order its stretches.
+        assert all("__bucket" in line.rsplit("], [", 2)[-2] or "__bucket" in line.rsplit("], [", 1)[-1] for line in windows)
+
+
+def test_window_before_reaches_as_far_as_its_hours(spark):
+    obs = spark.createDataFrame([(1, T(2024, 1, d, 12), float(d)) for d in range(1, 8)], "k int, t timestamp_ntz, v double").withColumn("own", F.col("t").cast("date"))
+    days = spark.createDataFrame([(1, dt.date(2024, 1, 7), T(2024, 1, 7, 13))], "k int, day date, c timestamp_ntz")
+    for hours, n in ((24, 1), (30, 2), (100, 5), (1000, 7)):
+        assert asof.window_before(obs, days, ["k"], "t", "c", hours, {"n": F.count("*")}, "day", F.col("own")).first().n == n
     with pytest.raises(ValueError):
-        asof.with_trailing(df, {"n": F.count("*")}, "t", ["k"], 3, 2)
+        asof.window_before(obs, days, ["k"], "t", "c", 48, {"n": F.count("*")}, "day", F.col("own"), days_back=1)
+
+
+def test_normal_distribution_function(spark):
+    import math
+
+    xs = [k / 8 for k in range(-48, 49)]
+    got = {r.x: r.p for r in spark.createDataFrame([(x,) for x in xs], "x double").select("x", ladder.phi(F.col("x")).alias("p")).collect()}
+    assert all(abs(got[x] - 0.5 * (1 + math.erf(x / math.sqrt(2)))) < 1e-7 for x in xs)
 
 
 def test_value_before_keeps_the_matched_null(spark):
@@ -130,7 +161,7 @@ def test_calibration_moves_the_median(spark):
     for name, apply in calibrate.methods(df, "y").items():
         found = apply(df)
         off = found.agg(F.percentile(F.col("y") - F.col("q50"), 0.5)).first()[0]
-        assert abs(off) < 1e-9 or name == "none"
+        assert abs(off) < 1e-9 or name in ("none", "half")
         assert set(ladder.TAGS) <= set(found.columns) and found.count() == 200
 
 
@@ -200,3 +231,39 @@ def test_times_from_numbers_and_text(spark):
     given = ["1704067200", "2024-01-01T00:00:00Z", "2024-01-01 00:00:00", "2023-12-31T19:00:00-05:00", "soon", None]
     df = spark.createDataFrame([(x,) for x in given], "x string")
     assert [r.t for r in df.select(parse.time_of(F.col("x")).alias("t")).collect()] == [T(2024, 1, 1)] * 4 + [None] * 2
+
+
+def test_boosting_on_cells_equals_boosting_on_rows(spark):
+    """The stumps of the cells are those that every row's residual gives, and they lower the loss."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 9, (400, 2)).astype(float)
+    y = np.where(x[:, 0] > 4, 3.0, -1.0) + 0.5 * x[:, 1] + rng.normal(size=400)
+    w = rng.integers(1, 4, 400).astype(float)
+    df = spark.createDataFrame([(float(p[0]), None if i % 37 == 0 else float(p[1]), float(y[i]), float(w[i])) for i, p in enumerate(x)], "a double, b double, y double, w double")
+    model = boosting.fit(df, "y", ["a", "b"], rounds=15, bins=8, weight=F.col("w"))
+    table = df.select("a", "b", "y", "w", model.predict().alias("p")).toPandas()
+    guess = np.full(400, np.average(y, weights=w))
+    a, b = table["a"].to_numpy(), table["b"].to_numpy()
+    before = np.average((y - guess) ** 2, weights=w)
+    for feature, edge, left, right in model.stumps:
+        below = (a if feature == "a" else np.nan_to_num(b, nan=np.inf)) <= edge
+        r = w * (y - guess)
+        assert abs(left - 0.1 * r[below].sum() / (w[below].sum() + 1)) < 1e-9 and abs(right - 0.1 * r[~below].sum() / (w[~below].sum() + 1)) < 1e-9
+        guess = guess + np.where(below, left, right)
+    assert np.allclose(guess, table["p"]) and np.average((y - guess) ** 2, weights=w) < 0.5 * before
+    assert boosting.fit(df.limit(0), "y", ["a", "b"]).stumps == []
+
+
+def test_promotion_keeps_the_baseline_if_all_lose(spark):
+    summary = spark.createDataFrame([("base", 2.0), ("a", 1.0)], "method string, loss double")
+    slices = spark.createDataFrame([("base", "overall", 0.5), ("a", "overall", 0.1)], "method string, slice string, p double")
+    found = select.promoted(summary, slices, "method", "base", ["loss"], ("overall",), "p", 0.02).first()
+    assert (found.method, found.rejected) == ("base", 1)
+
+
+def test_a_repeated_key_is_an_error(spark):
+    df = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
+    with pytest.raises(Exception, match="repeated key"):
+        summarize.unique_or_error(df, ["k"]).collect()
