@@ -73,8 +73,8 @@ def _license_sql() -> str:
 
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     table = licenses.rules()
-    rules = ", ".join(f"({quoted(r.keyword)}, {quoted('^' + r.pattern + ' ')}, {quoted(r.label)}, {r.priority})" for r in table)
-    keywords = ", ".join(sorted({quoted(r.keyword) for r in table}))
+    rules = ", ".join(f"({quoted(r.keyword.split(' ')[0])}, {quoted('^' + r.pattern + ' ')}, {quoted(r.label)}, {r.priority})" for r in table)
+    keywords = ", ".join(sorted({quoted(r.keyword.split(" ")[0]) for r in table}))
     phrases = ", ".join(f"({quoted(phrase)}, {quoted(label)}, {len(phrase.split())})" for phrase, label in licenses.BASE.items())
     scores = "[" + ", ".join(map(str, licenses.SCORES)) + "]"
     return f"""

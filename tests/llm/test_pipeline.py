@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import corpus_pipeline
+import numpy as np
+
+from isobar.llm import quality, suffix
 from isobar.llm.common import tokenizer_path
+from llm.test_duplicates import jaccard_classes
 from llm.test_tokens import check_packing, library
 
 
@@ -41,6 +46,37 @@ def test_stages_of_planted_documents(spark, sf, tmp_path):
     assert tokenizer_path("byte_bpe_50k.json")
 
 
-def test_run(spark, sf):
+def test_run_equals_a_replay_in_memory(spark, sf, docs, texts):
+    """Every stage by brute force over Python lists: scores one text at a time, all pairs of sets, all windows of bytes, the library's ids."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = sorted(texts.items())
+    scores = model.score(np.array([quality.statistics(t or "") for _, t in rows]))
+    rows = [r for r, score in zip(rows, scores, strict=True) if score >= 0.3]
+    roots = jaccard_classes(rows, 5, 0.8)
+    rows = [rows[k] for k in sorted(set(roots))]
+    seen = Counter()
+    for _, t in rows:
+        data = (t or "").encode()
+        seen.update(data[s : s + 200] for s in range(len(data) - 199))
+    left = []
+    for i, t in rows:
+        data = (t or "").encode()
+        spans = suffix.merged([(s, s + 200) for s in range(len(data) - 199) if seen[data[s : s + 200]] > 1])
+        left.append((i, suffix.without(data, spans, whole_characters=True).decode()))
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 4 and corpus_pipeline.ORACLE_SQL is None
-    assert corpus_pipeline.run(spark, sf).count() > 0
+    found = corpus_pipeline.run(spark, sf).collect()
+    assert len({r.doc_id for r in found}) == len(left) < len(texts)
+    check_packing(found, [(i, [*library("byte_bpe_50k.json", t), 0]) for i, t in left], 1024)
+
+
+def test_stages_of_odd_rows(spark, odd, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing names go through every stage; an empty table too."""
+    spark.createDataFrame([(1, 1, 0), (4, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for k, start in enumerate((odd, odd.limit(0))):
+        rows = start
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, rows, str(tmp_path))
+            assert out.columns == odd.columns
+            out.write.parquet(f"{tmp_path}/{k}-{name}")
+            rows = spark.read.parquet(f"{tmp_path}/{k}-{name}")
+        assert corpus_pipeline.STAGES[-1][1](spark, rows, str(tmp_path)).count() >= rows.count()

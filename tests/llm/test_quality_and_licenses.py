@@ -105,7 +105,7 @@ def scan(text, table):
     for i, word in enumerate(words):
         window = " ".join(words[i : i + licenses.WINDOW]) + " "
         for rule in table:
-            if rule.keyword == word and (m := re.match(f"{rule.pattern}(?= )", window)):
+            if rule.keyword.split()[0] == word and (m := re.match(f"{rule.pattern}(?= )", window)):
                 found.append((rule.label, rule.priority, i, i + len(m[0].split())))
     kept = [a for a in found if not any(b[2] <= a[2] and b[3] >= a[3] and (b[1] < a[1] or b[1] == a[1] and b[3] - b[2] > a[3] - a[2]) for b in found)]
     return len(words), len(places), min(places, default=None), max(places, default=None), sorted(labels), sorted(kept), sorted(labels | {k[0] for k in kept})
@@ -117,8 +117,42 @@ def results(df):
 
 def test_rules_are_many_and_begin_with_their_keyword():
     table = licenses.rules()
-    assert len(table) >= 200 and len({r.priority for r in table}) == 3
-    assert all(re.match(re.escape(r.keyword), r.pattern) for r in table)
+    assert len(table) >= 500 and len(licenses.TEXTS) >= 250 and len({r.priority for r in table}) == 3
+    assert all(re.match(re.escape(r.keyword), r.pattern) and re.fullmatch("[a-z0-9]+( [a-z0-9]+){0,3}", r.keyword) for r in table)
+    assert all(len(re.sub(r"\(\?:[^()]*\)\?", "", r.pattern).split(" ")) <= licenses.WINDOW for r in table)
+
+
+# Texts and the labels that they must give, written by hand.
+CORPUS = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", ["mit"]),
+    ("SPDX-License-Identifier: Apache-2.0", ["apache-2.0"]),
+    ("// SPDX-License-Identifier: Apache-2.0 OR MIT", ["apache-2.0-or-mit"]),
+    ("# SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note", ["gpl-2.0-only-with-linux-syscall-note"]),
+    ("SPDX-License-Identifier: MIT-0", ["mit-0"]),
+    ("Licensed under the Apache License, Version 2.0 (the License)", ["apache-2", "apache-2.0"]),  # the first is a base phrase's
+    ("See http://www.apache.org/licenses/LICENSE-2.0 for details", ["apache-2.0"]),
+    ("You may get it at https://opensource.org/licenses/MIT.", ["mit"]),
+    ("https://creativecommons.org/licenses/by-nc-sa/4.0/", ["cc-by-nc-sa-4.0"]),
+    ("GPL version 2 with the Classpath Exception", ["gpl-2.0-with-classpath-exception"]),
+    ("As a special exception, if you link this library with other files", ["gcc-exception"]),
+    ("This code is not released under MIT license.", ["not-mit"]),
+    ("It is incompatible with the GNU GPLv3 here", ["gpl-incompatible"]),
+    ("the Software shall be used for Good, not Evil", ["json"]),
+    ("The origin of this software must not be misrepresented; altered source versions must be plainly marked as such", ["zlib"]),
+    ("GNU General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version", ["gpl-3.0-or-later"]),
+    ("a plain text with no license words in it", []),
+    ("This is a free day, and it is in the park that the software people met", []),
+]
+
+
+def test_labels_of_a_corpus_written_by_hand(spark):
+    found = licenses.license_scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CORPUS)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(CORPUS[r.doc_id][0], list(r.labels)) for r in found] == CORPUS
+
+
+def test_base_phrases_are_no_patterns(spark):
+    found = licenses.license_scan(spark.createDataFrame([(1, "c++ x"), (2, "ab")], "doc_id long, text string"), base={"a.": "dot"}, table=licenses.rules()[:3]).collect()
+    assert all(r.n_base == 0 for r in found)
 
 
 def test_license_texts(spark):
