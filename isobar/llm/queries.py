@@ -28,7 +28,7 @@ def op3_pivot_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sstable_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     manifest = sstable.write_shards(docs, common.scratch_path(spark, "shards"), common.tokenizer_path("word_bpe_49k.json"), end_id=2)
-    return sstable.read_shards(manifest, outputs=("ids_crc32",))
+    return sstable.read_shards(manifest, id_type=docs.schema["doc_id"].dataType, outputs=("ids_crc32",))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ one block.
     shard   = block* index filter footer
     block   = crc32 of what follows (u32), width of an id in bytes (u8), zstd(entry*)
     entry   = shared (varint), rest (varint), n ids (varint), rest of the key, ids
-    index   = (key length (u16), key, offset (u64), length (u32), entries (u32))*
+    index   = (key length (varint), key, offset (u64), length (u32), entries (u32))*
     footer  = offset and length of index and filter, entries, ids (6 x u64), magic
 
 An integer key is its sign-flipped big-endian form, a string key its UTF-8
@@ -18,7 +18,7 @@ bytes, so byte order is Spark's order; a null identifier is the empty key and
 comes first. All numbers are little-endian otherwise.
 
 Rows that repeat an identifier are all stored, in the order of their texts'
-hashes. A null text is an empty document. An empty table writes no shard and
+hashes; where very many rows share both, they are dealt by a further number. A null text is an empty document. An empty table writes no shard and
 reads back as an empty result. Other columns are ignored. Texts of any length
 are stored whole; a document larger than a block has a block of its own.
 """
@@ -94,14 +94,31 @@ def bloom_places(key: bytes, bits: int) -> list[int]:
     return [(first + i * step) % bits for i in range(PROBES)]
 
 
+#: Schemes that Hadoop and Arrow call by other names.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "gcs": "gs"}
+
+
+def file_system(uri: str):
+    """The Arrow file system of a URI as Spark writes it, and the path in it.
+
+    Local, s3a, gs, abfs and hdfs folders (the last needs the cluster's libhdfs
+    on the workers).
+    """
+    from pyarrow import fs
+
+    scheme, found, rest = uri.partition("://")
+    if not found:
+        scheme, _, rest = uri.partition(":") if uri.startswith("file:") else ("file", "", uri)
+        return fs.FileSystem.from_uri(f"file://{rest}")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+
+
 class ShardWriter:
     """Writes one shard; keys must come in order. The file appears under its name only when it is whole."""
 
     def __init__(self, uri: str, block_bytes: int = BLOCK_BYTES):
-        from pyarrow import fs
-
         self.uri, self.block_bytes = uri, block_bytes
-        self.fs, self.path = fs.FileSystem.from_uri(uri)
+        self.fs, self.path = file_system(uri)
         self.fs.create_dir(os.path.dirname(self.path), recursive=True)
         self.temp = f"{self.path}.{uuid.uuid4().hex}.tmp"
         self.out = self.fs.open_output_stream(self.temp)
@@ -144,7 +161,7 @@ class ShardWriter:
     def close(self) -> tuple:
         self._flush()
         index_at = self.size
-        self._write(b"".join(struct.pack("<H", len(k)) + k + PLACE.pack(*place) for k, *place in self.index))
+        self._write(b"".join(varint(len(k)) + k + PLACE.pack(*place) for k, *place in self.index))
         filter_at = self.size
         bits = max(64, -(-len(self.keys) * BITS_PER_KEY // 8) * 8)
         bloom = bytearray(bits // 8)
@@ -162,9 +179,7 @@ class ShardReader:
     """Looks up one key, or goes through a whole shard in key order."""
 
     def __init__(self, uri: str):
-        from pyarrow import fs
-
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = file_system(uri)
         self.file = system.open_input_file(path)
         end = self.file.size()
         index_at, index_len, filter_at, filter_len, self.entries, self.ids, magic = FOOTER.unpack(self._read(end - FOOTER.size, FOOTER.size))
@@ -174,10 +189,10 @@ class ShardReader:
         self.bloom = self._read(filter_at, filter_len)
         self.first, self.places, at = [], [], 0
         while at < len(index):
-            (n,) = struct.unpack_from("<H", index, at)
-            self.first.append(index[at + 2 : at + 2 + n])
-            self.places.append(PLACE.unpack_from(index, at + 2 + n))
-            at += 2 + n + PLACE.size
+            n, at = read_varint(index, at)
+            self.first.append(index[at : at + n])
+            self.places.append(PLACE.unpack_from(index, at + n))
+            at += n + PLACE.size
 
     def _read(self, at: int, n: int) -> bytes:
         return self.file.read_at(n, at)
@@ -223,8 +238,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     written: a row for each shard, in key order by (part, seq).
     """
     end = b"" if end_id is None else struct.pack("<I", end_id)
-    order = ["__id", "__hash"]
-    rows = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text")).withColumn("__hash", F.xxhash64("__text"))
+    # Rows equal in id and text are alike, so any order among them will do: the last number lets ranges cut them.
+    order = ["__id", "__hash", "__any"]
+    rows = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text")).withColumns({"__hash": F.xxhash64("__text"), "__any": F.monotonically_increasing_id()})
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done, writer, size = TaskContext.get().partitionId(), [], None, 0

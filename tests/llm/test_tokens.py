@@ -125,6 +125,25 @@ def test_shards_of_odd_rows_and_lookups(spark, odd):
     assert empty.count() == 0 and sstable.read_shards(empty).count() == 0
 
 
+def test_shards_of_long_text_keys(spark):
+    rows = [("k" * 70_000 + str(i), f"text {i}") for i in range(5)] + [("", "empty"), (None, "none"), ("é", "accent")]
+    at = common.scratch_path(spark, "test-shards")
+    manifest = sstable.write_shards(spark.createDataFrame(rows, "doc_id string, text string"), at, common.tokenizer_path(WORDS))
+    from pyspark.sql import types as T
+
+    found = {r.doc_id: tuple(r.ids) for r in sstable.read_shards(manifest, id_type=T.StringType()).collect()}
+    assert found == {(k or None): tuple(library(WORDS, t)) for k, t in rows if k != ""} | {None: found[None]} and found[None] in {tuple(library(WORDS, t)) for t in ("empty", "none")}
+    reader = [sstable.ShardReader(r.path) for r in manifest.collect()]
+    assert [tuple(x.tolist()) for r in reader for x in r.get("é")] == [tuple(library(WORDS, "accent"))]
+
+
+def test_addresses_of_shared_folders(tmp_path):
+    system, path = sstable.file_system(f"file:{tmp_path}/x")
+    assert type(system).__name__ == "LocalFileSystem" and path == f"{tmp_path}/x"
+    assert sstable.file_system(f"file://{tmp_path}/x")[1] == path == sstable.file_system(f"{tmp_path}/x")[1]
+    assert sstable.SCHEMES["s3a"] == "s3"
+
+
 def test_shard_blocks_and_damage(tmp_path):
     writer = sstable.ShardWriter(f"file://{tmp_path}/a.sst", block_bytes=100)
     rows = [(sstable.key_of(i), struct.pack("<3I", i + 50, 70_000, 1)) for i in range(-50, 50)]
