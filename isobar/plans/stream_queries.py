@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,15 +27,27 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
-    """The stream's result: of complete mode the last batch's, else all that was appended."""
+    """All that the stream appends."""
     at = scratch_path(spark, "stream")
-    if mode == "complete":
-        streams.drain(stream, f"{at}/out", f"{at}/state", mode, lambda df, _: df.write.mode("overwrite").parquet(f"{at}/out"))
-    else:
-        streams.drain(stream, f"{at}/out", f"{at}/state", mode)
+    streams.drain(stream, f"{at}/out", f"{at}/state", mode)
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
 
 
+def _closed(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``make``, with a watermark, has appended when every window of the events has closed.
+
+    Events are landed by time; one event far behind them all moves the
+    watermark past their windows, and its own window stays open. State is what
+    the watermark has not passed.
+    """
+    at, events = scratch_path(spark, "stream"), table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    found = None
+    for folder in streams.in_time_order(events, "ts", f"{at}/events", BATCH_ROWS, closing="ts"):
+        found = make(streams.stream_table(spark, folder, events.schema, files_per_batch=1 << 30))
+        streams.drain(found, f"{at}/out", f"{at}/state")
+    return spark.read.schema(found.schema).parquet(f"{at}/out")
+
+
 def _micros(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.unix_micros(F.col(n).cast("timestamp")) for n in names}).withColumnsRenamed({n: f"{n}_us" for n in names})
 
@@ -47,21 +61,21 @@ _hour, _six = 3_600_000_000, 6 * 3_600_000_000
 
 @query(f"""SELECT (epoch_us(ts) // {_hour}) * {_hour} AS window_start_us, (epoch_us(ts) // {_hour} + 1) * {_hour} AS window_end_us, event_type, count(*) AS n, max(value) AS most FROM events GROUP BY ALL""")
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = streams.windowed(_events(spark, sf_dir), "ts", "1 hour", _aggregates(), ["event_type"])
-    return _micros(_run(spark, found, "complete"), "window_start", "window_end")
+    found = _closed(spark, sf_dir, lambda events: streams.windowed(events, "ts", "1 hour", _aggregates(), ["event_type"], late="1 hour"))
+    return _micros(found, "window_start", "window_end")
 
 
 @query(f"""WITH w AS (SELECT *, unnest(range(0, 6)) AS i FROM events) SELECT (epoch_us(ts) // {_hour} - i) * {_hour} AS window_start_us, (epoch_us(ts) // {_hour} - i) * {_hour} + {_six} AS window_end_us, event_type, count(*) AS n, max(value) AS most FROM w GROUP BY ALL""")
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = streams.windowed(_events(spark, sf_dir), "ts", "6 hours", _aggregates(), ["event_type"], slide="1 hour")
-    return _micros(_run(spark, found, "complete"), "window_start", "window_end")
+    found = _closed(spark, sf_dir, lambda events: streams.windowed(events, "ts", "6 hours", _aggregates(), ["event_type"], slide="1 hour", late="1 hour"))
+    return _micros(found, "window_start", "window_end")
 
 
 @query("""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM g)
 SELECT user_id, epoch_us(min(ts)) AS session_start_us, epoch_us(max(ts)) + 7200000000 AS session_end_us, count(*) AS n, max(value) AS most FROM s GROUP BY user_id, session""")
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = streams.sessions(_events(spark, sf_dir), "ts", "2 hours", _aggregates(), ["user_id"])
-    return _micros(_run(spark, found, "complete"), "session_start", "session_end")
+    found = _closed(spark, sf_dir, lambda events: streams.sessions(events, "ts", "2 hours", _aggregates(), ["user_id"], late="1 hour"))
+    return _micros(found, "session_start", "session_end")
 
 
 @query(f"""WITH w AS (SELECT (epoch_us(ts) // {_six} + 1) * {_six} AS window_end_us, * FROM events) SELECT window_end_us - {_six} AS window_start_us, window_end_us, event_type, count(*) AS n, max(value) AS most FROM w
@@ -84,4 +98,6 @@ def stateful_previous_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, CAST(ts AS DATE) AS day, max(value) AS max_so_far, count(value) AS n FROM events GROUP BY ALL""")
 def stream_running_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, streams.running_max(_events(spark, sf_dir), ["user_id", F.to_date("ts").alias("day")], "value"), "complete")
+    """A day's maximum is final when the watermark has passed the day; until then its state is what came so far."""
+    found = _closed(spark, sf_dir, lambda events: streams.running_max(events.withWatermark("ts", "1 hour"), [F.window("ts", "1 day"), "user_id"], "value"))
+    return found.select("user_id", F.to_date("window.start").alias("day"), "max_so_far", "n")

@@ -50,7 +50,7 @@ def previous_issue(issues: DataFrame, key: str, at: str, value: str) -> DataFram
 
 
 def running_max(events: DataFrame, key: list[Column | str], value: str) -> DataFrame:
-    """The maximum so far by key; on a stream in update or complete mode."""
+    """The maximum so far by key; a stream appends it when the watermark has passed a window in the key, or updates it before."""
     return events.groupBy(*key).agg(F.max(value).alias("max_so_far"), F.count(value).alias("n"))
 
 
@@ -61,11 +61,13 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", e
     query.awaitTermination()
 
 
-def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int) -> Iterator[str]:
+def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int, closing: str | None = None) -> Iterator[str]:
     """Writes ``rows`` below ``path`` by time and lands them in a folder, about ``batch_rows`` at a time.
 
     Yields the folder after each landing, for a stream that takes all that is
-    new there: no row it finds is older than one of a landing before.
+    new there: no row it finds is older than one of a landing before. With
+    ``closing`` a last landing has one row, null but for that time, which is ten
+    years behind all others: a watermark follows it and closes what is open.
     """
     spark = rows.sparkSession
     n = rows.count()
@@ -80,6 +82,11 @@ def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int) -> Ite
             if not files.rename(hadoop(f"{path}/all/{name}"), hadoop(f"{path}/in/{name}")):
                 raise OSError(f"cannot land {path}/all/{name}")
         yield f"{path}/in"
+    if closing and n:
+        last = rows.agg(F.max(closing).alias("t"))
+        end = last.select(*[(F.col("t") + F.expr("INTERVAL 10 YEARS") if c == closing else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for c in rows.columns])
+        end.coalesce(1).write.mode("append").parquet(f"{path}/in")
+        yield f"{path}/in"
 
 
 def stream_table(spark: SparkSession, path: str, schema, files_per_batch: int = 1, glob: str | None = None) -> DataFrame:
