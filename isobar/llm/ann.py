@@ -45,6 +45,8 @@ from isobar.llm.vectors import best_of_each, bounded_sample, distinct_vectors, i
 BITS, TABLES = 16, 24
 SAMPLE, CALIBRATION = 2_048, 128
 RECALL = 0.97
+#: The part of the neighbours found that the radius of the whole code keeps.
+WITHIN = 0.98
 #: Rows of a bucket, about; and most rows and queries of a group.
 BUCKET_ROWS, GROUP_ROWS, GROUP_QUERIES = 4_096, 32_768, 4_096
 #: Queries that are compared with a group at once.
@@ -110,13 +112,13 @@ def choose(near: list[np.ndarray], far: list[np.ndarray], recall: float = RECALL
                 # sending a code to another table costs something, too
                 cost = share + tables * 2e-3
                 if best is None or cost < best[0]:
-                    whole = close[:, :tables].sum(axis=1, dtype=np.int64)[least <= reach]
-                    best = cost, tables, reach, int(np.ceil(np.quantile(whole, 0.99))), found * 0.99, share
+                    whole = close.sum(axis=1, dtype=np.int64)[least <= reach]
+                    best = cost, tables, reach, int(np.ceil(np.quantile(whole, WITHIN))), found * WITHIN, share
                 break
     return best[1:]
 
 
-def probe(codes: np.ndarray, query: np.ndarray, table: int, tables: int, reach: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def probe(codes: np.ndarray, query: np.ndarray, table: int, reach: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, row) of all codes that agree with a query in this table up to ``reach`` bits, in no table before it, and as a whole up to ``radius``.
 
     ``codes`` are in the order of this table's substring, so each distinct
@@ -129,7 +131,7 @@ def probe(codes: np.ndarray, query: np.ndarray, table: int, tables: int, reach:
     lengths = (ends - starts)[at_run]
     rows = np.repeat(starts[at_run] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum()) if len(lengths) else np.empty(0, np.int64)
     asked = np.repeat(at_query, lengths)
-    bits = apart(query[asked, :tables], codes[rows, :tables])
+    bits = apart(query[asked], codes[rows])
     keep = (bits[:, :table] > reach).all(axis=1) & (bits.sum(axis=1, dtype=np.int64) <= radius)
     return asked[keep], rows[keep]
 
@@ -223,13 +225,13 @@ def candidates(index: DataFrame, queries: DataFrame, plans: dict[int, Plan], wid
         schema = pa.schema([("qkey", pa.int64()), ("vkey", pa.int64())])
         if not a.num_rows or not b.num_rows:
             return schema.empty_table()
-        tables, reach, radius, _ = sent.value[a.column("dim")[0].as_py()]
+        _, reach, radius, _ = sent.value[a.column("dim")[0].as_py()]
         table = a.column("table")[0].as_py()
         of = lambda t: (t.column("vkey").to_numpy(), np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint16).reshape(t.num_rows, -1))
         (ids, codes), (asked, own) = of(a), of(b)
         order = np.argsort(codes[:, table], kind="stable")
         ids, codes = ids[order], codes[order]
-        found = [(asked[at + q], ids[r]) for at in range(0, len(asked), TOGETHER) for q, r in [probe(codes, own[at : at + TOGETHER], table, tables, reach, radius)]]
+        found = [(asked[at + q], ids[r]) for at in range(0, len(asked), TOGETHER) for q, r in [probe(codes, own[at : at + TOGETHER], table, reach, radius)]]
         return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=schema)
 
     by = [*keys, "chunk"]

@@ -101,7 +101,7 @@ def test_probing_finds_the_whole_ball():
         found = []
         for table in range(4):
             order = np.argsort(codes[:, table], kind="stable")
-            q, r = ann.probe(codes[order], queries, table, 4, reach, radius)
+            q, r = ann.probe(codes[order], queries, table, reach, radius)
             found += list(zip(q.tolist(), order[r].tolist(), strict=True))
         bits = [ann.apart(codes, q) for q in queries]
         want = {(k, j) for k, b in enumerate(bits) for j in np.flatnonzero((b.min(axis=1) <= reach) & (b.sum(axis=1) <= radius)).tolist()}
