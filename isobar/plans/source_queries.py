@@ -11,7 +11,10 @@ from isobar.session import scratch_path
 from isobar.sources import observations as documents
 from isobar.sources import sinks, tables, text
 
-N = F.col("n_nationkey")
+
+
+def _n() -> Column:
+    return F.col("n_nationkey")
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +23,11 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON document for each nation, written one a folder, and read as a station's history is: by a pattern that nothing fits, then by the fallback."""
-    hours = F.when(N % 4 == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), (N % 4).cast("int")))
-    entry = F.transform(hours, lambda i: F.struct((1678608000 + F.when(N % 5 == 0, 4 - i).otherwise(i) * 3600).cast("long").alias("valid_time_gmt"), (N + 40 + i).cast("double").alias("temp"), F.lit(0.25).alias("precip_hrly"), F.concat(F.lit("N"), N.cast("string")).alias("clds")))
-    doc = F.to_json(F.struct(F.struct(F.when(N % 7 == 0, 500).otherwise(200).alias("status_code")).alias("metadata"), entry.alias("observations")))
+    hours = F.when(_n() % 4 == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), (_n() % 4).cast("int")))
+    entry = F.transform(hours, lambda i: F.struct((1678608000 + F.when(_n() % 5 == 0, 4 - i).otherwise(i) * 3600).cast("long").alias("valid_time_gmt"), (_n() + 40 + i).cast("double").alias("temp"), F.lit(0.25).alias("precip_hrly"), F.concat(F.lit("N"), _n().cast("string")).alias("clds")))
+    doc = F.to_json(F.struct(F.struct(F.when(_n() % 7 == 0, 500).otherwise(200).alias("status_code")).alias("metadata"), entry.alias("observations")))
     at = scratch_path(spark, "history")
-    _nations(spark, sf_dir).select(N.alias("nation"), doc.alias("value")).repartition("nation").write.partitionBy("nation").text(at)
+    _nations(spark, sf_dir).select(_n().alias("nation"), doc.alias("value")).repartition("nation").write.partitionBy("nation").text(at)
     return documents.documents(spark, at, "KLGA_9_US_*.json", fallback="part-*")
 
 
@@ -48,10 +51,10 @@ def file_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.lpad((N + 10).cast("string"), 2, "0")
-    station = F.concat(F.lit("K"), F.lpad(N.cast("string"), 3, "0"))
-    lines = [F.concat(F.lit(" "), station, F.lit("   LAMP GUIDANCE   4/12/2026  2230 UTC")), F.lit(" UTC  23 00 01"), F.concat(F.lit(" TMP  "), n, F.lit(" 99  X")), F.concat(F.lit(" CIG   9 NG  "), (N % 8).cast("string"))]
-    return _nations(spark, sf_dir).select(F.concat(F.lit("b"), N.cast("string")).alias("source_path"), F.concat_ws("\n", *lines, F.lit(" KZZZ   LAMP GUIDANCE   4/12/2026  2230 UTC"), F.lit(" UTC  23"), F.lit(" TMP  50")).alias("text"))
+    n = F.lpad((_n() + 10).cast("string"), 2, "0")
+    station = F.concat(F.lit("K"), F.lpad(_n().cast("string"), 3, "0"))
+    lines = [F.concat(F.lit(" "), station, F.lit("   LAMP GUIDANCE   4/12/2026  2230 UTC")), F.lit(" UTC  23 00 01"), F.concat(F.lit(" TMP  "), n, F.lit(" 99  X")), F.concat(F.lit(" CIG   9 NG  "), (_n() % 8).cast("string"))]
+    return _nations(spark, sf_dir).select(F.concat(F.lit("b"), _n().cast("string")).alias("source_path"), F.concat_ws("\n", *lines, F.lit(" KZZZ   LAMP GUIDANCE   4/12/2026  2230 UTC"), F.lit(" UTC  23"), F.lit(" TMP  50")).alias("text"))
 
 
 @query("""SELECT 'K' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS station, label, CAST(h AS INTEGER) AS forecast_hour, TIMESTAMP '2026-04-12 22:00:00' + INTERVAL (h) HOUR AS valid_utc, token, CAST(value AS DOUBLE) AS value FROM nation, LATERAL (VALUES
@@ -67,8 +70,8 @@ def bulletin_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archived_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts in compressed files, and of an archive's members only those of the wanted days and cycles."""
     at = scratch_path(spark, "archive")
-    name = F.concat(F.lit("b"), N.cast("string"))
-    member = F.concat(F.lit("lamp."), F.when(N % 3 == 0, "20240105").when(N % 3 == 1, "20240106").otherwise("20240107"), F.lit("_"), F.when(N % 2 == 0, "04").otherwise("05"), F.lit("30z.txt"))
+    name = F.concat(F.lit("b"), _n().cast("string"))
+    member = F.concat(F.lit("lamp."), F.when(_n() % 3 == 0, "20240105").when(_n() % 3 == 1, "20240106").otherwise("20240107"), F.lit("_"), F.when(_n() % 2 == 0, "04").otherwise("05"), F.lit("30z.txt"))
     _nations(spark, sf_dir).select(F.concat_ws(",", name, member, F.col("n_regionkey").cast("string")).alias("value")).repartition(3).write.option("compression", "gzip").text(at)
     lines = text.whole_texts(spark, at, "part-*").select(F.explode(F.split(F.trim("text"), "\n")).alias("line"))
     members = lines.select(F.split_part("line", F.lit(","), F.lit(1)).alias("name"), F.split_part("line", F.lit(","), F.lit(2)).alias("member"), F.split_part("line", F.lit(","), F.lit(3)).cast("long").alias("region"))
@@ -78,12 +81,12 @@ def archived_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT n_nationkey AS nation, round(c, 4) AS temp_c, CAST(round(c * 9 / 5 + 32) AS BIGINT) AS rounded_temp_f, CASE WHEN n_nationkey % 3 = 0 THEN 86 END AS rounded_max_f, TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (n_nationkey) HOUR AS obs_utc FROM (SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN n_nationkey / 10.0 WHEN 1 THEN -n_nationkey / 10.0 ELSE n_nationkey END AS c FROM nation WHERE n_nationkey % 8 <> 7)""")
 def metar_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Temperatures from the remark's tenths, warm and cold, else from the field; times as numbers or as text; rows without either are left out."""
-    tenths = F.lpad(N.cast("string"), 3, "0")
-    raw = F.when(N % 3 == 0, F.concat(F.lit("METAR RMK T0"), tenths, F.lit("0011"))).when(N % 3 == 1, F.concat(F.lit("METAR RMK T1"), tenths, F.lit("1011")))
-    at = 1704067200 + N * 3600
-    when = F.when(N % 8 == 7, "no time").when(N % 2 == 0, at.cast("string")).otherwise(F.concat(F.date_format(F.timestamp_seconds(at), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
-    row = F.struct(raw.alias("rawOb"), N.cast("double").alias("temp"), F.when(N % 3 == 0, 30.0).alias("maxT"), when.alias("obsTime"))
-    texts = _nations(spark, sf_dir).select(N.alias("nation"), F.to_json(F.array(row)).alias("json"))
+    tenths = F.lpad(_n().cast("string"), 3, "0")
+    raw = F.when(_n() % 3 == 0, F.concat(F.lit("METAR RMK T0"), tenths, F.lit("0011"))).when(_n() % 3 == 1, F.concat(F.lit("METAR RMK T1"), tenths, F.lit("1011")))
+    at = 1704067200 + _n() * 3600
+    when = F.when(_n() % 8 == 7, "no time").when(_n() % 2 == 0, at.cast("string")).otherwise(F.concat(F.date_format(F.timestamp_seconds(at), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+    row = F.struct(raw.alias("rawOb"), _n().cast("double").alias("temp"), F.when(_n() % 3 == 0, 30.0).alias("maxT"), when.alias("obsTime"))
+    texts = _nations(spark, sf_dir).select(_n().alias("nation"), F.to_json(F.array(row)).alias("json"))
     return documents.metars(texts, "json", ["nation"]).select("nation", F.round("temp_c", 4).alias("temp_c"), "rounded_temp_f", F.col("rounded_max_f").cast("int").alias("rounded_max_f"), "obs_utc")
 
 
@@ -149,7 +152,7 @@ def three_level_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a read-back finds: a partition whose count is not its manifest's, one with a repeated key, one that failed."""
     at = scratch_path(spark, "validated")
-    rows = _nations(spark, sf_dir).select(F.col("n_regionkey").alias("region"), N.alias("k"))
+    rows = _nations(spark, sf_dir).select(F.col("n_regionkey").alias("region"), _n().alias("k"))
     stored = rows.withColumn("k", F.when(F.col("region") == 2, 0).otherwise(F.col("k")).cast(rows.schema["k"].dataType))
     sinks.write_partitioned(stored, at, ["region"])
     manifests = sinks.manifest(rows, ["region"]).withColumns({"row_count": F.col("row_count") + F.when(F.col("region") == 1, 1).otherwise(0), "status": F.when(F.col("region") == 3, "failed").otherwise(F.col("status"))})

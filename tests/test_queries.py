@@ -32,3 +32,12 @@ def test_entry_has_rows(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_the_entry_is_imported_without_a_session():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert len(e.queries()) > 150 and e.oracle_sql()"], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-2000:]
