@@ -49,7 +49,7 @@ def _byte_characters() -> dict[int, str]:
 
 BYTE_CHARACTERS = _byte_characters()
 #: Entries that a worker's cache holds at most before it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 
 
 class _Ids(dict):

@@ -182,7 +182,9 @@ def split_large(keyed: DataFrame, member: str, limit: int) -> DataFrame:
     """``keyed`` with the groups of more than ``limit`` rows dealt into pairs of chunks, so that any two rows of a group still meet.
 
     A group of m chunks becomes a group for each pair of chunks, and a row goes
-    to the m - 1 pairs of its own chunk.
+    to the m - 1 pairs of its own chunk: n * n / limit rows for a group of n,
+    which only distinct fingerprints that agree in 28 bits and in their distance
+    to the root can make.
     """
     large = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit))
     if large.isEmpty():
