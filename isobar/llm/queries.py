@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import ann, common, exact_topk, licenses, packing, pieces, quality, simhash, sstable, suffix, token_counts
+from isobar.llm import ann, common, exact_topk, fill_in_middle, licenses, packing, pieces, quality, simhash, sstable, suffix, token_counts, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +63,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, threshold=0.3).select("doc_id", F.coalesce(quality.fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_multi_index_hashing, op2_sentencepiece, op3_pivot_distance, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing, op10_quality)}
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(common.table(spark, sf_dir, "embeddings"), components=32, scale=64.0, offset=1_000_000)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = fill_in_middle.Rules(percent=100, spm_percent=50, seed=7)
+    found = fill_in_middle.fill_in_middle(common.table(spark, sf_dir, "documents"), rules)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"), rules)
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_multi_index_hashing, op2_sentencepiece, op3_pivot_distance, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing, op10_quality,
+        op12_whitening, op13_fill_in_middle,
+    )
+}
 
 
 def _license_sql() -> str:
@@ -120,4 +137,15 @@ ORACLES: dict[str, str] = {
             sha256(list_reduce(list_transform(range(1, n + 2), lambda j: b[z[j] + 1 : a[j]]), lambda x, y: x || y)) AS kept_sha256
         FROM k
     """,
+    "op13_fill_in_middle": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+        u AS (SELECT *, CAST(CASE WHEN t = '' THEN 0 WHEN ends_with(t, chr(10)) THEN len(parts) - 1 ELSE len(parts) END AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(h, k, 8) AS BIGINT)) AS r FROM d),
+        c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+        p AS (SELECT *, array_to_string(parts[1:a], chr(10)) || CASE WHEN a > 0 AND a < len(parts) THEN chr(10) ELSE '' END AS prefix, array_to_string(parts[a + 1:b], chr(10)) || CASE WHEN b > a AND b < len(parts) THEN chr(10) ELSE '' END AS middle FROM c),
+        s AS (SELECT *, substr(t, length(prefix) + length(middle) + 1) AS suffix FROM p)
+        SELECT doc_id, n, form, CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars, CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+        FROM s
+    """,
 }
