@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import ann, common, exact_topk, fill_in_middle, licenses, packing, pieces, quality, simhash, sstable, suffix, token_counts, whitening
+from isobar.llm import ann, common, exact_topk, fill_in_middle, jaccard, licenses, packing, pieces, quality, simhash, sstable, suffix, token_counts, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, threshold=0.3).select("doc_id", F.coalesce(quality.fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(common.table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(common.table(spark, sf_dir, "embeddings"), components=32, scale=64.0, offset=1_000_000)
 
@@ -78,7 +82,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_multi_index_hashing, op2_sentencepiece, op3_pivot_distance, op4_sstable_output, op5_license_scan, op6_simhash, op7_repeated_substrings, op8_token_counts, op9_packing, op10_quality,
-        op12_whitening, op13_fill_in_middle,
+        op11_jaccard_join, op12_whitening, op13_fill_in_middle,
     )
 }
 
