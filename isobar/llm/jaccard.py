@@ -39,7 +39,8 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ from pyspark.sql import types as T
 
 from isobar.llm.common import checkpointed, in_parts, map_texts, remove, scratch_path, whole_rows, written
 from isobar.llm.components import connected_components
-from isobar.llm.simhash import Sets, _in_parts_of, _of_rows, overlaps, runs
+from isobar.llm.simhash import Sets, _folded, _in_parts_of, _of_rows, _sketch, overlaps, runs
 
 #: Documents and shingles of a cell that one task joins.
 LIMIT, HASHES = 2_000, 4_000_000
@@ -61,7 +62,9 @@ FAR = 0.6
 #: A cell whose regions have more than this share of its pairs has not been split.
 STUCK = 0.5
 #: Counters of shingles: as many as words / WORDS_A_COUNTER, at most 2 ** MOST_BITS.
-WORDS_A_COUNTER, MOST_BITS = 512, 22
+WORDS_A_COUNTER, MOST_BITS = 256, 22
+#: Levels of how often a shingle occurs, for a doubling.
+LEVELS = 16
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -163,7 +166,11 @@ def join_cell(sets: list[np.ndarray], roots: list[int], percent: int) -> list[tu
 
 
 def rarity(docs: DataFrame, shingle: int) -> np.ndarray:
-    """For each value of a shingle hash's first bits, twice the logarithm of how many shingles of all documents begin with it; one byte each."""
+    """For each value of a shingle hash's first bits, the level of how many shingles of all documents begin with it: a byte, 128 for the mean.
+
+    A counter holds many shingles, but one that occurs more often than the
+    square root of the mean stands out, so levels are fine.
+    """
     size = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     bits = min(MOST_BITS, max(10, math.ceil(math.log2(max(1, size / 6 / WORDS_A_COUNTER)))))
 
@@ -178,14 +185,15 @@ def rarity(docs: DataFrame, shingle: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], names=["bucket", "n"])
 
     summed = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    table = summed.select("bucket", F.floor(2 * F.log2("n")).cast("tinyint").alias("level")).toArrow()
+    table = summed.select("bucket", F.log2("n").cast("float").alias("level")).toArrow()
+    found = table.column("level").to_numpy()
     levels = np.zeros(1 << bits, np.uint8)
-    levels[table.column(0).to_numpy()] = table.column(1).to_numpy()
+    levels[table.column("bucket").to_numpy()] = np.clip(128 + LEVELS * (found - np.median(found)) if len(found) else found, 0, 255)
     return levels
 
 
 def _described(docs: DataFrame, shingle: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """id, rid, set (128 bits), size and prefix of every row."""
+    """id, rid, set (128 bits), size, prefix and sketch (counts of hashes in buckets) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     shift = np.uint64(64 - (len(levels).bit_length() - 1))
 
@@ -193,7 +201,7 @@ def _described(docs: DataFrame, shingle: int, percent: int, levels: np.ndarray)
         rare = shared.value
 
         def describe(texts: list[str]) -> list:
-            keys, sizes, prefixes = [], [], []
+            keys, sizes, prefixes, sketches = [], [], [], []
             for text in texts:
                 own = shingle_set(text, shingle)
                 n = len(own) - least_common(len(own), percent) + 1 if len(own) else 0
@@ -201,16 +209,17 @@ def _described(docs: DataFrame, shingle: int, percent: int, levels: np.ndarray)
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
                 sizes.append(len(own))
                 prefixes.append(own[order].view(np.int64))
+                sketches.append(_sketch(own))
             ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
-            return [keys, sizes, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+            return [keys, sizes, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), sketches]
 
         return describe
 
-    return map_texts(docs, ["id", "rid"], F.col("text"), start, [T.StructField("set", T.BinaryType()), T.StructField("size", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+    return map_texts(docs, ["id", "rid"], F.col("text"), start, [T.StructField("set", T.BinaryType()), T.StructField("size", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
 
 
-def _whole_sets(classes: DataFrame, docs: DataFrame, wanted: DataFrame, shingle: int, broadcast_rows: int) -> DataFrame:
+def _whole_sets(classes: DataFrame, described: DataFrame, docs: DataFrame, wanted: DataFrame, shingle: int, broadcast_rows: int, at: str) -> DataFrame:
     """(cls, hashes): the whole sets, little-endian 64-bit hashes in order, of the ``wanted`` classes."""
     rows = checkpointed(classes.select("cls", F.col("first.rid").alias("rid")).join(wanted, "cls", "left_semi"))
 
@@ -218,7 +227,10 @@ def _whole_sets(classes: DataFrame, docs: DataFrame, wanted: DataFrame, shingle:
         return lambda texts: [[shingle_set(text, shingle).astype("<u8").tobytes() for text in texts]]
 
     texts = _of_rows(docs.select("rid", "text"), rows, "inner", broadcast_rows)
-    return map_texts(texts, ["cls"], F.col("text"), start, [T.StructField("hashes", T.BinaryType())]).dropDuplicates(["cls"])
+    sets = map_texts(texts, ["cls"], F.col("text"), start, [T.StructField("hashes", T.BinaryType())])
+    # Rows repeated in full give their set more than once.
+    repeated = described.join(rows, "rid", "left_semi").groupBy("rid").agg(F.count("*").alias("n")).where("n > 1")
+    return _kept(sets if repeated.isEmpty() else sets.dropDuplicates(["cls"]), at)
 
 
 def _sets_of(run: pa.Table, column: str) -> list[np.ndarray]:
@@ -229,6 +241,41 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*pairs, strict=True) if pairs else ([], []))], names=["a", "b"])
 
 
+def could_be_alike(roots: np.ndarray, sizes: np.ndarray, sketches: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets, in order of size, could be similar to one of another root, by sizes and by the least difference that their sketches leave."""
+    out, s = np.zeros(len(roots), bool), percent / 100
+    ends = np.searchsorted(sizes, sizes / s + 1e-6, "right")
+    buckets, level, at, counts = np.array([len(x) for x in sketches]), 0, 0, np.empty((0, 0))
+    for i, end in enumerate(ends.tolist()):
+        others = i + 1 + np.flatnonzero(roots[i + 1 : end] != roots[i])
+        if not len(others):
+            continue
+        if buckets[i] != level:
+            level, at = int(buckets[i]), i
+            last = int(ends[np.searchsorted(buckets, level, "right") - 1])
+            counts = np.concatenate([_folded(np.stack(list(same)), level) for _, same in groupby(sketches[i:last], len)])
+        apart = np.abs(counts[others - at] - counts[i - at]).sum(axis=1, dtype=np.int64)
+        near = others[apart <= (int(sizes[i]) + sizes[others]) * ((1 - s) / (1 + s)) + 1e-6]
+        if len(near):
+            out[i] = out[near] = True
+    return out
+
+
+def _candidates(cells: DataFrame, members: DataFrame, classes: DataFrame, percent: int, at: str) -> DataFrame:
+    """The rows of ``cells`` (key, cls, each one task's) that could be linked to one of another root in their cell."""
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches):
+            roots = run.column("root").to_numpy()
+            if (roots == roots[0]).all():
+                continue
+            found = could_be_alike(roots, run.column("size").to_numpy(), [np.frombuffer(x, np.uint8) for x in run.column("sketch").to_pylist()], percent)
+            if found.any():
+                yield pa.RecordBatch.from_arrays([pa.array(run.column(c).to_numpy()[found]) for c in ("key", "cls")], names=["key", "cls"])
+
+    drawn = cells.select("key", "cls").join(members.select("cls", "root"), "cls").join(classes.select("cls", "size", "sketch"), "cls").select("key", "cls", "root", "size", "sketch")
+    return _kept(drawn.repartition("key").sortWithinPartitions("key", "size", "cls").mapInArrow(meet, "key long, cls long"), at)
+
+
 def _joined(cells: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of cells (key, cls) that are each one task's."""
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,17 +365,22 @@ def _mixed(cells: DataFrame, members: DataFrame, at: str) -> DataFrame:
     return _kept(cells.join(keys, "key", "left_semi"), at)
 
 
-def join_cells(cells: DataFrame, members: DataFrame, sets: DataFrame, percent: int, limit: int, at: str) -> DataFrame:
-    """``members`` (cls, size, root) with the roots that the links of all ``cells`` (key, cls) make of theirs; tables go below ``at``."""
+def join_cells(cells: DataFrame, members: DataFrame, classes: DataFrame, whole: Callable[[DataFrame], DataFrame], percent: int, limit: int, at: str) -> DataFrame:
+    """``members`` (cls, size, root) with the roots that the links of all ``cells`` (key, cls) make of theirs; tables go below ``at``.
+
+    ``whole`` gives the sets of classes. Only sets that bounds do not exclude are asked for.
+    """
     links = members.where("root <> cls").select(F.col("cls").alias("a"), F.col("root").alias("b"))
     ratio = F.lit(math.log(1.01 * 100 / percent)).alias("ratio")
     while True:
         large = _sizes(cells, members, limit)
-        links = _kept(links.union(_joined(cells.join(large, "key", "left_anti"), members, sets, percent)), at)
+        near = _candidates(cells.join(large, "key", "left_anti"), members, classes, percent, at)
+        now = checkpointed(cells.select("key", "cls").join(large, "key"))
+        sets = whole(near.select("cls").union(now.select("cls")).distinct())
+        links = _kept(links.union(_joined(_mixed(near, members, at), members, sets, percent)), at)
         members = _with_roots(members, links, at)
         if large.isEmpty():
             return members
-        now = checkpointed(cells.select("key", "cls").join(large, "key"))
         found = _split(now, members, sets, percent, limit, at)
         links = _kept(links.union(found.where("a is not null").select("a", "b")), at)
         members = _with_roots(members, links, at)
@@ -339,9 +391,11 @@ def join_cells(cells: DataFrame, members: DataFrame, sets: DataFrame, percent: i
         pairs = inside.groupBy("parent", "key").agg(F.count("*").cast("double").alias("n"), F.first("rows").alias("rows")).groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"), F.first("rows").alias("rows"))
         stuck = checkpointed(pairs.where(F.col("pairs") > STUCK * F.col("rows") * F.col("rows")).select("parent"))
         if not stuck.isEmpty():
-            whole = placed.join(stuck, "parent", "left_semi").select(F.col("parent").alias("key"), F.lit(0).alias("k"), "cls").join(members.select("cls", "size"), "cls").withColumn("ratio", ratio)
-            dealt = _in_parts_of(checkpointed(whole), limit, HASHES)
+            rows = placed.join(stuck, "parent", "left_semi").select(F.col("parent").alias("key"), F.lit(0).alias("k"), "cls").join(members.select("cls", "size"), "cls").withColumn("ratio", ratio)
+            dealt = _candidates(_in_parts_of(checkpointed(rows), limit, 1 << 40), members, classes, percent, at)
+            dealt = _in_parts_of(checkpointed(dealt.withColumn("k", F.lit(0)).join(members.select("cls", "size"), "cls").select("key", "k", "cls", "size").withColumn("ratio", ratio)), limit, HASHES)
             links = _kept(links.union(_joined(dealt.select("key", "cls"), members, sets, percent)), at)
+            members = _with_roots(members, links, at)
         cells = _mixed(inside.join(stuck, "parent", "left_anti").select("key", "cls"), members, at)
 
 
@@ -355,16 +409,19 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
     at = scratch_path(docs.sparkSession, "jaccard")
     described = checkpointed(_described(rows, shingle, percent, rarity(rows, shingle)))
     first = F.min(F.struct(F.col("id").isNull().alias("no"), F.col("id").alias("id"), F.col("rid").alias("rid"))).alias("first")
-    classes = described.where("size > 0").groupBy("set").agg(first, F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    classes = described.where("size > 0").groupBy("set").agg(first, *[F.first(c).alias(c) for c in ("size", "prefix", "sketch")])
     classes = _kept(classes.withColumn("cls", F.monotonically_increasing_id()), at)
     keyed = classes.select("cls", F.explode("prefix").alias("key"))
     times = _kept(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), at)
     cells = _kept(keyed.join(times, "key"), at)
-    sets = _kept(_whole_sets(classes, rows, cells.select("cls").distinct(), shingle, broadcast_rows), at)
-    members = _kept(classes.select("cls", "size", F.col("cls").alias("root")).join(sets.select("cls"), "cls", "left_semi"), at)
+    members = _kept(classes.select("cls", "size", F.col("cls").alias("root")).join(cells.select("cls").distinct(), "cls", "left_semi"), at)
     home = _kept(cells.groupBy("cls").agg(F.max(F.struct("n", "key")).alias("home")).select(F.col("home.key").alias("key"), "cls"), at)
-    members = join_cells(home, members, sets, percent, limit, at)
-    members = join_cells(_mixed(cells.select("key", "cls"), members, at), members, sets, percent, limit, at)
+
+    def whole(wanted: DataFrame) -> DataFrame:
+        return _whole_sets(classes, described, rows, wanted, shingle, broadcast_rows, at)
+
+    members = join_cells(home, members, classes, whole, percent, limit, at)
+    members = join_cells(_mixed(cells.select("key", "cls"), members, at), members, classes, whole, percent, limit, at)
 
     least = classes.select("set", "cls", "first").join(members.select("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     ids = least.groupBy("root").agg(F.min("first").alias("first")).select("root", F.col("first.id").alias("component_id"))
