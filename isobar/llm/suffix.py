@@ -238,7 +238,8 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     reach = threshold - GRAM
     # Written once, as it is read twice: a text is hashed once.
     at = scratch_path(docs.sparkSession, "marks")
-    marked = written(_marked(docs, threshold), at).select("rid", F.inline("marks"))
+    written_marks = written(_marked(docs, threshold), at)
+    marked = written_marks.select("rid", F.inline("marks"))
     grams = marked.groupBy("gram").agg(F.count("*").alias("n"), F.min("around").alias("least"), F.max("around").alias("most")).where("n > 1")
     grams = checkpointed(grams.select("gram", (F.col("least") != F.col("most")).alias("mixed")))
     repeated = checkpointed(marked.join(grams, "gram"))
@@ -249,11 +250,16 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     full = repeated.where("not mixed").select("rid", "at").union(counted.where("several").select("rid", "at"))
     full = full.select("rid", (F.col("at") - reach).alias("start"), (F.col("at") + threshold).alias("end"))
 
-    firsts = counted.where("first")
+    # Rows that repeat each other in full share a rid and its places, which are taken once.
+    firsts = checkpointed(counted.where("first").select("gram", "rid", "at").distinct())
     wanted = firsts.groupBy("rid").agg(F.collect_list(F.struct("gram", "at")).alias("w"))
-    wanted = wanted.select("rid", F.transform("w", lambda w: w["gram"]).alias("grams"), F.transform("w", lambda w: w["at"]).alias("places"))
-    size = firsts.agg(F.countDistinct("rid").alias("rows"), F.count("*").alias("marks")).first()
+    wanted = checkpointed(wanted.select("rid", F.transform("w", lambda w: w["gram"]).alias("grams"), F.transform("w", lambda w: w["at"]).alias("places")))
+    size = wanted.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("marks")).first()
     texts = _beside(docs.select("rid", "text"), wanted, ROW_BYTES * size["rows"] + 16 * size["marks"], "inner")
+    several = checkpointed(written_marks.select("rid").join(wanted, "rid", "left_semi").groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select("rid"))
+    if n_several := several.count():
+        once = _beside(texts, several, ROW_BYTES * n_several, "left_anti")
+        texts = once.unionByName(_beside(texts, several, ROW_BYTES * n_several, "left_semi").dropDuplicates(["rid"]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
@@ -269,7 +275,6 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     whole = None
     if not large.isEmpty():
         cuts, whole = _split(cuts, large, reach, threshold)
-    # Rows that repeat each other in full have been cut more than once.
     cuts = cuts.repartition("gram").sortWithinPartitions("gram", "rid", "at")
     found = pa.schema([("rid", pa.binary()), ("start", pa.int32()), ("end", pa.int32())])
 
@@ -310,7 +315,7 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
             sides = [pa.array([[span[k] for span in union] for union in unions], pa.list_(pa.int32())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *sides], names=["rid", "starts", "ends"])
 
-    out = checkpointed(spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")).mapInArrow(merge, "rid binary, starts array<int>, ends array<int>"))
+    out = checkpointed(spans.groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans")).mapInArrow(merge, "rid binary, starts array<int>, ends array<int>"))
     remove(docs.sparkSession, at)
     return out
 
