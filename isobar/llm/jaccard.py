@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import math
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
@@ -174,22 +175,33 @@ def rarity(docs: DataFrame, shingle: int) -> np.ndarray:
     size = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     bits = min(MOST_BITS, max(10, math.ceil(math.log2(max(1, size / 6 / WORDS_A_COUNTER)))))
 
+    block = 1 << min(12, bits)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int64)
+        counts = np.zeros(1 << bits, np.uint32)
         for batch in in_parts(batches):
             own = [shingle_set(text, shingle) >> np.uint64(64 - bits) for text in batch.column(0).to_pylist()]
-            np.add.at(counts, np.concatenate(own).astype(np.int64), 1) if own else None
-        found = np.flatnonzero(counts)
-        for at in range(0, len(found), 1 << 16):
-            part = found[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], names=["bucket", "n"])
-
-    summed = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    table = summed.select("bucket", F.log2("n").cast("float").alias("level")).toArrow()
-    found = table.column("level").to_numpy()
-    levels = np.zeros(1 << bits, np.uint8)
-    levels[table.column("bucket").to_numpy()] = np.clip(128 + LEVELS * (found - np.median(found)) if len(found) else found, 0, 255)
-    return levels
+            if own:
+                np.add.at(counts, np.concatenate(own).astype(np.int64), 1)
+        for k, part in enumerate(counts.reshape(-1, block)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], names=["block", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(zlib.decompress(packed), np.uint32)
+                sums[k] = sums[k] + part if k in sums else part.astype(np.int64)
+        for k, total in sums.items():
+            logs = np.log2(np.maximum(total, 1)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([logs.tobytes()])], names=["block", "counts"])
+
+    summed = docs.select("text").mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
+    logs = np.zeros((1 << bits) // block * block, np.float32).reshape(-1, block)
+    for row in summed.collect():
+        logs[row.block] = np.frombuffer(row.counts, np.float32)
+    return np.clip(128 + LEVELS * (logs - np.median(logs)), 0, 255).astype(np.uint8).ravel()
 
 
 def _described(docs: DataFrame, shingle: int, percent: int, levels: np.ndarray) -> DataFrame:

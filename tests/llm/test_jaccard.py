@@ -52,7 +52,7 @@ def found(df, **how) -> list[tuple]:
 
 def varied(rng: random.Random, words: list[str], changes: int) -> str:
     words = list(words)
-    for _ in range(changes):
+    for _ in range(changes if len(words) > 8 else min(changes, 2)):
         at = rng.randrange(len(words))
         words[at : at + rng.randrange(2)] = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(2))]
     return " ".join(words)
