@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -138,18 +140,31 @@ def issue_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.orderBy("mae", F.desc("n")).limit(12)
 
 
-#: Labels and the bounds that they must give, worked out by hand.
+#: Forms of labels (a number, or one and that plus three), and how far their bounds are from the number; worked out by hand.
 LABELS = [
-    ("68 or below", None, 68), ("69-70", 69, 70), ("71+", 71, None), ("under 40", None, 39), ("above 95", 96, None), ("88 to 85", 85, 88), ("72", 72, 72), ("75° or higher", 75, None), ("less than 50", None, 49), ("60°F or lower", None, 60),
-    ("abc", None, None), ("71 through 75", 71, 75), ("80 degrees or higher", 80, None), ("80 and above", 80, None), ("80F above", 80, None), ("72 below", None, 71), ("72 and below", None, 71), ("72 lower", None, 72), ("54F or under", None, 54),
-    ("greater than 70", 71, None), ("60-61°F", 60, 61), ("72F", 72, 72), ("between 69 and 70", None, None), ("  73  ", 73, 73), ("Will it be 64 degrees or below?", None, 64),
+    ("{} or below", None, 0), ("{}-{}", 0, 3), ("{}+", 0, None), ("under {}", None, -1), ("above {}", 1, None), ("{1} to {0}", 0, 3), ("{}", 0, 0), ("{}° or higher", 0, None), ("less than {}", None, -1), ("{}°F or lower", None, 0),
+    ("abc", None, None), ("{} through {}", 0, 3), ("{} degrees or higher", 0, None), ("{} and above", 0, None), ("{}F above", 0, None), ("{} below", None, -1), ("{} and below", None, -1), ("{} lower", None, 0), ("{}F or under", None, 0),
+    ("greater than {}", 1, None), ("{}-{}°F", 0, 3), ("{}F", 0, 0), ("between {} and {}", None, None), ("  {}  ", 0, 0), ("Will it be {} degrees or below?", None, 0),
 ]
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{x}', {'NULL' if a is None else a}, {'NULL' if b is None else b})" for x, a, b in LABELS) + ") t(label, lower, upper)")
+def _label_sql(form: str) -> str:
+    parts = re.split(r"(\{[01]?\})", form)
+    numbers = iter(("n", "n + 3"))
+    pieces = [{"{0}": "n", "{1}": "n + 3", "{}": None}.get(p, "'" + p + "'") or next(numbers) for p in parts if p]
+    return " || ".join(f"CAST({p} AS VARCHAR)" if p[0] == "n" else p for p in pieces)
+
+
+@query("WITH p AS (SELECT p_partkey, p_partkey % 110 AS n FROM part), f AS (" + " UNION ALL ".join(
+    f"SELECT p_partkey, {_label_sql(form)} AS label, {'CAST(NULL AS BIGINT)' if a is None else f'n + {a}'} AS lower, {'CAST(NULL AS BIGINT)' if b is None else f'n + {b}'} AS upper FROM p WHERE p_partkey % {len(LABELS)} = {k}" for k, (form, a, b) in enumerate(LABELS)
+) + ") SELECT p_partkey, label, CAST(lower AS INTEGER) AS lower, CAST(upper AS INTEGER) AS upper FROM f")
 def event_bin_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 110).alias("n"))
+    label = F.lit(None).cast("string")
+    for k, (form, _, _) in enumerate(LABELS):
+        label = F.when(F.col("p_partkey") % len(LABELS) == k, F.expr(_label_sql(form).replace("VARCHAR", "STRING"))).otherwise(label)
     parsed = event_bin(F.col("label"))
-    return spark.createDataFrame([(x,) for x, _, _ in LABELS], "label string").select("label", parsed["lower"].alias("lower"), parsed["upper"].alias("upper"))
+    return part.select("p_partkey", label.alias("label")).select("p_partkey", "label", parsed["lower"].alias("lower"), parsed["upper"].alias("upper"))
 
 
 @query("""WITH p AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages)

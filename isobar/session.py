@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,10 +24,32 @@ def session(app: str = "isobar", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: Only used in local mode, as in tests, where the session names no folder.
+LOCAL_SCRATCH = "file:///tmp/checkpoints"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+    """The folder that the driver and all executors share; the cluster names it in spark.checkpoint.dir. A cluster that names none is refused."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return named.rstrip("/") if named else LOCAL_SCRATCH
+
+
+_ROOTS: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the session's own folder of the shared one, which goes when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        _ROOTS[app] = f"{shared_dir(spark)}/{app}-{uuid.uuid4().hex}"
+        atexit.register(_remove, spark, _ROOTS[app])
+    return f"{_ROOTS[app]}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, root: str) -> None:
+    """Deletes a session's folder, if the session still runs."""
+    if spark.sparkContext._jsc is not None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(root)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
