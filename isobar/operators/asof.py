@@ -2,9 +2,12 @@
 
 None of them pairs rows by inequality: both sides are united, sorted once by
 (key, time), and the last right-hand row before each left-hand one is carried
-forward. Rows are sorted by (key, stretch of time), and only the last row of
-each stretch is carried along the key, so a key may have any number of rows.
-``bucket_hours`` is the length of a stretch; None sorts whole keys.
+forward. Keys are counted first: one of at most ``HOT_ROWS`` rows is sorted
+whole. A hotter one is cut into stretches at quantiles of its own times, so
+stretches have about as many rows wherever the key is dense, and only the last
+row of each is carried along the key: a key may have any number of rows.
+``bucket_hours`` gives stretches of one length to all keys instead; None sorts
+whole keys.
 """
 
 from __future__ import annotations
@@ -19,11 +22,44 @@ from pyspark.sql import functions as F
 from isobar.functions.timeops import micros
 
 HOUR = 3_600_000_000
-#: A stretch: long enough that few rows are carried, short enough that a key's rows of one fit a task.
+#: Rows of a key that one task sorts, and the most stretches that a hotter key is cut into.
+HOT_ROWS, MOST_STRETCHES = 1_000_000, 512
+#: Stretches by counted keys.
+COUNTED = "counted"
+#: The length of a stretch of trailing windows, where keys are hot.
 BUCKET_HOURS = 168.0
 
 
-def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str], prefix: str = "", tie: Sequence[str] = (), back_hours: float = 0.0, max_age_hours: float | None = None, bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
+def hot_keys(df: DataFrame, by: Sequence[str]) -> int:
+    """The rows of the largest key, if one task must not sort it; else 0."""
+    most = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    return most if most > HOT_ROWS else 0
+
+
+def in_stretches(df: DataFrame, by: Sequence[str], t: str, bucket_hours: float | str | None) -> DataFrame | None:
+    """``df`` with ``__bucket``, the stretch of a row by its microseconds ``t``; None where whole keys are sorted.
+
+    The quantiles are those of a sketch of bounded size a hot key; they choose
+    where stretches begin and nothing else.
+    """
+    if bucket_hours is None:
+        return None
+    if bucket_hours != COUNTED:
+        return df.withColumn("__bucket", F.floor(F.col(t) / int(bucket_hours * HOUR)))
+    most = hot_keys(df, by)
+    if not most:
+        return None
+    cuts = min(MOST_STRETCHES, math.ceil(2 * most / max(HOT_ROWS, 1)))
+    same = [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(by)]
+    hot = df.groupBy(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(by)]).agg(F.count("*").alias("__n")).where(F.col("__n") > HOT_ROWS).drop("__n")
+    there = df.join(hot, reduce(lambda x, y: x & y, same), "left_semi")
+    bounds = there.groupBy(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(by)]).agg(F.percentile_approx(t, [k / cuts for k in range(1, cuts)] or [0.5], 2_000).alias("__bounds"))
+    found = df.join(bounds, reduce(lambda x, y: x & y, same), "left")
+    before = F.aggregate("__bounds", F.lit(0), lambda n, b: n + (b <= F.col(t)).cast("int"))
+    return found.withColumn("__bucket", F.coalesce(before, F.lit(0))).drop("__bounds", *[f"__h{i}" for i in range(len(by))])
+
+
+def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str], prefix: str = "", tie: Sequence[str] = (), back_hours: float = 0.0, max_age_hours: float | None = None, bucket_hours: float | str | None = COUNTED) -> DataFrame:
     """Each row of ``left`` with ``values`` of the last row of ``right`` at or before ``left_time`` - ``back_hours``.
 
     Of rows with one time the last by ``tie`` counts. The matched row's values
@@ -38,12 +74,11 @@ def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     rights = right.select(*own, (micros(F.col(right_time)) + shift).alias("__t"), F.lit(0).alias("__side"), F.struct(*[F.col(c) for c in tie] or [F.lit(0)]).alias("__tie"), match.alias("__match"), F.lit(None).cast(left.select(F.struct("*").alias("s")).schema["s"].dataType).alias("__row"))
     lefts = left.select(*own, micros(F.col(left_time)).alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast(rights.schema["__tie"].dataType).alias("__tie"), F.lit(None).cast(rights.schema["__match"].dataType).alias("__match"), F.struct("*").alias("__row"))
     both = rights.unionByName(lefts)
-    if bucket_hours is not None:
-        both = both.withColumn("__bucket", F.floor(F.col("__t") / int(bucket_hours * HOUR)))
-    by = [*keys, "__bucket"] if bucket_hours is not None else keys
+    dealt = in_stretches(both, keys, "__t", bucket_hours)
+    both, by = (both, keys) if dealt is None else (dealt, [*keys, "__bucket"])
     order = Window.partitionBy(*by).orderBy("__t", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0)
     found = both.withColumn("__last", F.last("__match", ignorenulls=True).over(order)).where("__side = 1")
-    if bucket_hours is not None:
+    if dealt is not None:
         ends = both.groupBy(*by).agg(F.max_by("__match", F.when(F.col("__side") == 0, F.struct("__t", "__tie"))).alias("__end"))
         earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
         carried = ends.select(*by, F.last("__end", ignorenulls=True).over(earlier).alias("__carried")).withColumnsRenamed({k: f"__c{k}" for k in by})
@@ -62,13 +97,16 @@ def trailing(columns: dict[str, Column], time: str, by: Sequence[str], hours: fl
     return {name: column.over(window) for name, column in columns.items()}
 
 
-def with_trailing(df: DataFrame, columns: dict[str, Column], time: str, by: Sequence[str], hours: float, bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
+def with_trailing(df: DataFrame, columns: dict[str, Column], time: str, by: Sequence[str], hours: float, bucket_hours: float | str | None = COUNTED) -> DataFrame:
     """``df`` with :func:`trailing` aggregates.
 
-    A key is cut into stretches of ``bucket_hours``, or of ``hours`` if these
-    are more, and a row that the next stretch's windows still reach lends itself
-    to it, so no task needs a whole key.
+    Where a key is hot, or ``bucket_hours`` is given, keys are cut into
+    stretches of that length, or of ``hours`` if these are more, and a row that
+    the next stretch's windows still reach lends itself to it, so no task needs
+    a whole key.
     """
+    if bucket_hours == COUNTED:
+        bucket_hours = BUCKET_HOURS if hot_keys(df, by) else None
     if bucket_hours is None:
         return df.select("*", *[c.alias(n) for n, c in trailing(columns, time, by, hours).items()])
     width = int(max(bucket_hours, hours) * HOUR)
@@ -79,7 +117,7 @@ def with_trailing(df: DataFrame, columns: dict[str, Column], time: str, by: Sequ
     return found.where("__bucket = __own").drop("__own", "__bucket")
 
 
-def values_before(df: DataFrame, keep: Sequence[str], value: str, time: str, by: Sequence[str], hours: Sequence[float], tie: Sequence[str] = (), bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
+def values_before(df: DataFrame, keep: Sequence[str], value: str, time: str, by: Sequence[str], hours: Sequence[float], tie: Sequence[str] = (), bucket_hours: float | str | None = COUNTED) -> DataFrame:
     """``keep``, which identify a row, and before_{h}h: the value of the key's last row at or before its time less h hours, null where that is null. One pass for all ``hours``."""
     asks = df.select(*keep, *[c for c in (*by, time) if c not in keep], F.explode(F.array(*map(F.lit, hours))).alias("__h"))
     asks = asks.withColumn("__asked", F.col(time).cast("timestamp_ntz") - F.make_dt_interval(secs=F.col("__h") * 3600))
@@ -87,15 +125,15 @@ def values_before(df: DataFrame, keep: Sequence[str], value: str, time: str, by:
     return found.groupBy(*keep).agg(*[F.max(F.when(F.col("__h") == h, F.col(f"before_{value}"))).alias(f"before_{h}h") for h in hours])
 
 
-def with_previous(df: DataFrame, by: Sequence[str], time: str, tie: Sequence[str], values: Sequence[str], prefix: str, bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
+def with_previous(df: DataFrame, by: Sequence[str], time: str, tie: Sequence[str], values: Sequence[str], prefix: str, bucket_hours: float | str | None = COUNTED) -> DataFrame:
     """Each row with ``values`` of the row before it of its key, in the order of time and ``tie``."""
     own = F.struct(*[F.col(v).alias(f"{prefix}{v}") for v in values])
-    if bucket_hours is None:
+    rows = in_stretches(df.withColumn("__t", micros(F.col(time))), by, "__t", bucket_hours)
+    if rows is None:
         return df.withColumn("__p", F.lag(own).over(Window.partitionBy(*by).orderBy(time, *tie))).select(*df.columns, "__p.*")
-    rows = df.withColumn("__bucket", F.floor(micros(F.col(time)) / int(bucket_hours * HOUR)))
+    ends = rows.groupBy(*by, "__bucket").agg(F.max_by(own, F.struct(time, *tie)).alias("__end"))
     order = Window.partitionBy(*by, "__bucket").orderBy(time, *tie)
     rows = rows.withColumns({"__p": F.lag(own).over(order), "__first": F.row_number().over(order) == 1})
-    ends = df.withColumn("__bucket", F.floor(micros(F.col(time)) / int(bucket_hours * HOUR))).groupBy(*by, "__bucket").agg(F.max_by(own, F.struct(time, *tie)).alias("__end"))
     keys = [*by, "__bucket"]
     carried = ends.select(*keys, F.lag("__end").over(Window.partitionBy(*by).orderBy("__bucket")).alias("__carried")).withColumnsRenamed({k: f"__c{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"__c{k}")) for k in keys]
@@ -112,7 +150,7 @@ def value_before(value: str, time: str, by: Sequence[str], hours: float, tie: st
     return F.max_by(F.col(value), F.struct(micros(F.col(time)), F.col(tie or time))).over(window)
 
 
-def cutoff_snapshot(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, value: str, changes: Sequence[int] = (1, 3, 6), tie: Sequence[str] = (), bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
+def cutoff_snapshot(observations: DataFrame, spine: DataFrame, by: Sequence[str], time: str, cutoff: str, value: str, changes: Sequence[int] = (1, 3, 6), tie: Sequence[str] = (), bucket_hours: float | str | None = COUNTED) -> DataFrame:
     """Last value at or before each ``cutoff`` of the spine, and its change since ``changes`` hours before the cutoff.
 
     All moments are looked up in one pass: a row of the spine asks once for
@@ -174,7 +212,7 @@ def issue_for_day(issues: DataFrame, spine: DataFrame, by: Sequence[str], valid_
     return spine.join(last, [*by, valid_day], "left").select(*spine.columns, "__last.*")
 
 
-def latest_issues(issues: DataFrame, spine: DataFrame, by: Sequence[str], available: str, cutoff: str, keep: Sequence[str], tie: Sequence[str] = (), bucket_hours: float | None = BUCKET_HOURS) -> DataFrame:
+def latest_issues(issues: DataFrame, spine: DataFrame, by: Sequence[str], available: str, cutoff: str, keep: Sequence[str], tie: Sequence[str] = (), bucket_hours: float | str | None = COUNTED) -> DataFrame:
     """For each row of the spine the last issue available at or before its cutoff, and the issue before that one.
 
     Columns latest_* and previous_* of ``keep``; null where there is none.

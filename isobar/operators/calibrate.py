@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.operators.ladder import LEVELS, TAGS, normalised
+from isobar.operators.order_stats import quantiles, select_ranks
 from isobar.operators.scoring import probability_bucket
 
 MIN_SEGMENT_ROWS = 60
@@ -17,7 +18,9 @@ SHRINK_ROWS = 120.0
 
 def offsets(df: DataFrame, y: str, by: Sequence[str] = (), columns: Sequence[str] = TAGS, levels: Sequence[float] = LEVELS) -> DataFrame:
     """Per level: the exact quantile, at that level, of y - prediction."""
-    return df.groupBy(*by).agg(*[F.percentile(F.col(y) - F.col(c), level).alias(f"offset_{c}") for c, level in zip(columns, levels, strict=True)], F.count("*").alias("n"))
+    names = [f"offset_{c}" for c in columns]
+    found = quantiles(df, by, {n: F.col(y) - F.col(c) for n, c in zip(names, columns, strict=True)}, {n: [level] for n, level in zip(names, levels, strict=True)}, [F.count("*").alias("n")])
+    return found.select(*by, *[F.col(n)[0].alias(n) for n in names], "n")
 
 
 def segmented_offsets(df: DataFrame, y: str, segment: str, columns: Sequence[str] = TAGS, levels: Sequence[float] = LEVELS, min_rows: int = MIN_SEGMENT_ROWS, shrink: bool = False) -> DataFrame:
@@ -58,13 +61,16 @@ def conformal(df: DataFrame, y: str, low: str, high: str, alpha: float, by: Sequ
 
 
 def conformal_exact(df: DataFrame, y: str, low: str, high: str, alpha: float) -> DataFrame:
-    """The same over all rows, by the exact discrete percentile and not by gathering scores."""
+    """The same over all rows, by selection of the rank and not by gathering scores."""
     scored = df.select(F.greatest(F.col(low) - F.col(y), F.col(y) - F.col(high)).alias("score")).where("score is not null")
     n = scored.count()
     if not n:
         return scored.select(F.lit(0).cast("long").alias("n"), F.col("score").alias("margin")).limit(0)
     rank = min(max(math.ceil(round((n + 1) * (1 - alpha), 9)), 1), n)
-    return scored.agg(F.count("*").alias("n"), F.percentile("score", (rank - 1) / (n - 1) if n > 1 else 0.0).alias("margin"))
+    rows = scored.select(F.struct(F.lit(0).alias("all")).alias("g"), F.lit(0).alias("v"), F.col("score").cast("double").alias("x"))
+    sizes = rows.groupBy("g", "v").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    found = select_ranks(rows, sizes.select("g", "v", F.lit(rank - 1).cast("long").alias("rank")), sizes)
+    return found.select(F.lit(n).cast("long").alias("n"), F.col("x").alias("margin"))
 
 
 def bucket_factors(ladder: DataFrame, hit: Column, buckets: int = 10) -> DataFrame:

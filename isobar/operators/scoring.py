@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.operators.ladder import cumulative
+from isobar.operators.order_stats import quantiles
 
 EPSILON = 1e-12
 
@@ -54,12 +55,14 @@ def interval_score(y: Column, low: Column, high: Column, alpha: float) -> Column
     return F.avg(high - low + (2 / alpha) * (F.greatest(low - y, F.lit(0.0)) + F.greatest(y - high, F.lit(0.0))))
 
 
-def error_summary(y: Column, x: Column) -> list[Column]:
+def error_summary(df: DataFrame, by: Sequence[str], y: Column, x: Column) -> DataFrame:
+    """Per group: n, mae, rmse, bias, exact median and third quartile of the absolute error, and the shares within 1 and 2."""
     e = x - y
-    return [
-        F.count("*").alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias"), F.percentile(F.abs(e), 0.5).alias("median_abs_error"), F.percentile(F.abs(e), 0.75).alias("p75_abs_error"),
+    found = quantiles(df, by, {"__q": F.abs(e)}, {"__q": (0.5, 0.75)}, [
+        F.count("*").alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias"),
         F.avg((F.abs(e) <= 1).cast("double")).alias("within_1"), F.avg((F.abs(e) <= 2).cast("double")).alias("within_2"),
-    ]
+    ])
+    return found.select(*by, "n", "mae", "rmse", "bias", F.col("__q")[0].alias("median_abs_error"), F.col("__q")[1].alias("p75_abs_error"), "within_1", "within_2")
 
 
 def probability_bucket(p: Column, buckets: int = 10) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from isobar.functions import encode
 from isobar.operators import calibrate, ladder, linreg, scoring, select
+from isobar.operators.order_stats import quantiles
 from isobar.operators.ladder import IQR_Z, LEVELS, P90_Z, TAGS
 from isobar.plans.registry import OBS, observations, query, rounded
 
@@ -20,8 +21,7 @@ KEY = ["station", "event_type"]
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("value") / 10 + 60
     obs = observations(spark, sf_dir).where("value IS NOT NULL")
-    # one buffer for all levels
-    found = obs.groupBy(*KEY).agg(F.percentile(t, list(LEVELS)).alias("q"), F.max_by(t, F.struct("ts", "event_id")).alias("y"), F.count("*").alias("n_obs"))
+    found = quantiles(obs, KEY, {"q": t}, {"q": LEVELS}, [F.max_by(t, F.struct("ts", "event_id")).alias("y"), F.count("*").alias("n_obs")])
     return found.select(*KEY, *[F.col("q")[k].alias(tag) for k, tag in enumerate(TAGS)], "y", "n_obs", F.bround("y", 0).cast("int").alias("observed_f"))
 
 

@@ -135,7 +135,7 @@ def issue_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     joined = items.join(orders, items["l_orderkey"] == orders["o_orderkey"])
-    found = joined.groupBy(F.month("l_shipdate").cast("long").alias("issue_month")).agg(*error_summary(F.col("o_totalprice") / 7, F.col("l_extendedprice")))
+    found = error_summary(joined.withColumn("issue_month", F.month("l_shipdate").cast("long")), ["issue_month"], F.col("o_totalprice") / 7, F.col("l_extendedprice"))
     found = found.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "bias", "median_abs_error", "p75_abs_error")} | {c: F.round(c, 6) for c in ("within_1", "within_2")})
     return found.orderBy("mae", F.desc("n")).limit(12)
 
@@ -211,3 +211,17 @@ def dimension_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("c_nationkey").orderBy(F.desc("c_acctbal"))
     return table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.rank().over(w).cast("long").alias("rank_min"), F.dense_rank().over(w).cast("long").alias("rank_dense"), F.ntile(4).over(w.orderBy(F.desc("c_acctbal"), "c_custkey")).cast("long").alias("quartile"))
+
+
+@query("""WITH o AS (SELECT o_custkey, o_orderdate AS opened, max(l_shipdate) AS shipped FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, o_orderdate),
+w AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders), d AS (SELECT o_custkey, y, CAST(make_date(y, 1, 1) AS DATE) AS a, CAST(make_date(y, 12, 31) AS DATE) AS z FROM w)
+SELECT d.o_custkey, CAST(d.y AS INTEGER) AS y, count(*) AS n, CAST(sum(date_diff('day', greatest(opened, a), least(shipped, z)) + 1) AS BIGINT) AS covered FROM d JOIN o ON o.o_custkey = d.o_custkey AND opened <= z AND shipped >= a AND opened <= shipped GROUP BY 1, 2""")
+def interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of a customer's orders were open in each of the years in which it ordered, and for how many days."""
+    from isobar.operators.intervals import overlaps
+
+    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    opened = orders.join(items, orders["o_orderkey"] == items["l_orderkey"]).groupBy("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("opened")).agg(F.max(F.col("l_shipdate").cast("date")).alias("shipped"))
+    years = orders.select("o_custkey", F.year("o_orderdate").alias("y")).distinct().select("o_custkey", "y", F.make_date("y", F.lit(1), F.lit(1)).alias("a"), F.make_date("y", F.lit(12), F.lit(31)).alias("z"))
+    found = overlaps(years, opened, ["o_custkey"], ("a", "z"), ("opened", "shipped"))
+    return found.groupBy("left.o_custkey", "left.y").agg(F.count("*").alias("n"), F.sum("covered").alias("covered"))

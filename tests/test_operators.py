@@ -53,8 +53,9 @@ def test_bucketed_windows_equal_the_plain_ones(spark):
     assert rows(one, "i") == rows(two, "i")
 
 
-def test_no_task_needs_a_whole_key(spark):
-    """Windows of the as-of family are by key and stretch, or over one row a stretch."""
+def test_no_task_needs_a_whole_hot_key(spark, monkeypatch):
+    """Where a key is hot, windows of the as-of family are by key and stretch, or over one row a stretch."""
+    monkeypatch.setattr(asof, "HOT_ROWS", 0)
     df = spark.createDataFrame([(1, T(2024, 1, 1), 1.0, 1)], "k int, t timestamp_ntz, v double, i int")
     plans = [asof.asof_backward(df, df, ["k"], "t", "t", ["v"], "x_", ["i"]), asof.with_trailing(df, {"m": F.max("v")}, "t", ["k"], 3), asof.values_before(df, ["i"], "v", "t", ["k"], (1,), ["i"]), asof.with_previous(df, ["k"], "t", ["i"], ["v"], "p_")]
     for plan in plans:
@@ -65,6 +66,24 @@ def test_no_task_needs_a_whole_key(spark):
         assert all("__bucket" in line.rsplit("], [", 2)[-2] or "__bucket" in line.rsplit("], [", 1)[-1] for line in windows)
 
 
+def test_hot_keys_are_cut_where_they_are_dense(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(2)
+    def some(n):
+        return [(rnd.choice([1, 1, 1, 2, None]), T(2024, 1, 1) + dt.timedelta(seconds=int(rnd.random() ** 6 * 10**7)), rnd.choice([None, 1.0, 2.0]), i) for i in range(n)]
+
+    right, left = spark.createDataFrame(some(900), "k int, t timestamp_ntz, v double, i int"), spark.createDataFrame(some(300), "k int, at timestamp_ntz, w double, j int")
+    plain = rows(asof.asof_backward(left, right, ["k"], "at", "t", ["v", "i"], tie=["i"], bucket_hours=None), "j")
+    one = rows(asof.with_previous(right, ["k"], "t", ["i"], ["v", "i"], "p_", None), "i")
+    monkeypatch.setattr(asof, "HOT_ROWS", 100)
+    assert rows(asof.asof_backward(left, right, ["k"], "at", "t", ["v", "i"], tie=["i"]), "j") == plain
+    assert rows(asof.with_previous(right, ["k"], "t", ["i"], ["v", "i"], "p_"), "i") == one
+    dealt = asof.in_stretches(right.withColumn("t", F.unix_micros(F.col("t").cast("timestamp"))), ["k"], "t", asof.COUNTED)
+    sizes = {(r.k, r["__bucket"]): r["count"] for r in dealt.groupBy("k", "__bucket").count().collect()}
+    assert max(sizes.values()) <= 200 and sum(sizes.values()) == 900 and len([k for k in sizes if k[0] == 1]) > 5
+
+
 def test_window_before_reaches_as_far_as_its_hours(spark):
     obs = spark.createDataFrame([(1, T(2024, 1, d, 12), float(d)) for d in range(1, 8)], "k int, t timestamp_ntz, v double").withColumn("own", F.col("t").cast("date"))
     days = spark.createDataFrame([(1, dt.date(2024, 1, 7), T(2024, 1, 7, 13))], "k int, day date, c timestamp_ntz")
@@ -198,7 +217,7 @@ def test_selection_guards(spark):
 def test_least_squares_and_boosting(spark):
     df = spark.createDataFrame([(float(i), float(i % 7), 3.0 + 2 * i - (i % 7)) for i in range(100)] + [(None, 1.0, 5.0)], "a double, b double, y double")
     assert [round(c, 6) for c in linreg.fit(df, "y", ["a", "b"])] == [3.0, 2.0, -1.0]
-    model = quantile_gbm.fit(df, "y", ["a", "b"], levels=(0.1, 0.5, 0.9), rounds=15)
+    model = quantile_gbm.fit(df, "y", ["a", "b"], levels=(0.1, 0.5, 0.9), rounds=5)
     flat = quantile_gbm.fit(df, "y", ["a", "b"], levels=(0.1, 0.5, 0.9), rounds=0)
     for q in (0.1, 0.5, 0.9):
         mine, base = df.agg(scoring.pinball(F.col("y"), model.predict(q), q), scoring.pinball(F.col("y"), flat.predict(q), q)).first()
