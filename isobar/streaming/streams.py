@@ -61,32 +61,38 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", e
     query.awaitTermination()
 
 
-def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int, closing: str | None = None) -> Iterator[str]:
-    """Writes ``rows`` below ``path`` by time and lands them in a folder, about ``batch_rows`` at a time.
-
-    Yields the folder after each landing, for a stream that takes all that is
-    new there: no row it finds is older than one of a landing before. With
-    ``closing`` a last landing has one row, null but for that time, which is ten
-    years behind all others: a watermark follows it and closes what is open.
+def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int, closing: str | None = None) -> tuple[str, int]:
+    """Writes ``rows`` as files by time, whose file times are in that order, too: the folder, and the files that hold about ``batch_rows``.
+
+    A file stream takes the oldest files first, so one run with that many files
+    a trigger finds no row older than one of a batch before; nothing is sorted
+    again and no stream is started twice. With ``closing`` the last file has one
+    row, null but for that time, which is ten years behind all others: a
+    watermark follows it and closes what is open. The file system must let file
+    times be set (HDFS, local folders); one that does not is refused.
     """
-    spark = rows.sparkSession
+    spark, folder = rows.sparkSession, f"{path}/in"
     n = rows.count()
-    rows.repartitionByRange(max(1, -(-n // batch_rows)), time).write.parquet(f"{path}/all")
+    rows.repartitionByRange(max(1, -(-n // batch_rows)), time).write.parquet(folder)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(name for f in files.listStatus(hadoop(f"{path}/all")) if (name := f.getPath().getName()).startswith("part-"))
-    files.mkdirs(hadoop(f"{path}/in"))
-    at_once = max(1, len(names) * batch_rows // max(n, 1))
-    for k in range(0, len(names), at_once):
-        for name in names[k : k + at_once]:
-            if not files.rename(hadoop(f"{path}/all/{name}"), hadoop(f"{path}/in/{name}")):
-                raise OSError(f"cannot land {path}/all/{name}")
-        yield f"{path}/in"
+    files = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def parts() -> list[str]:
+        return sorted(name for f in files.listStatus(hadoop(folder)) if (name := f.getPath().getName()).startswith("part-"))
+
+    names = parts()
     if closing and n:
         last = rows.agg(F.max(closing).alias("t"))
         end = last.select(*[(F.col("t") + F.expr("INTERVAL 10 YEARS") if c == closing else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for c in rows.columns])
-        end.coalesce(1).write.mode("append").parquet(f"{path}/in")
-        yield f"{path}/in"
+        end.coalesce(1).write.mode("append").parquet(folder)
+        names += sorted(set(parts()) - set(names))
+    began = files.getFileStatus(hadoop(f"{folder}/{names[0]}")).getModificationTime() if names else 0
+    for k, name in enumerate(names):
+        at, when = hadoop(f"{folder}/{name}"), began + 1000 * k
+        files.setTimes(at, when, -1)
+        if files.getFileStatus(at).getModificationTime() != when:
+            raise OSError(f"the times of files cannot be set below {folder}")
+    return folder, max(1, len(names) * batch_rows // max(n, 1))
 
 
 def stream_table(spark: SparkSession, path: str, schema, files_per_batch: int = 1, glob: str | None = None) -> DataFrame:
