@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.session import scratch_path
+
 # Vocabularies and their aliases.
 VOCABULARIES = {
     "cloud_cover": {"__MISSING__": 0, "__UNK__": 1, "CLR": 2, "SKC": 3, "FEW": 4, "SCT": 5, "BKN": 6, "OVC": 7, "VV": 8},
@@ -64,8 +66,10 @@ def learned_ids(df: DataFrame, column: str, out: str, known: Sequence[str] | Non
         return df.withColumn(out, F.coalesce(F.array_position(F.array(*map(F.lit, sorted(known))), F.col(column)) - 1, F.lit(-1)).cast("long"))
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
     # Sorted by ranges: a value's id is its place in its range and the sizes of the ranges before it, so no task orders all values.
-    ranged = values.repartitionByRange(column).withColumn("__range", F.spark_partition_id())
-    ranged = ranged.withColumn("__place", F.row_number().over(Window.partitionBy("__range").orderBy(column)) - 1)
+    # Written once: ranges are numbered by one exchange, whatever reads them.
+    at = scratch_path(df.sparkSession, "ranges")
+    values.repartitionByRange(column).withColumn("__range", F.spark_partition_id()).write.parquet(at)
+    ranged = df.sparkSession.read.parquet(at).withColumn("__place", F.row_number().over(Window.partitionBy("__range").orderBy(column)) - 1)
     sizes = ranged.groupBy("__range").agg(F.count("*").alias("__size"))
     before = sizes.select("__range", F.coalesce(F.sum("__size").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     ids = ranged.join(F.broadcast(before), "__range").select(column, (F.col("__before") + F.col("__place")).cast("long").alias(out))

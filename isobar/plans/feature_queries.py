@@ -177,15 +177,20 @@ def model_eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("station", "date_local", contracts.eligible([F.col("nbm").isNotNull(), F.col("lamp").isNotNull()], core).alias("eligible"), missing.alias("first_missing"))
 
 
-@query("""SELECT * FROM (VALUES ('nbm_temp_max_f', true, 'feature'), ('nbm_temp_max_k', false, 'converted'), ('lamp_wsp_kt_at_09', false, 'converted'), ('lamp_wsp_mph_at_09', true, 'feature'), ('label_tmax_f', false, 'leak'), ('final_tmax_f', false, 'leak'),
-('station_id', false, 'not numeric'), ('meta_lamp_available', false, 'meta'), ('selected_time_code', false, 'time code'), ('hrrr_flag', true, 'feature')) t(name, used, reason)""")
+#: Columns of parts under the names of features: what each is made of, whether a model may see it, and why.
+CHOICE = [
+    ("nbm_temp_max_f", "p_size", True, "feature"), ("nbm_temp_max_k", "p_retailprice", False, "converted"), ("lamp_wsp_kt_at_09", "p_partkey", False, "converted"), ("lamp_wsp_mph_at_09", "p_size + 1", True, "feature"), ("label_tmax_f", "p_size", False, "leak"),
+    ("final_tmax_f", "p_size", False, "leak"), ("station_id", "p_brand", False, "not numeric"), ("meta_lamp_available", "p_size > 9", False, "meta"), ("selected_time_code", "p_size", False, "time code"), ("hrrr_flag", "p_size % 2 = 0", True, "feature"),
+]
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS name, {str(used).lower()} AS used, '{why}' AS reason, count({made}) AS n, count(DISTINCT {made}) AS different FROM part" for name, made, used, why in CHOICE))
 def feature_column_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which columns of a table a model may see, and why not."""
-    kinds = {"station_id": T.StringType(), "meta_lamp_available": T.BooleanType(), "hrrr_flag": T.BooleanType()}
-    names = ["nbm_temp_max_f", "nbm_temp_max_k", "lamp_wsp_kt_at_09", "lamp_wsp_mph_at_09", "label_tmax_f", "final_tmax_f", "station_id", "meta_lamp_available", "selected_time_code", "hrrr_flag"]
-    empty = spark.createDataFrame([], T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names]))
-    used = contracts.feature_columns(empty)
-    return spark.createDataFrame([(n, n in used, contracts.why_not(empty, n)) for n in names], "name string, used boolean, reason string")
+    """Which columns of a table a model may see, and why not; and how many values each has."""
+    rows = table(spark, sf_dir, "part").select(*[F.expr(made).alias(name) for name, made, _, _ in CHOICE])
+    used = contracts.feature_columns(rows)
+    counted = rows.agg(*[F.struct(F.lit(n).alias("name"), F.lit(n in used).alias("used"), F.lit(contracts.why_not(rows, n)).alias("reason"), F.count(n).alias("n"), F.countDistinct(n).alias("different")).alias(n) for n in rows.columns])
+    return counted.select(F.explode(F.array(*rows.columns)).alias("c")).select("c.*")
 
 
 @query(f"""WITH {FRAME} SELECT station, date_local AS target_date, nbm AS lamp_tmax, lamp AS meta_source_lamp, 'nbm 1, lamp 1, hrrr 1, other 4' AS counts FROM frame""")
@@ -205,15 +210,21 @@ def unique_or_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Fixed values of the example: fields and the levels they may come from, best first.
 LEVELS = {"TMP": ("2 m above ground", "surface"), "GUST": ("10 m above ground", "surface"), "CAPE": ("surface",)}
-INVENTORY = [
-    ("TMP", "surface", "", 1), ("TMP", "2 m above ground", "ens mean", 2), ("TMP", "2 m above ground", "10% level", 3), ("TMP", "2 m above ground", "", 4), ("GUST", "surface", "", 5), ("GUST", "10 m above ground", "prob >10", 6), ("VIS", "surface", "", 7),
-]
+_records = """SELECT CASE p_partkey % 3 WHEN 0 THEN 'TMP' WHEN 1 THEN 'GUST' ELSE 'VIS' END AS field, CASE WHEN p_size < 40 THEN 'surface' WHEN p_partkey % 3 = 0 THEN '2 m above ground' ELSE '10 m above ground' END AS level,
+    CASE WHEN p_partkey % 3 = 1 AND p_size >= 40 THEN 'prob >10' WHEN p_size % 4 = 0 THEN 'ens mean' WHEN p_size % 4 = 1 THEN '10% level' ELSE '' END AS extra, p_partkey AS record FROM part"""
 
 
-@query("SELECT * FROM (VALUES ('TMP', '2 m above ground', 4, 'exact'), ('GUST', '10 m above ground', 6, 'fallback'), ('CAPE', NULL, NULL, 'missing optional')) t(field, level, record, status)")
+@query(f"""WITH r AS ({_records}), w AS (SELECT * FROM (VALUES ('TMP', '2 m above ground', 1), ('TMP', 'surface', 2), ('GUST', '10 m above ground', 1), ('GUST', 'surface', 2), ('CAPE', 'surface', 1)) v(field, level, preference)),
+j AS (SELECT w.field, w.level, preference, extra, record FROM w LEFT JOIN (SELECT * FROM r WHERE NOT regexp_matches(extra, 'ens|%')) r ON r.field = w.field AND r.level = w.level),
+b AS (SELECT field, arg_min({{'level': level, 'record': record, 'extra': extra}}, (preference, extra <> '', record)) FILTER (record IS NOT NULL) AS one FROM j GROUP BY field)
+SELECT field, one.level AS level, CAST(one.record AS BIGINT) AS record, CASE WHEN one IS NULL THEN CASE WHEN field = 'CAPE' THEN 'missing optional' ELSE 'missing required' END WHEN one.extra = '' THEN 'exact' ELSE 'fallback' END AS status FROM b""")
 def level_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each field's record: the best level, exact records before those with further text, no ensemble ones; a missing field is required or optional."""
-    rows = spark.createDataFrame(INVENTORY, "field string, level string, extra string, record int")
+    k, size = F.col("p_partkey"), F.col("p_size")
+    rows = table(spark, sf_dir, "part").select(
+        F.when(k % 3 == 0, "TMP").when(k % 3 == 1, "GUST").otherwise("VIS").alias("field"), F.when(size < 40, "surface").when(k % 3 == 0, "2 m above ground").otherwise("10 m above ground").alias("level"),
+        F.when((k % 3 == 1) & (size >= 40), "prob >10").when(size % 4 == 0, "ens mean").when(size % 4 == 1, "10% level").otherwise("").alias("extra"), k.cast("long").alias("record"),
+    )
     return select.preferred_levels(rows, LEVELS, required=("TMP", "GUST"))
 
 
@@ -237,20 +248,25 @@ def coerced_and_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Worked out by hand: 100 * exp(17.67 d / (d + 243.5)) / exp(17.67 t / (t + 243.5)).
-HUMID = [(1, 300.0, 290.0, 54.2647), (2, 290.0, 290.0, 100.0), (3, 280.0, 285.0, 100.0), (4, 310.15, 283.15, 19.5194), (5, 273.15, 263.15, 46.9191), (6, None, 283.15, None)]
+_t, _d = "value / 10", "value / 10 - k / 5.0 + 2"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {'NULL' if rh is None else rh}::DOUBLE)" for i, _, _, rh in HUMID) + ") v(i, rh)")
+@query(f"""WITH {OBS} SELECT event_id, round(least(100, 100 * exp(17.67 * ({_d}) / (243.5 + {_d})) / exp(17.67 * ({_t}) / (243.5 + {_t}))), 4) AS rh FROM obs""")
 def humidity_from_dewpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([x[:3] for x in HUMID], "i int, t double, d double")
-    return rows.select("i", F.round(units.relative_humidity(F.col("t") - 273.15, F.col("d") - 273.15), 4).alias("rh"))
+    """Relative humidity of a temperature and a dewpoint that may lie above it."""
+    t = F.col("value") / 10
+    return observations(spark, sf_dir).select("event_id", F.round(units.relative_humidity(t, t - F.col("k") / 5.0 + 2), 4).alias("rh"))
 
 
-@query("""SELECT * FROM (VALUES ('9', NULL), ('99', NULL), ('999', NULL), ('-99', -99.0::DOUBLE), ('19', 19.0), ('X', NULL), ('', NULL), ('NG', NULL), (' 7', 7.0), ('RA', NULL)) t(token, value)""")
+@query("""WITH t AS (SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN repeat('9', p_size % 4 + 1) WHEN 1 THEN '-' || p_size WHEN 2 THEN 'X' WHEN 3 THEN '' WHEN 4 THEN 'NG' WHEN 5 THEN ' ' || p_size || ' ' WHEN 6 THEN p_size || 'RA' ELSE CAST(p_size AS VARCHAR) END AS token FROM part)
+SELECT p_partkey, token, CASE WHEN NOT regexp_full_match(trim(token), '9+') THEN TRY_CAST(trim(token) AS DOUBLE) END AS value FROM t""")
 def bulletin_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(x,) for x in ("9", "99", "999", "-99", "19", "X", "", "NG", " 7", "RA")], "token string")
-    return rows.select("token", parse.bulletin_value(F.col("token"), F.lit("TMP")).alias("value"))
+    """Cells of all kinds: nines alone are missing, a minus makes them a number, and text is none."""
+    k, n = F.col("p_partkey") % 8, F.col("p_size").cast("string")
+    token = (
+        F.when(k == 0, F.repeat(F.lit("9"), (F.col("p_size") % 4 + 1).cast("int"))).when(k == 1, F.concat(F.lit("-"), n)).when(k == 2, "X").when(k == 3, "").when(k == 4, "NG").when(k == 5, F.concat(F.lit(" "), n, F.lit(" "))).when(k == 6, F.concat(n, F.lit("RA"))).otherwise(n)
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", token.alias("token")).withColumn("value", parse.bulletin_value(F.col("token"), F.lit("TMP")))
 
 
 @query("""SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y-%m-%d') || ' 12:00:00' AS TIMESTAMP) AS t, round(a) AS half_up, CAST(round_even(a, 0) AS BIGINT) AS half_even,
@@ -308,28 +324,43 @@ def canonical_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("station", "event_id", *[F.round(c, 4 if c == "visibility_m" else 6).alias(c) for c in ("temp_2m_k", "wind_10m_speed_ms", "ceiling_m", "visibility_m")], "ptype_code", "cape_j_kg")
 
 
-SURFACES = {
-    "nbm": (["valid_time", "nearest_grid_lon", "tmp_k"], True), "hrrr": (["valid_time", "nearest_grid_lon", "tmp_k_nearest"], True), "lamp": (["valid_time", "tmp"], False), "old": (["tmp_k_3x3_mean"], True),
-}
-NEEDED = ("valid_time", "tmp_k")
+#: Tables as sources: the prefix of their columns, whether they are on a grid, and the column of their longitudes.
+SURFACES = {"customer": ("c_", True, "c_acctbal"), "supplier": ("s_", False, "s_acctbal"), "part": ("p_", True, "p_size"), "nation": ("n_", False, "n_nationkey")}
+NEEDED = ("name", "nationkey")
+_surface_facts = {"customer": ("", "partially synced"), "supplier": ("", "synced"), "part": ("nationkey", "partially synced"), "nation": ("", "synced")}
 
 
-@query("""SELECT * FROM (VALUES ('nbm', 'synced', '', ''), ('hrrr', 'divergent', 'tmp_k', 'tmp_k_nearest'), ('lamp', 'partially synced', 'tmp_k', ''), ('old', 'divergent', 'tmp_k;valid_time', 'tmp_k_3x3_mean')) t(source, status, missing, legacy)""")
+@query(" UNION ALL ".join(f"SELECT '{t}' AS source, '{_surface_facts[t][1]}' AS status, '{_surface_facts[t][0]}' AS missing, '' AS legacy, CASE WHEN max({lon}) > 180 THEN '0-360' ELSE '-180..180' END AS longitude, count(*) AS n FROM {t}" for t, (_, _, lon) in SURFACES.items()))
 def contract_surfaces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How far each source's table stands from the shared contract: columns it lacks, old aliases, its longitudes."""
-    rows = []
-    for source, (columns, on_grid) in SURFACES.items():
-        missing, legacy = sorted(set(NEEDED) - set(columns)), contracts.legacy_aliases(columns)
-        longitude = "-180..180" if "nearest_grid_lon" in columns else "missing"
-        rows.append((source, contracts.surface(missing, legacy, longitude, on_grid), ";".join(missing), ";".join(legacy)))
-    return spark.createDataFrame(rows, "source string, status string, missing string, legacy string")
+    """How far each source's table stands from the shared contract: columns it lacks, old aliases, and its longitudes, where it is on a grid."""
+    from isobar.operators.stencil import longitude_convention
+
+    out = None
+    for source, (prefix, on_grid, lon) in SURFACES.items():
+        rows = table(spark, sf_dir, source)
+        names = [c.removeprefix(prefix) for c in rows.columns]
+        missing, legacy = sorted(set(NEEDED) - set(names)), contracts.legacy_aliases(names)
+        found = rows.agg(longitude_convention(F.col(lon).cast("double")).alias("longitude"), F.count("*").alias("n"))
+        status = F.lit(None).cast("string")
+        for convention in ("0-360", "-180..180", "unknown"):
+            status = F.when(F.col("longitude") == convention, contracts.surface(missing, legacy, convention, on_grid)).otherwise(status)
+        one = found.select(F.lit(source).alias("source"), status.alias("status"), F.lit(";".join(missing)).alias("missing"), F.lit(";".join(legacy)).alias("legacy"), "longitude", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_kinds = ("click", "error", "view")
 
 
-@query("""SELECT * FROM (VALUES ('temp_2m_k', true, true, true, 'shared'), ('gust_10m_ms', true, true, false, 'partly shared'), ('ceiling_m', false, false, true, 'one source'), ('soil_m', false, false, false, 'absent')) t(feature, nbm, hrrr, lamp, status)""")
+@query(f"""WITH {OBS}, h AS (SELECT 'h' || k % 12 AS feature, event_type FROM obs WHERE value > 20 + 12 * (k % 12)), f AS (SELECT 'h' || i AS feature FROM range(0, 12) r(i)),
+m AS (SELECT f.feature, {", ".join(f"coalesce(bool_or(event_type = '{t}'), false) AS {t}" for t in _kinds)} FROM f LEFT JOIN h USING (feature) GROUP BY f.feature)
+SELECT *, CASE {" + ".join(f"CAST({t} AS INTEGER)" for t in _kinds)} WHEN 0 THEN 'absent' WHEN 1 THEN 'one source' WHEN 3 THEN 'shared' ELSE 'partly shared' END AS status FROM m""")
 def standardisation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which source gives which feature of the shared schema."""
-    sources = {"nbm": ["temp_2m_k", "gust_10m_ms"], "hrrr": ["temp_2m_k", "gust_10m_ms"], "lamp": ["temp_2m_k", "ceiling_m"]}
-    return contracts.matrix(spark, ["temp_2m_k", "gust_10m_ms", "ceiling_m", "soil_m"], sources)
+    """Which source (a type of event) gives which feature of the shared schema (a class of properties that some of its values reach)."""
+    k = F.col("k") % 12
+    seen = observations(spark, sf_dir).where(F.col("value") > 20 + 12 * k).where(F.col("event_type").isin(*_kinds)).groupBy("event_type").agg(F.collect_set(F.concat(F.lit("h"), k.cast("string"))).alias("features"))
+    own = {r.event_type: r.features for r in seen.collect()}
+    return contracts.matrix(spark, [f"h{i}" for i in range(12)], {t: own.get(t, []) for t in _kinds})
 
 
 _anchor = "(nbm + lamp) / 2"

@@ -111,28 +111,39 @@ def pruned_and_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.union_by_name([there, tables.optional_parquet(spark, f"{sf_dir}/no_such_table.parquet", schema)])
 
 
-MANIFESTS = [
-    ("ok", "a.parquet; b.parquet", "2024-01-01T05:00:00Z", None, "/m/1"), ("ok", "/abs/c.parquet", "2024-01-01T05:00:00Z", "2024-01-01T06:00:00Z", "/m/2"), ("failed", "d.parquet", "2024-01-01T05:00:00Z", None, "/m/3"), ("ok", "gone.parquet", "2024-01-01T05:00:00Z", None, "/m/4"),
-    ("ok", None, "2024-01-01T07:00:00Z", None, "/m/5"),
-]
-PRESENT = ["/repo/a.parquet", "/m/1/a.parquet", "/m/1/b.parquet", "/abs/c.parquet", "/m/3/d.parquet", "/m/5/wide.parquet"]
+_manifest = "o_orderkey AS k, o_orderstatus <> 'F' AS fine, strftime(o_orderdate, '%Y-%m-%d') AS d"
 
 
-@query("""SELECT * FROM (VALUES ('/repo/a.parquet', TIMESTAMP '2024-01-01 05:00:00'), ('/m/1/b.parquet', TIMESTAMP '2024-01-01 05:00:00'), ('/abs/c.parquet', TIMESTAMP '2024-01-01 06:00:00'), ('/m/5/wide.parquet', TIMESTAMP '2024-01-01 07:00:00')) t(path, available_utc)""")
+@query(f"""WITH m AS (SELECT {_manifest} FROM orders), p AS (
+    SELECT k, d, CASE WHEN k % 6 = 0 THEN '/repo/a' || k || '.parquet' ELSE '/m/' || k || '/a' || k || '.parquet' END AS path FROM m WHERE fine AND k % 3 = 0
+    UNION ALL SELECT k, d, '/abs/' || k || '.parquet' FROM m WHERE fine AND k % 3 = 1 AND k % 9 <> 1
+    UNION ALL SELECT k, d, '/m/' || k || '/wide.parquet' FROM m WHERE fine AND k % 3 = 2 AND k % 12 = 2)
+SELECT path, CAST(d || CASE WHEN k % 2 = 0 THEN ' 05:00:00' ELSE ' 06:00:00' END AS TIMESTAMP) AS available_utc FROM p""")
 def issue_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifests that are ok: paths are found as they are, below the repository, then below the manifest; those that are nowhere are left out."""
-    manifests = spark.createDataFrame(MANIFESTS, "extraction_status string, wide_output_paths string, init_time_utc string, processed_timestamp_utc string, folder string")
-    present = spark.createDataFrame([(p,) for p in PRESENT], "path string")
-    found = tables.issue_catalog(manifests, "wide.parquet", "/repo", "folder", present)
+    """Orders as manifests of issues: those that are ok, their paths as they are, below the repository, then below the manifest; those that are nowhere are left out."""
+    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    text, name = k.cast("string"), F.concat(F.lit("a"), k.cast("string"), F.lit(".parquet"))
+    folder = F.concat(F.lit("/m/"), text)
+    absolute = F.concat(F.lit("/abs/"), text, F.lit(".parquet"))
+    orders = table(spark, sf_dir, "orders")
+    manifests = orders.select(
+        F.when(F.col("o_orderstatus") != "F", "ok").otherwise("failed").alias("extraction_status"), F.when(k % 3 == 0, name).when(k % 3 == 1, absolute).alias("wide_output_paths"),
+        F.concat(day, F.lit("T05:00:00Z")).alias("init_time_utc"), F.when(k % 2 == 1, F.concat(day, F.lit("T06:00:00Z"))).alias("processed_timestamp_utc"), folder.alias("folder"),
+    )
+    at = F.when(k % 6 == 0, F.concat(F.lit("/repo/"), name)).when(k % 3 == 0, F.concat(folder, F.lit("/"), name)).when((k % 3 == 1) & (k % 9 != 1), absolute).when(k % 12 == 2, F.concat(folder, F.lit("/wide.parquet")))
+    found = tables.issue_catalog(manifests, "wide.parquet", "/repo", "folder", orders.select(at.alias("path")).where("path IS NOT NULL"))
     return found.select(F.col("resolved_path").alias("path"), F.col("available_utc").cast("timestamp_ntz").alias("available_utc"))
 
 
-INPUTS = ["/a/b/x.txt", "/a/./b//x.txt", "/a/c/../b/x.txt", "file:///a/b/x.txt", "/a/y.txt", "/../z.txt"]
-
-
-@query("SELECT * FROM (VALUES ('/a/b/x.txt', CAST(4 AS BIGINT)), ('/a/y.txt', 1), ('/z.txt', 1)) t(resolved, named)")
+@query("SELECT '/a/' || o_custkey || '/x.txt' AS resolved, count(*) AS named FROM orders GROUP BY o_custkey")
 def distinct_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.distinct_inputs(spark.createDataFrame([(p,) for p in INPUTS], "path string")).select("resolved", "named")
+    """Files that are named again and again, each time in another way."""
+    c, way = F.col("o_custkey").cast("string"), F.col("o_orderkey") % 5
+    path = (
+        F.when(way == 0, F.concat(F.lit("/a/"), c, F.lit("/x.txt"))).when(way == 1, F.concat(F.lit("/a/./"), c, F.lit("//x.txt"))).when(way == 2, F.concat(F.lit("/a/b/../"), c, F.lit("/x.txt")))
+        .when(way == 3, F.concat(F.lit("file:///a/"), c, F.lit("/x.txt"))).otherwise(F.concat(F.lit("/../a/"), c, F.lit("/./x.txt")))
+    )
+    return tables.distinct_inputs(table(spark, sf_dir, "orders").select(path.alias("path"))).select("resolved", "named")
 
 
 # --- sinks -------------------------------------------------------------------------

@@ -10,12 +10,12 @@ from pyspark.sql import types as T
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], files: int | None = None) -> None:
-    """Replaces only the partitions that ``df`` has; rows of a partition go to one task, or to ``files`` of them.
+    """Replaces only the partitions that ``df`` has; rows of a partition go to one task, or to several where they are many, or to ``files`` of them.
 
     The committer renames finished files, so a reader never sees half a partition's file.
     """
     keys = [F.col(p) for p in partitions]
-    dealt = df.repartition(*keys) if files is None else df.withColumn("__deal", F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(files))).repartition(*keys, "__deal").drop("__deal")
+    dealt = df.hint("rebalance", *partitions) if files is None else df.withColumn("__deal", F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(files))).repartition(*keys, "__deal").drop("__deal")
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
