@@ -80,6 +80,20 @@ def convert_by_suffix(df: DataFrame) -> DataFrame:
     return df.select(out)
 
 
+#: Statistics of a field that are differences of its values.
+DIFFERENCES = ("_std", "_gradient_west_east", "_gradient_south_north")
+
+
+def convert_family(df: DataFrame, base: str, target: str, transform: str) -> DataFrame:
+    """A field and its statistics (``base`` and base_...) converted and renamed to ``target``; of temperatures, differences are converted as such."""
+    def converted(name: str) -> Column:
+        rest = name[len(base) :]
+        own = "delta_k_to_f" if transform == "k_to_f" and rest.endswith(DIFFERENCES) else transform
+        return TRANSFORMS[own](F.col(f"`{name}`").cast("double")).alias(target + rest)
+
+    return df.select(*[converted(n) if n == base or n.startswith(f"{base}_") else F.col(f"`{n}`") for n in df.columns])
+
+
 def wind_speed(u: Column, v: Column) -> Column:
     return F.sqrt(u * u + v * v)
 

@@ -113,3 +113,28 @@ def promoted(summary: DataFrame, slices: DataFrame, method: str, baseline: str,
     first = F.min(F.when(~F.col("__bad"), F.struct("__place", method))).alias("__first")
     found = ranked.agg(first, F.collect_list(F.when(F.col("__bad"), F.col("__place"))).alias("__rejected"))
     return found.select(F.coalesce(F.col(f"__first.{method}"), F.lit(baseline)).alias(method), F.size(F.filter("__rejected", lambda p: p < F.col("__first.__place"))).cast("long").alias("rejected"))
+
+
+#: Names of levels that have a height, and the words of a step that tell how it was summed up.
+LEVEL_HEIGHTS = {"2 m above ground": 2, "10 m above ground": 10}
+STEP_KINDS = {"acc": "accum", "avg": "avg", "max": "max", "min": "min"}
+
+
+def step_kind(step: Column) -> Column:
+    """How a record's values are summed up over its step; instant if no word tells."""
+    words = F.split(F.lower(step), " ")
+    return F.coalesce(*[F.when(F.array_contains(words, word), kind) for word, kind in STEP_KINDS.items()], F.lit("instant"))
+
+
+def matched_rasters(records: DataFrame, rasters: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Each raster (``by``, raster, short, height, step_kind) with the records (``by``, record, short, level, step) that it may hold: ``by``, raster, record.
+
+    Names must agree, whatever their case; a height or kind that the raster
+    does not state, or a level without a height, fits all. A join on ``by`` and
+    the name, so rasters and records of one file meet and no others.
+    """
+    heights = F.coalesce(*[F.when(F.col("level") == level, height) for level, height in LEVEL_HEIGHTS.items()], F.lit(None).cast("int"))
+    known = records.select(*by, F.lower("short").alias("__short"), "record", heights.alias("__height"), step_kind(F.col("step")).alias("__kind"))
+    met = rasters.withColumn("__short", F.lower("short")).join(known, [*by, "__short"])
+    fits = (F.col("step_kind").isNull() | (F.col("step_kind") == F.col("__kind"))) & (F.col("height").isNull() | F.col("__height").isNull() | (F.col("height") == F.col("__height")))
+    return met.where(fits).select(*by, "raster", "record")
