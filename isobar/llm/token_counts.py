@@ -1,11 +1,13 @@
 """Token counts: map-side two-tier lookup.
 
 First tier: a compact table of the lengths of frequent pre-tokens, at most
-``TABLE_ENTRIES`` of them, broadcast. Second tier: a worker's cache of the
-pre-tokens that miss, encoded by the tokenizers library; it outlives the task.
-No pre-token is shuffled. The table only saves encoding work and changes no
-count, so it is primed from a bounded sample: the first texts of at most
-``PRIMING_PARTS`` of the table's partitions; nothing else is read for it.
+``TABLE_ENTRIES`` of them, broadcast. They are counted over all texts: a task
+keeps a summary of at most ``SUMMARY_ENTRIES`` pre-tokens and takes the least
+count off all of them when it is full, so what is frequent stays whatever the
+order of the rows; summaries are added up, and only these bounded sums are
+shuffled. Second tier: a worker's cache of the pre-tokens that miss, encoded by
+the tokenizers library; it outlives the task. The table only saves encoding
+work and changes no count.
 
 Nulls, empty texts and empty tables: a null text counts as empty, an empty
 text has 0 bytes and 0 tokens, an empty table gives an empty result. Rows with
@@ -18,39 +20,52 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.llm.bpe import PieceEncoder, encoder
-from isobar.llm.common import map_texts, text_or_empty
+from isobar.llm.common import in_parts, map_texts, text_or_empty
 
 TABLE_ENTRIES = 65_536
-PRIMING_TEXTS, PRIMING_PARTS = 2_048, 256
+#: Pre-tokens of a task's summary, and their characters at most.
+SUMMARY_ENTRIES, LONGEST = 65_536, 64
 
 
-def frequent_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text", entries: int = TABLE_ENTRIES, texts: int = PRIMING_TEXTS, parts: int = PRIMING_PARTS) -> dict[str, int]:
-    """Token lengths of pre-tokens that are frequent in a sample of about ``texts`` texts from at most ``parts`` partitions; at most ``entries``."""
-    plain = docs.select(text_or_empty(text_col).alias("text"))
-    n = max(1, plain.rdd.getNumPartitions())
-    every = -(-n // parts)
-    own = -(-texts // -(-n // every))
+class Summary:
+    """Counts of what is frequent in a stream, in bounded memory: every count is too low by at most ``missed``."""
 
+    def __init__(self, entries: int):
+        self.entries, self.counts, self.missed = entries, Counter(), 0
+
+    def add(self, pieces: Iterable[str]) -> None:
+        self.counts.update(pieces)
+        if len(self.counts) > 2 * self.entries:
+            self._shrink()
+
+    def _shrink(self) -> None:
+        least = sorted(self.counts.values(), reverse=True)[self.entries]
+        self.missed += least
+        self.counts = Counter({piece: n - least for piece, n in self.counts.items() if n > least})
+
+    def top(self) -> list[tuple[str, int]]:
+        return [(piece, n) for piece, n in self.counts.most_common(self.entries) if n > 1 and len(piece) <= LONGEST]
+
+
+def frequent_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text", entries: int = TABLE_ENTRIES) -> dict[str, int]:
+    """Token lengths of the most frequent pre-tokens of all texts; at most ``entries``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        if TaskContext.get().partitionId() % every == 0:
-            # The rest of the partition is not read.
-            for text in islice((t for batch in batches for t in batch.column(0).to_pylist()), own):
-                seen.update(encoder(tokenizer).pieces(text) or ())
-        top = [(piece, n) for piece, n in seen.most_common(entries) if n > 1 and len(piece) <= 64]
+        encode, seen = encoder(tokenizer), Summary(SUMMARY_ENTRIES)
+        for batch in in_parts(batches):
+            for text in batch.column(0).to_pylist():
+                seen.add(encode.pieces(text) or ())
+        top = seen.top()
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in top], pa.string()), pa.array([x[1] for x in top], pa.int64())], names=["piece", "n"])
 
-    counted = plain.mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    counted = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     encode = encoder(tokenizer)
     return {row.piece: len(encode.piece(row.piece)) // 4 for row in counted.orderBy(F.desc("n"), "piece").limit(entries).collect()}
 
@@ -66,7 +81,7 @@ class _Lengths(dict):
 
     def __missing__(self, piece: str) -> int:
         n = len(self.encode(piece)) // 4
-        if len(piece) <= 64:
+        if len(piece) <= LONGEST:
             if len(self) > len(self.frequent) + self.limit:
                 self.clear()
                 self.update(self.frequent)

@@ -209,3 +209,26 @@ def test_filling_has_the_least_slack():
             for k, n in filling.items():
                 used[k] += n * times
         assert used == Counter(counts)
+
+
+def test_what_is_frequent_is_found_wherever_it_stands(spark):
+    """The table counts all texts: what only the last rows of a partition repeat is in it."""
+    rows = [(k, " ".join(f"rare{k}x{j}" for j in range(30))) for k in range(200)] + [(1000 + k, "zebra quagga " * 20) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = token_counts.frequent_lengths(df, common.tokenizer_path(BYTES), entries=50)
+    assert " zebra" in found and " quagga" in found and len(found) <= 50
+
+
+def test_a_summary_keeps_what_is_frequent_in_bounded_memory():
+    import random
+
+    rng, seen, true = random.Random(3), token_counts.Summary(20), {}
+    for _ in range(400):
+        pieces = [f"hot{rng.randrange(5)}" for _ in range(10)] + [f"cold{rng.randrange(10**6)}" for _ in range(10)]
+        seen.add(pieces)
+        for p in pieces:
+            true[p] = true.get(p, 0) + 1
+        assert len(seen.counts) <= 40 + 20
+    top = dict(seen.top())
+    assert {f"hot{k}" for k in range(5)} <= set(top)
+    assert all(true[p] - seen.missed <= n <= true[p] for p, n in top.items())
