@@ -137,3 +137,30 @@ def test_a_query_with_few_candidates_probes_wider(spark):
     rows = [(i, [1.0, i / 1000, 0.0, 0.0]) for i in range(300)] + [(5000, [-1.0, 0.2, 3.0, -2.0])]
     found = gathered(ann.nearest_by_cosine(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "id % 50 = 0"))
     assert len(found) == 7 and all(len(r) == 5 for r in found.values())
+
+
+def test_repeated_rows_shared_ids_and_clashing_columns(spark):
+    """Rows repeated in full count once, an id with several vectors takes part with each and is never its own neighbour, other columns do not matter."""
+    rng = np.random.default_rng(12)
+    x = np.round(rng.normal(size=(70, 6)), 3)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(i, v.tolist()) for i, v in enumerate(x[:9])] * 3 + [(50, x[3].tolist()), (50, (-x[4]).tolist()), (7, (2 * x[8]).tolist()), (None, x[0].tolist())]
+    clashing = ("id", "vector", "vkey", "qkey", "dim", "ids", "asked", "unit", "code", "score", "rank", "query_id", "n", "q", "key", "place", "rows", "label", "a.b")
+    schema = "vec_id long, embedding array<double>, " + ", ".join(f"`{c}` string" for c in clashing)
+    table = spark.createDataFrame([(i, v, *[None] * len(clashing)) for i, v in rows], schema)
+    distinct = sorted({(i, tuple(v)) for i, v in rows if i is not None})
+
+    def best(score):
+        out = {}
+        for q in {i for i, _ in distinct if i % 50 == 0}:
+            pairs = [(-score(np.array(v), np.array(w)), i) for j, w in distinct if j == q for i, v in distinct if i != q]
+            out[q] = [(i, -s) for s, i in sorted(pairs)[:5]]
+        return out
+
+    want = best(lambda v, w: int(np.floor(256 * v) @ np.floor(256 * w)))
+    assert gathered(exact_topk.top_products(table, "id % 50 = 0")) == want
+    found = gathered(ann.nearest_by_cosine(table, "id % 50 = 0"))
+    want = best(lambda v, w: float(v @ w / np.sqrt(v @ v) / np.sqrt(w @ w)))
+    assert set(found) == set(want) and all(len(r) == 5 for r in found.values())
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.8 * sum(map(len, want.values()))
+    assert all(i != q for q, own in found.items() for i, _ in own)
