@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,11 +42,13 @@ def guarded_against(df: DataFrame, baseline: Column, limits: dict[str, tuple[str
 def running_take(df: DataFrame, by: Sequence[str], price: str, size: str, wanted: float, max_slippage: float, tie: Sequence[str]) -> DataFrame:
     """Fills an order from the best price down: offers within ``max_slippage`` of the best one, until ``wanted`` is taken.
 
-    Adds filled, the part of each offer taken; offers beyond are left out.
+    Adds filled, the part of each offer taken; offers beyond are left out. The
+    best prices are aggregated first, so only offers within reach are sorted.
     """
     order = Window.partitionBy(*by).orderBy(F.desc(price), *tie)
-    top = F.max(price).over(Window.partitionBy(*by))
-    reachable = df.withColumn("__top", top).where(F.col(price) >= F.col("__top") - max_slippage)
+    top = df.groupBy(*[F.col(c).alias(f"__by_{c}") for c in by]).agg(F.max(price).alias("__top"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by])
+    reachable = df.join(top, same).drop(*[f"__by_{c}" for c in by]).where(F.col(price) >= F.col("__top") - max_slippage)
     before = F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     return reachable.withColumn("__before", before).where(F.col("__before") < wanted).withColumn("filled", F.least(F.col(size), F.lit(wanted) - F.col("__before"))).drop("__top", "__before")
 
