@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from isobar.functions import encode
 from isobar.operators import calibrate, ladder, linreg, scoring, select
-from isobar.operators.order_stats import quantiles
 from isobar.operators.ladder import IQR_Z, LEVELS, P90_Z, TAGS
+from isobar.operators.order_stats import quantiles
 from isobar.plans.registry import OBS, observations, query, rounded
+from isobar.session import scratch_path
 
 KEY = ["station", "event_type"]
 
@@ -174,7 +175,9 @@ def reliability_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 r AS (SELECT b.*, probability * (1 + 0.5 * (factor - 1)) AS m FROM b JOIN f USING (bucket))
 SELECT station, event_type, temp_f, round(m / sum(m) OVER (PARTITION BY station, event_type), 6) AS probability FROM r""")
 def bucket_recalibration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ladders(spark, sf_dir)
+    at = scratch_path(spark, "ladder")
+    ladders(spark, sf_dir).write.parquet(at)  # read twice: for the factors, and to apply them
+    rows = spark.read.parquet(at)
     factors = calibrate.bucket_factors(rows, F.col("temp_f") == F.col("observed_f"))
     return calibrate.recalibrated(rows, factors, KEY, 0.5).select(*KEY, "temp_f", F.round("probability", 6).alias("probability"))
 
