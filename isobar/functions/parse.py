@@ -27,10 +27,10 @@ def event_bin(label: Column) -> Column:
     with F, is itself.
     """
     text = F.replace(F.lower(label), F.lit("°"), F.lit(""))
-    return _let(F.regexp_extract_all(text, F.lit(r"(\d+|[a-z]+|[^\sa-z\d])"), F.lit(1)), _bounds_of)
+    return let(F.regexp_extract_all(text, F.lit(r"(\d+|[a-z]+|[^\sa-z\d])"), F.lit(1)), _bounds_of)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -77,7 +77,7 @@ def _bounds_of(words: Column) -> Column:
             .when(alone.isNotNull(), bounds(alone, alone))
         )
 
-    return _let(F.transform(F.filter(F.transform(words, read), lambda x: x["n"].isNotNull()), closed), decide)
+    return let(F.transform(F.filter(F.transform(words, read), lambda x: x["n"].isNotNull()), closed), decide)
 
 
 def json_list(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.functions.parse import event_bin
+from isobar.functions.parse import event_bin, let
 
 #: Fields of a market that may hold its label, in order.
 TEXT_FIELDS = ("groupItemTitle", "title", "question", "name", "label", "slug", "subtitle", "description")
@@ -18,9 +18,8 @@ def event_bins(documents: DataFrame, text: str, by: list[str]) -> DataFrame:
     markets = documents.select(*by, F.explode(parsed["markets"]).alias("m"))
 
     def candidate(c: Column) -> Column:
-        bounds = event_bin(c)
-        return F.when(bounds.isNotNull(), F.struct(F.trim(c).alias("name"), bounds["lower"].alias("lower"), bounds["upper"].alias("upper")))
+        return let(event_bin(c), lambda found: F.when(found.isNotNull(), F.struct(F.trim(c).alias("name"), found["lower"].alias("lower"), found["upper"].alias("upper"))))
 
-    outcomes = F.filter(F.transform(F.from_json("m.outcomes", "array<string>"), candidate), lambda x: x.isNotNull())
-    first = F.coalesce(*[candidate(F.col(f"m.{f}")) for f in TEXT_FIELDS], F.try_element_at(outcomes, F.lit(1)))
+    texts = F.concat(F.array(*[F.col(f"m.{f}") for f in TEXT_FIELDS]), F.coalesce(F.from_json("m.outcomes", "array<string>"), F.array().cast("array<string>")))
+    first = F.get(F.filter(F.transform(texts, candidate), lambda x: x.isNotNull()), F.lit(0))
     return markets.select(*by, first.alias("b")).where("b is not null").select(*by, "b.*").dropDuplicates([*by, "name"])

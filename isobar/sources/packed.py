@@ -14,12 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEADER = 14
-
+from isobar.functions.parse import let
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+HEADER = 14
 
 
 def unsigned(data: Column, start: Column | int, width: Column | int) -> Column:
@@ -59,7 +56,7 @@ def unpacked(message: Column) -> Column:
         there = F.filter(all_points, lambda i: F.pmod(F.call_function("shiftright", byte(i), (7 - F.pmod(i, F.lit(8))).cast("int")), F.lit(2)) == 1)
         places = F.when(h["flag"] == 1, there).otherwise(all_points)
         start = F.lit(HEADER) + F.when(h["flag"] == 1, F.floor((count + 7) / 8)).otherwise(0)
-        return _let(F.struct(places.alias("places"), start.alias("start")), lambda p: F.transform(p["places"], lambda i, k: F.struct(
+        return let(F.struct(places.alias("places"), start.alias("start")), lambda p: F.transform(p["places"], lambda i, k: F.struct(
             i.cast("int").alias("place"), ((h["r"] + F.when(bits == 0, F.lit(0)).otherwise(_number(message, p["start"], bits, k)) * F.pow(F.lit(2.0), h["e"])) / F.pow(F.lit(10.0), h["d"])).alias("value"),
         )))
 
@@ -67,7 +64,7 @@ def unpacked(message: Column) -> Column:
         unsigned(message, 0, 4).alias("count"), _single(unsigned(message, 4, 4)).alias("r"), _signed(unsigned(message, 8, 2)).alias("e"), _signed(unsigned(message, 10, 2)).alias("d"),
         unsigned(message, 12, 1).alias("bits"), unsigned(message, 13, 1).alias("flag"),
     )
-    return F.when(F.octet_length(message) >= HEADER, _let(header, read))
+    return F.when(F.octet_length(message) >= HEADER, let(header, read))
 
 
 def _hex(x: Column, digits: int) -> Column:
@@ -97,9 +94,9 @@ def packed(values: Column, decimals: int) -> Column:
             head = F.concat(_hex(F.size(xs), 8), _single_hex(h["low"]), F.lit("0000"), _hex(F.lit(decimals), 4), _hex(h["width"], 2), F.when(has, "01").otherwise("00"))
             return F.unhex(F.concat(head, F.when(has, _bits_as_hex(bitmap)).otherwise(""), _bits_as_hex(numbers)))
 
-        return _let(F.struct(low.alias("low"), width.alias("width")), body)
+        return let(F.struct(low.alias("low"), width.alias("width")), body)
 
-    return F.when(values.isNotNull(), _let(whole, write))
+    return F.when(values.isNotNull(), let(whole, write))
 
 
 def _single_hex(x: Column) -> Column:
