@@ -88,7 +88,7 @@ def test_components_equal_those_of_all_pairs(spark, limit):
 def test_other_shingles_and_similarities(spark):
     rows = corpus(9, 160)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert found(df, shingle=2, percent=60, limit=30) == plain_components(rows, 60, 2)
+    assert found(df, shingle=2, percent=60) == plain_components(rows, 60, 2)
 
 
 def test_a_link_exactly_at_the_bound(spark):
