@@ -97,17 +97,58 @@ def test_probing_finds_the_whole_ball():
     codes = rng.integers(0, 1 << 16, (500, 4), dtype=np.uint16)
     codes[100:200] = codes[0] ^ (rng.random((100, 4)) < 0.5) * (1 << rng.integers(0, 16, (100, 4))).astype(np.uint16)
     queries = codes[:3]
-    for reach, radius in ((0, 64), (0, 3), (2, 11), (5, 20), (16, 64)):
-        found = []
+    bits = [ann.apart(codes, q) for q in queries]
+    for reach in ((0, 0, 0), (2, 2, 2), (0, 2, 5), (16, 5, 0)):
+        found = {}
         for table in range(4):
             order = np.argsort(codes[:, table], kind="stable")
-            q, r = ann.probe(codes[order], queries, table, reach, radius)
-            found += list(zip(q.tolist(), order[r].tolist(), strict=True))
-        bits = [ann.apart(codes, q) for q in queries]
-        want = {(k, j) for k, b in enumerate(bits) for j in np.flatnonzero((b.min(axis=1) <= reach) & (b.sum(axis=1) <= radius)).tolist()}
-        assert len(found) == len(set(found)) and set(found) == want
-        ball = {(k, j) for k, b in enumerate(bits) for j in np.flatnonzero(b.sum(axis=1) < 4 * (reach + 1)).tolist() if b[j].sum() <= radius}
-        assert ball <= want
+            q, r, d = ann.probe(codes[order], queries, table, np.array(reach))
+            for pair, n in zip(zip(q.tolist(), order[r].tolist(), strict=True), d.tolist(), strict=True):
+                assert pair not in found  # a pair comes from one table only
+                found[pair] = n
+        assert found == {(k, j): b[j].sum() for k, b in enumerate(bits) for j in np.flatnonzero(b.min(axis=1) <= reach[k]).tolist()}
+        ball = {(k, j) for k, b in enumerate(bits) for j in np.flatnonzero(b.sum(axis=1) < 4 * (reach[k] + 1)).tolist()}
+        assert ball <= set(found)
+
+
+def test_radius_of_each_query():
+    rng = np.random.default_rng(2)
+    asked, bits = rng.integers(0, 6, 300), rng.integers(0, 60, 300)
+    asked = np.append(asked, [7, 7, 9])
+    bits = np.append(bits, [300, 5, 11])
+    keep = ann.within_radius(asked, bits, 4, 3)
+    for q in np.unique(asked):
+        own = bits[asked == q]
+        limit = np.sort(own)[3] + 3 if len(own) >= 4 else 384
+        assert (keep[asked == q] == (own <= limit)).all()
+    assert ann.within_radius(np.empty(0, np.int64), np.empty(0, np.int64), 4, 3).tolist() == []
+
+
+@pytest.mark.parametrize("level", [0.5, 0.9, 0.99, 1.0])
+def test_sure_distances_hold(level):
+    """Bits drawn at the distance named are found as often as promised; the ball of the pigeonhole principle always is."""
+    rng = np.random.default_rng(3)
+    for tables in (16, 24):
+        sure = ann.sure_distances(tables, level)
+        assert (np.diff(sure) >= 0).all() and sure[16] == 384
+        assert (sure >= np.minimum(384, tables * (np.arange(17) + 1) - 1)).all()
+        for reach in (0, 2, 4):
+            flips = rng.random((3000, 384)).argsort(axis=1).argsort(axis=1) < sure[reach]
+            least = flips.reshape(3000, 24, 16).sum(axis=2)[:, :tables].min(axis=1)
+            assert (least <= reach).mean() >= level - 0.03
+
+
+def test_queries_near_and_far_get_their_own_reach(spark):
+    """A dense half and a sparse half: the sparse one is probed again, wider, and both are found."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(20, 24))
+    x = np.vstack([centres[rng.integers(0, 20, 1500)] + 0.05 * rng.normal(size=(1500, 24)), rng.normal(size=(1500, 24))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = gathered(ann.nearest_by_cosine(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "id % 50 = 0"))
+    want = brute(rows, lambda x, q: (x * q).sum(axis=1) / np.sqrt((x * x).sum(axis=1)) / np.sqrt((q * q).sum()), 5)
+    for half in (range(1500), range(1500, 3000)):
+        asked = [q for q in want if q in half]
+        assert sum(len({i for i, _ in found[q]} & {i for i, _ in want[q]}) for q in asked) >= 0.9 * 5 * len(asked)
 
 
 def clustered(spark, n=4000, centres=60, dim=32):
