@@ -66,6 +66,8 @@ LEVELS = (0.5, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99, 0.999, 1.0)
 BUCKET_ROWS, GROUP_ROWS, GROUP_QUERIES = 4_096, 32_768, 4_096
 #: Queries that are compared with a group at once.
 TOGETHER = 64
+#: Most components of all queries' vectors that are broadcast; beyond it both sides are shuffled.
+BROADCAST_COMPONENTS = 2_000_000
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -307,7 +309,9 @@ def candidates(index: DataFrame, queries: DataFrame, plans: dict[int, Plan], wan
 
 
 def _scored(pairs: DataFrame, index: DataFrame, asked: DataFrame) -> DataFrame:
-    """The pairs with the exact cosine; ``asked`` has the queries' vectors."""
+    """The pairs with the exact cosine; ``asked`` has the queries' vectors, which travel to the pairs where they are counted to be few."""
+    few = (asked.agg(F.sum("dim")).first()[0] or 0) <= BROADCAST_COMPONENTS
+    asked = F.broadcast(asked) if few else asked
     dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     return pairs.join(index.select("vkey", F.col("unit").alias("x")), "vkey").join(asked.select(F.col("vkey").alias("qkey"), F.col("unit").alias("y")), "qkey").select("qkey", "vkey", dot.alias("score"))
 
@@ -339,7 +343,6 @@ def nearest_by_cosine(df: DataFrame, is_query: str, k: int = 5, id_col: str = "v
             yield pa.RecordBatch.from_arrays([*batch.select(["vkey", "dim", "ids", "asked"]).columns, pa.array(list(units), pa.list_(pa.float64())), pa.array(codes, pa.binary())], names=["vkey", "dim", "ids", "asked", "unit", "code"])
 
     index = checkpointed(distinct.mapInArrow(coded, "vkey long, dim int, ids array<long>, asked boolean, unit array<double>, code binary"))
-    # Written, so that the engine knows the size of what it may broadcast.
     asked, done, out = checkpointed(index.where("asked").select("vkey", "dim", "code", "unit")), [], None
     model = F.broadcast(spark.createDataFrame([(d, min(k + 1, n), plans[d].reach, plans[d].slack, plans[d].sure.tolist()) for d, n in sizes.items()], "dim int, wanted int, first int, slack int, sure array<int>"))
     left = checkpointed(asked.drop("unit").join(model, "dim").withColumn("reach", F.col("first")).withColumn("radius", F.lit(BITS * TABLES)))

@@ -71,6 +71,7 @@ def test_neighbours(spark, table, monkeypatch):
     monkeypatch.setattr(ann, "BUCKET_ROWS", 200)
     monkeypatch.setattr(ann, "GROUP_ROWS", 50)
     monkeypatch.setattr(ann, "GROUP_QUERIES", 7)
+    monkeypatch.setattr(ann, "BROADCAST_COMPONENTS", 0)
     found = gathered(ann.nearest_by_cosine(table, "id % 50 = 0"))
     want = brute(used(table, False), lambda x, q: (x * q).sum(axis=1) / np.sqrt((x * x).sum(axis=1)) / np.sqrt((q * q).sum()), 5)
     assert set(found) == {*want, 2050}
