@@ -137,8 +137,8 @@ def signature(columns: Sequence[str]) -> Column:
 
 
 def crop_box(cells: DataFrame, keys: Sequence[str], lat: tuple[float, float], lon: tuple[float, float]) -> DataFrame:
-    """First and last row and column of the cells within the bounds; longitudes in either convention."""
-    west = F.pmod(F.col("lon") + 180.0, F.lit(360.0)) - 180.0
+    """First and last row and column of the cells within the bounds; longitudes in either convention (0..360 or -180..180; others are in no box)."""
+    west = F.when(F.col("lon") >= 180, F.col("lon") - 360.0).otherwise(F.col("lon"))
     return cells.where(F.col("lat").between(*lat) & west.between(*lon)).groupBy(*keys).agg(F.min("row").alias("row_first"), F.max("row").alias("row_last"), F.min("col").alias("col_first"), F.max("col").alias("col_last"), F.count("*").alias("n_cells"))
 
 

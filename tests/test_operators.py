@@ -286,3 +286,9 @@ def test_a_repeated_key_is_an_error(spark):
     df = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
     with pytest.raises(Exception, match="repeated key"):
         summarize.unique_or_error(df, ["k"]).collect()
+
+
+def test_a_box_takes_longitudes_of_two_conventions_only(spark):
+    cells = spark.createDataFrame([(1, 0, 0, 42.0, 285.0), (1, 0, 1, 42.0, -75.0), (1, 0, 2, 42.0, 645.0), (1, 0, 3, 42.0, -435.0)], "k int, row int, col int, lat double, lon double")
+    found = summarize.crop_box(cells, ["k"], (41.0, 44.0), (-80.0, -70.0)).first()
+    assert (found.col_first, found.col_last, found.n_cells) == (0, 1, 2)
