@@ -62,7 +62,7 @@ def common_bounds(df: DataFrame, columns: Sequence[str] = TAGS, observed: str |
 
 
 def _cdf(at: Column, columns: Sequence[str], levels: Sequence[float]) -> Column:
-    """Piecewise linear through (quantile, level), of equal quantiles the largest level, clamped to the end levels."""
+    """Piecewise linear through (quantile, level), of equal quantiles the largest level, clamped to the end levels. Steps between levels are of decimals, without the noise of their doubles."""
     first, last = F.col(columns[0]), F.col(columns[-1])
     # The largest level whose quantile is at most `at` starts the piece; the next larger quantile ends it.
     left_x, left_p, right_x, right_p = F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(None).cast("double")
@@ -78,7 +78,7 @@ def _cdf(at: Column, columns: Sequence[str], levels: Sequence[float]) -> Column:
     first_p = F.lit(levels[0])
     for later, level in zip(columns[1:], levels[1:], strict=True):
         first_p = F.when(F.col(later) == first, F.lit(level)).otherwise(first_p)
-    return F.when(at < first, first_p).when(at >= last, F.lit(levels[-1])).otherwise(left_p + (at - left_x) * (right_p - left_p) / (right_x - left_x))
+    return F.when(at < first, first_p).when(at >= last, F.lit(levels[-1])).otherwise(left_p + (at - left_x) * F.round(right_p - left_p, 12) / (right_x - left_x))
 
 
 def interpolated_ladder(df: DataFrame, keys: Sequence[str], columns: Sequence[str] = TAGS, levels: Sequence[float] = LEVELS) -> DataFrame:
@@ -97,7 +97,7 @@ def interpolated_ladder(df: DataFrame, keys: Sequence[str], columns: Sequence[st
     n_below = F.greatest(F.lit(0), F.least(F.col("high") - F.col("low") + 1, F.ceil(first).cast("int") - F.col("low")))
     n_above = F.greatest(F.lit(0), F.least(F.col("high") - F.col("low") + 1, F.col("high") - F.floor(last).cast("int")))
     lower = F.when(n_below > 0, F.when(t < first, first_level / n_below).otherwise(0.0)).otherwise(F.when(F.col("temp_f") == F.col("low"), first_level).otherwise(0.0))
-    rest = 1.0 - levels[-1]
+    rest = round(1.0 - levels[-1], 12)
     upper = F.when(n_above > 0, F.when(t > last, F.lit(rest) / n_above).otherwise(0.0)).otherwise(F.when(F.col("temp_f") == F.col("high"), F.lit(rest)).otherwise(0.0))
     middle = F.greatest(_cdf(t + 0.5, columns, levels) - _cdf(t - 0.5, columns, levels), F.lit(0.0))
     point = F.least(F.greatest(F.bround(first, 0).cast("int"), F.col("low")), F.col("high"))

@@ -33,12 +33,43 @@ def _value(x: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def _halves(x: Column) -> tuple[Column, Column]:
+    """The upper 26 bits of a double and the rest: products of such halves are exact."""
+    wide = x * 134217729.0
+    upper = wide - (wide - x)
+    return upper, x - upper
+
+
+def between_ranks(low: Column, high: Column, share: Column) -> Column:
+    """low * (1 - share) + high * share, the first product and the sum rounded once (a fused multiply-add): to the last bit what DuckDB's quantile_cont gives."""
+    rest = 1 - share
+    product, other = low * rest, high * share
+    (a, b), (c, d) = _halves(low), _halves(rest)
+    lost = ((a * c - product) + a * d + b * c) + b * d
+    total = product + other
+    back = total - product
+    lost = lost + ((product - (total - back)) + (other - back))
+    fused = F.when(F.isnan(lost), total).otherwise(total + lost)
+    return F.when((share == 0) | (low == high), low).otherwise(fused)
+
+
+def _at_levels(sorted_values: Column, levels: Sequence[float]) -> Column:
+    def ranks(level: float) -> Column:
+        place = F.lit(float(level)) * (F.size(sorted_values) - 1)
+        low, high = (F.get(sorted_values, side(place).cast("int")) for side in (F.floor, F.ceil))
+        return F.struct(low.alias("low"), high.alias("high"), (place - F.floor(place)).alias("share"))
+
+    found = F.transform(F.array(*map(ranks, levels)), lambda r: between_ranks(r["low"], r["high"], r["share"]))
+    return F.when(F.size(sorted_values) > 0, found)
+
+
 def quantiles(df: DataFrame, by: Sequence[str], values: Mapping[str, Column], levels: Mapping[str, Sequence[float]], extra: Sequence[Column] = (), buffer_rows: int = BUFFER_ROWS) -> DataFrame:
     """A row a group: ``by``, for each of ``values`` an array of its exact quantiles at ``levels`` (between two ranks by proportion), and the aggregates ``extra``."""
     most = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
     if most <= buffer_rows:
-        found = [F.percentile(_value(x), list(levels[name])).alias(name) for name, x in values.items()]
-        return df.groupBy(*by).agg(*found, *extra)
+        sorted_values = [F.sort_array(F.collect_list(_value(x))).alias(name) for name, x in values.items()]
+        found = df.groupBy(*by).agg(*sorted_values, *extra)
+        return found.withColumns({name: _at_levels(F.col(name), levels[name]) for name in values})
     names = list(values)
     group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("v"), _value(values[name]).alias("x")) for k, name in enumerate(names)]))
@@ -52,11 +83,10 @@ def quantiles(df: DataFrame, by: Sequence[str], values: Mapping[str, Column], le
     ranks = place.select("g", "v", F.explode(F.array("low", "high")).alias("rank")).distinct()
     found = select_ranks(rows, ranks, sizes)
     low, high = (found.select("g", "v", F.col("rank").alias(side), F.col("x").alias(f"x_{side}")) for side in ("low", "high"))
-    between = place.join(low, ["g", "v", "low"]).join(high, ["g", "v", "high"])
-    share = F.col("p") - F.col("low")
-    value = F.when(F.col("x_low") == F.col("x_high"), F.col("x_low")).otherwise((1 - share) * F.col("x_low") + share * F.col("x_high"))
+    ranked = place.join(low, ["g", "v", "low"]).join(high, ["g", "v", "high"])
+    value = between_ranks(F.col("x_low"), F.col("x_high"), F.col("p") - F.col("low"))
     listed = F.array_sort(F.collect_list(F.struct("k", value.alias("x"))))
-    of_each = between.groupBy("g", "v").agg(F.transform(listed, lambda s: s["x"]).alias("q"))
+    of_each = ranked.groupBy("g", "v").agg(F.transform(listed, lambda s: s["x"]).alias("q"))
     wide = of_each.groupBy("g").agg(*[F.max(F.when(F.col("v") == k, F.col("q"))).alias(name) for k, name in enumerate(names)])
     if not by:
         return df.agg(F.count("*").alias("__n"), *extra).crossJoin(F.broadcast(wide.drop("g"))).drop("__n")

@@ -13,7 +13,7 @@ from isobar.functions import encode
 from isobar.operators import calibrate, ladder, linreg, scoring, select
 from isobar.operators.ladder import IQR_Z, LEVELS, P90_Z, TAGS
 from isobar.operators.order_stats import quantiles
-from isobar.plans.registry import OBS, observations, query, rounded
+from isobar.plans.registry import OBS, observations, places, query, rounded
 from isobar.session import scratch_path
 
 KEY = ["station", "event_type"]
@@ -60,7 +60,7 @@ def ladders(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("observed
 
 @query(f"WITH {LADDER} SELECT station, event_type, temp_f, round(probability, 6) AS probability FROM ladder")
 def degree_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ladders(spark, sf_dir).select(*KEY, "temp_f", F.round("probability", 6).alias("probability"))
+    return ladders(spark, sf_dir).select(*KEY, "temp_f", places("probability").alias("probability"))
 
 
 _phi = "CASE WHEN {x} >= 0 THEN 1.0 - {t} ELSE {t} END"
@@ -81,7 +81,7 @@ nm AS (SELECT station, event_type, observed_f, CAST(t AS INTEGER) AS temp_f, {_p
 @query(f"WITH {NORMAL} SELECT station, event_type, temp_f, round(m / sum(m) OVER (PARTITION BY station, event_type), 6) AS probability FROM nm")
 def normal_iqr_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ladder.normal_ladder(ladder.with_bounds(predictions(spark, sf_dir)), KEY)
-    return found.select(*KEY, "temp_f", F.round("probability", 6).alias("probability"))
+    return found.select(*KEY, "temp_f", places("probability").alias("probability"))
 
 
 _smooth = """s AS (SELECT *, 0.25 * coalesce(lag(probability) OVER w, probability) + 0.5 * probability + 0.25 * coalesce(lead(probability) OVER w, probability) AS m FROM ladder WINDOW w AS (PARTITION BY station, event_type ORDER BY temp_f))"""
@@ -89,7 +89,7 @@ _smooth = """s AS (SELECT *, 0.25 * coalesce(lag(probability) OVER w, probabilit
 
 @query(f"WITH {LADDER}, {_smooth} SELECT station, event_type, temp_f, round(m / sum(m) OVER (PARTITION BY station, event_type), 6) AS probability FROM s")
 def smooth_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ladder.smoothed(ladders(spark, sf_dir), KEY).select(*KEY, "temp_f", F.round("probability", 6).alias("probability"))
+    return ladder.smoothed(ladders(spark, sf_dir), KEY).select(*KEY, "temp_f", places("probability").alias("probability"))
 
 
 def _widen_sql() -> str:
@@ -106,7 +106,7 @@ def _widen_sql() -> str:
 
 @query(f"WITH {LADDER}, {_widen_sql()} SELECT station, event_type, temp_f, round(m / sum(m) OVER (PARTITION BY station, event_type), 6) AS probability FROM g")
 def gaussian_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ladder.widened(ladders(spark, sf_dir), KEY, 1.0).select(*KEY, "temp_f", F.round("probability", 6).alias("probability"))
+    return ladder.widened(ladders(spark, sf_dir), KEY, 1.0).select(*KEY, "temp_f", places("probability").alias("probability"))
 
 
 BINS = [("60 or below", None, 60), ("61-63", 61, 63), ("64-66", 64, 66), ("67-70", 67, 70), ("71+", 71, None)]
@@ -120,7 +120,7 @@ def bins(spark: SparkSession) -> DataFrame:
 
 @query(f"WITH {LADDER} SELECT station, event_type, name, round(sum(probability), 6) AS probability FROM ladder JOIN {_bins} ON {_in_bin} GROUP BY ALL")
 def event_bin_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ladder.bin_mass(ladders(spark, sf_dir), bins(spark), KEY).select(*KEY, "name", F.round("probability", 6).alias("probability"))
+    return ladder.bin_mass(ladders(spark, sf_dir), bins(spark), KEY).select(*KEY, "name", places("probability").alias("probability"))
 
 
 @query(f"""WITH {LADDER}, c AS (SELECT l.*, CASE WHEN temp_f < p.q50 THEN 0 ELSE probability END AS m FROM ladder l JOIN pred p USING (station, event_type)),
@@ -129,7 +129,7 @@ SELECT station, event_type, name, round(sum(p), 6) AS probability FROM t JOIN {_
 def max_so_far_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = ladder.with_bounds(predictions(spark, sf_dir)).withColumn("so_far", F.col("q50"))
     found = ladder.truncated(ladder.interpolated_ladder(pred, [*KEY, "so_far"]), KEY, "so_far")
-    return ladder.bin_mass(found, bins(spark), KEY).select(*KEY, "name", F.round("probability", 6).alias("probability"))
+    return ladder.bin_mass(found, bins(spark), KEY).select(*KEY, "name", places("probability").alias("probability"))
 
 
 SCORES = f"""{LADDER}, c AS (SELECT *, sum(probability) OVER (PARTITION BY station, event_type ORDER BY temp_f) AS cdf FROM ladder),
@@ -146,7 +146,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {SCORES} SELECT station, event_type, round({_nll}, 5) AS nll, round(brier, 6) AS brier, round(rps, 6) AS rps, round(pit_low, 6) AS pit_low, round(pit_low + 0.5 * observed_probability, 6) AS pit_mid, round(pit_low + observed_probability, 6) AS pit_high, round(modal_probability, 6) AS modal_probability FROM scores")
 def ladder_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scored(spark, sf_dir)
-    return found.select(*KEY, F.round("nll", 5).alias("nll"), *[c.alias(n) for n, c in rounded("brier", "rps", "pit_low", "pit_mid", "pit_high", "modal_probability").items()])
+    return found.select(*KEY, places("nll", 5).alias("nll"), *[c.alias(n) for n, c in rounded("brier", "rps", "pit_low", "pit_mid", "pit_high", "modal_probability").items()])
 
 
 @query(f"""WITH {LADDER}, m AS (SELECT station, event_type, name, sum(probability) AS p, bool_or(temp_f = observed_f) AS hit FROM ladder JOIN {_bins} ON {_in_bin} GROUP BY ALL)
@@ -159,7 +159,7 @@ def bin_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     inside = masses.join(edges, "name")
     # the observed degree must be on the ladder, else no bin holds it
     found = scoring.bin_scores(inside.join(ladder.with_bounds(predictions(spark, sf_dir)).select(*KEY, "low", "high"), KEY), KEY, hit & o.between(F.col("low"), F.col("high")))
-    return found.select(*KEY, F.round("observed_probability", 6).alias("observed_probability"), F.round("brier", 6).alias("brier"), F.round("nll", 5).alias("nll"))
+    return found.select(*KEY, places("observed_probability").alias("observed_probability"), places("brier").alias("brier"), places("nll", 5).alias("nll"))
 
 
 _bucket = "CAST(least(greatest(ceil(round(probability * 10, 9)), 1), 10) AS BIGINT)"
@@ -179,7 +179,7 @@ def bucket_recalibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     ladders(spark, sf_dir).write.parquet(at)  # read twice: for the factors, and to apply them
     rows = spark.read.parquet(at)
     factors = calibrate.bucket_factors(rows, F.col("temp_f") == F.col("observed_f"))
-    return calibrate.recalibrated(rows, factors, KEY, 0.5).select(*KEY, "temp_f", F.round("probability", 6).alias("probability"))
+    return calibrate.recalibrated(rows, factors, KEY, 0.5).select(*KEY, "temp_f", places("probability").alias("probability"))
 
 
 @query(f"""WITH {SCORES}, s AS (SELECT *, {_nll} AS nll, CASE WHEN event_type IN ('click', 'view') THEN 'web' ELSE 'other' END AS kind, CASE WHEN modal_probability >= 0.15 THEN 'sharp' ELSE 'flat' END AS confidence FROM scores)

@@ -30,8 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def places(x: Column | str, digits: int = 6) -> Column:
+    """x to ``digits`` places, half up by the double of x * 10^digits, as SQL engines round doubles (Spark's own round goes by the shortest decimal of x)."""
+    x = F.col(x) if isinstance(x, str) else x
+    scale = F.lit(10.0**digits)
+    return F.round(x.cast("double") * scale, 0) / scale
+
+
 def rounded(*names: str, digits: int = 6) -> dict[str, Column]:
-    return {n: F.round(F.col(n).cast("double"), digits) for n in names}
+    return {n: places(n, digits) for n in names}
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

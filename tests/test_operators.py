@@ -288,6 +288,13 @@ def test_a_repeated_key_is_an_error(spark):
         summarize.unique_or_error(df, ["k"]).collect()
 
 
+def test_a_tie_is_rounded_by_the_double_of_its_product(spark):
+    from isobar.plans.registry import places
+
+    values = spark.createDataFrame([(1, 0.0585), (2, 0.058499999999999996), (3, 0.05849), (4, -0.0585), (5, None)], "k int, x double")
+    assert rows(values.select("k", places("x", 3)), "k") == [(1, 0.059), (2, 0.059), (3, 0.058), (4, -0.059), (5, None)]
+
+
 def test_a_box_takes_longitudes_of_two_conventions_only(spark):
     cells = spark.createDataFrame([(1, 0, 0, 42.0, 285.0), (1, 0, 1, 42.0, -75.0), (1, 0, 2, 42.0, 645.0), (1, 0, 3, 42.0, -435.0)], "k int, row int, col int, lat double, lon double")
     found = summarize.crop_box(cells, ["k"], (41.0, 44.0), (-80.0, -70.0)).first()

@@ -42,6 +42,22 @@ def test_selection_equals_sorting(spark):
                 assert other == pytest.approx(want, rel=1e-12)
 
 
+@pytest.mark.parametrize("buffer_rows", [5, 100_000])
+def test_quantiles_have_the_bits_of_the_sql(spark, buffer_rows):
+    import duckdb
+
+    rng = random.Random(3)
+    rows = [(g, round(rng.uniform(0, 500), 2)) for g in range(200) for _ in range(rng.randrange(1, 30))]
+    levels = (0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = {r.g: r.q for r in order_stats.quantiles(df, ["g"], {"q": F.col("x") / 10 + 60}, {"q": levels}, buffer_rows=buffer_rows).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(g INTEGER, x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    asked = ", ".join(f"quantile_cont(x / 10 + 60, {level})" for level in levels)
+    assert got == {g: list(q) for g, *q in con.execute(f"SELECT g, {asked} FROM t GROUP BY g").fetchall()}
+
+
 def test_all_rows_and_no_rows(spark):
     df = spark.range(1000).select((F.col("id") * 3.0).alias("x"))
     assert order_stats.quantiles(df, [], {"x": F.col("x")}, {"x": [0.5]}, buffer_rows=10).first().x == [pytest.approx(1498.5)]
