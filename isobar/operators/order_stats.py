@@ -74,10 +74,11 @@ def quantiles(df: DataFrame, by: Sequence[str], values: Mapping[str, Column], le
     group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("v"), _value(values[name]).alias("x")) for k, name in enumerate(names)]))
     rows = df.select(group.alias("g"), each.alias("e")).select("g", "e.*").where("x is not null")
+    rows = kept(rows)
     asked = F.lit(None).cast("array<double>")
     for k, name in enumerate(names):
         asked = F.when(F.col("v") == k, F.array(*map(F.lit, map(float, levels[name])))).otherwise(asked)
-    sizes = _kept(rows.groupBy("g", "v").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+    sizes = kept(rows.groupBy("g", "v").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
     place = sizes.select("g", "v", "n", F.posexplode(asked).alias("k", "level")).withColumn("p", F.col("level") * (F.col("n") - 1))
     place = place.select("g", "v", "k", "p", F.floor("p").alias("low"), F.ceil("p").alias("high"))
     ranks = place.select("g", "v", F.explode(F.array("low", "high")).alias("rank")).distinct()
@@ -95,7 +96,7 @@ def quantiles(df: DataFrame, by: Sequence[str], values: Mapping[str, Column], le
     return rest.join(wide.withColumnRenamed("g", "__g"), "__g", "left").select(*by, *names, *own)
 
 
-def _kept(df: DataFrame) -> DataFrame:
+def kept(df: DataFrame) -> DataFrame:
     """``df`` as a table of the session's scratch folder, so that the next pass starts from rows and not from all passes before."""
     path = scratch_path(df.sparkSession, "ranks")
     df.write.parquet(path)
@@ -116,7 +117,7 @@ def select_ranks(rows: DataFrame, ranks: DataFrame, sizes: DataFrame, bins: int
     done, one = [], F.col("lo") == F.col("hi")
     interval = ["g", "v", "lo", "hi"]
     for _ in range(passes):
-        wanted = _kept(wanted)
+        wanted = kept(wanted)
         done.append(wanted.where(one).select("g", "v", "rank", F.col("lo").alias("x")))
         wanted = wanted.where(~one)
         if wanted.isEmpty():
