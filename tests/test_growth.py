@@ -32,3 +32,10 @@ def test_passes_of_a_selection_do_not_work_out_its_values_again(spark):
 
 def test_joined_rows_are_worked_out_once_for_all_figures_of_errors(spark):
     assert "parquet" in optimized(catalog.QUERIES["issue_error_summary"](spark, SF)) and "Join" not in optimized(catalog.QUERIES["issue_error_summary"](spark, SF))
+
+
+def test_a_label_is_read_in_one_place_of_the_plan(spark):
+    docs = spark.createDataFrame([(1, '{"markets":[{"title":"x","name":"60-62"},{"title":"60-62"},{"outcomes":"[\\"no\\",\\"63+\\"]"}]}')], "event int, text string")
+    found = market.event_bins(docs, "text", ["event"])
+    assert optimized(found).count("regexp_extract_all") == 1
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "60-62", 60, 62), (1, "63+", 63, None)]
