@@ -39,3 +39,8 @@ def test_a_label_is_read_in_one_place_of_the_plan(spark):
     found = market.event_bins(docs, "text", ["event"])
     assert optimized(found).count("regexp_extract_all") == 1
     assert sorted(tuple(r) for r in found.collect()) == [(1, "60-62", 60, 62), (1, "63+", 63, None)]
+
+
+def test_a_sketch_is_kept_for_a_station_and_not_for_each_of_its_values(spark):
+    plan = catalog.QUERIES["approximate_distinct"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and not any("approx_count_distinct" in line and "keys=[station" in line and "k#" in line.split("functions=")[0] for line in plan.splitlines())
