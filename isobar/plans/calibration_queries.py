@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from isobar.operators import calibrate, folds, ladder, linreg, scoring, select
 from isobar.operators.ladder import LEVELS, TAGS
+from isobar.operators.order_stats import kept
 from isobar.plans.forecast_queries import CANDIDATES, FRAME, KEY, LADDER, PRED, REGIME, SCORES, frame, ladders, predictions, regimes, scored
 from isobar.plans.forecast_queries import folds as candidate_folds
 from isobar.plans.model_queries import ORIGINS, _origins
@@ -29,7 +30,7 @@ def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _applied(spark: SparkSession, sf_dir: str, name: str, segments: tuple[str, ...] = (), regime: str | None = None) -> DataFrame:
-    df = _dated(spark, sf_dir)
+    df = kept(_dated(spark, sf_dir))  # read by every fit, and to apply them
     found = calibrate.methods(df, "y", segments, regime)[name](df)
     return found.select(*KEY, *[F.round(F.col(t) + 1e-9, 6).alias(t) for t in TAGS])
 

@@ -44,3 +44,7 @@ def test_a_label_is_read_in_one_place_of_the_plan(spark):
 def test_a_sketch_is_kept_for_a_station_and_not_for_each_of_its_values(spark):
     plan = catalog.QUERIES["approximate_distinct"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and not any("approx_count_distinct" in line and "keys=[station" in line and "k#" in line.split("functions=")[0] for line in plan.splitlines())
+
+
+def test_predictions_are_made_once_for_fits_and_appliers(spark):
+    assert "get_json_object" not in optimized(catalog.QUERIES["segmented_offsets_applied"](spark, SF)) and "user_id" not in optimized(catalog.QUERIES["segmented_offsets_applied"](spark, SF))
