@@ -92,9 +92,10 @@ def nearest_cell(cells: DataFrame, points: DataFrame, point_keys: Sequence[str],
     nulls.
     """
     west = lambda x: F.pmod(x + 180.0, F.lit(360.0)) - 180.0
-    keys, found = list(point_keys), None
+    found = None
     grid = cells.select("row", "col", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"), west(F.col("lon")).alias("__lon"))
-    left = points.select(*keys, "lat", "lon", west(F.col("lon")).alias("__west"))
+    # a place is searched for once, however many points it has
+    left = points.select("lat", "lon").distinct().select("lat", "lon", west(F.col("lon")).alias("__west"))
     size = degrees
     while True:
         last = size >= 180
@@ -116,8 +117,11 @@ def nearest_cell(cells: DataFrame, points: DataFrame, point_keys: Sequence[str],
         best = scored.groupBy(*left.columns).agg(F.min(F.struct(F.round("distance2", 9).alias("rounded"), "row", "col", "distance2", "cell_lat", "cell_lon")).alias("__near"))
         out = left.join(best, left.columns, "left")
         sure = F.lit(True) if last else F.coalesce(F.col("__near.distance2") <= size * size, F.lit(False))
-        done = out.where(sure).select(*keys, "__near.distance2", "__near.row", "__near.col", "__near.cell_lat", "__near.cell_lon")
+        done = out.where(sure).select("lat", "lon", "__near.distance2", "__near.row", "__near.col", "__near.cell_lat", "__near.cell_lon")
         found = done if found is None else found.unionByName(done)
         if last:
-            return found
+            break
         left, size = out.where(~sure).select(left.columns), size * 8
+    near = found.withColumnsRenamed({"lat": "__lat", "lon": "__lon"})
+    met = points.join(near, F.col("lat").eqNullSafe(F.col("__lat")) & F.col("lon").eqNullSafe(F.col("__lon")), "left")
+    return met.select(*point_keys, "distance2", "row", "col", "cell_lat", "cell_lon")

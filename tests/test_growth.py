@@ -48,3 +48,11 @@ def test_a_sketch_is_kept_for_a_station_and_not_for_each_of_its_values(spark):
 
 def test_predictions_are_made_once_for_fits_and_appliers(spark):
     assert "get_json_object" not in optimized(catalog.QUERIES["segmented_offsets_applied"](spark, SF)) and "user_id" not in optimized(catalog.QUERIES["segmented_offsets_applied"](spark, SF))
+
+
+def test_a_place_is_searched_for_once_however_many_points_it_has(spark):
+    cells = spark.createDataFrame([(0, 0, 10.0, 10.0), (0, 1, 10.0, 11.0)], "row int, col int, lat double, lon double")
+    points = spark.createDataFrame([(1, 10.1, 10.2), (2, 10.1, 10.2), (3, 10.0, 30.0), (4, None, 10.0)], "k int, lat double, lon double")
+    found = stencil.nearest_cell(cells, points, ["k"])
+    assert "Aggregate [lat" in optimized(found)
+    assert {r.k: (r.row, r.col) for r in found.collect()} == {1: (0, 0), 2: (0, 0), 3: (0, 1), 4: (None, None)}
