@@ -33,14 +33,14 @@ def _run(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
 
 
-def _ordered(spark: SparkSession, sf_dir: str, at: str, closing: str | None = None, prepare: Callable[[DataFrame], DataFrame] = lambda events: events) -> DataFrame:
+def _ordered(spark: SparkSession, sf_dir: str, at: str, closing: str | None = None, prepare: Callable[[DataFrame], DataFrame] = lambda events: events, key: str | None = None) -> DataFrame:
     """events as a stream in order of time."""
     events = prepare(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
-    folder, files = streams.in_time_order(events, "ts", f"{at}/events", BATCH_ROWS, closing)
+    folder, files = streams.in_time_order(events, "ts", f"{at}/events", BATCH_ROWS, closing, key)
     return streams.stream_table(spark, folder, events.schema, files_per_batch=files)
 
 
-def _closed(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda events: events) -> DataFrame:
+def _closed(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda events: events, key: str | None = None) -> DataFrame:
     """What ``make``, with a watermark, has appended when every window of the events has closed, in one run.
 
     Events come by time; one event far behind them all moves the watermark past
@@ -48,7 +48,7 @@ def _closed(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFr
     has not passed.
     """
     at = scratch_path(spark, "stream")
-    found = make(_ordered(spark, sf_dir, at, "ts", prepare))
+    found = make(_ordered(spark, sf_dir, at, "ts", prepare, key))
     streams.drain(found, f"{at}/out", f"{at}/state")
     return spark.read.schema(found.schema).parquet(f"{at}/out")
 
@@ -95,7 +95,7 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stateful_previous_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events are landed by time, whatever files they come in, so that none is late."""
     at = scratch_path(spark, "stream")
-    found = streams.previous_issue(_ordered(spark, sf_dir, at), "user_id", "ts", "value")
+    found = streams.previous_issue(_ordered(spark, sf_dir, at, key="user_id"), "user_id", "ts", "value")
     streams.drain(found, f"{at}/out", f"{at}/state")
     return spark.read.schema("key long, at long, value double, previous double").parquet(f"{at}/out")
 
@@ -123,7 +123,7 @@ def lease_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's events as the log of a task: any takes the lease or renews it, a purchase finishes it, an error gives it back; what is not renewed expires, and after three leases without success the task is left alone."""
     kind = F.when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "error", "failed").otherwise("beat")
     log = lambda events: leases.states(events.select("user_id", "event_id", "ts", kind.alias("kind")), "user_id", "ts", "event_id", "kind", LEASE_HOURS, BUDGET, late="1 hour")
-    return _closed(spark, sf_dir, log)
+    return _closed(spark, sf_dir, log, key="user_id")
 
 
 POLL_MINUTES = 720

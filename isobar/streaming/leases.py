@@ -76,9 +76,10 @@ def states(log: DataFrame, task: str, at: str, order: str, kind: str, lease_hour
         if state.hasTimedOut:
             machine.pass_time(watermark)
         else:
-            rows = pd.concat(list(frames))
-            rows = rows[rows["at"] >= watermark].sort_values(["at", "order"], kind="stable")
-            for moment, what in zip(rows["at"].tolist(), rows["kind"].tolist(), strict=True):
+            events = [e for f in frames for e in zip(f["at"].tolist(), f["order"].tolist(), f["kind"].tolist(), strict=True) if e[0] >= watermark]
+            # a list, not a data frame: most tasks have few events a batch; those without a number are last
+            missing = lambda n: n is None or n != n
+            for moment, _, what in sorted(events, key=lambda e: (e[0], missing(e[1]), 0 if missing(e[1]) else e[1])):
                 machine.take(moment, what)
             machine.pass_time(watermark)
         until = machine.expires_at if machine.leased_at >= 0 else machine.seen + keep_days * DAY

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,12 +39,16 @@ def previous_issue(issues: DataFrame, key: str, at: str, value: str) -> DataFram
 
     def follow(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         newest, last = state.get if state.exists else (-1, None)
-        rows = pd.concat([f.loc[f["at"] >= newest, ["at", "value"]] for f in frames]).sort_values("at", kind="stable")
-        if len(rows):
-            previous = rows["value"].shift()
-            previous.iloc[0] = last
-            state.update((int(rows["at"].iloc[-1]), float(rows["value"].iloc[-1])))
-            yield pd.DataFrame({"key": keys[0], "at": rows["at"], "value": rows["value"], "previous": previous})
+        # Plain arrays: most keys have few rows a batch, and a data frame's own steps cost more than those.
+        parts = [(f["at"].to_numpy(), f["value"].to_numpy(float)) for f in frames]
+        at, values = (parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts, strict=True)))
+        order = np.argsort(at, kind="stable")
+        order = order[at[order] >= newest]
+        if len(order):
+            at, values = at[order], values[order]
+            previous = np.concatenate([[np.nan if last is None else last], values[:-1]])
+            state.update((int(at[-1]), float(values[-1])))
+            yield pd.DataFrame({"key": keys[0], "at": at, "value": values, "previous": previous})
 
     rows = issues.select(F.col(key).alias("key"), F.unix_micros(F.col(at).cast("timestamp")).alias("at"), F.col(value).cast("double").alias("value"))
     return rows.groupBy("key").applyInPandasWithState(follow, "key long, at long, value double, previous double", "newest long, last double", "append", GroupStateTimeout.NoTimeout)
@@ -61,9 +66,13 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", e
     query.awaitTermination()
 
 
-def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int, closing: str | None = None) -> tuple[str, int]:
+def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int, closing: str | None = None, key: str | None = None) -> tuple[str, int]:
     """Writes ``rows`` as files by time, whose file times are in that order, too: the folder, and the files that hold about ``batch_rows``.
 
+    With ``key`` it is a key's rows in a batch that ``batch_rows`` bounds: if no
+    key has more of them in all, one batch takes every file, and each key is
+    called once, not once a batch.
+
     A file stream takes the oldest files first, so one run with that many files
     a trigger finds no row older than one of a batch before; nothing is sorted
     again and no stream is started twice. With ``closing`` the last file has one
@@ -92,6 +101,8 @@ def in_time_order(rows: DataFrame, time: str, path: str, batch_rows: int, closin
         files.setTimes(at, when, -1)
         if files.getFileStatus(at).getModificationTime() != when:
             raise OSError(f"the times of files cannot be set below {folder}")
+    if key and (rows.groupBy(key).count().agg(F.max("count")).first()[0] or 0) <= batch_rows:
+        return folder, max(1, len(names))
     return folder, max(1, len(names) * batch_rows // max(n, 1))
 
 

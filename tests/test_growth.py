@@ -56,3 +56,12 @@ def test_a_place_is_searched_for_once_however_many_points_it_has(spark):
     found = stencil.nearest_cell(cells, points, ["k"])
     assert "Aggregate [lat" in optimized(found)
     assert {r.k: (r.row, r.col) for r in found.collect()} == {1: (0, 0), 2: (0, 0), 3: (0, 1), 4: (None, None)}
+
+
+def test_keys_with_few_rows_are_called_once_and_not_once_a_batch(spark, tmp_path):
+    from isobar.streaming import streams
+
+    rows = spark.range(400).select((F.col("id") % 100).alias("k"), F.timestamp_seconds("id").alias("ts"))
+    few = streams.in_time_order(rows, "ts", f"{tmp_path}/few", 50, "ts", "k")[1]
+    hot = streams.in_time_order(rows, "ts", f"{tmp_path}/hot", 3, "ts", "k")[1]
+    assert few >= 9 and hot == 1
