@@ -64,17 +64,11 @@ def common_bounds(df: DataFrame, columns: Sequence[str] = TAGS, observed: str |
 def _cdf(at: Column, columns: Sequence[str], levels: Sequence[float]) -> Column:
     """Piecewise linear through (quantile, level), of equal quantiles the largest level, clamped to the end levels. Steps between levels are of decimals, without the noise of their doubles."""
     first, last = F.col(columns[0]), F.col(columns[-1])
-    # The largest level whose quantile is at most `at` starts the piece; the next larger quantile ends it.
-    left_x, left_p, right_x, right_p = F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(None).cast("double")
-    for name, level in zip(columns, levels, strict=True):
-        left_x, left_p = F.when(F.col(name) <= at, F.col(name)).otherwise(left_x), F.when(F.col(name) <= at, F.lit(level)).otherwise(left_p)
-    for k in reversed(range(len(columns))):
-        name = columns[k]
-        # of equal quantiles the largest level
-        top = F.lit(levels[k])
-        for later, level in zip(columns[k + 1 :], levels[k + 1 :], strict=True):
-            top = F.when(F.col(later) == F.col(name), F.lit(level)).otherwise(top)
-        right_x, right_p = F.when(F.col(name) > at, F.col(name)).otherwise(right_x), F.when(F.col(name) > at, top).otherwise(right_p)
+    pairs = [(F.col(c), F.lit(level)) for c, level in zip(columns, levels, strict=True)]
+    # The largest quantile at most `at` starts the piece, with the largest level of all that are; the next larger quantile ends it.
+    left_x, left_p = (F.greatest(*[F.when(c <= at, (c, level)[k]) for c, level in pairs]) for k in (0, 1))
+    right_x = F.least(*[F.when(c > at, c) for c, _ in pairs])
+    right_p = F.greatest(*[F.when(c == right_x, level) for c, level in pairs])
     first_p = F.lit(levels[0])
     for later, level in zip(columns[1:], levels[1:], strict=True):
         first_p = F.when(F.col(later) == first, F.lit(level)).otherwise(first_p)

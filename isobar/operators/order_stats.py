@@ -41,7 +41,7 @@ def _halves(x: Column) -> tuple[Column, Column]:
 
 
 def between_ranks(low: Column, high: Column, share: Column) -> Column:
-    """low * (1 - share) + high * share, the first product and the sum rounded once (a fused multiply-add): to the last bit what DuckDB's quantile_cont gives."""
+    """low * (1 - share) + high * share, the first product and the sum rounded once (a fused multiply-add): to the last bit what DuckDB's quantile_cont gives. Two equal values go the same way and may come out a bit beside themselves, as there."""
     rest = 1 - share
     product, other = low * rest, high * share
     (a, b), (c, d) = _halves(low), _halves(rest)
@@ -50,7 +50,7 @@ def between_ranks(low: Column, high: Column, share: Column) -> Column:
     back = total - product
     lost = lost + ((product - (total - back)) + (other - back))
     fused = F.when(F.isnan(lost), total).otherwise(total + lost)
-    return F.when((share == 0) | (low == high), low).otherwise(fused)
+    return F.when(share == 0, low).otherwise(fused)
 
 
 def _at_levels(sorted_values: Column, levels: Sequence[float]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from isobar.operators import calibrate, folds, ladder, linreg, scoring, select
 from isobar.operators.ladder import LEVELS, TAGS
 from isobar.operators.order_stats import kept
-from isobar.plans.forecast_queries import CANDIDATES, FRAME, KEY, LADDER, PRED, REGIME, SCORES, frame, ladders, predictions, regimes, scored
+from isobar.plans.forecast_queries import CANDIDATES, ENDS, FRAME, KEY, LADDER, PRED, REGIME, SCORES, frame, ladders, predictions, regimes, scored
 from isobar.plans.forecast_queries import folds as candidate_folds
 from isobar.plans.model_queries import ORIGINS, _origins
 from isobar.plans.registry import OBS, observations, query, rounded, table
@@ -142,7 +142,7 @@ _common = LADDER.replace("CAST(floor(q05) AS INTEGER) - 8 AS low, CAST(ceil(q95)
 SELECT station, event_type, count(*) AS degrees, min(temp_f) AS low, max(temp_f) AS high, round(avg((cdf - CASE WHEN temp_f >= observed_f THEN 1 ELSE 0 END) ** 2), 6) AS rps FROM c GROUP BY station, event_type""")
 def common_bounds_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ladders over the same degrees for all predictions, as the mean over degrees of the ranked score needs."""
-    pred = ladder.common_bounds(predictions(spark, sf_dir), observed="y")
+    pred = ladder.common_bounds(predictions(spark, sf_dir), ENDS, observed="y")
     rows = ladder.interpolated_ladder(pred, [*KEY, "observed_f"])
     ends = rows.groupBy(*KEY).agg(F.count("*").alias("degrees"), F.min("temp_f").alias("low"), F.max("temp_f").alias("high"))
     return scoring.ladder_scores(rows, KEY, "observed_f").join(ends, KEY).select(*KEY, "degrees", "low", "high", F.round("rps", 6).alias("rps"))

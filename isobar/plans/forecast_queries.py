@@ -17,6 +17,8 @@ from isobar.plans.registry import OBS, observations, places, query, rounded
 from isobar.session import scratch_path
 
 KEY = ["station", "event_type"]
+#: What sets a ladder's bounds: equal values may leave the quantiles between them beside these by a last bit.
+ENDS = ("q05", "q95")
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +56,7 @@ ladder AS (SELECT station, event_type, CAST(temp_f AS INTEGER) AS temp_f, observ
 
 def ladders(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("observed_f",)) -> DataFrame:
     """The interpolated ladder with the keys of its prediction."""
-    pred = ladder.with_bounds(predictions(spark, sf_dir))
+    pred = ladder.with_bounds(predictions(spark, sf_dir), ENDS)
     return ladder.interpolated_ladder(pred, [*KEY, *keys])
 
 
@@ -80,7 +82,7 @@ nm AS (SELECT station, event_type, observed_f, CAST(t AS INTEGER) AS temp_f, {_p
 
 @query(f"WITH {NORMAL} SELECT station, event_type, temp_f, round(m / sum(m) OVER (PARTITION BY station, event_type), 6) AS probability FROM nm")
 def normal_iqr_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ladder.normal_ladder(ladder.with_bounds(predictions(spark, sf_dir)), KEY)
+    found = ladder.normal_ladder(ladder.with_bounds(predictions(spark, sf_dir), ENDS), KEY)
     return found.select(*KEY, "temp_f", places("probability").alias("probability"))
 
 
@@ -127,7 +129,7 @@ def event_bin_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
 t AS (SELECT *, coalesce(m / nullif(sum(m) OVER (PARTITION BY station, event_type), 0), 0) AS p FROM c)
 SELECT station, event_type, name, round(sum(p), 6) AS probability FROM t JOIN {_bins} ON {_in_bin} GROUP BY ALL""")
 def max_so_far_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pred = ladder.with_bounds(predictions(spark, sf_dir)).withColumn("so_far", F.col("q50"))
+    pred = ladder.with_bounds(predictions(spark, sf_dir), ENDS).withColumn("so_far", F.col("q50"))
     found = ladder.truncated(ladder.interpolated_ladder(pred, [*KEY, "so_far"]), KEY, "so_far")
     return ladder.bin_mass(found, bins(spark), KEY).select(*KEY, "name", places("probability").alias("probability"))
 
@@ -158,7 +160,7 @@ def bin_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = (F.col("lower").isNull() | (o >= F.col("lower"))) & (F.col("upper").isNull() | (o <= F.col("upper")))
     inside = masses.join(edges, "name")
     # the observed degree must be on the ladder, else no bin holds it
-    found = scoring.bin_scores(inside.join(ladder.with_bounds(predictions(spark, sf_dir)).select(*KEY, "low", "high"), KEY), KEY, hit & o.between(F.col("low"), F.col("high")))
+    found = scoring.bin_scores(inside.join(ladder.with_bounds(predictions(spark, sf_dir), ENDS).select(*KEY, "low", "high"), KEY), KEY, hit & o.between(F.col("low"), F.col("high")))
     return found.select(*KEY, places("observed_probability").alias("observed_probability"), places("brier").alias("brier"), places("nll", 5).alias("nll"))
 
 

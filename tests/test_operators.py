@@ -149,6 +149,15 @@ def test_ladder_mass_is_one_and_tails_are_spread(spark):
         assert rows(other.groupBy("k").agg(F.round(F.sum("probability"), 9)), "k") == [(k, 1.0) for k in range(4)]
 
 
+def test_a_quantile_a_last_bit_below_the_one_before_it(spark):
+    # the piece starts at the larger of the two, with the larger level, as the ladder's SQL has it
+    row = (60.27700000000001, 60.277, 61.14375, 62.3255, 63.38175, 64.8383, 68.79065)
+    at = ladder._cdf(F.col("at"), ladder.TAGS, ladder.LEVELS)
+    df = spark.createDataFrame([(*row, x) for x in (60.0, 60.5, 63.0, 70.0)], ", ".join(f"{t} double" for t in ladder.TAGS) + ", at double")
+    want = [0.05, 0.1 + (60.5 - row[0]) * 0.15 / (row[2] - row[0]), 0.5 + (63.0 - row[3]) * 0.25 / (row[4] - row[3]), 0.95]
+    assert [r.p for r in df.select(at.alias("p")).collect()] == want
+
+
 def test_truncation_leaves_the_top_bin(spark):
     df = spark.createDataFrame([(1, t, 0.25, 70.5) for t in (68, 69, 70, 71)], "k int, temp_f int, probability double, so_far double")
     bins = spark.createDataFrame([("68 or below", None, 68), ("69-70", 69, 70), ("71+", 71, None)], "name string, lower int, upper int")

@@ -58,6 +58,21 @@ def test_quantiles_have_the_bits_of_the_sql(spark, buffer_rows):
     assert got == {g: list(q) for g, *q in con.execute(f"SELECT g, {asked} FROM t GROUP BY g").fetchall()}
 
 
+@pytest.mark.parametrize("buffer_rows", [5, 100_000])
+def test_quantiles_between_equal_values_have_the_bits_of_the_sql(spark, buffer_rows):
+    import duckdb
+
+    # ten values of which the two least are one: 0.45 of the way between them is a last bit beside them
+    pairs = [(1, x) for x in (2.77, 2.77, 10.0, 12.0, 14.0, 20.0, 30.0, 40.0, 50.0, 60.0)] + [(2, 13.67)] * 10 + [(3, 5.92)] * 11
+    df = spark.createDataFrame(pairs, "g int, x double")
+    got = {r.g: r.q for r in order_stats.quantiles(df, ["g"], {"q": F.col("x") / 10 + 60}, {"q": (0.05, 0.1, 0.25)}, buffer_rows=buffer_rows).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(g INTEGER, x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", pairs)
+    want = {g: list(q) for g, *q in con.execute("SELECT g, quantile_cont(x / 10 + 60, 0.05), quantile_cont(x / 10 + 60, 0.1), quantile_cont(x / 10 + 60, 0.25) FROM t GROUP BY g").fetchall()}
+    assert got == want and want[1][0] > want[1][1]
+
+
 def test_all_rows_and_no_rows(spark):
     df = spark.range(1000).select((F.col("id") * 3.0).alias("x"))
     assert order_stats.quantiles(df, [], {"x": F.col("x")}, {"x": [0.5]}, buffer_rows=10).first().x == [pytest.approx(1498.5)]
