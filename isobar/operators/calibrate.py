@@ -74,8 +74,9 @@ def conformal_exact(df: DataFrame, y: str, low: str, high: str, alpha: float) ->
 
 
 def bucket_factors(ladder: DataFrame, hit: Column, buckets: int = 10) -> DataFrame:
-    """Per probability bucket: observed over predicted, within .05 and 20; 1 where nothing is predicted."""
-    found = ladder.withColumn("bucket", probability_bucket(F.col("probability"), buckets)).groupBy("bucket").agg(F.sum("probability").alias("predicted"), F.sum(F.when(hit, 1.0).otherwise(0.0)).alias("observed"))
+    """Per probability bucket: observed over predicted, within .05 and 20; 1 where nothing is predicted. Probabilities are added as decimals of 18 places, so that the sum does not hang on the order of the rows."""
+    predicted = F.sum(F.col("probability").cast("decimal(28,18)")).cast("double")
+    found = ladder.withColumn("bucket", probability_bucket(F.col("probability"), buckets)).groupBy("bucket").agg(predicted.alias("predicted"), F.sum(F.when(hit, 1.0).otherwise(0.0)).alias("observed"))
     return found.withColumn("factor", F.when(F.col("predicted") <= 1e-12, 1.0).otherwise(F.least(F.greatest(F.col("observed") / F.col("predicted"), F.lit(0.05)), F.lit(20.0))))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Fixed values.
@@ -109,9 +109,14 @@ def normal_ladder(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return normalised(rows.select(*keys, "temp_f", mass.alias("probability")), keys)
 
 
+def _by_degree(keys: Sequence[str]) -> WindowSpec:
+    """All rows of a key, in the order of degrees: sums over it have the same last bit in every run."""
+    return Window.partitionBy(*keys).orderBy("temp_f").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def normalised(ladder: DataFrame, keys: Sequence[str], out: str = "probability") -> DataFrame:
-    """Probabilities over their sum; uniform where the sum is not positive."""
-    window = Window.partitionBy(*keys)
+    """Probabilities over their sum, taken by degree whatever the order of the rows; uniform where the sum is not positive."""
+    window = _by_degree(keys)
     total = F.sum(out).over(window)
     return ladder.withColumn("__total", total).withColumn("__n", F.count("*").over(window)).withColumn(out, F.when(F.col("__total") > 0, F.col(out) / F.col("__total")).otherwise(1.0 / F.col("__n"))).drop("__total", "__n")
 
@@ -143,7 +148,7 @@ def widened(ladder: DataFrame, keys: Sequence[str], width: float, only: Column |
 def truncated(ladder: DataFrame, keys: Sequence[str], so_far: str) -> DataFrame:
     """No mass below what has been reached; renormalised if any is left."""
     cut = ladder.withColumn("probability", F.when(F.col("temp_f") < F.col(so_far), 0.0).otherwise(F.col("probability")))
-    total = F.sum("probability").over(Window.partitionBy(*keys))
+    total = F.sum("probability").over(_by_degree(keys))
     return cut.withColumn("probability", F.when(total > 0, F.col("probability") / total).otherwise(0.0))
 
 

@@ -158,6 +158,17 @@ def test_a_quantile_a_last_bit_below_the_one_before_it(spark):
     assert [r.p for r in df.select(at.alias("p")).collect()] == want
 
 
+def test_sums_of_a_ladder_do_not_hang_on_the_order_of_its_rows(spark):
+    terms = [(k, t, 10.0 ** -(t % 9) / 3 + k / 7) for k in range(20) for t in range(40)]
+    schema = "k int, temp_f int, probability double"
+    ways = [spark.createDataFrame(w, schema).coalesce(1) for w in (terms, terms[::-1], sorted(terms, key=lambda r: (r[1] * 7 % 40, r[0])))]
+    one, *others = [rows(ladder.normalised(w, ["k"]), "k", "temp_f") for w in ways]
+    assert all(o == one for o in others)
+    small = [w.withColumn("probability", F.col("probability") / 50) for w in ways]
+    one, *others = [rows(calibrate.bucket_factors(w, F.col("temp_f") == 3), "bucket") for w in small]
+    assert all(o == one for o in others)
+
+
 def test_truncation_leaves_the_top_bin(spark):
     df = spark.createDataFrame([(1, t, 0.25, 70.5) for t in (68, 69, 70, 71)], "k int, temp_f int, probability double, so_far double")
     bins = spark.createDataFrame([("68 or below", None, 68), ("69-70", 69, 70), ("71+", 71, None)], "name string, lower int, upper int")
